@@ -6,6 +6,7 @@ import importlib
 
 #: Operator number: (module, query).
 _QUERIES = {
+    1: ("language_id", "op1_language_id"),
     2: ("packing", "op2_best_fit_packing"),
 }
 
