@@ -8,6 +8,7 @@ import importlib
 _QUERIES = {
     1: ("language_id", "op1_language_id"),
     2: ("packing", "op2_best_fit_packing"),
+    7: ("warc", "op7_warc"),
 }
 
 
