@@ -9,6 +9,7 @@ _QUERIES = {
     1: ("language_id", "op1_language_id"),
     2: ("packing", "op2_best_fit_packing"),
     3: ("quality_rules", "op3_quality_rules"),
+    5: ("decontamination", "op5_decontamination"),
     6: ("url_filters", "op6_url_filters"),
     7: ("warc", "op7_warc"),
 }
@@ -19,4 +20,6 @@ def queries():
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from sakuin.llm.decontamination import OP5_SQL
+
+    return {"op5_decontamination": OP5_SQL}
