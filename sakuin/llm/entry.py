@@ -9,6 +9,7 @@ _QUERIES = {
     1: ("language_id", "op1_language_id"),
     2: ("packing", "op2_best_fit_packing"),
     3: ("quality_rules", "op3_quality_rules"),
+    4: ("jaccard_join", "op4_jaccard_join"),
     5: ("decontamination", "op5_decontamination"),
     6: ("url_filters", "op6_url_filters"),
     7: ("warc", "op7_warc"),
