@@ -12,6 +12,7 @@ _QUERIES = {
     4: ("jaccard_join", "op4_jaccard_join"),
     5: ("decontamination", "op5_decontamination"),
     6: ("url_filters", "op6_url_filters"),
+    9: ("context_tree", "op9_lm_scoring"),
     10: ("suffix_dedup", "op10_suffix_dedup"),
     7: ("warc", "op7_warc"),
 }
