@@ -12,6 +12,7 @@ _QUERIES = {
     4: ("jaccard_join", "op4_jaccard_join"),
     5: ("decontamination", "op5_decontamination"),
     6: ("url_filters", "op6_url_filters"),
+    8: ("token_rollup", "op8_token_counts"),
     9: ("context_tree", "op9_lm_scoring"),
     10: ("suffix_dedup", "op10_suffix_dedup"),
     7: ("warc", "op7_warc"),
@@ -19,7 +20,8 @@ _QUERIES = {
 
 
 def queries():
-    return {name: getattr(importlib.import_module(f"sakuin.llm.{module}"), name) for module, name in _QUERIES.values()}
+    found = {name: getattr(importlib.import_module(f"sakuin.llm.{module}"), name) for module, name in _QUERIES.values()}
+    return {"pipeline": importlib.import_module("corpus_pipeline").run, **found}
 
 
 def oracle_sql() -> dict[str, str]:

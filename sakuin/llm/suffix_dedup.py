@@ -257,6 +257,17 @@ def _left_of(data: bytes, starts: np.ndarray, ends: np.ndarray) -> bytes:
     return b"".join(data[a:b] for a, b in zip([0, *ends.tolist()], [*starts.tolist(), len(data)], strict=True))
 
 
+def cut_text(text: str | None, marks: list[bytes] | None, whole: bool) -> str | None:
+    """The text without its repeated bytes. A character that loses some of its bytes goes as a whole."""
+    if text is None or not (marks or whole):
+        return text
+    data = text.encode()
+    if whole and len(data) >= LENGTH:
+        return ""
+    at = np.frombuffer(b"".join(marks or []), np.int64)
+    return _left_of(data, *spans_of(at[(at >> 8) + (at & 255) + LENGTH - 1 <= len(data)], len(data))).decode("utf-8", "ignore")
+
+
 def _bucketed(df: DataFrame, column: str) -> DataFrame:
     spark = df.sparkSession
     name = f"sakuin_{uuid.uuid4().hex}"
