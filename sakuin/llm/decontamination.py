@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Of one span. Any 13 aligned words with at most two substitutions hold a hit of one of them (tests try all cases).
@@ -10,13 +10,12 @@ MASKS = ("11110011", "11010111")
 WINDOW = 13
 SUBSTITUTIONS = 2
 LEAST = 5  # benchmark items with fewer words are too short to tell
-BLOCK = 1_000_000  # seed keys that are broadcast at once, at most (expected number; some 100 MB)
+BLOCK = 100_000  # seed keys that are broadcast at once, at most (expected number; some 30 MB)
 _TOKENS = "filter(split(lower(text), '[^\\\\p{L}\\\\p{N}]+'), w -> w != '')"
 
 
-def _seeds(mask: str, number: int) -> str:
-    at = ", ".join(f"{name}[i + {k}]" for k, c in enumerate(mask) if c == "1" for name in ("h",))
-    return f"transform(sequence(0, size(h) - {len(mask)}), i -> xxhash64({number}, {at}))"
+def _key(mask: str, number: int, h: Column, i: Column) -> Column:
+    return F.xxhash64(F.lit(number), *[F.get(h, i + k) for k, c in enumerate(mask) if c == "1"])
 
 
 def _hashed(rows: DataFrame, *keep: str) -> DataFrame:
@@ -25,6 +24,27 @@ def _hashed(rows: DataFrame, *keep: str) -> DataFrame:
     return words.selectExpr(*keep, "transform(words, w -> xxhash64(w)) h")
 
 
+def _places(mask: str, h: Column) -> Column:
+    return F.when(F.size(h) >= len(mask), F.sequence(F.lit(0), F.size(h) - len(mask))).otherwise(F.array().cast("array<int>"))
+
+
+def _entry(mask: str, number: int):
+    """A benchmark item's seed at a place."""
+    return lambda i: F.struct(i.alias("ipos"), _key(mask, number, F.col("ih"), i).alias("key"))
+
+
+def _can_hit(mask: str, number: int, table: bytes):
+    """Whether any benchmark seed falls into the slot of a text's seed."""
+    slot = lambda i: F.pmod(_key(mask, number, F.col("h"), i), F.lit(len(table))).cast("int")
+    return lambda i: F.call_function("substring", F.lit(table), slot(i) + 1, F.lit(1)) == F.lit(b"\x01")
+
+
+def _place(mask: str, number: int, longest: int, span: int):
+    """A text's seed at a place, with as many words around it as the longest item can reach."""
+    base = lambda i: F.greatest(i - longest, F.lit(0))
+    return lambda i: F.struct(i.alias("pos"), _key(mask, number, F.col("h"), i).alias("key"), base(i).alias("base"), F.slice("h", base(i) + 1, F.lit(2 * longest + span)).alias("near"))
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, window: int = WINDOW, substitutions: int = SUBSTITUTIONS, block: int = BLOCK) -> DataFrame:
     """Pairs (doc_id, item_id) that overlap, with the most equal words in any window.
 
@@ -33,43 +53,42 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MAS
     LEAST words never overlaps. Words of all of a text count. The masks need one span.
 
     The benchmark's seeds are broadcast in blocks of a bounded number; documents are scanned once a block and never
-    shuffled. Null ids are kept and null texts match nothing. Rows with the same ids count as one pair.
+    shuffled. A table of one byte a slot, of a size that the block bounds, tells which places of a text can hit at all;
+    only those leave the text's row, each with the words around it. Null ids are kept and null texts match nothing.
+    Rows with the same ids count as one pair.
     """
     span = len(masks[0])
     items = _hashed(benchmark, "item_id").where(f"size(h) >= {LEAST}").withColumnRenamed("h", "ih")
+    longest = items.agg(F.max(F.size("ih"))).first()[0]
+    if longest is None:
+        return items.selectExpr("cast(null as bigint) doc_id", "item_id", "cast(0 as bigint) matched", "cast(0 as bigint) n_words").where("false")
     short = sorted(r[0] for r in items.selectExpr("size(ih) n").where(f"n < {span}").distinct().collect())  # at most span - LEAST lengths
     seeds = [(k, m) for k, m in enumerate(masks)] + [(len(masks) + k, "1" * n) for k, n in enumerate(short)]
 
     keys = None
     for number, mask in seeds:
-        fits = f"size(ih) >= {span}" if number < len(masks) else f"size(ih) = {len(mask)}"
-        made = items.where(fits).selectExpr("item_id", "ih", "ih h").selectExpr("item_id", "ih", f"posexplode_outer({_seeds(mask, number)}) as (ipos, key)")
-        made = made.selectExpr("item_id", "ih", "ipos", "key", f"{number} seed")
+        fits = F.size("ih") >= span if number < len(masks) else F.size("ih") == len(mask)
+        at = F.transform(_places(mask, F.col("ih")), _entry(mask, number))
+        made = items.where(fits).select("item_id", "ih", F.explode_outer(at).alias("x")).select("item_id", "ih", "x.*", F.lit(number).alias("seed"))
         keys = made if keys is None else keys.unionByName(made)
-    if not items.head(1):
-        return items.selectExpr("cast(null as bigint) doc_id", "item_id", "cast(0 as bigint) matched", "cast(0 as bigint) n_words").where("false")
     blocks = -(-keys.count() // block)
 
-    rows = _hashed(docs, "doc_id")
-    of_length = lambda mask: f"greatest(size(h) - {len(mask) - 1}, 0)"
-    # The outer explode keeps the optimizer from testing the arrays twice, once below the hashes.
-    arrays = [f"case when size(h) >= {len(m)} then {_seeds(m, k)} else array() end" for k, m in seeds]
-    starts = ["0"]
-    for _, m in seeds:
-        starts.append(f"{starts[-1]} + {of_length(m)}")
-    rows = rows.selectExpr("doc_id", "h", f"concat({', '.join(arrays)}) seeds").selectExpr("doc_id", "h", "posexplode_outer(seeds) as (at, key)")
-
-    first = " and ".join(["pos > 0", "ipos > 0"])
-    before = "case seed " + " ".join(f"when {k} then {' and '.join(f'h[pos - 1 + {o}] = ih[ipos - 1 + {o}]' for o, c in enumerate(m) if c == '1')}" for k, m in seeds) + " end"
-    base = "case seed " + " ".join(f"when {k} then {starts[i]}" for i, (k, _) in enumerate(seeds)) + " end"
+    rows, h = _hashed(docs, "doc_id"), F.col("h")
+    before = "case seed " + " ".join(f"when {k} then {' and '.join(f'near[pos - base - 1 + {o}] = ih[ipos - 1 + {o}]' for o, c in enumerate(m) if c == '1')}" for k, m in seeds) + " end"
     width = f"least({window}, size(ih))"
-    equal = "transform(sequence(0, size(ih) - 1), j -> case when pos - ipos + j >= 0 and pos - ipos + j < size(h) and h[greatest(least(pos - ipos + j, size(h) - 1), 0)] = ih[j] then 1 else 0 end)"
+    equal = "transform(sequence(0, size(ih) - 1), j -> case when pos - ipos + j >= base and pos - ipos + j < base + size(near) and near[greatest(least(pos - ipos + j - base, size(near) - 1), 0)] = ih[j] then 1 else 0 end)"
     most = f"array_max(transform(sequence(0, size(eq) - {width}), s -> cast(aggregate(slice(eq, s + 1, {width}), 0, (a, e) -> a + e) as bigint)))"
     found = None
     for k in range(blocks):
         part = keys.where(F.pmod("key", F.lit(blocks)) == k) if blocks > 1 else keys
-        hits = rows.join(F.broadcast(part), "key").selectExpr("doc_id", "h", "item_id", "ih", "ipos", "seed", f"at - ({base}) pos")
-        hits = hits.where(f"not (case when {first} then {before} else false end)")  # the run's first hit stands for it
+        slots = 1 << max(12, (16 * block // blocks if blocks > 1 else 16 * keys.count()).bit_length())
+        table = bytearray(slots)
+        for r in part.select(F.pmod("key", F.lit(slots)).alias("s")).distinct().collect():  # bounded by the block
+            table[r[0]] = 1
+        arrays = [F.transform(F.filter(_places(mask, h), _can_hit(mask, number, bytes(table))), _place(mask, number, longest, span)) for number, mask in seeds]
+        # The outer explode keeps the optimizer from testing the arrays twice, once below the hashes.
+        places = rows.select("doc_id", F.explode_outer(F.concat(*arrays)).alias("x")).select("doc_id", "x.*")
+        hits = places.join(F.broadcast(part), "key").where(f"not (case when pos > base and ipos > 0 then {before} else false end)")  # a run's first hit stands for it
         checked = hits.selectExpr("doc_id", "item_id", "ih", f"{equal} eq").selectExpr("doc_id", "item_id", "cast(size(ih) as bigint) n_words", f"{most} matched", f"{width} width")
         checked = checked.where(f"matched >= width - case when n_words >= {window} then {substitutions} else 0 end").select("doc_id", "item_id", "matched", "n_words")
         found = checked if found is None else found.unionByName(checked)
