@@ -139,7 +139,8 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _prefixes(sets: DataFrame, frequent: np.ndarray, num: int, den: int) -> DataFrame:
-    """(tok, home, n, pos) of each set's prefix in the order of all shingles: the frequent ones last, rarer first."""
+    """(tok, home, n, pos, f) of each set's prefix in the order of all shingles: the frequent ones last, rarer first; f of the prefix
+    are frequent."""
     shared = sets.sparkSession.sparkContext.broadcast(frequent)
 
     def index(batches):
@@ -147,32 +148,45 @@ def _prefixes(sets: DataFrame, frequent: np.ndarray, num: int, den: int) -> Data
         order = np.argsort(known)
         ranked = known[order]
         for batch in batches:
-            toks, homes, ns, poss = [], [], [], []
+            toks, homes, ns, poss, lasts = [], [], [], [], []
             for home, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 s = shingle_set(text)
                 if len(ranked) and len(s):
                     at = np.minimum(np.searchsorted(ranked, s), len(ranked) - 1)
-                    s = s[np.argsort(np.where(ranked[at] == s, order[at] + 1, 0), kind="stable")]
+                    rank = np.where(ranked[at] == s, order[at] + 1, 0)
+                    turn = np.argsort(rank, kind="stable")
+                    s, rank = s[turn], rank[turn]
+                else:
+                    rank = np.zeros(len(s), np.int64)
                 n = len(s)
                 p = n - -(-num * n // den) + 1 if n else 0
                 toks.append(s[:p]), homes.append(np.full(p, home, np.int64)), ns.append(np.full(p, n, np.int32)), poss.append(np.arange(p, dtype=np.int32))
+                lasts.append(np.full(p, np.count_nonzero(rank[:p]), np.int32))
             if toks:
-                yield pa.RecordBatch.from_arrays([_signed(np.concatenate(toks)), *[pa.array(np.concatenate(x)) for x in (homes, ns, poss)]], names=["tok", "home", "n", "pos"])
+                yield pa.RecordBatch.from_arrays([_signed(np.concatenate(toks)), *[pa.array(np.concatenate(x)) for x in (homes, ns, poss, lasts)]], names=["tok", "home", "n", "pos", "f"])
 
-    return sets.select("home", "text").mapInArrow(index, "tok long, home long, n int, pos int")
+    return sets.select("home", "text").mapInArrow(index, "tok long, home long, n int, pos int, f int")
 
 
-def list_pairs(tok: np.ndarray, home: np.ndarray, n: np.ndarray, pos: np.ndarray, num: int, den: int):
-    """Cluster pairs (a < b) of index lists, with the number of lists they share and the least number a link needs."""
+def list_pairs(tok: np.ndarray, home: np.ndarray, n: np.ndarray, pos: np.ndarray, f: np.ndarray, num: int, den: int):
+    """Cluster pairs (a < b) of index lists, with the number of lists they share and the least number a link needs.
+
+    Entries are skipped where sizes or places rule a link out. A pair that needs more shared prefix shingles than either prefix has
+    frequent ones must share rare ones too, so the lists of frequent shingles leave it to those of rare ones; its least number is
+    then that of rare ones.
+    """
     order = np.lexsort((home, tok))
-    tok, home, n, pos = tok[order], home[order], n[order].astype(np.int64), pos[order].astype(np.int64)
+    tok, home, n, pos, f = tok[order], home[order], *(x[order].astype(np.int64) for x in (n, pos, f))
     if not len(tok):
         return (np.empty(0, np.int64),) * 4
     heads = np.flatnonzero(np.r_[True, (tok[1:] != tok[:-1]) | (home[1:] != home[:-1])])
     tok, home = tok[heads], home[heads]
     low, high, near, far = (f.reduceat(x, heads) for f, x in ((np.minimum, n), (np.maximum, n), (np.minimum, pos), (np.maximum, pos)))
+    most = np.maximum.reduceat(f, heads)
+    common = (pos >= n + 1 + (-num * n // den) - f)[heads]
     order = np.lexsort((low, tok))
-    tok, home, low, high, near, far = (x[order] for x in (tok, home, low, high, near, far))
+    tok, home, low, high, near, far, most, common = (x[order] for x in (tok, home, low, high, near, far, most, common))
+    behind = -(-num * high // den) - 1
     run_end = np.searchsorted(tok, tok, side="right")
     a, b, need = [], [], []
     active, step = np.arange(len(tok)), 0
@@ -187,8 +201,15 @@ def list_pairs(tok: np.ndarray, home: np.ndarray, n: np.ndarray, pos: np.ndarray
         fits = np.minimum(far[i], far[j]) + np.minimum(high[i] - near[i], high[j] - near[j]) >= least
         i, j = i[fits], j[fits]
         small, large = np.minimum(low[i], low[j]), np.maximum(high[i], high[j])
-        a.append(np.minimum(home[i], home[j])), b.append(np.maximum(home[i], home[j]))
-        need.append(np.maximum(1, np.floor(num * (small + large) / (num + den) - num * large / den).astype(np.int64)))
+        exact = (low[i] == high[i]) & (low[j] == high[j])
+        loose = (num * (small + large) * den - num * large * (num + den)) // ((num + den) * den)
+        wanted = np.maximum(1, np.where(exact, -(-num * (low[i] + low[j]) // (num + den)) - np.maximum(behind[i], behind[j]), loose))
+        both = np.minimum(most[i], most[j])
+        left = wanted > both
+        fits = ~(common[i] & left)
+        wanted = np.where(left, wanted - both, np.where(exact, wanted, 1))
+        i, j, wanted = i[fits], j[fits], wanted[fits]
+        a.append(np.minimum(home[i], home[j])), b.append(np.maximum(home[i], home[j])), need.append(wanted)
     if not a:
         return (np.empty(0, np.int64),) * 4
     a, b, need = np.concatenate(a), np.concatenate(b), np.concatenate(need)
@@ -207,7 +228,7 @@ def _candidates(prefixes: DataFrame, num: int, den: int, rows: int = 1_000_000)
         held = None
 
         def out(table):
-            a, b, c, need = list_pairs(*[table.column(k).to_numpy() for k in range(4)], num, den)
+            a, b, c, need = list_pairs(*[table.column(k).to_numpy() for k in range(5)], num, den)
             return pa.RecordBatch.from_arrays([pa.array(x) for x in (a, b, c, need)], names=["a", "b", "c", "need"])
 
         for batch in batches:
@@ -252,7 +273,7 @@ def similar_groups(docs: DataFrame, num: int = 3, den: int = 4, frequent: int =
     link = f"{den} * both >= {num} * either"
     sketches = durable(_sketches(docs), "sketches")
     rows = sketches.where("n is not null")
-    common = sketches.where("n is null").groupBy("hi").agg(F.sum("lo").alias("k")).where("k >= 16").orderBy(F.desc("k"), "hi").limit(frequent)
+    common = sketches.where("n is null").groupBy("hi").agg(F.sum("lo").alias("k")).where("k >= 8").orderBy(F.desc("k"), "hi").limit(frequent)
     last = np.array([r[0] for r in common.select("hi").collect()], np.int64)[::-1].view(np.uint64)
 
     linked = rows.where("n > 0 and doc_id is not null")

@@ -72,7 +72,7 @@ def _runs(values: np.ndarray) -> np.ndarray:
 
 
 _SENT = "bucket long, kind int, doc_id long, data binary"
-_FOUND = "doc_id long, data binary"
+_FOUND = "doc_id long, value long"
 
 
 def _sent(rows: list[tuple]) -> pa.RecordBatch:
@@ -122,13 +122,27 @@ def _keys_of(batches, buckets: int):
         yield _sent(rows)
 
 
+def _passed_on(table: pa.Table) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Documents and values of the rows that a batch has settled by itself."""
+    docs, values = [], []
+    for d, x, k in zip(*(table.column(c).to_pylist() for c in ("doc_id", "data", "kind")), strict=True):
+        if k == 1:
+            values.append(np.frombuffer(x, np.int64))
+            docs.append(np.full(len(values[-1]), d, np.int64))
+    return docs, values
+
+
+def _table(docs: list[np.ndarray], values: list[np.ndarray]) -> pa.Table:
+    empty = [np.empty(0, np.int64)]
+    return pa.table({"doc_id": np.concatenate(docs or empty), "value": np.concatenate(values or empty)})
+
+
 def _shared_keys(table: pa.Table) -> pa.Table:
-    """Of one bucket: for each document, the keys that another document holds too."""
-    kind = table.column("kind").to_numpy()
-    out = [(d, x) for d, x, k in zip(table.column("doc_id").to_pylist(), table.column("data").to_pylist(), kind, strict=True) if k == 1]
+    """Of one bucket: each document's keys that another document holds too."""
+    out = _passed_on(table)
     unpack = zstandard.ZstdDecompressor().decompress
     keys, docs = [], []
-    for data, k, bucket in zip(table.column("data").to_pylist(), kind, table.column("bucket").to_pylist(), strict=True):
+    for data, k, bucket in zip(*(table.column(c).to_pylist() for c in ("data", "kind", "bucket")), strict=True):
         if k == 0:
             raw = unpack(data)
             n, m = np.frombuffer(raw, np.int64, 2).tolist()
@@ -141,12 +155,8 @@ def _shared_keys(table: pa.Table) -> pa.Table:
         key, doc = key[order], doc[order]
         heads = _runs(key)
         several = np.repeat(np.maximum.reduceat(doc, heads) > np.minimum.reduceat(doc, heads), np.diff(np.r_[heads, len(key)]))
-        out += _by_document(doc[several], key[several].view(np.uint64))
-    return _table(out)
-
-
-def _table(rows: list[tuple[int, bytes]]) -> pa.Table:
-    return pa.table({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "data": pa.array([r[1] for r in rows], pa.binary())})
+        out[0].append(doc[several]), out[1].append(key[several])
+    return _table(*out)
 
 
 _WIDE = _RANGE - 1 + LENGTH
@@ -155,13 +165,16 @@ _WIDE = _RANGE - 1 + LENGTH
 def _rows_of(batches, buckets: int):
     """The stretches around shared pieces. Of equal stretches in one batch only the smallest document's go on; for the other
     documents all strings of theirs are repeated already."""
+    pack = zstandard.ZstdCompressor(level=1).compress
     for batch in batches:
         rows, held = [], {}
-        for doc_id, text, lists in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+        lists = batch.column(2)
+        wanted, bounds = lists.values.to_numpy(), lists.offsets.to_numpy()
+        for row, (doc_id, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
             cells = _cells(text)
             data = cells.tobytes()
             start, count, place, key = minimisers(cells, buckets)
-            shared = np.isin(key, np.frombuffer(b"".join(lists), np.uint64))
+            shared = np.isin(key, wanted[bounds[row] : bounds[row + 1]].view(np.uint64))
             for a, n, p, k in zip(*(x[shared].tolist() for x in (start, count, place, key)), strict=True):
                 held.setdefault((k, p - a, data[a : a + n + LENGTH - 1]), []).append((doc_id, a, n))
         marks, width = {}, {}
@@ -175,7 +188,7 @@ def _rows_of(batches, buckets: int):
         rows += [(-1 - d % (4 * buckets), 1, d, np.array(x, np.int64).tobytes()) for d, x in marks.items()]
         for bucket, found in width.items():
             meta = np.array([f[:4] for f in found], np.int64)
-            rows.append((bucket, 0, None, np.int64(len(found)).tobytes() + meta.T.tobytes() + b"".join(f[4] for f in found)))
+            rows.append((bucket, 0, None, pack(np.int64(len(found)).tobytes() + meta.T.tobytes() + b"".join(f[4] for f in found))))
         yield _sent(rows)
 
 
@@ -217,13 +230,13 @@ def common_starts(rows: np.ndarray, valid: np.ndarray, doc: np.ndarray, length:
 
 
 def _repeated(table: pa.Table) -> pa.Table:
-    """Of one bucket: for each document, stretches of starts of repeated strings, as start << 8 | number."""
-    kind = table.column("kind").to_numpy()
-    data = table.column("data").to_pylist()
-    out = [(d, x) for d, x, k in zip(table.column("doc_id").to_pylist(), data, kind, strict=True) if k == 1]
+    """Of one bucket: each document's stretches of starts of repeated strings, as start << 8 | number."""
+    out = _passed_on(table)
+    unpack = zstandard.ZstdDecompressor().decompress
     metas, texts = [], []
-    for x, k in zip(data, kind, strict=True):
+    for x, k in zip(table.column("data").to_pylist(), table.column("kind").to_pylist(), strict=True):
         if k == 0:
+            x = unpack(x)
             n = int(np.frombuffer(x, np.int64, 1)[0])
             metas.append(np.frombuffer(x, np.int64, 4 * n, 8).reshape(4, n))
             texts.append(np.frombuffer(x, np.uint8, offset=8 + 32 * n))
@@ -240,8 +253,8 @@ def _repeated(table: pa.Table) -> pa.Table:
         found = common_starts(rows, valid, doc, LENGTH)
         edge = np.diff(np.pad(found, ((0, 0), (1, 1))).astype(np.int8), axis=1)
         (r, a), (_, b) = np.nonzero(edge == 1), np.nonzero(edge == -1)
-        out += _by_document(doc[r], (start[r] + a - left[r]) << 8 | (b - a))
-    return _table(out)
+        out[0].append(doc[r]), out[1].append((start[r] + a - left[r]) << 8 | (b - a))
+    return _table(*out)
 
 
 def spans_of(marks: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -257,14 +270,14 @@ def _left_of(data: bytes, starts: np.ndarray, ends: np.ndarray) -> bytes:
     return b"".join(data[a:b] for a, b in zip([0, *ends.tolist()], [*starts.tolist(), len(data)], strict=True))
 
 
-def cut_text(text: str | None, marks: list[bytes] | None, whole: bool) -> str | None:
+def cut_text(text: str | None, marks: list[int] | None, whole: bool) -> str | None:
     """The text without its repeated bytes. A character that loses some of its bytes goes as a whole."""
     if text is None or not (marks or whole):
         return text
     data = text.encode()
     if whole and len(data) >= LENGTH:
         return ""
-    at = np.frombuffer(b"".join(marks or []), np.int64)
+    at = np.array(marks or [], np.int64)
     return _left_of(data, *spans_of(at[(at >> 8) + (at & 255) + LENGTH - 1 <= len(data)], len(data))).decode("utf-8", "ignore")
 
 
@@ -287,10 +300,10 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     numbered = docs.where("doc_id is not null")
     keys = numbered.mapInArrow(lambda it: _keys_of(it, buckets), _SENT).groupBy("bucket").applyInArrow(_shared_keys, _FOUND)
     judged = base.where("not whole and doc_id is not null").select("doc_id").distinct()
-    lists = keys.join(judged, "doc_id", "left_semi").groupBy("doc_id").agg(F.collect_list("data").alias("lists"))
+    lists = keys.join(judged, "doc_id", "left_semi").groupBy("doc_id").agg(F.collect_list("value").alias("lists"))
     texts = _bucketed(numbered.join(lists, "doc_id").withColumnRenamed("doc_id", "id"), "id")
     rows = texts.select("id", "text", "lists").mapInArrow(lambda it: _rows_of(it, buckets), _SENT)
-    marks = rows.groupBy("bucket").applyInArrow(_repeated, _FOUND).groupBy("doc_id").agg(F.collect_list("data").alias("marks")).withColumnRenamed("doc_id", "id")
+    marks = rows.groupBy("bucket").applyInArrow(_repeated, _FOUND).groupBy("doc_id").agg(F.collect_list("value").alias("marks")).withColumnRenamed("doc_id", "id")
     return base, texts, durable(marks, "marks")
 
 
@@ -307,7 +320,7 @@ def digests(docs: DataFrame) -> DataFrame:
             sha, n, removed, spans, kept = [], [], [], [], []
             for text, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 data = text.encode()
-                at = np.frombuffer(b"".join(found), np.int64)
+                at = np.array(found, np.int64)
                 starts, ends = spans_of(at[(at >> 8) + (at & 255) + LENGTH - 1 <= len(data)], len(data))
                 sha.append(hashlib.sha256(data).hexdigest()), removed.append(int((ends - starts).sum())), spans.append(len(starts))
                 kept.append(hashlib.sha256(_left_of(data, starts, ends)).hexdigest())
