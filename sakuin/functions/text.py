@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: White space as registers use it: Unicode white space and the byte order mark.
 WHITE = "(?U)[\\s\\uFEFF]"
@@ -20,7 +21,7 @@ MEDICAL = "医科|いか|(?:^|[_\\-.])ika(?:[_\\-.]|\\z)|medical"
 CIRCLED, PLAIN = "⓪①②③④⑤⑥⑦⑧⑨．。，", "0123456789..,"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc(values: pd.Series) -> pd.Series:
     return values.map(lambda v: v if v is None or v.isascii() else unicodedata.normalize("NFKC", v))
 
