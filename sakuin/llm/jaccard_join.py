@@ -1,9 +1,9 @@
 """Exact set-similarity join on word shingles, skipping by set relations.
 
-Equal sets are one set. A set whose smallest hashes point to another becomes that leader's member once their exact
-similarity is known; from then on the leader answers for it: index lists hold one entry a cluster, and a member is looked
-at only where the leader's own exact distances leave room for it (Jaccard distance is a metric). Index lists are kept by
-size and carry positions, so entries are skipped in whole runs where size or position rule a link out.
+Equal sets are one set. A set whose smallest hashes point to another is compared with that leader; if they link, the leader's
+answers are its own as well: both are in one component, and no pair within a component is looked at again. For the rest, an
+inverted index over prefixes lists the sets of each shingle by size and position. A link needs a least number of shared prefix
+shingles, so it shows at a shingle behind which both sets still have that many; blocks of equal size are skipped up to there.
 """
 
 from __future__ import annotations
@@ -120,7 +120,7 @@ def _texts_by_id(docs: DataFrame, reps: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b) with the exact distance, from the texts."""
+    """(a, b) with the exact sizes of intersection and union, from the texts."""
 
     def measure(batches):
         for batch in batches:
@@ -134,13 +134,11 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     first = pairs.select("a", "b").join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
     second = first.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
-    found = second.mapInArrow(measure, "a long, b long, both long, either long")
-    return found.withColumn("far", 1 - F.col("both") / F.col("either"))
+    return second.mapInArrow(measure, "a long, b long, both long, either long")
 
 
 def _prefixes(sets: DataFrame, frequent: np.ndarray, num: int, den: int) -> DataFrame:
-    """(tok, home, n, pos, f) of each set's prefix in the order of all shingles: the frequent ones last, rarer first; f of the prefix
-    are frequent."""
+    """(tok, id, comp, n) of each set's prefix in the order of all shingles: the frequent ones last, rarer first."""
     shared = sets.sparkSession.sparkContext.broadcast(frequent)
 
     def index(batches):
@@ -148,102 +146,105 @@ def _prefixes(sets: DataFrame, frequent: np.ndarray, num: int, den: int) -> Data
         order = np.argsort(known)
         ranked = known[order]
         for batch in batches:
-            toks, homes, ns, poss, lasts = [], [], [], [], []
-            for home, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            toks, ids, comps, ns = [], [], [], []
+            for id_, comp, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 s = shingle_set(text)
                 if len(ranked) and len(s):
                     at = np.minimum(np.searchsorted(ranked, s), len(ranked) - 1)
-                    rank = np.where(ranked[at] == s, order[at] + 1, 0)
-                    turn = np.argsort(rank, kind="stable")
-                    s, rank = s[turn], rank[turn]
-                else:
-                    rank = np.zeros(len(s), np.int64)
+                    s = s[np.argsort(np.where(ranked[at] == s, order[at] + 1, 0), kind="stable")]
                 n = len(s)
                 p = n - -(-num * n // den) + 1 if n else 0
-                toks.append(s[:p]), homes.append(np.full(p, home, np.int64)), ns.append(np.full(p, n, np.int32)), poss.append(np.arange(p, dtype=np.int32))
-                lasts.append(np.full(p, np.count_nonzero(rank[:p]), np.int32))
+                toks.append(s[:p]), ids.append(np.full(p, id_, np.int64)), comps.append(np.full(p, comp, np.int64)), ns.append(np.full(p, n, np.int32))
             if toks:
-                yield pa.RecordBatch.from_arrays([_signed(np.concatenate(toks)), *[pa.array(np.concatenate(x)) for x in (homes, ns, poss, lasts)]], names=["tok", "home", "n", "pos", "f"])
+                yield pa.RecordBatch.from_arrays([_signed(np.concatenate(toks)), *[pa.array(np.concatenate(x)) for x in (ids, comps, ns)]], names=["tok", "id", "comp", "n"])
 
-    return sets.select("home", "text").mapInArrow(index, "tok long, home long, n int, pos int, f int")
+    return sets.select("id", "comp", "text").mapInArrow(index, "tok long, id long, comp long, n int")
 
 
-def list_pairs(tok: np.ndarray, home: np.ndarray, n: np.ndarray, pos: np.ndarray, f: np.ndarray, num: int, den: int):
-    """Cluster pairs (a < b) of index lists, with the number of lists they share and the least number a link needs.
+def _by_list(batches, rows: int, work):
+    """work on tables of whole index lists, of about `rows` entries; a list that is longer comes as one."""
+    held = None
+    for batch in batches:
+        held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+        if held.num_rows >= rows:
+            tok = held.column(0).to_numpy()
+            cut = int(np.searchsorted(tok, tok[-1]))  # the last list may go on
+            if cut:
+                yield work(held.slice(0, cut))
+                held = held.slice(cut)
+    if held is not None and held.num_rows:
+        yield work(held)
 
-    Entries are skipped where sizes or places rule a link out. A pair that needs more shared prefix shingles than either prefix has
-    frequent ones must share rare ones too, so the lists of frequent shingles leave it to those of rare ones; its least number is
-    then that of rare ones.
+
+def _shared(table: pa.Table) -> pa.RecordBatch:
+    """Entries of the lists that sets of several components are in, with the lists' lengths."""
+    tok, comp = table.column(0).to_numpy(), table.column(2).to_numpy()
+    heads = np.flatnonzero(np.r_[True, tok[1:] != tok[:-1]])
+    size = np.diff(np.r_[heads, len(tok)])
+    mixed = np.minimum.reduceat(comp, heads) < np.maximum.reduceat(comp, heads)
+    keep = np.repeat(mixed, size)
+    cols = [pa.array(table.column(k).to_numpy()[keep]) for k in range(4)] + [pa.array(np.repeat(size, size)[keep])]
+    return pa.RecordBatch.from_arrays(cols, names=["tok", "id", "comp", "n", "df"])
+
+
+def need(r, s, num: int, den: int):
+    """How many prefix shingles sets of r and s shingles share at least if they link."""
+    return np.maximum(1, -(-num * (r + s) // (num + den)) - (-(-num * np.maximum(r, s) // den) - 1))
+
+
+def list_pairs(tok: np.ndarray, id_: np.ndarray, comp: np.ndarray, n: np.ndarray, q: np.ndarray, m: np.ndarray, num: int, den: int):
+    """Pairs (a < b) of entries of one list and different components that may link. q: the list's place among the m lists of its
+    set; a pair shows in the first list that both are in, behind which both have need - 1 more.
+
+    Within a list, entries of one size are a block. Two blocks know what a pair of them needs, and skip all entries whose place is
+    too late for it.
     """
-    order = np.lexsort((home, tok))
-    tok, home, n, pos, f = tok[order], home[order], *(x[order].astype(np.int64) for x in (n, pos, f))
-    if not len(tok):
-        return (np.empty(0, np.int64),) * 4
-    heads = np.flatnonzero(np.r_[True, (tok[1:] != tok[:-1]) | (home[1:] != home[:-1])])
-    tok, home = tok[heads], home[heads]
-    low, high, near, far = (f.reduceat(x, heads) for f, x in ((np.minimum, n), (np.maximum, n), (np.minimum, pos), (np.maximum, pos)))
-    most = np.maximum.reduceat(f, heads)
-    common = (pos >= n + 1 + (-num * n // den) - f)[heads]
-    order = np.lexsort((low, tok))
-    tok, home, low, high, near, far, most, common = (x[order] for x in (tok, home, low, high, near, far, most, common))
-    behind = -(-num * high // den) - 1
-    run_end = np.searchsorted(tok, tok, side="right")
-    a, b, need = [], [], []
-    active, step = np.arange(len(tok)), 0
-    while True:
+    order = np.lexsort((q - m, n, tok))
+    tok, id_, comp, n, room = tok[order], id_[order], comp[order], n[order].astype(np.int64), (m - q)[order]
+    heads = np.flatnonzero(np.r_[True, (tok[1:] != tok[:-1]) | (n[1:] != n[:-1])]) if len(tok) else np.empty(0, np.int64)
+    ends, size, block_tok = np.r_[heads[1:], len(tok)], n[heads], tok[heads]
+    last = np.searchsorted(block_tok, block_tok, side="right")
+    best = np.maximum.reduceat(room, heads) if len(heads) else heads
+    out = []
+    x, step = np.arange(len(heads)), 0
+    while len(x):
+        y = x + step
+        wanted = need(size[x], size[y], num, den)
+        hit = (best[x] >= wanted) & (best[y] >= wanted) & ((step > 0) | (ends[x] - heads[x] > 1))
+        for i, j, w in zip(x[hit].tolist(), y[hit].tolist(), wanted[hit].tolist(), strict=True):
+            # room falls within a block
+            a = np.arange(heads[i], heads[i] + np.searchsorted(-room[heads[i] : ends[i]], -w, side="right"))
+            b = np.arange(heads[j], heads[j] + np.searchsorted(-room[heads[j] : ends[j]], -w, side="right"))
+            for at in range(0, len(a), 1024):
+                some = a[at : at + 1024]
+                good = comp[some][:, None] != comp[b][None]
+                if not step:
+                    good &= some[:, None] < b[None]
+                u, v = np.nonzero(good)
+                out.append((id_[some[u]], id_[b[v]]))
         step += 1
-        active = active[active + step < run_end[active]]
-        active = active[num * low[active + step] <= den * high[active]]  # beyond it all further entries of the run are too large
-        if not len(active):
-            break
-        i, j = active, active + step
-        least = -(-num * (low[i] + low[j]) // (num + den))
-        fits = np.minimum(far[i], far[j]) + np.minimum(high[i] - near[i], high[j] - near[j]) >= least
-        i, j = i[fits], j[fits]
-        small, large = np.minimum(low[i], low[j]), np.maximum(high[i], high[j])
-        exact = (low[i] == high[i]) & (low[j] == high[j])
-        loose = (num * (small + large) * den - num * large * (num + den)) // ((num + den) * den)
-        wanted = np.maximum(1, np.where(exact, -(-num * (low[i] + low[j]) // (num + den)) - np.maximum(behind[i], behind[j]), loose))
-        both = np.minimum(most[i], most[j])
-        left = wanted > both
-        fits = ~(common[i] & left)
-        wanted = np.where(left, wanted - both, np.where(exact, wanted, 1))
-        i, j, wanted = i[fits], j[fits], wanted[fits]
-        a.append(np.minimum(home[i], home[j])), b.append(np.maximum(home[i], home[j])), need.append(wanted)
-    if not a:
-        return (np.empty(0, np.int64),) * 4
-    a, b, need = np.concatenate(a), np.concatenate(b), np.concatenate(need)
-    order = np.lexsort((b, a))
-    a, b, need = a[order], b[order], need[order]
-    heads = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])]) if len(a) else np.empty(0, np.int64)
-    if not len(heads):
-        return (np.empty(0, np.int64),) * 4
-    return a[heads], b[heads], np.diff(np.r_[heads, len(a)]), np.minimum.reduceat(need, heads)
-
-
-def _candidates(prefixes: DataFrame, num: int, den: int, rows: int = 1_000_000) -> DataFrame:
-    """Cluster pairs that share as many prefix shingles as a link needs."""
-
-    def lists(batches):
-        held = None
-
-        def out(table):
-            a, b, c, need = list_pairs(*[table.column(k).to_numpy() for k in range(5)], num, den)
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in (a, b, c, need)], names=["a", "b", "c", "need"])
+        x = x[x + step < last[x]]
+        x = x[num * size[x + step] <= den * size[x]]
+    a, b = (np.concatenate(c) for c in zip(*out, strict=True)) if out else (np.empty(0, np.int64),) * 2
+    found = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0) if len(a) else np.empty((0, 2), np.int64)
+    return found[:, 0], found[:, 1]
 
-        for batch in batches:
-            held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-            if held.num_rows >= rows:
-                tok = held.column(0).to_numpy()
-                cut = int(np.searchsorted(tok, tok[-1]))  # the last list may go on
-                if cut:
-                    yield out(held.slice(0, cut))
-                    held = held.slice(cut)
-        if held is not None and held.num_rows:
-            yield out(held)
 
-    pairs = prefixes.repartition("tok").sortWithinPartitions("tok").mapInArrow(lists, "a long, b long, c long, need long")
-    return pairs.groupBy("a", "b").agg(F.sum("c").alias("c"), F.min("need").alias("need")).where("c >= need").select("a", "b")
+def _candidates(prefixes: DataFrame, num: int, den: int, rows: int = 500_000) -> DataFrame:
+    """Pairs of sets of different components that share as many prefix shingles as a link needs."""
+    shared = prefixes.repartition("tok").sortWithinPartitions("tok").mapInArrow(lambda it: _by_list(it, rows, _shared), "tok long, id long, comp long, n int, df long")
+    shared = durable(shared.groupBy("id", "tok").agg(F.min("comp").alias("comp"), F.max("n").alias("n"), F.min("df").alias("df")), "shared")
+    lists = durable(shared.groupBy("id").agg(F.first("comp").alias("comp"), F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("df", "tok"))).alias("toks")).withColumn("toks", F.transform("toks", lambda t: t["tok"])), "lists")
+    placed = lists.select("id", "comp", "n", F.size("toks").alias("m"), F.posexplode("toks").alias("q", "tok")).select("tok", "id", "comp", "n", "q", "m")
+
+    def pairs(table: pa.Table) -> pa.RecordBatch:
+        a, b = list_pairs(*[table.column(k).to_numpy() for k in range(6)], num, den)
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    found = placed.repartition("tok").sortWithinPartitions("tok").mapInArrow(lambda it: _by_list(it, rows, pairs), "a long, b long").distinct()
+    left, right = (lists.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("toks").alias(f"t{x}")) for x in "ab")
+    wanted = F.greatest(F.lit(1), F.ceil(num * (F.col("na") + F.col("nb")) / (num + den) - 1e-9) - F.ceil(num * F.greatest("na", "nb") / den - 1e-9) + 1)
+    return found.join(left, "a").join(right, "b").where(F.size(F.array_intersect("ta", "tb")) >= wanted).select("a", "b")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -284,34 +285,15 @@ def similar_groups(docs: DataFrame, num: int = 3, den: int = 4, frequent: int =
     leaders = points.groupBy("tok").agg(F.min("rep").alias("leader"), F.count("*").alias("m")).where("m > 1").select("tok", "leader")
     votes = points.join(leaders, "tok").where("rep <> leader").groupBy("rep", "leader").agg(F.count("*").alias("votes"), F.max("k").alias("k")).where("votes >= 3 or 2 * votes >= k")
     chosen = votes.groupBy("rep").agg(F.expr("max_by(leader, struct(votes, -leader))").alias("b")).withColumnRenamed("rep", "a")
-    members = durable(_verified(chosen, texts).where(link).groupBy("a").agg(F.expr("min_by(b, far)").alias("leader"), F.min("far").alias("far")), "members")
-    heads = members.select(F.col("leader").alias("a")).distinct().withColumn("head", F.lit(True))
-    homes = durable(members.join(heads, "a", "left").where("head is null").select(F.col("a").alias("id"), F.col("leader").alias("home"), "far"), "homes")
-
-    sets = texts.join(homes.select("id", "home"), "id", "left").select(F.coalesce("home", "id").alias("home"), "text")
+    members = durable(_verified(chosen, texts).where(link).select("a", "b").distinct(), "members")
+    known = components(members)
+    sets = texts.join(known.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("component", "id").alias("comp"), "text")
     pairs = durable(_candidates(_prefixes(sets, last, num, den), num, den), "pairs")
-    known = durable(_verified(pairs, texts).groupBy("a", "b").agg(F.max(F.expr(link)).alias("link"), F.min("far").alias("far")), "known")
-
-    radius = homes.groupBy("home").agg(F.max("far").alias("r"))
-    for side in ("a", "b"):
-        known = known.join(radius.select(F.col("home").alias(side), F.col("r").alias(f"r{side}")), side, "left")
-    edge = 1 - num / den + 1e-9
-    open_ = known.where(f"not link and (ra is not null or rb is not null) and far <= {edge} + coalesce(ra, 0) + coalesce(rb, 0)").select("a", "b", "far", F.coalesce("ra", F.lit(0.0)).alias("ra"), F.coalesce("rb", F.lit(0.0)).alias("rb"))
-    inside = homes.select(F.col("id").alias("m"), F.col("home").alias("h"), F.col("far").alias("d"))
-    left = open_.join(inside, open_["a"] == inside["h"]).where(f"far <= {edge} + d + rb").select(F.col("m").alias("a"), "b", F.col("a").alias("ca"), F.col("b").alias("cb"), "d")
-    right = open_.join(inside, open_["b"] == inside["h"]).where(f"far <= {edge} + d + ra").select(F.col("m").alias("a"), F.col("a").alias("b"), F.col("a").alias("ca"), F.col("b").alias("cb"), "d")
-    sides = durable(left.unionByName(right), "sides")
-    near = durable(_verified(sides.select("a", "b").distinct(), texts).groupBy("a", "b").agg(F.max(F.expr(link)).alias("link"), F.min("far").alias("far")), "near")
-    seen = sides.join(near, ["a", "b"])
-    open_ = seen.groupBy("ca", "cb").agg(F.max("link").alias("link")).where("not link").select("ca", "cb")
-    half = seen.join(open_, ["ca", "cb"])
-    l, r = (half.where(f"b = {c}").select("ca", "cb", F.col("a").alias(x), F.col("d").alias(f"d{x}"), F.col("far").alias(f"f{x}")) for c, x in (("cb", "x"), ("ca", "y")))
-    rest = l.join(r, ["ca", "cb"]).where(f"fx - dy <= {edge} and fy - dx <= {edge}").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
-    deep = _verified(rest, texts).where(link).select("a", "b")
+    found_links = _verified(pairs, texts).where(link).select("a", "b")
 
     classes = linked.select("doc_id", "hi", "lo").join(reps.select("hi", "lo", "rep"), ["hi", "lo"])
     twice = classes.where("doc_id <> rep").join(reps.select(F.col("rep").alias("doc_id")).distinct(), "doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    edges = members.select("a", F.col("leader").alias("b")).unionByName(known.where("link").select("a", "b")).unionByName(near.where("link").select("a", "b")).unionByName(deep).unionByName(twice)
+    edges = members.unionByName(found_links).unionByName(twice)
     found = components(edges)
 
     named = rows.select("doc_id", F.col("n").alias("n_shingles"), "hi", "lo").join(reps.select("hi", "lo", "rep"), ["hi", "lo"], "left")
