@@ -30,7 +30,8 @@ PIECE = 22
 _RANGE = LENGTH - PIECE + 1  # pieces of one string
 _PART = 1 << 19  # string starts looked at at once; positions within take 20 bits
 _LOW = np.uint64((1 << 20) - 1)
-BUCKET_BYTES = 24 << 20  # text per bucket
+BUCKET_BYTES = 12 << 20  # text per bucket
+BATCH_BYTES = 4 << 20  # text that a task looks at together
 
 _VALUES = np.random.default_rng(23).integers(1, 1 << 63, 256, np.uint64)
 _BASE = 0x9E3779B97F4A7C15
@@ -89,11 +90,20 @@ def _by_document(doc: np.ndarray, values: np.ndarray) -> list[tuple[int, bytes]]
     return [(int(doc[a]), values[a:b].tobytes()) for a, b in zip(heads, np.r_[heads[1:], len(doc)], strict=True)]
 
 
+def _small(batches):
+    """The batches in slices of about BATCH_BYTES of text (column 1), or single rows."""
+    for batch in batches:
+        count = max(1, min(batch.num_rows, -(-batch.column(1).nbytes // BATCH_BYTES)))
+        rows = -(-batch.num_rows // count)
+        for at in range(0, batch.num_rows, max(rows, 1)):
+            yield batch.slice(at, rows)
+
+
 def _keys_of(batches, buckets: int):
     """What a batch tells of its pieces. A piece that several documents of the batch hold is shared for all of them, and only
     the smallest goes on; so a piece that is everywhere costs its bucket one entry a batch."""
     pack = zstandard.ZstdCompressor(level=1).compress
-    for batch in batches:
+    for batch in _small(batches):
         ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         keys, docs = [], []
         for doc_id, text in zip(ids, texts, strict=True):
@@ -166,7 +176,7 @@ def _rows_of(batches, buckets: int):
     """The stretches around shared pieces. Of equal stretches in one batch only the smallest document's go on; for the other
     documents all strings of theirs are repeated already."""
     pack = zstandard.ZstdCompressor(level=1).compress
-    for batch in batches:
+    for batch in _small(batches):
         rows, held = [], {}
         lists = batch.column(2)
         wanted, bounds = lists.values.to_numpy(), lists.offsets.to_numpy()
