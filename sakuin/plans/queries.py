@@ -169,7 +169,7 @@ def name_search(spark, sf_dir):
     return top.crossJoin(found.agg(F.count("*").alias("total"))).select("code", "name", "total")  # the total is one row
 
 
-@query("""select event_id, user_id, last_value(case when event_id % 4 = 0 then props end ignore nulls) over w filled from events window w as (partition by user_id order by event_id rows between unbounded preceding and current row)""".replace("last_value(case when event_id % 4 = 0 then props end ignore nulls) over w", "last_value(case when event_id % 4 = 0 then props end ignore nulls) over w"))
+@query("""select event_id, user_id, last_value(case when event_id % 4 = 0 then props end ignore nulls) over w filled from events window w as (partition by user_id order by event_id rows between unbounded preceding and current row)""")
 def fill_down(spark, sf_dir):
     from sakuin.operators.sheets import fill_down as fill
 
@@ -228,10 +228,10 @@ def dates_in_text(spark, sf_dir):
     return rows.select("o_orderkey", F.size("d").cast("long").alias("n"), dates.max_date(F.col("d")).alias("latest"))
 
 
-@query(r"""select page_id, u.h link, row_number() over (partition by page_id) > 0 found from pages, lateral (select unnest(regexp_extract_all(coalesce(html, ''), 'href="([^"]*)"', 1)) h) u where regexp_matches(u.h, '^/[A-Za-z]')""")
+@query(r"""select page_id, u.h link, u.h like '%.html' is_page from pages, lateral (select unnest(regexp_extract_all(coalesce(html, ''), 'href="([^"]*)"', 1)) h) u where regexp_matches(u.h, '^/[A-Za-z]')""")
 def link_discovery(spark, sf_dir):
     found = F.explode(F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit('href="([^"]*)"'), F.lit(1)))
-    return table(spark, sf_dir, "pages").select("page_id", found.alias("link")).where(F.col("link").rlike("^/[A-Za-z]")).withColumn("found", F.lit(True))
+    return table(spark, sf_dir, "pages").select("page_id", found.alias("link")).where(F.col("link").rlike("^/[A-Za-z]")).withColumn("is_page", F.col("link").endswith(".html"))
 
 
 @query("""with o as (select o_orderkey, c_nationkey, case when o_orderkey % 10 = 0 then null else date_trunc('month', o_orderdate)::date end as_of from orders join customer on c_custkey = o_custkey)
@@ -244,11 +244,11 @@ def latest_only(spark, sf_dir):
     return latest(o.select("o_orderkey", F.col("c_nationkey").alias("source_id"), as_of.alias("as_of"))).select("o_orderkey", "source_id")
 
 
-@query("""select event_id, user_id from events where cast(ts as date) > (select cast(max(o_orderdate) as date) - 200 from orders) or cast(ts as date) > date '2024-01-15'""")
+@query("""select event_id, user_id from events where cast(ts as date) > (select cast(min(ts) as date) + 10 from events)""")
 def after_base(spark, sf_dir):
-    base = table(spark, sf_dir, "orders").agg((F.max("o_orderdate").cast("date") - F.expr("interval 200 days")).cast("date").alias("base"))
-    e = table(spark, sf_dir, "events").crossJoin(base)  # the base is one row
-    return e.where((F.col("ts").cast("date") > F.col("base")) | (F.col("ts").cast("date") > F.lit("2024-01-15").cast("date"))).select("event_id", "user_id")
+    e = table(spark, sf_dir, "events").withColumn("published_at", F.col("ts").cast("date"))
+    base = e.agg(F.date_add(F.min("published_at"), 10).alias("base"))
+    return e.crossJoin(base).where("published_at > base").select("event_id", "user_id")  # the base is one row
 
 
 @query("""with p as (select page_id ord, regexp_extract(coalesce(url, ''), '^[^/]*//([^/?#]*)', 1) u, case when page_id % 3 = 0 then null when page_id % 3 = 1 then 'medical' else 'dental' end category, case when page_id % 11 = 0 then 'remove' else 'upsert' end action from pages)
