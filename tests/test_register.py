@@ -227,3 +227,24 @@ def test_all_queries_are_registered():
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert len(entry.queries()) >= 30
+
+
+def test_build_snapshot_and_changes(spark, tmp_path):
+    from sakuin.plans import build
+
+    docs = spark.createDataFrame([("kinki", "近畿", "p", "https://x/fukui_ika.xlsx", date(2026, 7, 1), "福井県", "medical")], "source_id string, bureau_name string, page_url string, url string, as_of date, context string, category string")
+    files = spark.createDataFrame([("https://x/fukui_ika.xlsx", bytearray(book(ROWS)), "s")], "document_url string, content binary, sha256 string")
+    src = spark.createDataFrame([("kinki",)], "source_id string")
+    with pytest.raises(ValueError):
+        build.snapshot_tables(docs, files, src)
+    tables = build.snapshot_tables(docs, files, src, checked=False)
+    frame = spark.createDataFrame([("d", 1, float(x), float(y), t.replace("01,2345,6", "1810115202"), False) for x, y, t in UPSERT], "document_url string, page int, x double, y double, text string, ocr boolean")
+    notes = spark.createDataFrame([("kinki", "p", "d", "s", date(2026, 7, 15), "upsert", "medical", "医科", "18")], "source_id string, page_url string, url string, sha256 string, published_at date, action string, category string, context string, prefecture_code_hint string")
+    tables |= build.change_tables(notes, frame, "2026-07-01")
+    path = sinks.Publication(spark, f"{tmp_path}/out/v1", f"{tmp_path}/out").publish(tables, partitioned=("facility", "filing"))
+    register = Register(spark, path)
+    got = register.get("1810115202")
+    assert got["name"] == "テスト 診療所" and got["recent_change_count"] == 2 and got["as_of"] == date(2026, 7, 15)
+    assert [(s["abbreviation"], s["acceptance_number"]) for s in got["standards"]] == [("外来感染", "第109号"), ("連携強化", "第50号")]
+    assert register.manifest().first()["facility_count"] == 1 and register.change_manifest().first()["event_count"] == 2
+    assert register.search_by_name("てすと")[0] == 0 and register.search_by_name("テスト診療")[0] == 1
