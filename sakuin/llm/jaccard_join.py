@@ -231,10 +231,11 @@ def list_pairs(tok: np.ndarray, id_: np.ndarray, comp: np.ndarray, n: np.ndarray
 
 
 def _candidates(prefixes: DataFrame, num: int, den: int, rows: int = 500_000) -> DataFrame:
-    """Pairs of sets of different components that share as many prefix shingles as a link needs."""
+    """Pairs of sets of different components that share as many prefix shingles as a link needs. Texts of different sizes under one id
+    are entries of their own."""
     shared = prefixes.repartition("tok").sortWithinPartitions("tok").mapInArrow(lambda it: _by_list(it, rows, _shared), "tok long, id long, comp long, n int, df long")
-    shared = durable(shared.groupBy("id", "tok").agg(F.min("comp").alias("comp"), F.max("n").alias("n"), F.min("df").alias("df")), "shared")
-    lists = durable(shared.groupBy("id").agg(F.first("comp").alias("comp"), F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("df", "tok"))).alias("toks")).withColumn("toks", F.transform("toks", lambda t: t["tok"])), "lists")
+    shared = durable(shared.groupBy("id", "n", "tok").agg(F.min("comp").alias("comp"), F.min("df").alias("df")), "shared")
+    lists = durable(shared.groupBy("id", "n").agg(F.first("comp").alias("comp"), F.array_sort(F.collect_list(F.struct("df", "tok"))).alias("toks")).withColumn("toks", F.transform("toks", lambda t: t["tok"])), "lists")
     placed = lists.select("id", "comp", "n", F.size("toks").alias("m"), F.posexplode("toks").alias("q", "tok")).select("tok", "id", "comp", "n", "q", "m")
 
     def pairs(table: pa.Table) -> pa.RecordBatch:
@@ -244,7 +245,7 @@ def _candidates(prefixes: DataFrame, num: int, den: int, rows: int = 500_000) ->
     found = placed.repartition("tok").sortWithinPartitions("tok").mapInArrow(lambda it: _by_list(it, rows, pairs), "a long, b long").distinct()
     left, right = (lists.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("toks").alias(f"t{x}")) for x in "ab")
     wanted = F.greatest(F.lit(1), F.ceil(num * (F.col("na") + F.col("nb")) / (num + den) - 1e-9) - F.ceil(num * F.greatest("na", "nb") / den - 1e-9) + 1)
-    return found.join(left, "a").join(right, "b").where(F.size(F.array_intersect("ta", "tb")) >= wanted).select("a", "b")
+    return found.join(left, "a").join(right, "b").where(F.size(F.array_intersect("ta", "tb")) >= wanted).select("a", "b").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
