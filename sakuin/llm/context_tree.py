@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from sakuin.llm.shared import durable, fold
 
 DEPTH = 5
-NODES = 3 << 19  # decisions that the broadcast tree holds, most visited first: 24 MB at most
+NODES = 3 << 19  # codes (a context and its byte) whose probabilities are broadcast, most frequent first: 24 MB at most; the others are joined
 HEAD = 1 << 17  # tokens whose counts are broadcast, most frequent first; the others are joined
 BUCKETS = 96
 PART = 1 << 20
@@ -119,29 +119,30 @@ def tree_levels(key: np.ndarray, zeros: np.ndarray, ones: np.ndarray, children:
     return out, (key, zeros, ones, children)
 
 
-def _grow(table: pa.Table) -> pa.Table:
-    """Of all contexts with some pairs of nearest bytes: the decisions at depths DEPTH to 2, and those at depth 1 as summed so far."""
+def _decisions(table: pa.Table):
+    """Of all contexts with some pairs of nearest bytes: the levels of decisions at depths DEPTH to 2, and those at depth 1 as summed so far."""
     code, k = table.column("code").to_numpy(), table.column("k").to_numpy().astype(float)
     byte = code & 255
     key, zeros, ones = _sums(((code >> 8)[:, None] << 8 | _NODE[byte]).ravel(), np.where(_BIT[byte], 0, k[:, None]).ravel(), np.where(_BIT[byte], k[:, None], 0).ravel())
-    levels, (up, z, o, c) = tree_levels(key, zeros, ones, None, DEPTH, 2)
-    key, zeros, ones, weight = (np.concatenate(x) for x in zip(*levels, (_key(1, up >> 8, up & 255), z, o, c), strict=True))
-    return pa.table({"key": key, "zeros": zeros, "ones": ones, "weight": weight})
+    return tree_levels(key, zeros, ones, None, DEPTH, 2)
+
+
+def _near(table: pa.Table) -> pa.Table:
+    """The decisions at depth 1 of some pairs of nearest bytes, to be summed over all pairs."""
+    _, (key, zeros, ones, children) = _decisions(table)
+    return pa.table({"key": key, "zeros": zeros, "ones": ones, "children": children})
 
 
 class Tree:
-    """The trained weights: sorted keys, probability of a one and weight of the own estimate."""
+    """Trained weights: sorted keys, probability of a one and weight of the own estimate."""
 
-    def __init__(self, key: np.ndarray, one: np.ndarray, weight: np.ndarray):
+    def __init__(self, levels: list[tuple[np.ndarray, ...]]):
+        key, zeros, ones, weight = (np.concatenate(x) for x in zip(*levels, strict=True)) if levels else (np.empty(0, np.int64),) + (np.empty(0),) * 3
         order = np.argsort(key)
-        self.key, self.one, self.weight = key[order], one[order].astype(np.float32), weight[order].astype(np.float32)
-        self._slots = None
-
-    def __getstate__(self):
-        return {**self.__dict__, "_slots": None}
+        self.key, self.one, self.weight = key[order], ((ones + 0.5) / (zeros + ones + 1))[order], weight[order]
 
     def log_probability(self, code: np.ndarray) -> np.ndarray:
-        """log10 of each code's byte after its context. Where the tree holds no longer context, the estimate so far stands."""
+        """log10 of each code's byte after its context. Where training had no longer context, the estimate so far stands."""
         total, byte, context = np.zeros(len(code)), code & 255, code >> 8
         for k in range(8):
             node, bit = _NODE[byte, k], _BIT[byte, k]
@@ -152,45 +153,72 @@ class Tree:
                 here = self.key[at] == key if len(self.key) else np.zeros(len(code), bool)
                 if not here.any():
                     continue
-                one = self.one[at].astype(float)
+                one = self.one[at]
                 own = np.where(bit, one, 1 - one)
-                weight = np.where(known, self.weight[at].astype(float), 1.0)
+                weight = np.where(known, self.weight[at], 1.0)
                 mixed = np.where(here, weight * own + (1 - weight) * mixed, mixed)
                 known |= here
             total += np.log10(mixed)
         return total
 
+
+class Known:
+    """log10 probabilities of the most frequent codes."""
+
+    def __init__(self, code: np.ndarray, value: np.ndarray):
+        order = np.argsort(code)
+        self.code, self.value = code[order], value[order]
+        self._slots = None
+
+    def __getstate__(self):
+        return {**self.__dict__, "_slots": None}
+
     def score(self, codes: np.ndarray) -> np.ndarray:
-        """log_probability, with a table of recent codes in front."""
+        """Each code's value, or NaN where the code is not held; a table of recent codes is in front."""
         if self._slots is None:
             self._slots = np.full(1 << 20, -1, np.int64), np.zeros(1 << 20)
         held, value = self._slots
         slot = ((codes.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
         out, miss = value[slot], np.flatnonzero(held[slot] != codes)
         if len(miss):
-            fresh, at = np.unique(codes[miss], return_inverse=True)
-            scored = self.log_probability(fresh)
-            out[miss] = scored[at]
+            fresh, back = np.unique(codes[miss], return_inverse=True)
+            scored = np.full(len(fresh), np.nan)
+            if len(self.code):
+                at = np.minimum(np.searchsorted(self.code, fresh), len(self.code) - 1)
+                scored = np.where(self.code[at] == fresh, self.value[at], np.nan)
+            out[miss] = scored[back]
             place = ((fresh.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
             held[place] = fresh
             value[place] = scored  # of codes in one slot the same one comes last in both
         return out
 
 
-def train(counts: DataFrame, nodes: int = NODES) -> Tree:
-    """The tree from summed (code, k). All counts go into the weights; of the decisions the `nodes` most visited are kept."""
+def _bucketed(codes: DataFrame) -> DataFrame:
+    """Codes with one pair of nearest bytes share a bucket, and with it all decisions of depths 2 and more."""
     near = F.shiftright("code", 8).bitwiseAND(0xFFFF)
-    grown = durable(counts.groupBy(F.pmod(F.xxhash64(near), F.lit(BUCKETS)).alias("b")).applyInArrow(_grow, "key long, zeros double, ones double, weight double"), "nodes")
-    top = F.shiftright("key", 56) == 1
-    first = grown.where(top).groupBy("key").agg(F.sum("zeros"), F.sum("ones"), F.sum("weight")).collect()  # at most 256 contexts of 255 decisions
-    key, zeros, ones, children = (np.array(x, t) for x, t in zip(zip(*first, strict=True), (np.int64, float, float, float), strict=True)) if first else (np.empty(0, np.int64),) + (np.empty(0),) * 3
+    return codes.withColumn("b", F.pmod(F.xxhash64(near), F.lit(BUCKETS)))
+
+
+def train(counts: DataFrame) -> list[tuple[np.ndarray, ...]]:
+    """The levels of depths 1 and 0 from summed (code, k): at most 257 contexts of 255 decisions. All counts go into the weights."""
+    grown = _bucketed(counts).groupBy("b").applyInArrow(_near, "key long, zeros double, ones double, children double")
+    first = grown.groupBy("key").agg(F.sum("zeros"), F.sum("ones"), F.sum("children")).collect()
+    if not first:
+        return []
+    key, zeros, ones, children = (np.array(x, t) for x, t in zip(zip(*first, strict=True), (np.int64, float, float, float), strict=True))
     order = np.argsort(key)
-    levels, _ = tree_levels(key[order] & ((1 << 56) - 1), zeros[order], ones[order], children[order], 1, 0)
-    rest = grown.where(~top).orderBy(F.desc(F.col("zeros") + F.col("ones")), "key").limit(nodes)
-    one = (F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1)
-    found = rest.select("key", one.cast("float"), F.col("weight").cast("float")).toArrow()
-    parts = [(k, (o + 0.5) / (z + o + 1), w) for k, z, o, w in levels] + [tuple(found.column(k).to_numpy() for k in range(3))]
-    return Tree(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+    return tree_levels(key[order], zeros[order], ones[order], children[order], 1, 0)[0]
+
+
+def probabilities(codes: DataFrame, counts: DataFrame, near) -> DataFrame:
+    """(code, p): log10 probability of each distinct code, seen in training or not, under the whole tree of (code, k). near: broadcast result of train."""
+
+    def judge(wanted: pa.Table, table: pa.Table) -> pa.Table:
+        code = wanted.column("code").to_numpy()
+        deep = _decisions(table)[0] if len(code) and table.num_rows else []
+        return pa.table({"code": code, "p": Tree(near.value + deep).log_probability(code)})
+
+    return _bucketed(codes.select("code")).groupBy("b").cogroup(_bucketed(counts).groupBy("b")).applyInArrow(judge, "code long, p double")
 
 
 def score_documents(docs: DataFrame, folds: int = 10, held: int = 0) -> DataFrame:
@@ -207,7 +235,10 @@ def score_documents(docs: DataFrame, folds: int = 10, held: int = 0) -> DataFram
     words = counts.where("word is not null").select("word", "k")
     zero = F.lit(0)
     n, v, ends = words.agg(F.coalesce(F.sum("k"), zero), F.count("*"), F.coalesce(F.sum(F.when(F.length("word") == 0, F.col("k"))), zero)).first()
-    tree = spark.sparkContext.broadcast(train(counts.where("code is not null").select("code", "k")))
+    codes = counts.where("code is not null").select("code", "k")
+    near = spark.sparkContext.broadcast(train(codes))
+    often = probabilities(codes.orderBy(F.desc("k"), "code").limit(NODES), codes, near).toArrow()
+    tree = spark.sparkContext.broadcast(Known(*(often.column(k).to_numpy() for k in range(2))))
     cost = lambda c: math.log10((c + 0.1) / (n + 0.1 * (v + 1)))
     frequent = words.orderBy(F.desc("k"), "word").limit(HEAD).toArrow()
     table = dict(zip(frequent.column("word").to_pylist(), map(cost, frequent.column("k").to_pylist()), strict=True))
@@ -219,9 +250,19 @@ def score_documents(docs: DataFrame, folds: int = 10, held: int = 0) -> DataFram
         for number, batch in enumerate(batches):
             ids, texts = batch.column(0), [lowered(t) for t in batch.column(1).to_pylist()]
             row, score, size, hits, base, tail = [], [], [], [], [], ([], [], [])
+            far, done = [(np.empty(0, np.int64),) * 3], 0
             for part in _parts(texts):
                 codes, starts = codes_of(part)
-                score.append(np.add.reduceat(model.score(codes), starts))
+                found = model.score(codes)
+                left = np.flatnonzero(np.isnan(found))
+                found[left] = 0.0
+                score.append(np.add.reduceat(found, starts))
+                owner, code = np.searchsorted(starts, left, side="right") - 1 + done, codes[left]
+                order = np.lexsort((code, owner))
+                owner, code = owner[order], code[order]
+                heads = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (code[1:] != code[:-1])]) if len(code) else left
+                far.append((owner[heads], code[heads], np.diff(np.r_[heads, len(code)])))
+                done += len(part)
             for k, t in enumerate(texts):
                 tokens = t.split()
                 costs = list(map(known.get, tokens))
@@ -233,19 +274,27 @@ def score_documents(docs: DataFrame, folds: int = 10, held: int = 0) -> DataFram
                 row.append(name), size.append(len(tokens) + 1), hits.append(len(tokens) - missing + end_known)
                 base.append(math.fsum(c for c in costs if c is not None) + end)
             n_rows, n_tail = len(row), len(tail[0])
-            names = ["row", "doc_id", "held_out", "n_tokens", "hits", "base", "score", "word", "k"]
-            yield pa.RecordBatch.from_arrays([pa.array(row, pa.string()), ids, batch.column(2), pa.array(size, pa.int64()), pa.array(hits, pa.int64()), pa.array(base, pa.float64()), pa.array(np.concatenate(score) if score else np.empty(0)), pa.nulls(n_rows, pa.binary()), pa.nulls(n_rows, pa.int64())], names=names)
-            yield pa.RecordBatch.from_arrays([pa.array(tail[0], pa.string()), pa.nulls(n_tail, pa.int64()), pa.nulls(n_tail, pa.bool_()), *[pa.nulls(n_tail, pa.int64())] * 2, *[pa.nulls(n_tail, pa.float64())] * 2, pa.array(tail[1], pa.binary()), pa.array(tail[2], pa.int64())], names=names)
-
-    schema = "row string, doc_id long, held_out boolean, n_tokens long, hits long, base double, score double, word binary, k long"
+            names = ["row", "doc_id", "held_out", "n_tokens", "hits", "base", "score", "word", "code", "k"]
+            empty = lambda n: [pa.nulls(n, pa.int64()), pa.nulls(n, pa.bool_()), *[pa.nulls(n, pa.int64())] * 2, *[pa.nulls(n, pa.float64())] * 2]
+            yield pa.RecordBatch.from_arrays([pa.array(row, pa.string()), ids, batch.column(2), pa.array(size, pa.int64()), pa.array(hits, pa.int64()), pa.array(base, pa.float64()), pa.array(np.concatenate(score) if score else np.empty(0)), pa.nulls(n_rows, pa.binary()), *[pa.nulls(n_rows, pa.int64())] * 2], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(tail[0], pa.string()), *empty(n_tail), pa.array(tail[1], pa.binary()), pa.nulls(n_tail, pa.int64()), pa.array(tail[2], pa.int64())], names=names)
+            owner, code, k = (np.concatenate(x) for x in zip(*far, strict=True))
+            for at in range(0, len(code), 1 << 18):
+                some = slice(at, at + (1 << 18))
+                n_far = len(code[some])
+                yield pa.RecordBatch.from_arrays([pa.array(row, pa.string()).take(pa.array(owner[some])), *empty(n_far), pa.nulls(n_far, pa.binary()), pa.array(code[some]), pa.array(k[some])], names=names)
+
+    schema = "row string, doc_id long, held_out boolean, n_tokens long, hits long, base double, score double, word binary, code long, k long"
     scored = durable(docs.select("doc_id", "text", "held_out").mapInArrow(judge, schema).withColumn("task", F.spark_partition_id()), "scored")
     for sent in (tree, head):
         sent.destroy()  # all rows are written; the driver needn't keep the model
     c = F.coalesce("c", F.lit(0))
     rare = scored.where("word is not null").select("task", "row", "word", "k").join(words.withColumnRenamed("k", "c"), "word", "left")
     rare = rare.groupBy("task", "row").agg(F.sum(F.col("k") * F.log10((c + 0.1) / F.lit(n + 0.1 * (v + 1)))).alias("more"), F.sum(F.when(c > 0, F.col("k")).otherwise(0)).alias("also"))
-    whole = scored.where("word is null").join(rare, ["task", "row"], "left")
-    return whole.select("doc_id", "held_out", "n_tokens", (F.col("hits") + F.coalesce("also", zero)).alias("n_known"), F.lit(int(n)).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"), "score")
+    tail = scored.where("code is not null").select("task", "row", "code", "k")
+    far = tail.join(probabilities(tail.select("code").distinct(), codes, near), "code").groupBy("task", "row").agg(F.sum(F.col("k") * F.col("p")).alias("rest"))
+    whole = scored.where("word is null and code is null").join(rare, ["task", "row"], "left").join(far, ["task", "row"], "left")
+    return whole.select("doc_id", "held_out", "n_tokens", (F.col("hits") + F.coalesce("also", zero)).alias("n_known"), F.lit(int(n)).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"), (F.col("score") + F.coalesce("rest", F.lit(0.0))).alias("score"))
 
 
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -430,6 +430,22 @@ def test_rare_tokens_are_joined(spark, monkeypatch):
     assert sorted((r["doc_id"], r["n_known"], round(r["base_score"], 6)) for r in context_tree.score_documents(docs_of(spark, texts)).collect()) == whole
 
 
+@pytest.mark.parametrize("nodes", [0, 5])
+def test_codes_beyond_the_broadcast_are_joined(spark, monkeypatch, nodes):
+    monkeypatch.setattr(context_tree, "NODES", nodes)
+    texts = [*corpus(9, 30), (500, None), (501, "zq Ωж never seen"), (502, "zq Ωж never seen")]
+    got = sorted((r["doc_id"] or 0, r["score"]) for r in context_tree.score_documents(docs_of(spark, texts)).collect())
+    low = [(i, context_tree.lowered(t)) for i, t in texts]
+    training = [t for i, t in low if zlib.crc32(str(i).encode()) % 10]
+    expected = sorted((i or 0, s) for (i, _), s in zip(low, ctw(training, [t for _, t in low], context_tree.DEPTH), strict=True))
+    assert [i for i, _ in got] == [i for i, _ in expected]
+    assert [s for _, s in got] == pytest.approx([s for _, s in expected], rel=1e-9)
+
+
+def test_nothing_to_learn_from(spark):
+    assert [r["score"] for r in context_tree.score_documents(docs_of(spark, [(1, "ab")]), folds=1).collect()] == pytest.approx([24 * math.log10(0.5)])
+
+
 def removed(texts):
     first = {}
     for i, t in sorted(((i, (t or "").encode()) for i, t in texts if i is not None), key=lambda x: x[0]):
