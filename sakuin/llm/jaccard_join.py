@@ -39,6 +39,16 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _long_word(word: bytes) -> np.ndarray:
+    """The hash of one word of any length: the sum is carried over chunks."""
+    total, shift = np.zeros(1, np.uint64), np.ones(1, np.uint64)
+    for at in range(0, len(word), CHUNK):
+        cells = np.frombuffer(word[at : at + CHUNK], np.uint8)
+        total += (_VALUES[cells] * _POWERS[: len(cells)]).sum(keepdims=True, dtype=np.uint64) * _INVERSES[:1] * shift
+        shift *= _POWERS[CHUNK - 1]
+    return _mix(total)
+
+
 def word_hashes(text: bytes) -> np.ndarray:
     """A 64-bit hash of each word, A-Z as a-z; a text beyond CHUNK is hashed in parts that end at white space."""
     out = []
@@ -46,10 +56,14 @@ def word_hashes(text: bytes) -> np.ndarray:
         part, text = text, b""
         if len(part) > CHUNK:
             cut = next((k for k in range(CHUNK, len(part)) if _SPACES[part[k]]), len(part))
+            if cut > len(_POWERS):  # a word of over a megabyte goes alone, after the part before it
+                start = next((k for k in range(CHUNK, 0, -1) if _SPACES[part[k - 1]]), 0)
+                if not start:
+                    out.append(_long_word(part[:cut]))
+                    text = part[cut:]
+                    continue
+                cut = start
             part, text = part[:cut], part[cut:]
-        if len(part) > len(_POWERS):  # one word of megabytes
-            out.append(np.array([xxhash.xxh3_64_intdigest(w.lower()) for w in part.split()], np.uint64))
-            continue
         cells = np.frombuffer(part, np.uint8)
         gap = np.r_[True, _SPACES[cells], True]
         starts, ends = np.flatnonzero(gap[:-1] & ~gap[1:]), np.flatnonzero(~gap[:-1] & gap[1:])

@@ -236,6 +236,24 @@ def test_long_text_hashes_like_short_ones():
     assert len(whole) == len(words) and np.array_equal(whole[:1000], jaccard_join.word_hashes(" ".join(words[:1000]).lower().encode()))
 
 
+def test_words_beside_a_giant_word_hash_as_ever(spark, monkeypatch):
+    words = [f"W{k}" for k in range(100_000)]
+    plain = jaccard_join.word_hashes(" ".join(words).lower().encode())
+    blob = random.Random(3).randbytes(3 << 19).hex()  # a word of 3 MB
+    for at in (0, 50_000, 100_000):
+        got = jaccard_join.word_hashes(" ".join([*words[:at], blob.upper(), *words[at:]]).encode())
+        assert np.array_equal(np.delete(got, at), plain)
+        assert got[at] == jaccard_join.word_hashes(blob.encode())[0]
+    texts = [(1, " ".join([*words, blob])), (2, " ".join(words)), (3, " ".join([*words, blob[: 1 << 20]]))]
+    assert {(r["doc_id"], r["component_id"]) for r in jaccard_join.similar_groups(docs_of(spark, texts)).collect()} == {(1, 1), (2, 1), (3, 1)}
+    short = [b" ", b"abc  DEFGHIJKLMNOPQRSTUVWXYZ0123456789abcdef g", b"x" * 33, b"\tab " + b"y" * 17 + b"\n"]
+    whole = [jaccard_join.word_hashes(t) for t in short]
+    monkeypatch.setattr(jaccard_join, "CHUNK", 8)
+    monkeypatch.setattr(jaccard_join, "_POWERS", jaccard_join._POWERS[:16])
+    monkeypatch.setattr(jaccard_join, "_INVERSES", jaccard_join._INVERSES[:16])
+    assert all(np.array_equal(jaccard_join.word_hashes(t), w) for t, w in zip(short, whole, strict=True))
+
+
 def test_masks_find_every_window():
     for k in (0, 1, 2):
         for gone in itertools.combinations(range(decontamination.WINDOW), k):
