@@ -309,6 +309,14 @@ def update_summary(spark, sf_dir):
     return manifests.latest_published(n, d).select("source_id", "latest")
 
 
+@query("""select n_nationkey source_id, coalesce(max(cast(o_orderdate as date)), date '1990-01-01') latest from nation left join customer on c_nationkey = n_nationkey left join orders on o_custkey = c_custkey group by 1""")
+def update_summary_all(spark, sf_dir):
+    """update_summary over all customers, not one of 40."""
+    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("source_id"), F.lit("1990-01-01").cast("date").alias("base_as_of"))
+    d = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "orders"), F.col("o_custkey") == F.col("c_custkey")).select(F.col("c_nationkey").alias("source_id"), F.col("o_orderdate").cast("date").alias("published_at"))
+    return manifests.latest_published(n, d).select("source_id", "latest")
+
+
 @query("""select 'minimum' gate, 'facilities' subject, count(*) found, 1000 least, count(*) >= 1000 passed from customer
 union all select 'documents', cast(n_nationkey as varchar), count(distinct o_orderkey), 1, count(distinct o_orderkey) >= 1 from nation left join customer on c_nationkey = n_nationkey left join orders on o_custkey = c_custkey group by n_nationkey
 union all select 'source', cast(n_nationkey as varchar), count(distinct c_custkey), 1, count(distinct c_custkey) >= 1 from nation left join customer on c_nationkey = n_nationkey group by n_nationkey

@@ -229,6 +229,20 @@ def test_all_queries_are_registered():
     assert len(entry.queries()) >= 30
 
 
+def test_update_summary_reads_all_customers(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    tables = {
+        "nation": spark.createDataFrame([(0,), (1,), (2,)], "n_nationkey int"),
+        "customer": spark.createDataFrame([(40, 0), (41, 0), (42, 1), (43, 2)], "c_custkey long, c_nationkey int"),
+        "orders": spark.createDataFrame([(40, date(1995, 1, 1)), (41, date(1996, 2, 2)), (42, date(1997, 3, 3))], "o_custkey long, o_orderdate date"),
+    }
+    for name, rows in tables.items():
+        rows.write.parquet(f"{tmp_path}/{name}.parquet")
+    got = entry.queries()["update_summary_all"](spark, str(tmp_path)).collect()
+    assert {tuple(r) for r in got} == {(0, date(1996, 2, 2)), (1, date(1997, 3, 3)), (2, date(1990, 1, 1))}
+
+
 def test_build_snapshot_and_changes(spark, tmp_path):
     from sakuin.plans import build
 
