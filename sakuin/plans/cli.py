@@ -39,7 +39,7 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> No
             return
         from pyspark.sql import functions as F
 
-        files = spark.read.parquet(o.files).where(F.octet_length("content") <= workbooks.DOCUMENT_BYTES).withColumn("sha256", F.sha2("content", 256))
+        files = workbooks.within(spark.read.parquet(o.files), F.octet_length("content"), "document_url").withColumn("sha256", F.sha2("content", 256))
         tables = build.snapshot_tables(found, files, registers.bureaus(spark), o.min_facilities)
         result = tables["manifest"]
     sinks.Publication(spark, o.out, o.root or o.out.rpartition("/")[0]).publish(tables)

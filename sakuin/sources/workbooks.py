@@ -8,7 +8,7 @@ import zipfile
 from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sakuin.functions.links import path_of
@@ -22,9 +22,15 @@ _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 
 
+def within(files: DataFrame, size: Column, name: str, limit: int = DOCUMENT_BYTES) -> DataFrame:
+    """Files of a known size; one beyond the limit is an error that names it."""
+    error = F.raise_error(F.concat(F.coalesce(name, F.lit("a file")), F.lit(f" is larger than {limit} bytes")))
+    return files.where(F.when(size > limit, error.cast("boolean")).otherwise(size.isNotNull()))
+
+
 def documents(files: DataFrame, limit: int = DOCUMENT_BYTES) -> DataFrame:
-    """(document_url, content, sha256) of binary files (path, length, content) up to the limit."""
-    return files.where(F.col("length") <= limit).select(F.col("path").alias("document_url"), "content", F.sha2("content", 256).alias("sha256"))
+    """(document_url, content, sha256) of binary files (path, length, content); one beyond the limit is an error."""
+    return within(files, F.col("length"), "path", limit).select(F.col("path").alias("document_url"), "content", F.sha2("content", 256).alias("sha256"))
 
 
 def _checked(info: zipfile.ZipInfo, limit: int) -> None:

@@ -67,6 +67,15 @@ def test_archives(spark):
         list(workbooks._books("old.xls", b""))
 
 
+def test_oversized_files_are_an_error(spark):
+    files = spark.createDataFrame([("u/a.xlsx", 3, bytearray(b"abc")), ("u/big.xlsx", 4, bytearray(b"abcd"))], "path string, length long, content binary")
+    assert workbooks.documents(files, 4).count() == 2
+    with pytest.raises(Exception, match="u/big.xlsx is larger than 3 bytes"):
+        workbooks.documents(files, 3).collect()
+    with pytest.raises(Exception, match="u/big.xlsx is larger than 3 bytes"):
+        workbooks.within(files, F.octet_length("content"), "path", 3).select("path").collect()
+
+
 def test_zip_explode(spark):
     rows = spark.createDataFrame([(1, "(甲)第1号\n(乙)第2号", "一\n二", "x", "令和6年1月1日"), (2, "(甲)第1号(乙)", "一", "x", "2024/1/1 2024/1/2 2024/1/3"), (3, "", "一", "略", "45658"), (4, "", "", "略", "")], "k int, c_acceptance string, c_standard_name string, c_abbreviation string, c_effective_from string")
     got = [tuple(r) for r in sheets.filings(rows).orderBy("k", "pos").select("k", "pos", "abbreviation", "standard_name", "acceptance_number", "effective_from").collect()]
