@@ -15,14 +15,15 @@ from sakuin.llm.tokens import encoder
 CAPACITY = 1024
 END = 2
 GROUP = 16_384  # pieces that one task places together, on average
-ROUNDS = 2
+ROUNDS = 64  # lots of sequences that a group packs once more
+LOT = 24  # sequences of a lot, beside the emptiest
 
 
-def sum_of_squares(sizes: np.ndarray, capacity: int) -> np.ndarray:
+def sum_of_squares(sizes: np.ndarray, capacity: int, eager: bool = False) -> np.ndarray:
     """Bin number of each item, placed in the given order.
 
-    With n[g] open bins of residual gap g, an item goes where the sum of n[g]^2 over 0 < g < capacity
-    becomes smallest; of equal places the tightest one, and a new bin only if it is better than all.
+    With n[g] open bins of residual gap g, an item goes where the sum of n[g]^2 over 0 < g < capacity becomes smallest; of equal
+    places the tightest one. A new bin is opened where no open one has room, or, if `eager`, also where that is better than all.
     """
     n = np.zeros(capacity + 1, np.int64)
     stacks: list[list[int]] = [[] for _ in range(capacity + 1)]
@@ -36,7 +37,7 @@ def sum_of_squares(sizes: np.ndarray, capacity: int) -> np.ndarray:
             at = int(change.argmin())
             if change[at] < best:
                 best, gap = int(change[at]), s + 1 + at
-        if (2 * int(n[capacity - s]) + 1 if s < capacity else 0) < best:
+        if not gap or (eager and (2 * int(n[capacity - s]) + 1 if s < capacity else 0) < best):
             place, gap, bins = bins, capacity, bins + 1
         else:
             n[gap] -= 1
@@ -48,22 +49,44 @@ def sum_of_squares(sizes: np.ndarray, capacity: int) -> np.ndarray:
     return out
 
 
-def pack(sizes: np.ndarray, capacity: int, rounds: int = ROUNDS) -> np.ndarray:
-    """Bin number of each item: largest first, then the items of bins that are not full once more, in turn
-    in a shuffled and in falling order, as long as that takes no more bins."""
+def fill(sizes: list[int], capacity: int) -> list[list[int]]:
+    """Bins (lists of positions): each takes the largest item that is left and the subset of the others that fills it best."""
+    rest, out = sorted(range(len(sizes)), key=lambda k: -sizes[k]), []
+    while rest:
+        room, reach, before = capacity - sizes[rest[0]], 1, []
+        for k in rest[1:]:  # bit g of reach: a subset so far has size g
+            before.append(reach)
+            reach |= (reach << sizes[k]) & ((1 << room + 1) - 1)
+            if reach >> room:
+                break
+        at, taken = reach.bit_length() - 1, {rest[0]}
+        for k, held in zip(reversed(rest[1 : len(before) + 1]), reversed(before), strict=True):
+            if not held >> at & 1:
+                taken.add(k)
+                at -= sizes[k]
+        out.append(sorted(taken))
+        rest = [k for k in rest if k not in taken]
+    return out
+
+
+def pack(sizes: np.ndarray, capacity: int, rounds: int = ROUNDS, lot: int = LOT) -> np.ndarray:
+    """Bin number of each item: all by the sum of squares, largest first; then the items of the emptiest bins and of `lot` others
+    are filled anew, lot by lot, as long as that takes no more bins and gathers the room that is left in fewer of them."""
     order = np.argsort(-sizes, kind="stable")
     place = np.empty(len(sizes), np.int64)
     place[order] = sum_of_squares(sizes[order], capacity)
-    shuffled = np.random.default_rng(len(sizes))
-    for k in range(rounds):
+    chance, least = np.random.default_rng(len(sizes)), -(-int(sizes.sum()) // capacity)
+    for _ in range(rounds):
         load = np.bincount(place, weights=sizes).astype(np.int64)
-        open_items = np.flatnonzero(load[place] < capacity)
-        if not len(open_items):
+        if len(load) <= least:
             break
-        turn = shuffled.permutation(open_items) if k % 2 == 0 else open_items[np.argsort(-sizes[open_items], kind="stable")]
-        again = sum_of_squares(sizes[turn], capacity)
-        if again.max() + 1 <= len(np.unique(place[open_items])):
-            place[turn] = place.max() + 1 + again
+        some = np.unique(np.r_[np.argsort(load, kind="stable")[:8], chance.integers(0, len(load), lot)])
+        items = np.flatnonzero(np.isin(place, some))
+        bins = fill(sizes[items].tolist(), capacity)
+        room = sum((capacity - int(sizes[items[b]].sum())) ** 2 for b in bins) + (len(some) - len(bins)) * capacity**2
+        if len(bins) <= len(some) and room >= int(((capacity - load[some]) ** 2).sum()):
+            for number, b in zip(some.tolist(), bins, strict=False):
+                place[items[b]] = number
             place = np.unique(place, return_inverse=True)[1]
     return place
 
