@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,17 +14,21 @@ from pyspark.sql import functions as F
 SPACE = "[\\x20\\x09-\\x0D]+"
 
 
+@lru_cache(maxsize=1)
+def _local() -> str:
+    return f"file://{tempfile.mkdtemp(prefix='sakuin-')}"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
 
-    Only where the session has none (tests, a local run) a temporary folder is made and set.
+    On a cluster the session must name it. A local run without it has one machine: a temporary folder is made.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = getattr(spark, "_sakuin_shared", None)
-        if not found:
-            found = "file://" + tempfile.mkdtemp(prefix="sakuin-")
-            spark._sakuin_shared = found
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        found = _local()
     return found.rstrip("/")
 
 

@@ -18,32 +18,50 @@ _DELTA = "source string, lang string, tokenizer string, n_docs long, n_tokens lo
 
 class TokenRollup:
     """Additive totals in a folder. A batch of changes is summed to signed deltas, written to a folder of its own, and counts
-    from the moment its commit file exists. A batch id that is committed already changes nothing, so a batch may be sent
-    again after any failure; folders of attempts that never got committed are ignored."""
+    from the moment its commit file exists. That file is written under another name and renamed without overwriting, so it is
+    there in full or not at all, and of two writers of one batch one wins. A batch id that is committed already changes nothing,
+    so a batch may be sent again after any failure; folders and staged files of attempts that never got committed are ignored."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
     def _file(self, name: str):
         jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/commits/{name}")
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
         return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
 
     def committed(self) -> dict[str, dict]:
         """What each committed batch id says: its deltas' folder, and for a compaction the batches that it stands for."""
-        store, folder = self._file("")
+        store, folder = self._file("commits")
         if not store.exists(folder):
             return {}
         rows = self.spark.read.text(f"{self.path}/commits").collect()  # a line a batch since the last compaction
         return {x["batch"]: x for x in map(json.loads, (r[0] for r in rows))}
 
-    def _commit(self, batch: str, more: dict) -> bool:
-        store, path = self._file(uuid.uuid5(uuid.NAMESPACE_URL, batch).hex + ".json")
-        if store.exists(path):
-            return False
+    def _name(self, batch: str) -> str:
+        return f"commits/{uuid.uuid5(uuid.NAMESPACE_URL, batch).hex}.json"
+
+    def _stage(self, batch: str, more: dict):
+        """The commit's content in a file that no reader looks at."""
+        store, path = self._file(f"staged/{uuid.uuid4().hex}")
         out = store.create(path, False)
         out.write(bytearray((json.dumps({"batch": batch, **more}) + "\n").encode()))
         out.close()
+        return path
+
+    def _commit(self, batch: str, more: dict) -> bool:
+        staged = self._stage(batch, more)
+        store, path = self._file(self._name(batch))
+        store.mkdirs(path.getParent())
+        fs = self.spark.sparkContext._jvm.org.apache.hadoop.fs
+        uri = store.makeQualified(path).toUri()
+        context = fs.FileContext.getFileContext(uri, self.spark.sparkContext._jsc.hadoopConfiguration())
+        try:
+            context.rename(store.makeQualified(staged), store.makeQualified(path), self.spark.sparkContext._gateway.new_array(fs.Options.Rename, 0))
+        except Exception:
+            if store.exists(path):  # another writer of this batch was first
+                return False
+            raise
         return True
 
     def apply(self, batch: str, changes: DataFrame) -> bool:
@@ -52,7 +70,7 @@ class TokenRollup:
         A change has the structs `before` and `after` (source, lang, tokenizer, n_tokens): an insert has no before, a delete no
         after, a revision both. Null sources, languages and versions are keys like any other; null counts are 0.
         """
-        store, path = self._file(uuid.uuid5(uuid.NAMESPACE_URL, batch).hex + ".json")
+        store, path = self._file(self._name(batch))
         if store.exists(path):
             return False
         sides = F.explode(F.array(F.struct(F.lit(-1).alias("sign"), F.col("before").alias("row")), F.struct(F.lit(1).alias("sign"), F.col("after").alias("row"))))
@@ -63,26 +81,33 @@ class TokenRollup:
         deltas.write.parquet(f"{self.path}/{folder}")
         return self._commit(batch, {"folder": folder})
 
+    def _sum(self, folders: list[str]) -> DataFrame:
+        rows = self.spark.read.schema(_DELTA).parquet(*[f"{self.path}/{f}" for f in folders]) if folders else self.spark.createDataFrame([], _DELTA)
+        return rows.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).where("n_docs <> 0 or n_tokens <> 0")
+
+    @staticmethod
+    def _live(commits: dict[str, dict]) -> list[str]:
+        return sorted(set(commits) - {b for c in commits.values() for b in c.get("replaces", ())})
+
     def totals(self) -> DataFrame:
         """Current totals; keys without documents and tokens are left out."""
         commits = self.committed()
-        replaced = {b for c in commits.values() for b in c.get("replaces", ())}
-        folders = [f"{self.path}/{c['folder']}" for b, c in commits.items() if b not in replaced]
-        rows = self.spark.read.schema(_DELTA).parquet(*folders) if folders else self.spark.createDataFrame([], _DELTA)
-        return rows.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).where("n_docs <> 0 or n_tokens <> 0")
+        return self._sum([commits[b]["folder"] for b in self._live(commits)])
 
     def compact(self) -> None:
-        """Fold all committed batches into one folder of deltas; their ids stay committed."""
+        """Fold the batches that are committed now into one folder of deltas; their ids stay committed. A batch that is committed
+        meanwhile is in neither the folder nor the list, and counts beside it."""
         commits = self.committed()
-        live = sorted(set(commits) - {b for c in commits.values() for b in c.get("replaces", ())})
+        live = self._live(commits)
         if len(live) > 1:
             folder = f"deltas/{uuid.uuid4().hex}"
-            self.totals().write.parquet(f"{self.path}/{folder}")
+            self._sum([commits[b]["folder"] for b in live]).write.parquet(f"{self.path}/{folder}")
             self._commit(f"compaction of {', '.join(live)}", {"folder": folder, "replaces": live})
 
 
 def token_counts(docs: DataFrame, tokenizer: str = BPE) -> DataFrame:
-    """(source, lang, n_chars, n_tokens) of every row's whole text; null text has none."""
+    """(source, lang, n_chars, n_tokens) of every row's whole text; null text has none. Repeated rows count each for itself, an
+    empty table gives none, and other columns are ignored."""
 
     def count(batches):
         for batch in batches:

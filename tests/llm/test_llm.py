@@ -396,11 +396,59 @@ def test_rollup(spark, tmp_path):
     assert {tuple(r) for r in rollup.totals().collect()} == want - {("s", "en", "v2", 1, 12)}
 
 
-def test_token_counts(spark):
-    texts = corpus()
-    got = token_rollup.token_counts(docs_of(spark, texts)).agg(F.sum("n_tokens")).first()[0]
-    encode = tokens.encoder()
-    assert got == sum(len(encode(t)) // 4 for _, t in texts)
+def test_rollup_survives_failures(spark, tmp_path, monkeypatch):
+    row = "struct<source:string,lang:string,tokenizer:string,n_tokens:bigint>"
+    batch = spark.createDataFrame([(None, ("s", "en", "v1", 10))], f"before {row}, after {row}")
+    rollup = token_rollup.TokenRollup(spark, f"file://{tmp_path}/r")
+    stage = token_rollup.TokenRollup._stage
+
+    def die(self, *args):
+        raise RuntimeError("driver lost")
+
+    def die_late(self, *args):
+        stage(self, *args)
+        raise RuntimeError("driver lost")
+
+    for broken in (die, die_late):  # before and after the staged file, never with a commit
+        monkeypatch.setattr(token_rollup.TokenRollup, "_stage", broken)
+        with pytest.raises(RuntimeError):
+            rollup.apply("1", batch)
+        assert rollup.totals().count() == 0
+    monkeypatch.setattr(token_rollup.TokenRollup, "_stage", stage)
+    assert rollup.apply("1", batch) and not rollup.apply("1", batch)
+    assert not rollup._commit("1", {"folder": "deltas/of-a-second-writer"})
+    assert [r["n_tokens"] for r in rollup.totals().collect()] == [10]
+    assert rollup.apply("2", batch)
+    total = token_rollup.TokenRollup._sum
+
+    def meanwhile(self, folders):  # another batch comes in while the compaction runs
+        monkeypatch.setattr(token_rollup.TokenRollup, "_sum", total)
+        assert self.apply("3", batch)
+        return total(self, folders)
+
+    monkeypatch.setattr(token_rollup.TokenRollup, "_sum", meanwhile)
+    rollup.compact()
+    assert [tuple(r)[3:] for r in rollup.totals().collect()] == [(3, 30)]
+    rollup.compact()
+    assert [tuple(r)[3:] for r in rollup.totals().collect()] == [(3, 30)] and len(rollup._live(rollup.committed())) == 1
+
+
+def test_token_counts_query(spark, tmp_path):
+    """The whole query against sums by source and language."""
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(tokens.tokenizer_path("byte_bpe_50k.json"))
+    texts = [*corpus(), (2000, "a <|endoftext|> b")]
+    rows = [(i, t, (None, "aa", "bb")[k % 3], f"s{k % 2}" if k % 5 else None) for k, (i, t) in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    expected = defaultdict(lambda: [0, 0])
+    for _, t, lang, source in rows:
+        n = len(plain.encode(t, add_special_tokens=False).ids) if t else 0
+        if n:
+            expected[(source, lang, token_rollup.BPE)][0] += 1
+            expected[(source, lang, token_rollup.BPE)][1] += n
+    got = token_rollup.op8_token_counts(spark, str(tmp_path)).collect()
+    assert {(r["source"], r["lang"], r["tokenizer"]): [r["n_docs"], r["n_tokens"]] for r in got} == expected
 
 
 def ctw(training, texts, depth):
