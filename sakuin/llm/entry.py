@@ -1,30 +1,25 @@
-"""Queries of the corpus operators and their SQL."""
+"""Queries of the corpus operators and their SQL. A library that is missing shows at import."""
 
 from __future__ import annotations
 
-import importlib
+import corpus_pipeline
+from sakuin.llm.context_tree import op9_lm_scoring
+from sakuin.llm.decontamination import OP5_SQL, op5_decontamination
+from sakuin.llm.jaccard_join import op4_jaccard_join
+from sakuin.llm.language_id import op1_language_id
+from sakuin.llm.packing import op2_best_fit_packing
+from sakuin.llm.quality_rules import op3_quality_rules
+from sakuin.llm.suffix_dedup import op10_suffix_dedup
+from sakuin.llm.token_rollup import op8_token_counts
+from sakuin.llm.url_filters import op6_url_filters
+from sakuin.llm.warc import op7_warc
 
-#: Operator number: (module, query).
-_QUERIES = {
-    1: ("language_id", "op1_language_id"),
-    2: ("packing", "op2_best_fit_packing"),
-    3: ("quality_rules", "op3_quality_rules"),
-    4: ("jaccard_join", "op4_jaccard_join"),
-    5: ("decontamination", "op5_decontamination"),
-    6: ("url_filters", "op6_url_filters"),
-    8: ("token_rollup", "op8_token_counts"),
-    9: ("context_tree", "op9_lm_scoring"),
-    10: ("suffix_dedup", "op10_suffix_dedup"),
-    7: ("warc", "op7_warc"),
-}
+_OPERATORS = (op1_language_id, op2_best_fit_packing, op3_quality_rules, op4_jaccard_join, op5_decontamination, op6_url_filters, op7_warc, op8_token_counts, op9_lm_scoring, op10_suffix_dedup)
 
 
 def queries():
-    found = {name: getattr(importlib.import_module(f"sakuin.llm.{module}"), name) for module, name in _QUERIES.values()}
-    return {"pipeline": importlib.import_module("corpus_pipeline").run, **found}
+    return {"pipeline": corpus_pipeline.run, **{f.__name__: f for f in _OPERATORS}}
 
 
 def oracle_sql() -> dict[str, str]:
-    from sakuin.llm.decontamination import OP5_SQL
-
     return {"op5_decontamination": OP5_SQL}

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import base64
+import hashlib
 import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, In, InputPartition, StringStartsWith, WriterCommitMessage
 from pyspark.sql.types import StructType
 
-from sakuin.llm.shared import shared_dir
+from sakuin.llm.shared import durable, shared_dir
 
 FORMAT = "sakuin_warc"
 WRITE_SCHEMA = "page_id long, url string, html string, payload_bytes long, sha1 string, refers_to long"
@@ -29,13 +31,19 @@ def _store(uri: str):
     return FileSystem.from_uri(uri if "://" in uri or uri.startswith("/") else f"file://{uri}")
 
 
-def _line(value: str) -> str:
-    """A header value on one line."""
-    return value.replace("%", "%25").replace("\r", "%0D").replace("\n", "%0A") if "\r" in value or "\n" in value else value
+_ESCAPED = {c: f"%{ord(c):02X}" for c in "% \t\r\n"}
+
+
+def _line(url: str) -> list[str]:
+    """The headers of an address. One that a header line can't hold as it is gets escaped, and a header says so."""
+    if url.strip(" \t") == url and "\r" not in url and "\n" not in url:
+        return [f"WARC-Target-URI: {url}"]
+    return [f"WARC-Target-URI: {''.join(_ESCAPED.get(c, c) for c in url)}", "X-Target-URI-Escaped: 1"]
 
 
 def member(record: bytes, level: int = 1) -> bytes:
-    """One gzip member whose extra field `sl` tells its compressed and plain length, so that readers can step over it."""
+    """One gzip member whose extra field `sl` tells its compressed and plain length, so that readers can step over it. Both take
+    32 bits, which a row's text, below 2 GiB in Spark, can't exceed."""
     packer = zlib.compressobj(level, zlib.DEFLATED, -15)
     body = packer.compress(record) + packer.flush()
     size = 10 + 2 + 12 + len(body) + 8
@@ -46,7 +54,7 @@ def record(page_id: int | None, url: str | None, html: str | None, payload_bytes
     """A response with its payload, or a revisit that refers to another page's response."""
     kind = "response" if refers_to is None else "revisit"
     head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:uuid:{uuid.uuid4()}>", "WARC-Date: 1970-01-01T00:00:00Z"]
-    head += [f"WARC-Target-URI: {_line(url)}"] if url is not None else []
+    head += _line(url) if url is not None else []
     head += [f"WARC-Payload-Digest: sha1:{base64.b32encode(bytes.fromhex(sha1)).decode()}", f"X-Payload-Length: {payload_bytes}"]
     head += [f"X-Page-ID: {page_id}"] if page_id is not None else []
     block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
@@ -101,6 +109,13 @@ class WarcWriter(DataSourceArrowWriter):
             store.delete_file(f"{path}/.{name}")
 
 
+def _verify(payload: bytes, headers: dict[str, str], path: str) -> None:
+    """A payload without the SHA-1 that its record states is an error."""
+    stated = headers.get("warc-payload-digest", "")
+    if stated.startswith("sha1:") and stated != f"sha1:{base64.b32encode(hashlib.sha1(payload).digest()).decode()}":
+        raise ValueError(f"{path}: payload of {headers.get('warc-record-id')} differs from its digest")
+
+
 class _File(InputPartition):
     def __init__(self, path: str):
         self.path = path
@@ -152,7 +167,9 @@ class WarcReader(DataSourceReader):
                 while b"\r\n\r\n" not in plain and not inflate.eof and (more := source.read(HEAD)):
                     plain += inflate.decompress(more)
                 lines, _, rest = plain.partition(b"\r\n\r\n")
-                headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines.decode("utf-8", "replace").split("\r\n")[1:])}
+                headers = {k.strip().lower(): v.strip(" \t") for k, _, v in (x.partition(":") for x in lines.decode("utf-8", "replace").split("\r\n")[1:])}
+                if "x-target-uri-escaped" in headers:
+                    headers["warc-target-uri"] = unquote(headers["warc-target-uri"])
                 wanted = self._wanted(headers)
                 payload = None
                 known = head[3] & 4 and head[12:14] == b"sl"
@@ -162,6 +179,7 @@ class WarcReader(DataSourceReader):
                     at = source.tell() - len(inflate.unused_data)
                     if headers.get("warc-type") == "response":
                         payload = rest[: int(headers["content-length"])].partition(b"\r\n\r\n")[2]
+                        _verify(payload, headers, partition.path)
                 else:
                     at += struct.unpack_from("<I", head, 16)[0]
                 if wanted:
@@ -198,12 +216,18 @@ def register(spark: SparkSession) -> None:
 def deduplicated(pages: DataFrame, least: int = 0) -> DataFrame:
     """What each page's record holds. Of pages with equal payloads of at least `least` bytes, the largest page_id keeps
     the payload (every row with it, where it repeats) and the others refer to it. Null html is an empty payload. A null
-    page_id never keeps a payload that a numbered page has; among null ones alone, all keep theirs."""
+    page_id never keeps a payload that a numbered page has; among null ones alone, all keep theirs.
+
+    Only ids and digests are grouped. What they decide is joined to the pages by id, so copies of one payload meet in no one
+    task, and where the revisits are few Spark broadcasts them and html isn't shuffled at all.
+    """
     body = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long"), "url", body.alias("html"), F.octet_length(body).cast("long").alias("payload_bytes"), F.sha1(body.cast("binary")).alias("sha1"))
-    keeper = rows.groupBy("sha1").agg(F.max("page_id").alias("keeper"))
-    refers = F.when((F.col("payload_bytes") >= least) & F.col("keeper").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("keeper")), F.col("keeper"))
-    return rows.join(keeper, "sha1").select("page_id", "url", F.when(refers.isNull(), F.col("html")).alias("html"), "payload_bytes", "sha1", refers.alias("refers_to"))
+    digests = durable(rows.where(F.col("payload_bytes") >= least).groupBy("sha1", "page_id").agg(F.count("*").alias("n")), "digests")
+    keepers = durable(digests.groupBy("sha1").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1").select("sha1", "refers_to"), "keepers")
+    revisits = durable(digests.drop("n").join(keepers, "sha1").where(~F.col("page_id").eqNullSafe(F.col("refers_to"))), "revisits").select(F.col("page_id").alias("id"), F.col("sha1").alias("digest"), "refers_to")
+    decided = rows.join(revisits, F.col("page_id").eqNullSafe(F.col("id")) & (F.col("sha1") == F.col("digest")), "left")
+    return decided.select("page_id", "url", F.when(F.col("refers_to").isNull(), F.col("html")).alias("html"), "payload_bytes", "sha1", "refers_to")
 
 
 def write_archives(pages: DataFrame, path: str, least: int = 0) -> None:
@@ -219,6 +243,10 @@ def read_archives(spark: SparkSession, path: str, payload: bool = True) -> DataF
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses are read with their payloads, which must have the digests stated; revisits by their headers alone."""
     path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
-    return read_archives(spark, path, payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    responses = read_archives(spark, path).where("record_type = 'response'").withColumn("payload_bytes", F.octet_length("payload").cast("long"))
+    revisits = read_archives(spark, path, payload=False).where("record_type = 'revisit'")
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    return responses.select(columns).unionByName(revisits.select(columns))

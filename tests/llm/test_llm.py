@@ -350,19 +350,24 @@ def test_trees_learn_and_columns_agree(spark):
 
 
 def test_warc_round_trip(spark, tmp_path):
-    pages = [(1, "http://a/\r\nx", "same"), (2, "http://b", "same"), (3, None, None), (4, "http://c", ""), (5, "http://d", "é" * 50_000), (6, "http://b/2", "s"), (6, "http://b/3", "same"), (7, "u", "WARC/1.1\r\n\r\n\r\n")]
+    pages = [(1, "http://a/\r\nx", "same"), (2, "http://b", "same"), (3, None, None), (4, "http://c", ""), (5, "http://d", "é" * 50_000), (6, "http://b/2", "s"), (6, "http://b/3", "same"), (7, "u", "WARC/1.1\r\n\r\n\r\n"), (8, " http://e/%20 \n", "e"), (9, "http://f/%0Ax", "f"), (None, "n", "same"), (None, "n1", "only null"), (None, "n2", "only null")]
     df = spark.createDataFrame(pages, "page_id long, url string, html string")
     path = f"file://{tmp_path}/w"
     warc.write_archives(df, path)
     keeper = {}
     for i, _, h in pages:
-        keeper[h or ""] = max(i, keeper.get(h or "", i))
+        keeper[h or ""] = max((x for x in (i, keeper.get(h or "")) if x is not None), default=None)
     import base64
 
-    expected = sorted((i, len((h or "").encode()), base64.b32encode(hashlib.sha1((h or "").encode()).digest()).decode(), "response" if keeper[h or ""] == i else "revisit", None if keeper[h or ""] == i else keeper[h or ""]) for i, _, h in pages)
+    order = lambda r: tuple(str(x) for x in r)
+    expected = sorted(((i, len((h or "").encode()), base64.b32encode(hashlib.sha1((h or "").encode()).digest()).decode(), "response" if keeper[h or ""] == i else "revisit", None if keeper[h or ""] == i else keeper[h or ""]) for i, _, h in pages), key=order)
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     light = warc.read_archives(spark, path, payload=False)
-    assert sorted(tuple(r) for r in light.select(columns).collect()) == expected
+    assert sorted((tuple(r) for r in light.select(columns).collect()), key=order) == expected
+    assert Counter(r["target_uri"] for r in light.collect()) == Counter(u for _, u, _ in pages)
+    assert [r["page_id"] for r in light.where(F.col("target_uri") == pages[0][1]).collect()] == [1]
+    df.write.parquet(f"{tmp_path}/pages.parquet")
+    assert sorted((tuple(r) for r in warc.op7_warc(spark, str(tmp_path)).select(columns).collect()), key=order) == expected
     full = warc.read_archives(spark, path)
     assert {(r["page_id"], bytes(r["payload"]).decode()) for r in full.where("record_type = 'response'").collect()} == {(i, h or "") for i, _, h in pages if keeper[h or ""] == i}
     assert {r["page_id"] for r in full.where("target_uri like 'http://b%' and record_type = 'response'").collect()} == {6}
@@ -372,6 +377,11 @@ def test_warc_round_trip(spark, tmp_path):
     assert list(reader.pushFilters([EqualTo(("record_type",), "revisit"), GreaterThan(("page_id",), 1)])) == [GreaterThan(("page_id",), 1)]
     rows = [r for p in reader.partitions() for r in reader.read(p)]
     assert rows and all(r[0] == "revisit" for r in rows)
+    broken = tmp_path / "w" / "broken.warc.gz"
+    broken.write_bytes(warc.member(warc.record(1, "u", "some text", 9, hashlib.sha1(b"other text").hexdigest(), None)))
+    with pytest.raises(Exception, match="differs from its digest"):
+        warc.read_archives(spark, path).collect()
+    broken.unlink()
     foreign = tmp_path / "w" / "z.warc.gz"
     import gzip
 
