@@ -44,7 +44,8 @@ def longest_rule(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame
     return pages.withColumns({"rule": name, "rule_verdict": verdict})
 
 
-FEATURES = ("url_length", "host_length", "depth", "digit_share", "entropy", "parameters", "host_labels", "suffix_blocked")
+FOLDS = 5
+FEATURES = ("url_length", "host_length", "depth", "digit_share", "entropy", "parameters", "host_labels", "suffix_blocked", "suffix_seen")
 
 
 def lexical(pages: DataFrame) -> DataFrame:
@@ -115,40 +116,67 @@ class BoostedTrees:
         return out
 
 
+def suffix_statistics(blocked: float, n: float, prior: float) -> tuple[float, float]:
+    """Smoothed share of blocked URLs among n, and how many there are to tell by."""
+    return (blocked + 5 * prior) / (n + 5), float(np.log1p(n))
+
+
 @dataclass
 class UrlModel:
     trees: BoostedTrees
-    suffixes: dict[str, float]
+    suffixes: dict[str, tuple[float, float]]
     prior: float
 
     def with_suffix(self, pages: DataFrame) -> DataFrame:
-        known = F.create_map(*[F.lit(x) for kv in self.suffixes.items() for x in kv])[F.col("suffix")] if self.suffixes else F.lit(None)
-        return pages.withColumn("suffix_blocked", F.coalesce(known, F.lit(self.prior)))
+        """Add the statistics of each host suffix; an unknown one has the prior share and was seen 0 times."""
+
+        def of(k: int, unknown: float) -> Column:
+            known = F.create_map(*[F.lit(x) for s, v in self.suffixes.items() for x in (s, v[k])])[F.col("suffix")] if self.suffixes else F.lit(None)
+            return F.coalesce(known, F.lit(unknown))
+
+        return pages.withColumns({"suffix_blocked": of(0, self.prior), "suffix_seen": of(1, 0.0)})
+
+    def score(self) -> Column:
+        """Log-odds of a block."""
+        return self.trees.column(FEATURES)
 
 
 def train(labelled: DataFrame, sample: int = SAMPLE, suffixes: int = SUFFIXES) -> UrlModel:
     """Learn from lexical rows with `blocked` (boolean). At most about `sample` URLs, chosen by a hash of the url, come to the
-    driver. A suffix's statistic is its smoothed share of blocked URLs in the sample. Without labels all is allowed."""
+    driver.
+
+    The statistics of a suffix in a training row come from the other folds of the sample, so a row's own label is in none of its
+    features; and the rows of one fold count as of an unknown suffix, so that the trees learn to judge those by the rest.
+    Without labels all is allowed.
+    """
     share = min(1.0, sample / max(labelled.count(), 1))
     taken = labelled.where(F.pmod(F.xxhash64("url"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    plain = [f for f in FEATURES if f != "suffix_blocked"]
-    rows = sorted(taken.select("suffix", "blocked", *plain).limit(2 * sample).collect())
+    plain = [f for f in FEATURES if not f.startswith("suffix_")]
+    rows = sorted(taken.select("suffix", "blocked", F.crc32(F.col("url").cast("binary")).alias("fold"), *plain).dropDuplicates().limit(2 * sample).collect())
     y = np.array([r["blocked"] for r in rows], float)
+    fold = np.array([r["fold"] for r in rows], np.int64) % FOLDS
     prior = float(y.sum() / max(len(y), 1))
-    of: dict[str, list[float]] = {}
-    for r, b in zip(rows, y, strict=True):
-        of.setdefault(r["suffix"], []).append(b)
-    known = {s: float((sum(v) + 5 * prior) / (len(v) + 5)) for s, v in sorted(of.items(), key=lambda kv: (-len(kv[1]), kv[0]))[:suffixes]}
-    x = np.array([[r[f] if f != "suffix_blocked" else known.get(r["suffix"], prior) for f in FEATURES] for r in rows], float).reshape(-1, len(FEATURES))
-    return UrlModel(BoostedTrees().fit(x, y), known, prior)
+    of: dict[str, np.ndarray] = {}
+    for r, b, f in zip(rows, y, fold, strict=True):
+        sums = of.setdefault(r["suffix"], np.zeros((FOLDS, 2)))
+        sums[f] += b, 1
+    often = dict(sorted(of.items(), key=lambda kv: (-kv[1][:, 1].sum(), kv[0]))[:suffixes])
+    known = {s: suffix_statistics(*v.sum(0), prior) for s, v in often.items()}
+    x = []
+    for r, f in zip(rows, fold, strict=True):
+        v = often.get(r["suffix"])
+        own = (prior, 0.0) if f == 0 or v is None else suffix_statistics(*(v.sum(0) - v[f]), prior)
+        x.append([r[c] for c in plain] + list(own))
+    return UrlModel(BoostedTrees().fit(np.array(x, float).reshape(-1, len(FEATURES)), y), {s: tuple(map(float, v)) for s, v in known.items()}, prior)
 
 
 def filter_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """page_id, host, path, rule, verdict and block_score of every url. URLs that a rule fits are the labelled ones that the
-    trees learn from; the trees judge the others (block at a log-odds above 0). Repeated rows are judged each for itself."""
+    trees learn from; the trees judge the others (block at a log-odds above 0). Repeated rows are judged each for itself, and
+    repeated URLs are learned from once. An empty table gives an empty result; other columns are ignored."""
     seen = lexical(longest_rule(host_and_path(pages.select("page_id", "url")), rules))
     model = train(seen.where("rule is not null").withColumn("blocked", F.col("rule_verdict") == "block"))
-    scored = model.with_suffix(seen).withColumn("block_score", model.trees.column(FEATURES))
+    scored = model.with_suffix(seen).withColumn("block_score", model.score())
     verdict = F.coalesce("rule_verdict", F.when(F.col("block_score") > 0, "block").otherwise("allow"))
     return scored.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "block_score")
 
