@@ -3,7 +3,7 @@
 Under every context of up to DEPTH preceding bytes, each of the 255 decisions has a Krichevsky-Trofimov estimator. The
 counts of all training texts are gathered by (context, byte); from the longest contexts up, the weighted probability of a
 node is half its own estimate and half the product over its longer contexts. The weights of the trained tree then mix the
-estimates of all depths into one probability for each bit.
+estimates of all depths into one probability for each bit; a node that training has never reached gives one half.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sakuin.llm.shared import durable, fold
@@ -21,8 +21,10 @@ from sakuin.llm.shared import durable, fold
 DEPTH = 5
 NODES = 3 << 19  # codes (a context and its byte) whose probabilities are broadcast, most frequent first: 24 MB at most; the others are joined
 HEAD = 1 << 17  # tokens whose counts are broadcast, most frequent first; the others are joined
-BUCKETS = 96
+BUCKET_CODES = 1 << 16  # distinct codes of a bucket, on average; the number of buckets grows with the table
+SPLIT_CODES = 1 << 23  # distinct codes from which a pair of nearest bytes is split by the third
 PART = 1 << 20
+END = 0xFF  # ends a text and stands before it; UTF-8 never has this byte
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _NODE = np.array([[1 << k | b >> (8 - k) for k in range(8)] for b in range(256)], np.int64)
@@ -34,10 +36,10 @@ def lowered(text: str | None) -> bytes:
 
 
 def codes_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Each byte with the DEPTH bytes before it (the nearest in the lowest place), and the first code of each text. A zero
-    byte ends a text; zeros stand before it."""
-    sizes = np.array([len(t) + 1 for t in texts], np.int64)
-    x = np.frombuffer(b"".join(b"\0" * DEPTH + t + b"\0" for t in texts), np.uint8).astype(np.uint64)
+    """Each byte with the DEPTH bytes before it (the nearest in the lowest place), and the first code of each text. END ends a
+    text and stands before it."""
+    sizes, end = np.array([len(t) + 1 for t in texts], np.int64), bytes([END])
+    x = np.frombuffer(b"".join(end * DEPTH + t + end for t in texts), np.uint8).astype(np.uint64)
     codes = x.copy()
     for k in range(1, DEPTH + 1):
         codes[k:] |= x[:-k] << np.uint64(8 * k)
@@ -120,19 +122,29 @@ def tree_levels(key: np.ndarray, zeros: np.ndarray, ones: np.ndarray, children:
 
 
 def _decisions(table: pa.Table):
-    """Of all contexts with some pairs of nearest bytes: the levels of decisions at depths DEPTH to 2, and those at depth 1 as summed so far."""
+    """Of all contexts with some nearest bytes: the levels of decisions at depths DEPTH to 3, and those at depth 2 as summed so far."""
     code, k = table.column("code").to_numpy(), table.column("k").to_numpy().astype(float)
     byte = code & 255
     key, zeros, ones = _sums(((code >> 8)[:, None] << 8 | _NODE[byte]).ravel(), np.where(_BIT[byte], 0, k[:, None]).ravel(), np.where(_BIT[byte], k[:, None], 0).ravel())
-    return tree_levels(key, zeros, ones, None, DEPTH, 2)
+    return tree_levels(key, zeros, ones, None, DEPTH, 3)
 
 
 def _near(table: pa.Table) -> pa.Table:
-    """The decisions at depth 1 of some pairs of nearest bytes, to be summed over all pairs."""
+    """The decisions at depth 2 of some nearest bytes, to be summed over all buckets."""
     _, (key, zeros, ones, children) = _decisions(table)
     return pa.table({"key": key, "zeros": zeros, "ones": ones, "children": children})
 
 
+def _weighted(batches):
+    """Decisions of one depth, summed over their children: the weight of the own estimate and ln of the mixture."""
+    for batch in batches:
+        key, zeros, ones, children = (batch.column(k).to_numpy() for k in range(4))
+        own = log_kt(zeros, ones)
+        total = np.logaddexp(own, children) - math.log(2)
+        weight = np.exp(np.minimum(own - math.log(2) - total, 0.0))
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key, zeros, ones, weight, total)], names=["key", "zeros", "ones", "weight", "total"])
+
+
 class Tree:
     """Trained weights: sorted keys, probability of a one and weight of the own estimate."""
 
@@ -142,22 +154,18 @@ class Tree:
         self.key, self.one, self.weight = key[order], ((ones + 0.5) / (zeros + ones + 1))[order], weight[order]
 
     def log_probability(self, code: np.ndarray) -> np.ndarray:
-        """log10 of each code's byte after its context. Where training had no longer context, the estimate so far stands."""
+        """log10 of each code's byte after its context. What training has never seen there has one half."""
         total, byte, context = np.zeros(len(code)), code & 255, code >> 8
         for k in range(8):
             node, bit = _NODE[byte, k], _BIT[byte, k]
-            mixed, known = np.full(len(code), 0.5), np.zeros(len(code), bool)
+            mixed = np.full(len(code), 0.5)
             for depth in range(DEPTH, -1, -1):
                 key = _key(depth, context & ((np.int64(1) << (8 * depth)) - 1), node)
                 at = np.minimum(np.searchsorted(self.key, key), max(len(self.key) - 1, 0))
                 here = self.key[at] == key if len(self.key) else np.zeros(len(code), bool)
-                if not here.any():
-                    continue
-                one = self.one[at]
-                own = np.where(bit, one, 1 - one)
-                weight = np.where(known, self.weight[at], 1.0)
-                mixed = np.where(here, weight * own + (1 - weight) * mixed, mixed)
-                known |= here
+                if here.any():
+                    one, weight = self.one[at], self.weight[at]
+                    mixed = np.where(here, weight * np.where(bit, one, 1 - one) + (1 - weight) * mixed, mixed)
             total += np.log10(mixed)
         return total
 
@@ -193,32 +201,55 @@ class Known:
         return out
 
 
-def _bucketed(codes: DataFrame) -> DataFrame:
-    """Codes with one pair of nearest bytes share a bucket, and with it all decisions of depths 2 and more."""
-    near = F.shiftright("code", 8).bitwiseAND(0xFFFF)
-    return codes.withColumn("b", F.pmod(F.xxhash64(near), F.lit(BUCKETS)))
-
+class Model:
+    """The context tree of summed (code, k) as tables.
 
-def train(counts: DataFrame) -> list[tuple[np.ndarray, ...]]:
-    """The levels of depths 1 and 0 from summed (code, k): at most 257 contexts of 255 decisions. All counts go into the weights."""
-    grown = _bucketed(counts).groupBy("b").applyInArrow(_near, "key long, zeros double, ones double, children double")
-    first = grown.groupBy("key").agg(F.sum("zeros"), F.sum("ones"), F.sum("children")).collect()
-    if not first:
-        return []
-    key, zeros, ones, children = (np.array(x, t) for x, t in zip(zip(*first, strict=True), (np.int64, float, float, float), strict=True))
-    order = np.argsort(key)
-    return tree_levels(key[order], zeros[order], ones[order], children[order], 1, 0)[0]
-
-
-def probabilities(codes: DataFrame, counts: DataFrame, near) -> DataFrame:
-    """(code, p): log10 probability of each distinct code, seen in training or not, under the whole tree of (code, k). near: broadcast result of train."""
-
-    def judge(wanted: pa.Table, table: pa.Table) -> pa.Table:
-        code = wanted.column("code").to_numpy()
-        deep = _decisions(table)[0] if len(code) and table.num_rows else []
-        return pa.table({"code": code, "p": Tree(near.value + deep).log_probability(code)})
+    Codes with one pair of nearest bytes share a bucket, and with it all decisions of depths 3 and more; in large tables a pair
+    is split by the third byte, whose contexts share nothing at these depths. Decisions at depth 2 are summed over all buckets
+    and weighted row by row; those of depths 1 and 0, of at most 257 contexts, on the driver. All counts go into the weights.
+    """
 
-    return _bucketed(codes.select("code")).groupBy("b").cogroup(_bucketed(counts).groupBy("b")).applyInArrow(judge, "code long, p double")
+    def __init__(self, counts: DataFrame):
+        self.counts = counts
+        n = counts.count()
+        self.buckets, self.split = max(1, -(-n // BUCKET_CODES)), min(256, max(1, -(-n // SPLIT_CODES)))
+        grown = self._bucketed(counts).groupBy("b").applyInArrow(_near, "key long, zeros double, ones double, children double")
+        summed = grown.groupBy("key").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("children").alias("children"))
+        self.second = durable(summed.mapInArrow(_weighted, "key long, zeros double, ones double, weight double, total double"), "second")
+        up = (F.shiftright("key", 8).bitwiseAND(0xFF) * 256 + F.col("key").bitwiseAND(0xFF)).alias("key")
+        first = self.second.groupBy(up).agg(F.sum("zeros"), F.sum("ones"), F.sum("total")).collect()
+        levels = []
+        if first:
+            key, zeros, ones, children = (np.array(x, t) for x, t in zip(zip(*first, strict=True), (np.int64, float, float, float), strict=True))
+            order = np.argsort(key)
+            levels = tree_levels(key[order], zeros[order], ones[order], children[order], 1, 0)[0]
+        self.near = counts.sparkSession.sparkContext.broadcast(levels)
+
+    def _pair(self, key) -> Column:
+        return F.pmod(F.xxhash64(F.shiftright(key, 8).bitwiseAND(0xFFFF)), F.lit(self.buckets)) * self.split
+
+    def _bucketed(self, codes: DataFrame) -> DataFrame:
+        return codes.withColumn("b", self._pair("code") + F.pmod(F.shiftright("code", 24).bitwiseAND(0xFF), F.lit(self.split)))
+
+    def probabilities(self, codes: DataFrame) -> DataFrame:
+        """(code, p): log10 probability of each distinct code, seen in training or not, under the whole tree."""
+        near = self.near
+
+        def judge(wanted: pa.Table, table: pa.Table) -> pa.Table:
+            code = wanted.column("code").to_numpy()
+            if not len(code):
+                return pa.table({"code": code, "p": np.empty(0)})
+            pairs = table.filter(table.column("weight").is_valid())
+            second = [(_key(2, key >> 8, key & 255), *(pairs.column(c).to_numpy() for c in ("zeros", "ones", "weight"))) for key in [pairs.column("code").to_numpy()]]
+            deep = _decisions(table.filter(table.column("weight").is_null()))[0]
+            return pa.table({"code": code, "p": Tree(near.value + second + deep).log_probability(code)})
+
+        none = F.lit(None).cast("double")
+        rows = self._bucketed(self.counts).select("b", "code", "k", none.alias("zeros"), none.alias("ones"), none.alias("weight"))
+        parts = F.explode(F.sequence(F.lit(0), F.lit(self.split - 1)))  # each part of a pair reads the pair's decisions
+        pairs = self.second.select(self._pair("key").alias("b"), F.col("key").alias("code"), F.lit(0).cast("long").alias("k"), "zeros", "ones", "weight", parts.alias("part"))
+        table = rows.unionByName(pairs.withColumn("b", F.col("b") + F.col("part")).drop("part"))
+        return self._bucketed(codes.select("code")).groupBy("b").cogroup(table.groupBy("b")).applyInArrow(judge, "code long, p double")
 
 
 def score_documents(docs: DataFrame, folds: int = 10, held: int = 0) -> DataFrame:
@@ -236,8 +267,8 @@ def score_documents(docs: DataFrame, folds: int = 10, held: int = 0) -> DataFram
     zero = F.lit(0)
     n, v, ends = words.agg(F.coalesce(F.sum("k"), zero), F.count("*"), F.coalesce(F.sum(F.when(F.length("word") == 0, F.col("k"))), zero)).first()
     codes = counts.where("code is not null").select("code", "k")
-    near = spark.sparkContext.broadcast(train(codes))
-    often = probabilities(codes.orderBy(F.desc("k"), "code").limit(NODES), codes, near).toArrow()
+    model = Model(codes)
+    often = model.probabilities(codes.orderBy(F.desc("k"), "code").limit(NODES)).toArrow()
     tree = spark.sparkContext.broadcast(Known(*(often.column(k).to_numpy() for k in range(2))))
     cost = lambda c: math.log10((c + 0.1) / (n + 0.1 * (v + 1)))
     frequent = words.orderBy(F.desc("k"), "word").limit(HEAD).toArrow()
@@ -246,14 +277,14 @@ def score_documents(docs: DataFrame, folds: int = 10, held: int = 0) -> DataFram
     head = spark.sparkContext.broadcast(table)
 
     def judge(batches):
-        known, model = head.value, tree.value
+        known, held = head.value, tree.value
         for number, batch in enumerate(batches):
             ids, texts = batch.column(0), [lowered(t) for t in batch.column(1).to_pylist()]
             row, score, size, hits, base, tail = [], [], [], [], [], ([], [], [])
             far, done = [(np.empty(0, np.int64),) * 3], 0
             for part in _parts(texts):
                 codes, starts = codes_of(part)
-                found = model.score(codes)
+                found = held.score(codes)
                 left = np.flatnonzero(np.isnan(found))
                 found[left] = 0.0
                 score.append(np.add.reduceat(found, starts))
@@ -292,7 +323,7 @@ def score_documents(docs: DataFrame, folds: int = 10, held: int = 0) -> DataFram
     rare = scored.where("word is not null").select("task", "row", "word", "k").join(words.withColumnRenamed("k", "c"), "word", "left")
     rare = rare.groupBy("task", "row").agg(F.sum(F.col("k") * F.log10((c + 0.1) / F.lit(n + 0.1 * (v + 1)))).alias("more"), F.sum(F.when(c > 0, F.col("k")).otherwise(0)).alias("also"))
     tail = scored.where("code is not null").select("task", "row", "code", "k")
-    far = tail.join(probabilities(tail.select("code").distinct(), codes, near), "code").groupBy("task", "row").agg(F.sum(F.col("k") * F.col("p")).alias("rest"))
+    far = tail.join(model.probabilities(tail.select("code").distinct()), "code").groupBy("task", "row").agg(F.sum(F.col("k") * F.col("p")).alias("rest"))
     whole = scored.where("word is null and code is null").join(rare, ["task", "row"], "left").join(far, ["task", "row"], "left")
     return whole.select("doc_id", "held_out", "n_tokens", (F.col("hits") + F.coalesce("also", zero)).alias("n_known"), F.lit(int(n)).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"), (F.col("score") + F.coalesce("rest", F.lit(0.0))).alias("score"))
 

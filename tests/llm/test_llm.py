@@ -156,6 +156,7 @@ def test_language(spark):
     assert len(got) == 246 and np.mean([got[k][0] == langs[k] for k in held]) > 0.95
     assert [got[k][0] for k in (900, 901, 902, 903, 904)] == ["und", "und", "und", "bb", "aa"]
     assert all(0 <= s <= 1 for _, s in got.values())
+    assert 1 / 3 < model.least < 0.9 and sum(got[k][1] >= model.least for k in held) > 0.97 * len(held)
     none = language_id.train(docs.where("false"))
     assert {x["lang_pred"] for x in language_id.identify(docs, none).collect()} == {"und"}
 
@@ -349,6 +350,25 @@ def test_trees_learn_and_columns_agree(spark):
     assert np.allclose(sorted(r[0] for r in rows.select(model.column(url_filters.FEATURES)).collect()), sorted(score))
 
 
+def test_urls_held_out(spark):
+    """Trees learned from three quarters of labelled URLs judge the last quarter, and URLs of a suffix that has no label."""
+    r = random.Random(4)
+    digits = lambda n: "".join(r.choices("0123456789", k=n))
+    letters = lambda n: "".join(r.choices("abcdefgh", k=n))
+    make = lambda bad, suffix: f"http://{letters(6)}.{suffix}/{digits(9) if bad else letters(9)}/{letters(4)}" + (f"?a={digits(6)}&b={digits(4)}&c=1" if bad else "")
+    rows = [(k, make(k % 2 == 0, ("com", "net")[r.random() < (0.7 if k % 2 else 0.3)]), k % 2 == 0) for k in range(1200)]
+    rows += [(2000 + k, make(k % 2 == 0, "org"), k % 2 == 0) for k in range(100)]
+    seen = url_filters.lexical(url_filters.host_and_path(spark.createDataFrame(rows, "page_id long, url string, blocked boolean")))
+    model = url_filters.train(seen.where("page_id < 900"))
+    assert set(model.suffixes) == {"com", "net"}
+    got = model.with_suffix(seen).select("page_id", "blocked", (model.score() > 0).alias("said")).where("page_id >= 900").collect()
+    assert np.mean([x["blocked"] == x["said"] for x in got if x["page_id"] < 2000]) > 0.95
+    assert np.mean([x["blocked"] == x["said"] for x in got if x["page_id"] >= 2000]) > 0.9
+    none = url_filters.train(seen.limit(0))
+    assert {x["verdict"] for x in url_filters.filter_urls(spark.createDataFrame([(1, "http://a.org/x")], "page_id long, url string")).collect()} == {"allow"} and not none.suffixes
+    assert url_filters.filter_urls(seen.limit(0)).count() == 0
+
+
 def test_warc_round_trip(spark, tmp_path):
     pages = [(1, "http://a/\r\nx", "same"), (2, "http://b", "same"), (3, None, None), (4, "http://c", ""), (5, "http://d", "é" * 50_000), (6, "http://b/2", "s"), (6, "http://b/3", "same"), (7, "u", "WARC/1.1\r\n\r\n\r\n"), (8, " http://e/%20 \n", "e"), (9, "http://f/%0Ax", "f"), (None, "n", "same"), (None, "n1", "only null"), (None, "n2", "only null")]
     df = spark.createDataFrame(pages, "page_id long, url string, html string")
@@ -464,10 +484,10 @@ def test_token_counts_query(spark, tmp_path):
 def ctw(training, texts, depth):
     """Direct recursion over explicit counts."""
     counts = defaultdict(lambda: [0, 0])
-    pad = b"\0" * depth
+    pad = b"\xff" * depth
 
     def bits(data):
-        data = pad + data + b"\0"
+        data = pad + data + b"\xff"
         for k in range(depth, len(data)):
             node = 1
             for j in range(8):
@@ -495,13 +515,11 @@ def ctw(training, texts, depth):
     def score(t):
         total = 0.0
         for path, bit in bits(t):
-            p, known = 0.5, False
+            p = 0.5
             for key in reversed(path):
-                if key not in counts:
-                    continue
-                own = (counts[key][bit] + 0.5) / (sum(counts[key]) + 1)
-                w = math.exp(kt(counts[key]) - math.log(2) - weigh(key)) if known else 1.0
-                p, known = w * own + (1 - w) * p, True
+                own = (counts[key][bit] + 0.5) / (sum(counts[key]) + 1) if key in counts else 0.5
+                w = 1.0 if len(key[0]) == depth else math.exp(kt(counts[key]) - math.log(2) - weigh(key)) if key in counts else 0.5
+                p = w * own + (1 - w) * p
             total += math.log10(p)
         return total
 
@@ -532,10 +550,12 @@ def test_rare_tokens_are_joined(spark, monkeypatch):
     assert sorted((r["doc_id"], r["n_known"], round(r["base_score"], 6)) for r in context_tree.score_documents(docs_of(spark, texts)).collect()) == whole
 
 
-@pytest.mark.parametrize("nodes", [0, 5])
-def test_codes_beyond_the_broadcast_are_joined(spark, monkeypatch, nodes):
+@pytest.mark.parametrize(("nodes", "per_bucket", "per_split"), [(0, 1 << 16, 1 << 23), (5, 300, 900), (1000, 1000, 20)])
+def test_codes_beyond_the_broadcast_are_joined(spark, monkeypatch, nodes, per_bucket, per_split):
     monkeypatch.setattr(context_tree, "NODES", nodes)
-    texts = [*corpus(9, 30), (500, None), (501, "zq Ωж never seen"), (502, "zq Ωж never seen")]
+    monkeypatch.setattr(context_tree, "BUCKET_CODES", per_bucket)
+    monkeypatch.setattr(context_tree, "SPLIT_CODES", per_split)
+    texts = [*corpus(9, 30), (499, "zero \0 byte"), (500, None), (501, "zq Ωж never seen"), (502, "zq Ωж never seen")]
     got = sorted((r["doc_id"] or 0, r["score"]) for r in context_tree.score_documents(docs_of(spark, texts)).collect())
     low = [(i, context_tree.lowered(t)) for i, t in texts]
     training = [t for i, t in low if zlib.crc32(str(i).encode()) % 10]
