@@ -4,23 +4,27 @@ A byte goes if a 50-byte string over it also starts in a document with a smaller
 under its minimiser, the 22-byte piece of it with the smallest hash; equal strings have the same piece at the same place.
 Pieces that one document alone holds are left out first. Around each other piece, the stretch of text whose strings it
 files becomes one short row, and the rows of a bucket are a document collection for the column-wise construction: from
-the last column to the first, one symbol of every row is put in front of its suffix, which turns the order and the
-common-prefix lengths of one column into those of the next by a stable counting sort and range minima. Where the common
-prefix reaches 50, suffixes start with the same string, and the smallest doc_id among them keeps it.
+the last column to the first, one symbol of every row is put in front of its suffix. The symbols before the suffixes, in
+suffix order, are the collection's Burrows-Wheeler transform so far; sorting them stably gives the order of the next column,
+and range minima over the common-prefix lengths give its common prefixes. Where the common prefix reaches 50, suffixes start
+with the same string, and the smallest doc_id among them keeps it.
 
-Where the construction is usually held in files that are read in sequence, its columns here are arrays of one bucket, whose
-size the number of buckets bounds; the shuffle takes the place of the files.
+The columns of a bucket are files of its task that are written and read in sequence: a round holds one column, the order and
+the common prefixes in memory, some 30 bytes a row, and never the rows themselves.
 """
 
 from __future__ import annotations
 
 import hashlib
+import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sakuin.llm.shared import durable, shared_dir
@@ -72,13 +76,18 @@ def _runs(values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.r_[True, values[1:] != values[:-1]]) if len(values) else np.empty(0, np.int64)
 
 
-_SENT = "bucket long, kind int, doc_id long, data binary"
-_FOUND = "doc_id long, value long"
+_SENT = "bucket long, kind int, doc_id long, tag long, data binary"
+_FOUND = "doc_id long, tag long, value long"
 
 
 def _sent(rows: list[tuple]) -> pa.RecordBatch:
-    cols = list(zip(*rows, strict=True)) or [()] * 4
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.binary()), strict=True)], names=["bucket", "kind", "doc_id", "data"])
+    cols = list(zip(*rows, strict=True)) or [()] * 5
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["bucket", "kind", "doc_id", "tag", "data"])
+
+
+def tag_of(data: bytes) -> int:
+    """Tells texts under one doc_id apart; Spark's xxhash64 of the text."""
+    return xxhash.xxh64_intdigest(data, seed=42) - (1 << 64) * (xxhash.xxh64_intdigest(data, seed=42) >> 63)
 
 
 def _by_document(doc: np.ndarray, values: np.ndarray) -> list[tuple[int, bytes]]:
@@ -118,7 +127,7 @@ def _keys_of(batches, buckets: int):
         several = np.zeros(len(key), bool)
         if len(key):
             several = np.repeat(np.maximum.reduceat(doc, heads) > doc[heads], np.diff(np.r_[heads, len(key)]))
-        rows = [(-1 - d % (4 * buckets), 1, d, data) for d, data in _by_document(doc[several], key[several])]
+        rows = [(-1 - d % (4 * buckets), 1, d, 0, data) for d, data in _by_document(doc[several], key[several])]
         key, doc = key[heads], doc[heads]
         table = np.unique(doc)
         number = np.searchsorted(table, doc).astype(np.uint32)
@@ -128,98 +137,114 @@ def _keys_of(batches, buckets: int):
             own = np.unique(some)
             head = np.array([len(low), len(own)], np.int64)
             parts = (head, np.diff(low, prepend=0).astype(np.uint32), np.searchsorted(own, some).astype(np.uint16 if len(own) < 65536 else np.uint32), np.diff(table[own], prepend=0))
-            rows.append((b, 0, None, pack(b"".join(p.tobytes() for p in parts))))
+            rows.append((b, 0, None, None, pack(b"".join(p.tobytes() for p in parts))))
         yield _sent(rows)
 
 
-def _passed_on(table: pa.Table) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Documents and values of the rows that a batch has settled by itself."""
-    docs, values = [], []
-    for d, x, k in zip(*(table.column(c).to_pylist() for c in ("doc_id", "data", "kind")), strict=True):
-        if k == 1:
-            values.append(np.frombuffer(x, np.int64))
-            docs.append(np.full(len(values[-1]), d, np.int64))
-    return docs, values
+def _found(doc, tag, value) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.asarray(x, np.int64)) for x in (doc, tag, value)], names=["doc_id", "tag", "value"])
 
 
-def _table(docs: list[np.ndarray], values: list[np.ndarray]) -> pa.Table:
-    empty = [np.empty(0, np.int64)]
-    return pa.table({"doc_id": np.concatenate(docs or empty), "value": np.concatenate(values or empty)})
+def _passed_on(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Documents and values of the rows that a batch has settled by itself."""
+    rows = [(d, t, np.frombuffer(x, np.int64)) for d, t, x, k in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "tag", "data", "kind")), strict=True) if k == 1]
+    sizes = [len(v) for _, _, v in rows]
+    return _found(np.repeat([d for d, _, _ in rows], sizes), np.repeat([t for _, t, _ in rows], sizes), np.concatenate([v for _, _, v in rows]) if rows else [])
 
 
-def _shared_keys(table: pa.Table) -> pa.Table:
-    """Of one bucket: each document's keys that another document holds too."""
-    out = _passed_on(table)
+def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of one bucket: each document's keys that another document holds too. Texts under one id count as one document here: their
+    lists only say where to look."""
     unpack = zstandard.ZstdDecompressor().decompress
     keys, docs = [], []
-    for data, k, bucket in zip(*(table.column(c).to_pylist() for c in ("data", "kind", "bucket")), strict=True):
-        if k == 0:
-            raw = unpack(data)
-            n, m = np.frombuffer(raw, np.int64, 2).tolist()
-            keys.append(np.cumsum(np.frombuffer(raw, np.uint32, n, 16), dtype=np.int64) + (bucket << 32))
-            number = np.frombuffer(raw, np.uint16 if m < 65536 else np.uint32, n, 16 + 4 * n)
-            docs.append(np.cumsum(np.frombuffer(raw, np.int64, m, 16 + 4 * n + number.nbytes))[number])
+    for batch in batches:
+        yield _passed_on(batch)
+        for data, k, bucket in zip(*(batch.column(c).to_pylist() for c in ("data", "kind", "bucket")), strict=True):
+            if k == 0:
+                raw = unpack(data)
+                n, m = np.frombuffer(raw, np.int64, 2).tolist()
+                keys.append(np.cumsum(np.frombuffer(raw, np.uint32, n, 16), dtype=np.int64) + (bucket << 32))
+                number = np.frombuffer(raw, np.uint16 if m < 65536 else np.uint32, n, 16 + 4 * n)
+                docs.append(np.cumsum(np.frombuffer(raw, np.int64, m, 16 + 4 * n + number.nbytes))[number])
     if keys:
         key, doc = np.concatenate(keys), np.concatenate(docs)
         order = np.argsort(key, kind="stable")
         key, doc = key[order], doc[order]
         heads = _runs(key)
         several = np.repeat(np.maximum.reduceat(doc, heads) > np.minimum.reduceat(doc, heads), np.diff(np.r_[heads, len(key)]))
-        out[0].append(doc[several]), out[1].append(key[several])
-    return _table(*out)
+        yield _found(doc[several], np.zeros(several.sum(), np.int64), key[several])
 
 
 _WIDE = _RANGE - 1 + LENGTH
 
 
-def _rows_of(batches, buckets: int):
-    """The stretches around shared pieces. Of equal stretches in one batch only the smallest document's go on; for the other
-    documents all strings of theirs are repeated already."""
+HELD = 1 << 18  # stretches that a task compares with each other
+
+
+def _settled(held: dict, buckets: int) -> pa.RecordBatch:
+    """Of equal stretches only the smallest document's go on, packed by bucket; for the others all their strings are repeated."""
     pack = zstandard.ZstdCompressor(level=1).compress
+    marks, width = {}, {}
+    for (key, off, data), found in held.items():
+        least = min(found)[0]
+        for doc_id, tag, a, n in found:
+            if doc_id == least:
+                width.setdefault(key >> 32, []).append((doc_id, tag, a, off, n, data))
+            else:
+                marks.setdefault((doc_id, tag), []).append(a << 8 | n)
+    rows = [(-1 - d % (4 * buckets), 1, d, t, np.array(x, np.int64).tobytes()) for (d, t), x in marks.items()]
+    for bucket, found in width.items():
+        texts = {x: k for k, x in enumerate(sorted({f[:2] for f in found}))}
+        head = np.array([len(found), len(texts)], np.int64)
+        number, start = (np.array(x, np.uint32) for x in ([texts[f[:2]] for f in found], [f[2] for f in found]))
+        off, count = (np.array([f[k] for f in found], np.uint8) for k in (3, 4))
+        rows.append((bucket, 0, None, None, pack(b"".join([head.tobytes(), np.array(list(texts), np.int64).tobytes(), number.tobytes(), start.tobytes(), off.tobytes(), count.tobytes(), *[f[5] for f in found]]))))
+    return _sent(rows)
+
+
+def _rows_of(batches, buckets: int):
+    """The stretches around shared pieces, of one batch at a time."""
     for batch in _small(batches):
-        rows, held = [], {}
+        held, n_held = {}, 0
         lists = batch.column(2)
         wanted, bounds = lists.values.to_numpy(), lists.offsets.to_numpy()
         for row, (doc_id, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
             cells = _cells(text)
             data = cells.tobytes()
+            tag = tag_of(data)
             start, count, place, key = minimisers(cells, buckets)
             shared = np.isin(key, wanted[bounds[row] : bounds[row + 1]].view(np.uint64))
-            for a, n, p, k in zip(*(x[shared].tolist() for x in (start, count, place, key)), strict=True):
-                held.setdefault((k, p - a, data[a : a + n + LENGTH - 1]), []).append((doc_id, a, n))
-        marks, width = {}, {}
-        for (key, off, data), found in held.items():
-            least = min(found)[0]
-            for doc_id, a, n in found:
-                if doc_id == least:
-                    width.setdefault(key >> 32, []).append((doc_id, a, off, n, data))
-                else:
-                    marks.setdefault(doc_id, []).append(a << 8 | n)
-        rows += [(-1 - d % (4 * buckets), 1, d, np.array(x, np.int64).tobytes()) for d, x in marks.items()]
-        for bucket, found in width.items():
-            meta = np.array([f[:4] for f in found], np.int64)
-            rows.append((bucket, 0, None, pack(np.int64(len(found)).tobytes() + meta.T.tobytes() + b"".join(f[4] for f in found))))
-        yield _sent(rows)
-
-
-def common_starts(rows: np.ndarray, valid: np.ndarray, doc: np.ndarray, length: int) -> np.ndarray:
+            start, count, place, key = (x[shared] for x in (start, count, place, key))
+            for at in range(0, len(start), HELD):
+                for a, n, p, k in zip(*(x[at : at + HELD].tolist() for x in (start, count, place, key)), strict=True):
+                    held.setdefault((k, p - a, data[a : a + n + LENGTH - 1]), []).append((doc_id, tag, a, n))
+                n_held += len(start[at : at + HELD])
+                if n_held >= HELD:
+                    yield _settled(held, buckets)
+                    held, n_held = {}, 0
+        yield _settled(held, buckets)
+
+
+def common_starts(columns: Iterator[np.ndarray], valid: np.ndarray, doc: np.ndarray, length: int) -> np.ndarray:
     """Which suffixes (row, column) start with `length` symbols that a valid suffix of a smaller doc starts with as well.
 
-    rows: symbols, one line a row; valid: which of the first columns count as starts. Only suffixes of one column are
-    compared. Each round puts the column's symbol in front of all suffixes.
+    columns: the symbols of all rows, from the last column to the first; valid: which of the first columns count as starts. Only
+    suffixes of one column are compared. Each round puts the column's symbols in front of all suffixes: in suffix order they are
+    the Burrows-Wheeler transform of what is inserted so far, and its stable sort maps each row to its next place.
     """
-    n, wide = rows.shape
-    order, lcp, out = np.arange(n), np.zeros(n, np.uint8), np.zeros(valid.shape, bool)
-    for column in range(wide - 1, -1, -1):
-        symbol = rows[order, column]
-        turn = np.argsort(symbol, kind="stable")
+    columns = list(columns) if not hasattr(columns, "__len__") else columns
+    n, wide = len(doc), len(columns)
+    order, lcp, out = np.arange(n, dtype=np.int32), np.zeros(n, np.uint8), np.zeros(valid.shape, bool)
+    for column, symbols in zip(range(wide - 1, -1, -1), columns, strict=True):
+        transform = symbols[order]
+        turn = np.argsort(transform, kind="stable").astype(np.int32)
         levels, span = [lcp], 1
         longest = int(np.diff(turn).max(initial=1))
         while 2 * span <= longest:
             levels.append(np.minimum(levels[-1][:-span], levels[-1][span:]))
             span *= 2
         below, above = turn[:-1] + 1, turn[1:]
-        same = symbol[below - 1] == symbol[above]
+        same = transform[below - 1] == transform[above]
         new = np.zeros(n, np.uint8)
         at = np.flatnonzero(same)
         if len(at):
@@ -239,32 +264,68 @@ def common_starts(rows: np.ndarray, valid: np.ndarray, doc: np.ndarray, length:
     return out
 
 
-def _repeated(table: pa.Table) -> pa.Table:
-    """Of one bucket: each document's stretches of starts of repeated strings, as start << 8 | number."""
-    out = _passed_on(table)
+class _Columns:
+    """The columns of a bucket's rows, each a file of the task that is written and read in sequence."""
+
+    def __init__(self):
+        self._files = [tempfile.TemporaryFile() for _ in range(_WIDE)]
+
+    def __len__(self) -> int:
+        return _WIDE
+
+    def add(self, left: np.ndarray, size: np.ndarray, text: np.ndarray) -> None:
+        """Rows whose symbols stand from column `left` on; zeros fill them up."""
+        rows = np.zeros((_WIDE, len(left)), np.uint8)
+        cell = np.arange(len(text), dtype=np.int32) - np.repeat((np.cumsum(size) - size - left).astype(np.int32), size)
+        rows[cell, np.repeat(np.arange(len(left), dtype=np.int32), size)] = text
+        for file, column in zip(self._files, rows, strict=True):
+            file.write(column.tobytes())
+
+    def __iter__(self):
+        for file in reversed(self._files):
+            file.seek(0)
+            yield np.frombuffer(file.read(), np.uint8)
+
+    def close(self) -> None:
+        for file in self._files:
+            file.close()
+
+
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of one bucket: each text's stretches of starts of repeated strings, as start << 8 | number."""
     unpack = zstandard.ZstdDecompressor().decompress
-    metas, texts = [], []
-    for x, k in zip(table.column("data").to_pylist(), table.column("kind").to_pylist(), strict=True):
-        if k == 0:
-            x = unpack(x)
-            n = int(np.frombuffer(x, np.int64, 1)[0])
-            metas.append(np.frombuffer(x, np.int64, 4 * n, 8).reshape(4, n))
-            texts.append(np.frombuffer(x, np.uint8, offset=8 + 32 * n))
-    if metas:
-        doc, start, off, count = np.concatenate(metas, 1)
-        text = np.concatenate(texts)
-        size, left = count + LENGTH - 1, _RANGE - 1 - off
-        line = np.repeat(np.arange(len(doc)), size)
-        cell = np.arange(len(text)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(left, size)
-        rows = np.zeros((len(doc), _WIDE), np.uint8)
-        rows[line, cell] = text
-        column = np.arange(_RANGE)
-        valid = (column >= left[:, None]) & (column < (left + count)[:, None])
-        found = common_starts(rows, valid, doc, LENGTH)
-        edge = np.diff(np.pad(found, ((0, 0), (1, 1))).astype(np.int8), axis=1)
-        (r, a), (_, b) = np.nonzero(edge == 1), np.nonzero(edge == -1)
-        out[0].append(doc[r]), out[1].append((start[r] + a - left[r]) << 8 | (b - a))
-    return _table(*out)
+    columns, metas = _Columns(), []
+    try:
+        for batch in batches:
+            yield _passed_on(batch)
+            for x, kind in zip(batch.column("data").to_pylist(), batch.column("kind").to_pylist(), strict=True):
+                if kind:
+                    continue
+                x = unpack(x)
+                n, m = np.frombuffer(x, np.int64, 2).tolist()
+                texts, at = np.frombuffer(x, np.int64, 2 * m, 16).reshape(m, 2), 16 + 16 * m
+                number, start = np.frombuffer(x, np.uint32, n, at), np.frombuffer(x, np.uint32, n, at + 4 * n)
+                off, count = np.frombuffer(x, np.uint8, n, at + 8 * n), np.frombuffer(x, np.uint8, n, at + 9 * n)
+                left = _RANGE - 1 - off
+                metas.append((*texts[number].T, start, left, count))
+                size, text, done = count.astype(np.int64) + LENGTH - 1, np.frombuffer(x, np.uint8, offset=at + 10 * n), 0
+                for a in range(0, n, 8192):
+                    part = slice(a, a + 8192)
+                    bytes_ = int(size[part].sum())
+                    columns.add(left[part].astype(np.int64), size[part], text[done : done + bytes_])
+                    done += bytes_
+        if metas:
+            doc, tag, start, left, count = (np.concatenate(x) for x in zip(*metas, strict=True))
+            column = np.arange(_RANGE, dtype=np.uint8)
+            valid = (column >= left[:, None]) & (column < (left + count)[:, None])
+            found = common_starts(columns, valid, doc, LENGTH)
+            for a in range(0, len(doc), 1 << 16):
+                edge = np.diff(np.pad(found[a : a + (1 << 16)], ((0, 0), (1, 1))).astype(np.int8), axis=1)
+                (r, first), (_, last) = np.nonzero(edge == 1), np.nonzero(edge == -1)
+                r += a
+                yield _found(doc[r], tag[r], (start[r].astype(np.int64) + first - left[r]) << 8 | (last - first))
+    finally:
+        columns.close()
 
 
 def spans_of(marks: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -287,8 +348,7 @@ def cut_text(text: str | None, marks: list[int] | None, whole: bool) -> str | No
     data = text.encode()
     if whole and len(data) >= LENGTH:
         return ""
-    at = np.array(marks or [], np.int64)
-    return _left_of(data, *spans_of(at[(at >> 8) + (at & 255) + LENGTH - 1 <= len(data)], len(data))).decode("utf-8", "ignore")
+    return _left_of(data, *spans_of(np.array(marks or [], np.int64), len(data))).decode("utf-8", "ignore")
 
 
 def _bucketed(df: DataFrame, column: str) -> DataFrame:
@@ -299,12 +359,14 @@ def _bucketed(df: DataFrame, column: str) -> DataFrame:
 
 
 def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Of (doc_id, text): a row per document with sha256, size and `whole` (a copy of a smaller document, which loses all it has);
-    the texts in question by id; and (id, marks) of the starts of repeated strings in texts that are no whole copies."""
+    """Of (doc_id, text): a row per document with sha256, tag, size and `whole` (a copy of a smaller document, which loses all it
+    has); the texts in question by id; and (id, marks) with the starts of repeated strings in texts that are no whole copies, each
+    with its text's tag: texts under one id are told apart."""
     docs = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    base = durable(docs.select("doc_id", F.sha2("text", 256).alias("sha"), F.octet_length("text").cast("long").alias("n_bytes")), "base")
-    first = base.groupBy("sha").agg(F.min("doc_id").alias("first"))
-    base = durable(base.join(first, "sha").withColumn("whole", F.coalesce((F.col("n_bytes") >= LENGTH) & (F.col("doc_id") > F.col("first")), F.lit(False))).drop("first"), "base")
+    base = durable(docs.select("doc_id", F.sha2("text", 256).alias("sha"), F.xxhash64("text").alias("tag"), F.octet_length("text").cast("long").alias("n_bytes")), "base")
+    # Written first, so that the join has two plain shuffles (or a broadcast, if there are few copies) and a hot text can be split.
+    first = durable(base.groupBy("sha").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("sha", "first"), "first")
+    base = durable(base.join(first, "sha", "left").withColumn("whole", F.coalesce((F.col("n_bytes") >= LENGTH) & (F.col("doc_id") > F.col("first")), F.lit(False))).drop("first"), "base")
     buckets = max(1, -(-(base.agg(F.sum("n_bytes")).first()[0] or 0) // BUCKET_BYTES))
 
     numbered = docs.where("doc_id is not null")
@@ -313,15 +375,21 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     lists = keys.join(judged, "doc_id", "left_semi").groupBy("doc_id").agg(F.collect_list("value").alias("lists"))
     texts = _bucketed(numbered.join(lists, "doc_id").withColumnRenamed("doc_id", "id"), "id")
     rows = texts.select("id", "text", "lists").mapInArrow(lambda it: _rows_of(it, buckets), _SENT)
-    marks = rows.groupBy("bucket").applyInArrow(_repeated, _FOUND).groupBy("doc_id").agg(F.collect_list("value").alias("marks")).withColumnRenamed("doc_id", "id")
+    marks = rows.groupBy("bucket").applyInArrow(_repeated, _FOUND).groupBy("doc_id").agg(F.collect_list(F.struct("tag", "value")).alias("marks")).withColumnRenamed("doc_id", "id")
     return base, texts, durable(marks, "marks")
 
 
+def own_marks(marks: Column, text: Column) -> Column:
+    """The marks of a text among those of its id."""
+    return F.transform(F.filter(marks, lambda m: m["tag"] == F.xxhash64(text)), lambda m: m["value"])
+
+
 def digests(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row.
 
     Null text is empty. A row without doc_id has no order among the others: it stays whole and removes nothing. Rows with one
-    doc_id don't remove each other's strings. Texts shorter than 50 bytes stay whole. Other columns are ignored.
+    doc_id don't remove each other's strings, and each loses just what it repeats itself. Texts shorter than 50 bytes stay whole.
+    An empty table gives an empty result; other columns are ignored.
     """
     base, texts, marks = repeats(docs)
 
@@ -330,13 +398,12 @@ def digests(docs: DataFrame) -> DataFrame:
             sha, n, removed, spans, kept = [], [], [], [], []
             for text, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 data = text.encode()
-                at = np.array(found, np.int64)
-                starts, ends = spans_of(at[(at >> 8) + (at & 255) + LENGTH - 1 <= len(data)], len(data))
+                starts, ends = spans_of(np.array(found, np.int64), len(data))
                 sha.append(hashlib.sha256(data).hexdigest()), removed.append(int((ends - starts).sum())), spans.append(len(starts))
                 kept.append(hashlib.sha256(_left_of(data, starts, ends)).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sha, pa.string()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.string())], names=["doc_id", "sha", "removed", "spans", "kept"])
 
-    cuts = texts.select("id", "text").join(marks, "id").mapInArrow(cut, "doc_id long, sha string, removed long, spans long, kept string").dropDuplicates(["doc_id", "sha"])
+    cuts = texts.select("id", "text").join(marks, "id").select("id", "text", own_marks(F.col("marks"), F.col("text")).alias("marks")).mapInArrow(cut, "doc_id long, sha string, removed long, spans long, kept string").dropDuplicates(["doc_id", "sha"])
     nothing = hashlib.sha256(b"").hexdigest()
     return base.join(cuts, ["doc_id", "sha"], "left").select(
         "doc_id", "n_bytes", F.when(F.col("whole"), F.col("n_bytes")).otherwise(F.coalesce("removed", F.lit(0).cast("long"))).alias("n_removed"),

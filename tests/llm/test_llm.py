@@ -586,9 +586,14 @@ def removed(texts):
 
 
 def test_suffix_dedup(spark, monkeypatch):
-    texts = [*corpus(11, 50), (3000, "ab" * 400), (3001, "ba" * 300 + "c"), (3002, "é" * 90), (None, "x" * 200), (3003, "\0" * 120), (3004, "q" + "\0" * 130)]
+    passage = corpus(11, 50)[3][1] * 3
+    r = random.Random(2)
+    odd = "".join(r.choices("qwertz ", k=400))
+    long_ones = [(4000, "first " + odd + passage), (4001, odd[:200] + " other " + passage[:120] + odd[:70]), (4001, "nothing in common " * 30), (4001, odd[:200] + " other"), (4002, odd), (4002, "x" + odd)]
+    texts = [*corpus(11, 50), *long_ones, (3000, "ab" * 400), (3001, "ba" * 300 + "c"), (3002, "é" * 90), (None, "x" * 200), (3003, "\0" * 120), (3004, "q" + "\0" * 130)]
     for size in (24 << 20, 2000):
         monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", size)
+        monkeypatch.setattr(suffix_dedup, "HELD", 50 if size == 2000 else 1 << 18)
         got = suffix_dedup.digests(docs_of(spark, texts)).collect()
         assert Counter(tuple(r) for r in got) == Counter(removed(texts))
     assert suffix_dedup.digests(docs_of(spark, texts).limit(0)).count() == 0
@@ -598,12 +603,18 @@ def test_column_wise_construction():
     r = np.random.default_rng(5)
     rows = r.integers(1, 3, (80, 14)).astype(np.uint8)
     doc, valid = r.integers(0, 9, 80), r.random((80, 6)) < 0.7
-    got = suffix_dedup.common_starts(rows, valid, doc, 8)
+    got = suffix_dedup.common_starts([rows[:, c] for c in reversed(range(14))], valid, doc, 8)
     for i, c in itertools.product(range(80), range(6)):
         want = valid[i, c] and any(valid[j, c] and doc[j] < doc[i] and (rows[j, c : c + 8] == rows[i, c : c + 8]).all() for j in range(80))
         assert got[i, c] == want
 
 
+def test_tags_are_those_of_spark(spark):
+    texts = ["", "a", "é" * 100, "x" * 5000]
+    got = {r["t"]: r["h"] for r in spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.xxhash64("t").alias("h")).collect()}
+    assert got == {t: suffix_dedup.tag_of(t.encode()) for t in texts}
+
+
 def test_long_texts_are_cut_into_parts(monkeypatch):
     cells = np.random.default_rng(6).integers(97, 100, 5000).astype(np.uint8)
     whole = suffix_dedup.minimisers(cells, 4)
