@@ -1,26 +1,27 @@
 """Exact set-similarity join on word shingles, skipping by set relations.
 
-Equal sets are one set. A set whose smallest hashes point to another is compared with that leader; if they link, the leader's
-answers are its own as well: both are in one component, and no pair within a component is looked at again. For the rest, an
-inverted index over prefixes lists the sets of each shingle by size and position. A link needs a least number of shared prefix
-shingles, so it shows at a shingle behind which both sets still have that many; blocks of equal size are skipped up to there.
+Equal sets are one set. A set whose smallest hashes point to another is compared with that leader; if they link, both are in one
+component, and no pair within a component is looked at again. For the rest, an inverted index over prefixes lists the sets of
+each shingle by size and position. A link needs a least number of shared prefix shingles, so it shows at a shingle behind which
+both sets still have that many; blocks of equal size are skipped up to there. Leaders' pairs are measured first. A member's
+answers follow from its leader's: what its leader links with it is joined to already, and the shingles in which it differs from
+the leader bound how far its overlap with any other set can be from the leader's; only pairs that the bounds leave open are read.
 """
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sakuin.llm.shared import durable, shared_dir
+from sakuin.llm.shared import bucketed, durable, forget
 
 SHINGLE = 5
 SIGNATURE = 8  # smallest hashes of a set that point to a leader
 FREQUENT = 1 << 17  # shingles that are put last in the order of all shingles; only speed depends on it
+LONG = 4096  # index lists from this length on are split by the sizes of their sets
 CHUNK = 1 << 20  # bytes of text hashed at once
 
 _SPACES = np.zeros(256, bool)
@@ -123,14 +124,10 @@ def _sketches(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(scan, "doc_id long, n long, hi long, lo long, sig array<long>")
 
 
-def _texts_by_id(docs: DataFrame, reps: DataFrame) -> DataFrame:
-    """The texts that stand for their sets, bucketed by id in the shared folder: later joins on the id move no text."""
-    spark = docs.sparkSession
-    name = f"sakuin_{uuid.uuid4().hex}"
-    size = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(reps.select(F.col("rep").alias("id")).distinct(), "id")
-    texts.write.bucketBy(size, "id").option("path", f"{shared_dir(spark)}/{name}").option("compression", "zstd").saveAsTable(name)
-    return spark.table(name)
+def _texts_by_id(docs: DataFrame, reps: DataFrame) -> tuple[DataFrame, str]:
+    """The texts that stand for their sets, bucketed by id, and the table's name."""
+    ids = reps.select(F.col("rep").alias("id")).distinct()
+    return bucketed(docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids.hint("merge"), "id"), "id")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -152,7 +149,8 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _prefixes(sets: DataFrame, frequent: np.ndarray, num: int, den: int) -> DataFrame:
-    """(tok, id, comp, n) of each set's prefix in the order of all shingles: the frequent ones last, rarer first."""
+    """(tok, id, comp, n, df) of each set's prefix in the order of all shingles: the frequent ones last, rarer first. df: a frequent
+    shingle's place among them, beyond all lengths of other lists; 0 for others."""
     shared = sets.sparkSession.sparkContext.broadcast(frequent)
 
     def index(batches):
@@ -160,44 +158,54 @@ def _prefixes(sets: DataFrame, frequent: np.ndarray, num: int, den: int) -> Data
         order = np.argsort(known)
         ranked = known[order]
         for batch in batches:
-            toks, ids, comps, ns = [], [], [], []
+            toks, ids, comps, ns, dfs = [], [], [], [], []
             for id_, comp, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 s = shingle_set(text)
+                place = np.zeros(len(s), np.int64)
                 if len(ranked) and len(s):
                     at = np.minimum(np.searchsorted(ranked, s), len(ranked) - 1)
-                    s = s[np.argsort(np.where(ranked[at] == s, order[at] + 1, 0), kind="stable")]
+                    place = np.where(ranked[at] == s, order[at] + 1, 0)
+                    turn = np.argsort(place, kind="stable")
+                    s, place = s[turn], place[turn]
                 n = len(s)
                 p = n - -(-num * n // den) + 1 if n else 0
                 toks.append(s[:p]), ids.append(np.full(p, id_, np.int64)), comps.append(np.full(p, comp, np.int64)), ns.append(np.full(p, n, np.int32))
+                dfs.append(np.where(place[:p] > 0, place[:p] + _OFTEN, 0))
             if toks:
-                yield pa.RecordBatch.from_arrays([_signed(np.concatenate(toks)), *[pa.array(np.concatenate(x)) for x in (ids, comps, ns)]], names=["tok", "id", "comp", "n"])
+                yield pa.RecordBatch.from_arrays([_signed(np.concatenate(toks)), *[pa.array(np.concatenate(x)) for x in (ids, comps, ns, dfs)]], names=["tok", "id", "comp", "n", "df"])
+
+    return sets.select("id", "comp", "text").mapInArrow(index, "tok long, id long, comp long, n int, df long")
+
 
-    return sets.select("id", "comp", "text").mapInArrow(index, "tok long, id long, comp long, n int")
+_OFTEN = 1 << 48
 
 
 def _by_list(batches, rows: int, work):
     """work on tables of whole index lists, of about `rows` entries; a list that is longer comes as one."""
-    held = None
+    held, size = [], 0
     for batch in batches:
-        held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-        if held.num_rows >= rows:
-            tok = held.column(0).to_numpy()
+        tok = batch.column(0).to_numpy()
+        if not len(tok):
+            continue
+        if size >= rows:
             cut = int(np.searchsorted(tok, tok[-1]))  # the last list may go on
-            if cut:
-                yield work(held.slice(0, cut))
-                held = held.slice(cut)
-    if held is not None and held.num_rows:
-        yield work(held)
+            if cut or held[-1].column(0)[-1].as_py() != tok[0]:
+                yield work(pa.Table.from_batches([*held, batch.slice(0, cut)]))
+                held, size, batch = [], 0, batch.slice(cut)
+        held.append(batch)
+        size += batch.num_rows
+    if held:
+        yield work(pa.Table.from_batches(held))
 
 
 def _shared(table: pa.Table) -> pa.RecordBatch:
-    """Entries of the lists that sets of several components are in, with the lists' lengths."""
-    tok, comp = table.column(0).to_numpy(), table.column(2).to_numpy()
+    """Entries of the lists that sets of several components are in, with the lists' lengths; frequent shingles stay as they are."""
+    tok, comp, often = (table.column(k).to_numpy() for k in (0, 2, 4))
     heads = np.flatnonzero(np.r_[True, tok[1:] != tok[:-1]])
     size = np.diff(np.r_[heads, len(tok)])
     mixed = np.minimum.reduceat(comp, heads) < np.maximum.reduceat(comp, heads)
-    keep = np.repeat(mixed, size)
-    cols = [pa.array(table.column(k).to_numpy()[keep]) for k in range(4)] + [pa.array(np.repeat(size, size)[keep])]
+    keep = np.repeat(mixed, size) | (often > 0)
+    cols = [pa.array(table.column(k).to_numpy()[keep]) for k in range(4)] + [pa.array(np.where(often > 0, often, np.repeat(size, size))[keep])]
     return pa.RecordBatch.from_arrays(cols, names=["tok", "id", "comp", "n", "df"])
 
 
@@ -206,15 +214,16 @@ def need(r, s, num: int, den: int):
     return np.maximum(1, -(-num * (r + s) // (num + den)) - (-(-num * np.maximum(r, s) // den) - 1))
 
 
-def list_pairs(tok: np.ndarray, id_: np.ndarray, comp: np.ndarray, n: np.ndarray, q: np.ndarray, m: np.ndarray, num: int, den: int):
+def list_pairs(tok: np.ndarray, id_: np.ndarray, comp: np.ndarray, n: np.ndarray, q: np.ndarray, m: np.ndarray, home: np.ndarray, num: int, den: int):
     """Pairs (a < b) of entries of one list and different components that may link. q: the list's place among the m lists of its
-    set; a pair shows in the first list that both are in, behind which both have need - 1 more.
+    set; a pair shows in the first list that both are in, behind which both have need - 1 more. Of a pair, one at least is at home
+    in the list: a guest has come from the next smaller sizes of a split list, where pairs of guests are found.
 
     Within a list, entries of one size are a block. Two blocks know what a pair of them needs, and skip all entries whose place is
     too late for it.
     """
     order = np.lexsort((q - m, n, tok))
-    tok, id_, comp, n, room = tok[order], id_[order], comp[order], n[order].astype(np.int64), (m - q)[order]
+    tok, id_, comp, n, room, home = tok[order], id_[order], comp[order], n[order].astype(np.int64), (m - q)[order], home[order]
     heads = np.flatnonzero(np.r_[True, (tok[1:] != tok[:-1]) | (n[1:] != n[:-1])]) if len(tok) else np.empty(0, np.int64)
     ends, size, block_tok = np.r_[heads[1:], len(tok)], n[heads], tok[heads]
     last = np.searchsorted(block_tok, block_tok, side="right")
@@ -231,7 +240,7 @@ def list_pairs(tok: np.ndarray, id_: np.ndarray, comp: np.ndarray, n: np.ndarray
             b = np.arange(heads[j], heads[j] + np.searchsorted(-room[heads[j] : ends[j]], -w, side="right"))
             for at in range(0, len(a), 1024):
                 some = a[at : at + 1024]
-                good = comp[some][:, None] != comp[b][None]
+                good = (comp[some][:, None] != comp[b][None]) & (home[some][:, None] | home[b][None])
                 if not step:
                     good &= some[:, None] < b[None]
                 u, v = np.nonzero(good)
@@ -246,14 +255,25 @@ def list_pairs(tok: np.ndarray, id_: np.ndarray, comp: np.ndarray, n: np.ndarray
 
 def _candidates(prefixes: DataFrame, num: int, den: int, rows: int = 500_000) -> DataFrame:
     """Pairs of sets of different components that share as many prefix shingles as a link needs. Texts of different sizes under one id
-    are entries of their own."""
-    shared = prefixes.repartition("tok").sortWithinPartitions("tok").mapInArrow(lambda it: _by_list(it, rows, _shared), "tok long, id long, comp long, n int, df long")
+    are entries of their own.
+
+    A frequent shingle's entries are dealt by id where its list needn't be seen whole. Where lists are paired, a long one is split
+    by powers of den / num: a set is at home among those of its own size and a guest among the next larger ones, so all sets that
+    can link with it are met and no list of all sizes comes together.
+    """
+    dealt = prefixes.withColumn("salt", F.when(F.col("df") > 0, F.col("id")).otherwise(0)).repartition("tok", "salt").sortWithinPartitions("tok").drop("salt")
+    shared = dealt.mapInArrow(lambda it: _by_list(it, rows, _shared), "tok long, id long, comp long, n int, df long")
     shared = durable(shared.groupBy("id", "n", "tok").agg(F.min("comp").alias("comp"), F.min("df").alias("df")), "shared")
-    lists = durable(shared.groupBy("id", "n").agg(F.first("comp").alias("comp"), F.array_sort(F.collect_list(F.struct("df", "tok"))).alias("toks")).withColumn("toks", F.transform("toks", lambda t: t["tok"])), "lists")
-    placed = lists.select("id", "comp", "n", F.size("toks").alias("m"), F.posexplode("toks").alias("q", "tok")).select("tok", "id", "comp", "n", "q", "m")
+    lists = shared.groupBy("id", "n").agg(F.first("comp").alias("comp"), F.array_sort(F.collect_list(F.struct("df", "tok"))).alias("toks"), F.sum((F.col("df") < LONG).cast("int")).alias("short"))
+    lists = durable(lists.withColumn("toks", F.transform("toks", lambda t: t["tok"])), "lists")
+    entry = lists.select("id", "comp", "n", F.size("toks").alias("m"), "short", F.posexplode("toks").alias("q", "tok"))
+    level = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(den / num)) + 1e-9)
+    places = F.when(F.col("q") < F.col("short"), F.array(F.struct(F.col("tok").alias("t"), F.lit(True).alias("home"))))
+    places = places.otherwise(F.array(*[F.struct(F.xxhash64("tok", level + k).alias("t"), F.lit(k == 0).alias("home")) for k in (0, 1)]))
+    placed = entry.withColumn("at", F.explode(places)).select(F.col("at.t").alias("tok"), "id", "comp", "n", "q", "m", "at.home")
 
     def pairs(table: pa.Table) -> pa.RecordBatch:
-        a, b = list_pairs(*[table.column(k).to_numpy() for k in range(6)], num, den)
+        a, b = list_pairs(*[table.column(k).to_numpy() for k in range(7)], num, den)
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     found = placed.repartition("tok").sortWithinPartitions("tok").mapInArrow(lambda it: _by_list(it, rows, pairs), "a long, b long").distinct()
@@ -262,6 +282,42 @@ def _candidates(prefixes: DataFrame, num: int, den: int, rows: int = 500_000) ->
     return found.join(left, "a").join(right, "b").where(F.size(F.array_intersect("ta", "tb")) >= wanted).select("a", "b").distinct()
 
 
+def _least_overlap(x: str, y: str, num: int, den: int) -> str:
+    """The fewest shingles that linked sets of x and y shingles share."""
+    return f"(({num} * ({x} + {y}) + {num + den - 1}) div {num + den})"
+
+
+def _links(pairs: DataFrame, reps: DataFrame, members: DataFrame, texts: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) that link, but for those that a link between their leaders implies.
+
+    members: (a, b, both, either) of sets and the leaders that they link with. Where a member has d shingles that its leader
+    lacks, and lacks e of the leader's, its overlap with any set is at most d more and e less than the leader's. Pairs without a
+    member are measured from texts. For the others the leaders' overlap, or that they were no candidates and so share too little,
+    decides within these bounds; what stays open is measured too. Ids with several sets are no members.
+    """
+    link = f"{den} * both >= {num} * either"
+    sizes = reps.groupBy(F.col("rep").alias("id")).agg(F.max("n").alias("n"), F.count("*").alias("sets")).where("sets = 1").drop("sets")
+    leads = members.join(members.select(F.col("a").alias("b")).distinct(), "b", "left_anti")  # leaders that follow no other
+    one = sizes.select(F.col("id").alias("b"))
+    leads = leads.join(one, "b", "left_semi").select(F.col("a").alias("id"), F.col("b").alias("lead"), "both", "either")
+    known = sizes.join(leads, "id", "left").selectExpr("id", "n", "lead", "n - both d", "either - n e")
+    known = durable(known, "known")
+    side = lambda x: known.select(F.col("id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "lead", "d", "e")])
+    wide = durable(pairs.join(side("a"), "a", "left").join(side("b"), "b", "left"), "wide")
+    answers = durable(_verified(wide.where("lead_a is null and lead_b is null"), texts), "answers")
+
+    derived = wide.where("lead_a is not null or lead_b is not null")
+    derived = derived.selectExpr("a", "b", "n_a", "n_b", "coalesce(d_a, 0) + coalesce(d_b, 0) d", "coalesce(e_a, 0) + coalesce(e_b, 0) e", "n_a - coalesce(d_a, 0) + coalesce(e_a, 0) n_u", "n_b - coalesce(d_b, 0) + coalesce(e_b, 0) n_v",
+                                 "least(coalesce(lead_a, a), coalesce(lead_b, b)) u", "greatest(coalesce(lead_a, a), coalesce(lead_b, b)) v")
+    of = answers.groupBy(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).agg(F.max("both").alias("shared"), F.max(F.expr(link)).alias("linked"))
+    wanted, leaders = _least_overlap("n_a", "n_b", num, den), _least_overlap("n_u", "n_v", num, den)
+    derived = derived.join(of, ["u", "v"], "left").selectExpr("a", "b", f"{wanted} wanted", f"coalesce(shared, {leaders} - 1) + d most", "shared - e least", "coalesce(linked, false) linked")
+    derived = durable(derived.where("not linked and (most is null or most >= wanted)"), "derived")
+    sure = derived.where("least >= wanted").select("a", "b")
+    read = _verified(derived.where("least is null or least < wanted"), texts).where(link).select("a", "b")
+    return answers.where(link).select("a", "b").unionByName(sure).unionByName(read)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest id that links reach. Large and small stars in turn until nothing changes."""
     edges = durable(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
@@ -294,22 +350,24 @@ def similar_groups(docs: DataFrame, num: int = 3, den: int = 4, frequent: int =
 
     linked = rows.where("n > 0 and doc_id is not null")
     reps = durable(linked.groupBy("hi", "lo").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig")), "reps")
-    texts = _texts_by_id(docs, reps)
+    texts, name = _texts_by_id(docs, reps)
 
     points = reps.select("rep", F.size("sig").alias("k"), F.explode("sig").alias("tok"))
-    leaders = points.groupBy("tok").agg(F.min("rep").alias("leader"), F.count("*").alias("m")).where("m > 1").select("tok", "leader")
+    # Written first, so that the join has two plain shuffles (or a broadcast, if few are shared) and a hot shingle can be split.
+    leaders = durable(points.groupBy("tok").agg(F.min("rep").alias("leader"), F.count("*").alias("m")).where("m > 1").select("tok", "leader"), "leaders")
     votes = points.join(leaders, "tok").where("rep <> leader").groupBy("rep", "leader").agg(F.count("*").alias("votes"), F.max("k").alias("k")).where("votes >= 3 or 2 * votes >= k")
     chosen = votes.groupBy("rep").agg(F.expr("max_by(leader, struct(votes, -leader))").alias("b")).withColumnRenamed("rep", "a")
-    members = durable(_verified(chosen, texts).where(link).select("a", "b").distinct(), "members")
-    known = components(members)
+    members = durable(_verified(chosen, texts).where(link).groupBy("a", "b").agg(F.max("both").alias("both"), F.min("either").alias("either")), "members")
+    near = members.select("a", "b")
+    known = components(near)
     sets = texts.join(known.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("component", "id").alias("comp"), "text")
     pairs = durable(_candidates(_prefixes(sets, last, num, den), num, den), "pairs")
-    found_links = _verified(pairs, texts).where(link).select("a", "b")
+    found_links = _links(pairs, reps, members, texts, num, den)
 
     classes = linked.select("doc_id", "hi", "lo").join(reps.select("hi", "lo", "rep"), ["hi", "lo"])
     twice = classes.where("doc_id <> rep").join(reps.select(F.col("rep").alias("doc_id")).distinct(), "doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    edges = members.unionByName(found_links).unionByName(twice)
-    found = components(edges)
+    found = components(near.unionByName(found_links).unionByName(twice))
+    forget(docs.sparkSession, name)
 
     named = rows.select("doc_id", F.col("n").alias("n_shingles"), "hi", "lo").join(reps.select("hi", "lo", "rep"), ["hi", "lo"], "left")
     named = named.join(found, named["rep"] == found["node"], "left")

@@ -42,3 +42,17 @@ def durable(df: DataFrame, name: str) -> DataFrame:
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the decimal doc_id, modulo folds; a null doc_id is in fold 0."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % F.lit(folds), F.lit(0))
+
+
+def bucketed(df: DataFrame, column: str) -> tuple[DataFrame, str]:
+    """df as a table bucketed by a column, in the shared folder, and its name: later joins on the column move none of its rows.
+    Drop the table when nothing reads it any more."""
+    spark, name = df.sparkSession, f"sakuin_{uuid.uuid4().hex}"
+    size = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(size, column).option("path", f"{shared_dir(spark)}/{name}").option("compression", "zstd").saveAsTable(name)
+    return spark.table(name), name
+
+
+def forget(spark: SparkSession, name: str) -> None:
+    """Take a table out of the catalog; its files stay in the shared folder, as all others do, for recomputed tasks."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")

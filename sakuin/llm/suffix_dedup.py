@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import hashlib
 import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +26,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sakuin.llm.shared import durable, shared_dir
+from sakuin.llm.shared import bucketed, durable, forget
 
 LENGTH = 50
 PIECE = 22
@@ -351,16 +350,9 @@ def cut_text(text: str | None, marks: list[int] | None, whole: bool) -> str | No
     return _left_of(data, *spans_of(np.array(marks or [], np.int64), len(data))).decode("utf-8", "ignore")
 
 
-def _bucketed(df: DataFrame, column: str) -> DataFrame:
-    spark = df.sparkSession
-    name = f"sakuin_{uuid.uuid4().hex}"
-    df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), column).option("path", f"{shared_dir(spark)}/{name}").option("compression", "zstd").saveAsTable(name)
-    return spark.table(name)
-
-
-def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame, str, DataFrame]:
     """Of (doc_id, text): a row per document with sha256, tag, size and `whole` (a copy of a smaller document, which loses all it
-    has); the texts in question by id; and (id, marks) with the starts of repeated strings in texts that are no whole copies, each
+    has); the texts in question by id, and their table's name; and (id, marks) with the starts of repeated strings in texts that are no whole copies, each
     with its text's tag: texts under one id are told apart."""
     docs = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     base = durable(docs.select("doc_id", F.sha2("text", 256).alias("sha"), F.xxhash64("text").alias("tag"), F.octet_length("text").cast("long").alias("n_bytes")), "base")
@@ -373,10 +365,10 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     keys = numbered.mapInArrow(lambda it: _keys_of(it, buckets), _SENT).groupBy("bucket").applyInArrow(_shared_keys, _FOUND)
     judged = base.where("not whole and doc_id is not null").select("doc_id").distinct()
     lists = keys.join(judged, "doc_id", "left_semi").groupBy("doc_id").agg(F.collect_list("value").alias("lists"))
-    texts = _bucketed(numbered.join(lists, "doc_id").withColumnRenamed("doc_id", "id"), "id")
+    texts, name = bucketed(numbered.join(lists.hint("merge"), "doc_id").withColumnRenamed("doc_id", "id"), "id")
     rows = texts.select("id", "text", "lists").mapInArrow(lambda it: _rows_of(it, buckets), _SENT)
     marks = rows.groupBy("bucket").applyInArrow(_repeated, _FOUND).groupBy("doc_id").agg(F.collect_list(F.struct("tag", "value")).alias("marks")).withColumnRenamed("doc_id", "id")
-    return base, texts, durable(marks, "marks")
+    return base, texts, name, durable(marks, "marks")
 
 
 def own_marks(marks: Column, text: Column) -> Column:
@@ -391,7 +383,7 @@ def digests(docs: DataFrame) -> DataFrame:
     doc_id don't remove each other's strings, and each loses just what it repeats itself. Texts shorter than 50 bytes stay whole.
     An empty table gives an empty result; other columns are ignored.
     """
-    base, texts, marks = repeats(docs)
+    base, texts, name, marks = repeats(docs)
 
     def cut(batches):
         for batch in batches:
@@ -404,6 +396,8 @@ def digests(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sha, pa.string()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.string())], names=["doc_id", "sha", "removed", "spans", "kept"])
 
     cuts = texts.select("id", "text").join(marks, "id").select("id", "text", own_marks(F.col("marks"), F.col("text")).alias("marks")).mapInArrow(cut, "doc_id long, sha string, removed long, spans long, kept string").dropDuplicates(["doc_id", "sha"])
+    cuts = durable(cuts, "cuts")
+    forget(docs.sparkSession, name)
     nothing = hashlib.sha256(b"").hexdigest()
     return base.join(cuts, ["doc_id", "sha"], "left").select(
         "doc_id", "n_bytes", F.when(F.col("whole"), F.col("n_bytes")).otherwise(F.coalesce("removed", F.lit(0).cast("long"))).alias("n_removed"),

@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -227,10 +228,31 @@ def sets_of(texts):
     return out
 
 
-@pytest.mark.parametrize("seed", [5, 6])
-def test_jaccard_components(spark, seed):
-    texts = corpus(seed, 50) + [(2000 + k, " ".join(f"g{j}" for j in range(40)) + f" tail{k // 2} end{k}") for k in range(12)] + [(None, "no id at all here")]
-    got = jaccard_join.similar_groups(docs_of(spark, texts), frequent=64).collect()
+def families(seed):
+    """Leaders of 60 words with members that differ in a few, and families that differ from each other about as much as links allow."""
+    r = random.Random(seed)
+    word = lambda: "w" + str(r.randrange(10**6))
+    out, first = [], [word() for _ in range(60)]
+    for f in range(6):
+        own = list(first)
+        for _ in range(r.choice([1, 2, 3])):
+            own[r.randrange(60)] = word()
+        for _ in range(6):
+            member = list(own)
+            for _ in range(r.choice([0, 1, 1, 2])):
+                member[r.randrange(60)] = word()
+            out.append((5000 + len(out), " ".join(member[r.randrange(3) :] + [word() for _ in range(r.choice([0, 0, 3, 9]))])))
+        if f % 2:
+            first = own
+    return out
+
+
+@pytest.mark.parametrize(("seed", "long"), [(5, 4096), (6, 2), (7, 2)])
+def test_jaccard_components(spark, monkeypatch, seed, long):
+    monkeypatch.setattr(jaccard_join, "LONG", long)
+    texts = corpus(seed, 50) + families(seed) + [(2000 + k, " ".join(f"g{j}" for j in range(40)) + f" tail{k // 2} end{k}") for k in range(12)] + [(None, "no id at all here")]
+    got = jaccard_join.similar_groups(docs_of(spark, texts), frequent=64 if seed < 7 else 3).collect()
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("sakuin_")]
     sets = sets_of(texts)
     parent = {i: i for i in sets if i is not None}
 
@@ -253,6 +275,15 @@ def test_jaccard_components(spark, seed):
             assert r["component_id"] == r["doc_id"]
 
 
+def test_long_lists_come_whole():
+    tok = np.sort(np.random.default_rng(3).integers(0, 9, 500))
+    batches = [pa.record_batch({"tok": tok[a : a + 30], "at": np.arange(a, min(a + 30, 500))}) for a in range(0, 500, 30)]
+    tables = list(jaccard_join._by_list(batches, 40, lambda t: t))
+    assert np.concatenate([t.column(1).to_numpy() for t in tables]).tolist() == list(range(500)) and len(tables) > 3
+    seen = [set(t.column(0).to_pylist()) for t in tables]
+    assert all(not a & b for a, b in itertools.combinations(seen, 2))
+
+
 def test_jaccard_empty(spark):
     assert jaccard_join.similar_groups(docs_of(spark, [(1, "a b c")]).limit(0)).count() == 0
 
@@ -648,3 +679,24 @@ def test_pipeline(spark, tmp_path):
     assert clean.count() < cut.count()
     check_packing(stage["packing"](spark, clean, str(tmp_path)).collect(), [(r["doc_id"], r["text"]) for r in clean.collect()], 1024)
     assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
+    for name, f in corpus_pipeline.STAGES:
+        empty = f(spark, docs.limit(0), str(tmp_path))
+        assert empty.count() == 0 and (name == "packing" or empty.columns == docs.columns)
+
+
+def test_pipeline_stages_with_clashing_columns(spark, tmp_path):
+    import corpus_pipeline
+
+    passage = "a passage that more than one of these documents holds and that is long enough to be cut out "
+    texts = [(1, "one " + passage + "end of it"), (2, passage + "two and more words"), (2, "nothing in common with any other text of this table at all"), (3, "one " + passage + "end of it"), (None, passage), (4, None)]
+    names = ["marks", "whole", "id", "out", "score", "lang_pred", "tag", "copies"]
+    rows = [(i, t, "aa", "s", len(t or ""), *[f"{c}{k}" for c in names]) for k, (i, t) in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in names))
+    spark.createDataFrame([(1, "no text of the table holds this benchmark item whatever")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, str(tmp_path))
+        assert got.columns == docs.columns
+        assert {r["marks"]: r["copies"] for r in got.collect()}.items() <= {f"marks{k}": f"copies{k}" for k in range(6)}.items(), name
+    cut = {r["marks"]: r["text"] for r in corpus_pipeline.passage_stage(spark, docs, str(tmp_path)).collect()}
+    assert "marks3" not in cut and "marks5" not in cut and cut["marks2"] == texts[2][1] and cut["marks4"] == passage
+    assert len(cut["marks1"]) < 30 and cut["marks1"].endswith("two and more words")
