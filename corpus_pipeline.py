@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sakuin.llm import decontamination, jaccard_join, language_id, packing, suffix_dedup
-from sakuin.llm.shared import durable, fold
+from sakuin.llm.shared import durable, fold, forget
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +47,8 @@ def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     Null, empty and blank texts go. Texts under one doc_id are cut each for itself; rows without doc_id stay whole. n_chars follows
     the text where it is there. An empty table stays empty; other columns are kept whatever their names.
     """
-    base, _, marks = suffix_dedup.repeats(docs)
+    base, _, table, marks = suffix_dedup.repeats(docs)
+    forget(spark, table)
     copies = base.where("whole").groupBy(F.col("doc_id").alias("id")).agg(F.collect_set("tag").alias("copies"))
     columns = docs.columns
     key, found, whole = (_fresh(c, docs) for c in ("id", "marks", "whole"))
