@@ -131,7 +131,8 @@ def _texts_by_id(docs: DataFrame, reps: DataFrame) -> tuple[DataFrame, str]:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b) with the exact sizes of intersection and union, from the texts."""
+    """(a, b) with the exact sizes of intersection and union, from the texts. The texts in question are written once for both sides,
+    so that the joins have plain shuffles and a set with very many pairs can be split. pairs: a written table."""
 
     def measure(batches):
         for batch in batches:
@@ -143,8 +144,10 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 inter.append(k), union.append(len(s) + len(t) - k)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(inter, pa.int64()), pa.array(union, pa.int64())], names=["a", "b", "both", "either"])
 
-    first = pairs.select("a", "b").join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
-    second = first.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    some = durable(texts.join(ids, "id"), "texts")
+    first = pairs.select("a", "b").join(some.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
+    second = first.join(some.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
     return second.mapInArrow(measure, "a long, b long, both long, either long")
 
 
@@ -356,7 +359,7 @@ def similar_groups(docs: DataFrame, num: int = 3, den: int = 4, frequent: int =
     # Written first, so that the join has two plain shuffles (or a broadcast, if few are shared) and a hot shingle can be split.
     leaders = durable(points.groupBy("tok").agg(F.min("rep").alias("leader"), F.count("*").alias("m")).where("m > 1").select("tok", "leader"), "leaders")
     votes = points.join(leaders, "tok").where("rep <> leader").groupBy("rep", "leader").agg(F.count("*").alias("votes"), F.max("k").alias("k")).where("votes >= 3 or 2 * votes >= k")
-    chosen = votes.groupBy("rep").agg(F.expr("max_by(leader, struct(votes, -leader))").alias("b")).withColumnRenamed("rep", "a")
+    chosen = durable(votes.groupBy("rep").agg(F.expr("max_by(leader, struct(votes, -leader))").alias("b")).withColumnRenamed("rep", "a"), "chosen")
     members = durable(_verified(chosen, texts).where(link).groupBy("a", "b").agg(F.max("both").alias("both"), F.min("either").alias("either")), "members")
     near = members.select("a", "b")
     known = components(near)
