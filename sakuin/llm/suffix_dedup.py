@@ -182,7 +182,7 @@ HELD = 1 << 18  # stretches that a task compares with each other
 
 def _settled(held: dict, buckets: int) -> pa.RecordBatch:
     """Of equal stretches only the smallest document's go on, packed by bucket; for the others all their strings are repeated."""
-    pack = zstandard.ZstdCompressor(level=1).compress
+    pack = zstandard.ZstdCompressor(level=3).compress
     marks, width = {}, {}
     for (key, off, data), found in held.items():
         least = min(found)[0]
