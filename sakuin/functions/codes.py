@@ -50,6 +50,7 @@ def sheet_code(normalized: Column) -> Column:
     return F.when(local.isNotNull(), F.struct(local.alias("local_code"), F.when(whole, number).alias("full_code")))
 
 
+# The shapes that notices print codes in.
 _SEPARATOR = "\\s*[,，.\\-－・]\\s*"
 _PRINTED = f"^(?:[0-9]{{1,3}}{_SEPARATOR}[0-9]{{3,4}}{_SEPARATOR}[0-9]|[0-9]{{3}}\\s+[0-9]{{3}}\\s*[.．]\\s*[0-9]|[0-9]{{2}}\\s*[-－]\\s*[0-9]{{5}}|[0-9]{{7}}|[0-9]{{10}})\\z"
 

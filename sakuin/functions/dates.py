@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 # Year before the first year of each era.
 ERAS = {"令和": 2018, "平成": 1988, "昭和": 1925}
 
+# The forms that dates are written in.
 _ERA = "(令和|平成|昭和)\\s*(元|[0-9]{1,2})\\s*年\\s*([0-9]{1,2})\\s*月\\s*([0-9]{1,2})\\s*日"
 _WESTERN = "(?:^|[^0-9])([0-9]{4})[年/\\-.]([0-9]{1,2})[月/\\-.]([0-9]{1,2})日?(?:[^0-9]|\\z)"
 _SHORT = "(?i)(?:R|R\\.|R-)\\s*([0-9]{1,2})[年./\\-]\\s*([0-9]{1,2})[月./\\-]\\s*([0-9]{1,2})日?"
@@ -72,9 +73,22 @@ def cell_dates(c: Column) -> Column:
     return F.when(serial.isNotNull(), F.array(serial)).otherwise(_all(text, f"{_ANY_ERA}|{_ANY_WESTERN}"))
 
 
+NOTHING = "—"
+
+
 def long_date(c: Column) -> Column:
-    return F.coalesce(F.date_format(c, "yyyy年M月d日"), F.lit("—"))
+    """A date, or text that holds one, in words; other text as it is, nothing as a dash."""
+    raw = c.cast("string")
+    return F.coalesce(F.date_format(F.call_function("try_to_date", raw), "yyyy年M月d日"), F.nullif(raw, F.lit("")), F.lit(NOTHING))
 
 
 def tokyo_time(c: Column) -> Column:
-    return F.coalesce(F.date_format(F.from_utc_timestamp(c, "Asia/Tokyo"), "yyyy/MM/dd HH:mm"), F.lit("—"))
+    """A moment, or text that holds one (without a zone: of the session's), as Tokyo's clock shows it; other text as it is, nothing as a dash."""
+    raw = c.cast("string")
+    there = F.convert_timezone(None, F.lit("Asia/Tokyo"), F.call_function("try_to_timestamp", raw).cast("timestamp_ntz"))
+    return F.coalesce(F.date_format(there, "yyyy/MM/dd HH:mm"), F.nullif(raw, F.lit("")), F.lit(NOTHING))
+
+
+def grouped_number(c: Column) -> Column:
+    """A whole number with its thousands apart; nothing as a dash."""
+    return F.coalesce(F.format_number(c, 0), F.lit(NOTHING))

@@ -70,20 +70,28 @@ def split_names(c: Column) -> Column:
     return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), "\\r?\\n"), squeeze), lambda x: x != "")
 
 
+# Postal codes, acceptance numbers with the look-alikes of optical recognition, and lines that name no filing.
+POSTAL = "〒\\s*[0-9]{3}\\s*[-ー－]?\\s*[0-9]{4}"
+ACCEPTANCE = "[（(]([^（）()]+)[）)]\\s*[第策笠]\\s*([^第策笠（）()\\s]*?)\\s*[号旨旭三]"
+NO_NAME = ("[：:]", "^(?:病床|病棟|区分|届出を行う点数|看護|配置|有\\z|無\\z)", "^[0-9①-⑳]")
+
+
 def clean_address(normalized: Column) -> Column:
-    text = F.regexp_replace(F.regexp_replace(normalized, "〒\\s*[0-9]{3}\\s*[-ー－]?\\s*[0-9]{4}", ""), f"{WHITE}+", "")
+    text = F.regexp_replace(F.regexp_replace(normalized, POSTAL, ""), f"{WHITE}+", "")
     return F.nullif(F.regexp_replace(text, "^[|_]+", ""), F.lit(""))
 
 
 def acceptance(normalized: Column) -> Column:
     """struct(abbreviation, acceptance_number) of a bracketed abbreviation with its number, tolerant of look-alikes; else null."""
-    pattern = "[（(]([^（）()]+)[）)]\\s*[第策笠]\\s*([^第策笠（）()\\s]*?)\\s*[号旨旭三]"
-    number = F.concat(F.lit("第"), F.regexp_replace(F.regexp_extract(normalized, pattern, 2), f"{WHITE}+", ""), F.lit("号"))
-    return F.when(normalized.rlike(pattern), F.struct(squeeze(F.regexp_extract(normalized, pattern, 1)).alias("abbreviation"), number.alias("acceptance_number")))
+    number = F.concat(F.lit("第"), F.regexp_replace(F.regexp_extract(normalized, ACCEPTANCE, 2), f"{WHITE}+", ""), F.lit("号"))
+    return F.when(normalized.rlike(ACCEPTANCE), F.struct(squeeze(F.regexp_extract(normalized, ACCEPTANCE, 1)).alias("abbreviation"), number.alias("acceptance_number")))
 
 
 def is_standard_name(normalized: Column) -> Column:
-    return (normalized != "") & ~normalized.rlike("[：:]") & ~normalized.rlike("^(?:病床|病棟|区分|届出を行う点数|看護|配置|有\\z|無\\z)") & ~normalized.rlike("^[0-9①-⑳]")
+    good = normalized != ""
+    for pattern in NO_NAME:
+        good &= ~normalized.rlike(pattern)
+    return good
 
 
 def category_label(c: Column) -> Column:

@@ -51,6 +51,23 @@ def gates(facilities: DataFrame, facility_source: DataFrame, documents: DataFram
     return out.withColumn("passed", F.col("found") >= F.col("least"))
 
 
+def date_gates(manifest: DataFrame, sources: DataFrame) -> DataFrame:
+    """Gates like those of gates: the register and each of its sources must have a date. manifest: one row with as_of; sources:
+    source_id, as_of (see source_manifest)."""
+    one, found = F.lit(1).cast("long").alias("least"), F.col("as_of").isNotNull().cast("long").alias("found")
+    rows = manifest.select(F.lit("date").alias("gate"), F.lit("register").alias("subject"), found, one)
+    return rows.unionByName(sources.select(F.lit("date").alias("gate"), F.col("source_id").cast("string").alias("subject"), found, one)).withColumn("passed", F.col("found") >= F.col("least"))
+
+
+def discovery_gates(found: DataFrame, sources: DataFrame) -> DataFrame:
+    """Gates like those of gates: each source must offer a document and a date. found: source_id, url, as_of."""
+    sums = found.groupBy("source_id").agg(F.count("url").alias("links"), F.count("as_of").alias("dates"))
+    rows = sources.select("source_id").join(sums, "source_id", "left")
+    sides = F.explode(F.array(*[F.struct(F.lit(g).alias("gate"), F.coalesce(c, F.lit(0).cast("long")).alias("found")) for g, c in (("page date", "dates"), ("page links", "links"))]))
+    rows = rows.select(F.col("source_id").cast("string").alias("subject"), sides.alias("g")).select("g.gate", "subject", "g.found", F.lit(1).cast("long").alias("least"))
+    return rows.withColumn("passed", F.col("found") >= F.col("least"))
+
+
 def require(checked: DataFrame) -> DataFrame:
     """The gates as they are, or an error that names the first that failed."""
     failed = checked.where("not passed").orderBy("gate", "subject").first()

@@ -10,8 +10,8 @@ from sakuin.functions.text import utf16_length
 
 
 def longest(value: Column, order: Column) -> Column:
-    """The longest value by UTF-16 units, the first in order among equals."""
-    return F.max_by(value, F.struct(utf16_length(value), -order))
+    """The longest value by UTF-16 units, the first in order (any type) among equals."""
+    return F.min_by(value, F.when(value.isNotNull(), F.struct(-utf16_length(value), order)))
 
 
 def first_value(value: Column, order: Column) -> Column:

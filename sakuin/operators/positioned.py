@@ -15,7 +15,11 @@ def segments(rows: DataFrame, partition: list[str], order: str, starts: Column,
     return rows.withColumn(name, F.sum(F.when(starts, 1).otherwise(0)).over(window).cast("long"))
 
 
+# How far a line's items may lie below its first, how sure a recognised word must be, and how far from an acceptance
+# line of a scanned page its date may lie.
 LINE_GAP = 1.5
+CONFIDENCE = 25
+DATE_REACH = 20
 PAGE = ["document_url", "page"]
 
 # Default columns of scanned pages, as (code, name, address, address end, content, content end).
@@ -40,6 +44,14 @@ def lines(items: DataFrame) -> DataFrame:
     return items.select("document_url", "page", "x", "y", "text", "ord").groupBy(*PAGE).applyInPandas(walk, _LINE_OF)
 
 
+def recognised(items: DataFrame) -> DataFrame:
+    """Words that optical recognition is sure enough of, with its look-alikes replaced; text of other pages as it is. items may have
+    a column confidence (0 to 100; null and absent: sure)."""
+    if "confidence" in items.columns:
+        items = items.where(~F.coalesce("ocr", F.lit(False)) | (F.coalesce(F.col("confidence"), F.lit(100)) >= CONFIDENCE)).drop("confidence")
+    return items.withColumn("text", F.when(F.col("ocr"), text.ocr_text(F.col("text"))).otherwise(F.col("text")))
+
+
 def columns(items: DataFrame) -> DataFrame:
     """Column positions of each page by its headers, or the defaults of scanned pages; pages without either have no row.
 
@@ -70,11 +82,11 @@ def columns(items: DataFrame) -> DataFrame:
 def change_events(items: DataFrame, documents: DataFrame, prefectures: list[tuple[str, str]]) -> tuple[DataFrame, DataFrame]:
     """(events, pages) of positioned text.
 
-    items: document_url, page, x, y, text, ocr; documents: document_url, sha256, source_id, page_url, published_at, action,
+    items: document_url, page, x, y, text, ocr and perhaps confidence; documents: document_url, sha256, source_id, page_url, published_at, action,
     category_hint, prefecture_code_hint, context. events has one row per change with its facility; pages has accepted and parsed
     counts. Records without a name have no events.
     """
-    items = items.withColumn("ord", F.row_number().over(Window.partitionBy(*PAGE).orderBy("y", "x", "text"))).withColumn("norm", text.normalize_text(F.col("text")))
+    items = recognised(items).withColumn("ord", F.row_number().over(Window.partitionBy(*PAGE).orderBy("y", "x", "text"))).withColumn("norm", text.normalize_text(F.col("text")))
     meta = documents.withColumnRenamed("sha256", "document_sha256")
     items = items.join(meta.select("document_url", "action"), "document_url")
     where = columns(items)
@@ -119,7 +131,7 @@ def change_events(items: DataFrame, documents: DataFrame, prefectures: list[tupl
     is_name = F.col("accepted").isNull() & (F.col("min_x") <= F.col("c_content") + 22) & text.is_standard_name(F.col("content"))
     named = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(is_name, F.struct("line", "content")))), lambda s: s["content"]), "")
     stretch = added.groupBy(*part).agg(named.alias("standard_name"), F.max_by(F.struct("line", "y", "accepted", "full", "ocr"), F.when(F.col("accepted").isNotNull(), F.col("line"))).alias("a")).where("a is not null")
-    near = stretch.select(*part, F.col("a.y").alias("ay")).join(added.select(*key, "y", "full"), key).where("abs(y - ay) <= 20").groupBy(*part).agg(F.max(dates.max_date(dates.dates_in_text(F.col("full")))).alias("near_date"))
+    near = stretch.select(*part, F.col("a.y").alias("ay")).join(added.select(*key, "y", "full"), key).where(f"abs(y - ay) <= {DATE_REACH}").groupBy(*part).agg(F.max(dates.max_date(dates.dates_in_text(F.col("full")))).alias("near_date"))
     squash = lambda c: F.when(F.col("a.ocr"), F.regexp_replace(c, f"{text.WHITE}+", "")).otherwise(c)
     added = stretch.join(near, part, "left").select(*key, F.col("a.line").alias("line"), F.nullif(squash(F.col("a.accepted.abbreviation")), F.lit("")).alias("abbreviation"), F.nullif(squash(F.col("standard_name")), F.lit("")).alias("standard_name"), F.col("a.accepted.acceptance_number").alias("acceptance_number"), F.when(F.col("a.ocr"), F.col("near_date")).otherwise(dates.max_date(dates.dates_in_text(F.col("a.full")))).alias("effective_from"))
 

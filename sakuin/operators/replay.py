@@ -48,9 +48,15 @@ def overlay_index(base: DataFrame, changes: DataFrame) -> DataFrame:
     return base.join(changes, "code", "left_anti").unionByName(changes)
 
 
+_FACTS = {"published_at": "date", "page": "int", "extraction_method": "string"}
+
+
 def provenance(snapshot: DataFrame, events: DataFrame) -> DataFrame:
-    """(code, url) with its source: an event's document overrides the snapshot's, the last event overrides earlier ones."""
-    rows = snapshot.select("code", "url", "source_id", F.lit(0).alias("kind"), F.lit(0).alias("seq"))
+    """(code, url) with its source, kind (0: snapshot, 1: change) and the facts of publication date, page and extraction method: an
+    event's document overrides the snapshot's, the last event overrides earlier ones. Columns of facts may be missing."""
+    facts = lambda df: [F.col(c) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in _FACTS.items()]
+    rows = snapshot.select("code", "url", "source_id", F.lit(0).alias("kind"), F.lit(0).alias("seq"), *facts(snapshot))
     numbered = events.withColumn("seq", F.row_number().over(Window.partitionBy("code").orderBy(*event_order())))
-    rows = rows.unionByName(numbered.select("code", "url", "source_id", F.lit(1).alias("kind"), "seq"))
-    return rows.groupBy("code", "url").agg(F.max_by("source_id", F.struct("kind", "seq")).alias("source_id"), F.max("kind").alias("kind"))
+    rows = rows.unionByName(numbered.select("code", "url", "source_id", F.lit(1).alias("kind"), "seq", *facts(numbered)))
+    last = F.max_by(F.struct("source_id", "kind", *_FACTS), F.struct("kind", "seq")).alias("last")
+    return rows.groupBy("code", "url").agg(last).select("code", "url", "last.*")

@@ -11,6 +11,12 @@ def matches(index: DataFrame, query: str) -> DataFrame:
     return index.where(F.col("name_norm").contains(query)) if query else index.limit(0)
 
 
+def by_name(filings: DataFrame, *keys: str, collation: str | None = "ja") -> DataFrame:
+    """Filings in Japanese order of their names (abbreviations where they have none), then by keys."""
+    name = F.coalesce("standard_name", "abbreviation", F.lit(""))
+    return filings.orderBy(F.collate(name, collation) if collation else name, *keys)
+
+
 def ranked(found: DataFrame, query: str, limit: int, collation: str | None = "ja") -> DataFrame:
     """Names that begin with the query first, then by name; one pass that keeps `limit` rows a task."""
     name = F.collate(F.col("name"), collation) if collation else F.col("name")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sakuin.functions import codes, text
@@ -10,8 +10,10 @@ from sakuin.operators import manifests, merge, positioned, sheets
 from sakuin.sources import registers, workbooks
 
 
-def _json_date(c: str) -> Column:
-    return F.date_format(c, "yyyy-MM-dd")
+def kept(df: DataFrame) -> DataFrame:
+    """df as a table that several others read: a checkpoint in the folder that the session names, so that a lost executor costs no
+    parsing; without one, a cache, whose lost parts are made anew."""
+    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.cache()
 
 
 def snapshot_tables(documents: DataFrame, files: DataFrame, sources: DataFrame, minimum: int = 100_000, checked: bool = True) -> dict[str, DataFrame]:
@@ -24,15 +26,12 @@ def snapshot_tables(documents: DataFrame, files: DataFrame, sources: DataFrame,
     rows = workbooks.worksheet_rows(workbooks.workbooks(files.join(meta.select("document_url"), "document_url", "left_semi")))
     found, quarantine = sheets.records(rows, meta, registers.PREFECTURES, registers.BUREAU_PREFECTURES)
     # One order over all documents, as if they were read one after another.
-    found = found.drop("ord").withColumnRenamed("ord_key", "ord").cache()  # every table below reads it; lost parts are made anew
+    found = kept(found.drop("ord").withColumnRenamed("ord_key", "ord"))
     order = F.struct(F.col("ord"), F.col("pos"))
     facility = found.groupBy("code").agg(
-        F.max_by("name", F.struct(text.utf16_length(F.col("name")))).alias("any_name"), F.max(text.utf16_length(F.col("name"))).alias("length"),
-        F.min_by("address", F.when(F.col("address").isNotNull(), order)).alias("address"), F.max("as_of").alias("as_of"),
+        merge.longest(F.col("name"), order).alias("name"), merge.first_value(F.col("address"), order).alias("address"), F.max("as_of").alias("as_of"),
         *[F.min_by(c, order).alias(c) for c in ("category", "prefecture_code", "local_code")],
     )
-    names = found.join(facility.select("code", "length"), "code").where(text.utf16_length(F.col("name")) == F.col("length")).groupBy("code").agg(F.min_by("name", order).alias("name"))
-    facility = facility.drop("any_name", "length").join(names, "code")
     filings = merge.distinct_filings(found.select("code", "ord", "pos", *merge.FILING))
     sources_of = merge.distinct_sources(found.select("code", "ord", "source_id", "bureau_name", "page_url", F.col("document_url").alias("url"), "document_sha256", "workbook", "worksheet")).drop("ord")
     listed = filings.withColumn("standard_id", codes.standard_id(F.col("abbreviation"), F.col("standard_name")))
@@ -40,12 +39,14 @@ def snapshot_tables(documents: DataFrame, files: DataFrame, sources: DataFrame,
     filing = listed.groupBy("code").agg(place.alias("f")).select("code", F.posexplode("f").alias("pos", "f")).select("code", "pos", "f.standard_id", "f.acceptance_number", "f.effective_from")
     used = meta.select("source_id", F.col("document_url").alias("url"), "sha256", "as_of")
     links = sources_of.select("code", "source_id").distinct()
+    total, per_source = manifests.global_manifest(facility, filing), manifests.source_manifest(sources.select("source_id"), links, used)
     if checked:
         manifests.require(manifests.gates(facility, links, used, sources, minimum))
+        manifests.require(manifests.date_gates(total, per_source))
     return {
         "facility": facility, "filing": filing, "source": sources_of, "catalog": merge.catalog(filings), "quarantine": quarantine,
         "search_index": facility.select("code", "name", "address", "category", text.facility_name(F.col("name")).alias("name_norm")),
-        "manifest": manifests.global_manifest(facility, filing), "manifest_source": manifests.source_manifest(sources.select("source_id"), links, used),
+        "manifest": total, "manifest_source": per_source,
     }
 
 
@@ -56,19 +57,17 @@ def change_tables(documents: DataFrame, items: DataFrame, base_as_of, checked: b
     items: document_url, page, x, y, text, ocr.
     """
     meta = documents.select(F.col("url").alias("document_url"), "sha256", "source_id", "page_url", "published_at", "action", F.col("category").alias("category_hint"), "prefecture_code_hint", "context")
-    found, pages = (t.cache() for t in positioned.change_events(items, meta, registers.PREFECTURES))
+    found, pages = (kept(t) for t in positioned.change_events(items, meta, registers.PREFECTURES))
     if checked:
         failed = manifests.parse_rates(pages).where("not passed").orderBy("document_url").first()
         if failed:
             raise ValueError(f"{failed['document_url']}: {failed['parsed']} of {failed['accepted']} filings could be read")
     events = found.dropDuplicates(["code", "id"]).withColumnRenamed("document_url", "url").withColumn("source_page_url", F.col("page_url"))
-    rows = events.withColumn("ord", F.struct("url", "page", "line")).withColumn("size", text.utf16_length(F.col("name")))
-    best = rows.groupBy("code").agg(F.max("size").alias("most"))
-    name = rows.join(best, "code").where("size = most").groupBy("code").agg(F.min_by("name", "ord").alias("name"))
-    facility = rows.groupBy("code").agg(F.min_by("address", F.when(F.col("address").isNotNull(), F.col("ord"))).alias("address"), F.min_by("category", "ord").alias("category"), F.max("published_at").alias("latest_as_of")).join(name, "code")
-    kept = ["code", "id", "action", "published_at", "standard_id", "abbreviation", "standard_name", "acceptance_number", "effective_from", "url", "source_id", "source_page_url", "page", "document_sha256", "extraction_method"]
+    order = F.struct("url", "page", "line")
+    facility = events.groupBy("code").agg(merge.longest(F.col("name"), order).alias("name"), merge.first_value(F.col("address"), order).alias("address"), F.min_by("category", order).alias("category"), F.max("published_at").alias("latest_as_of"))
+    columns = ["code", "id", "action", "published_at", "standard_id", "abbreviation", "standard_name", "acceptance_number", "effective_from", "url", "source_id", "source_page_url", "page", "document_sha256", "extraction_method"]
     return {
-        "change_event": events.select(*kept), "change_facility": facility, "change_search_index": facility.select("code", "name", "address", "category", text.facility_name(F.col("name")).alias("name_norm")),
+        "change_event": events.select(*columns), "change_facility": facility, "change_search_index": facility.select("code", "name", "address", "category", text.facility_name(F.col("name")).alias("name_norm")),
         "change_manifest": manifests.change_manifest(events, meta, base_as_of),
         "change_warning": pages.where("parsed = 0 or ocr").select("document_url", "page", F.when(F.col("parsed") == 0, "no rows").otherwise("scanned page").alias("problem")),
     }

@@ -6,9 +6,10 @@ import argparse
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
-from sakuin.operators import discovery
-from sakuin.plans import build, sinks
+from sakuin.operators import discovery, manifests
+from sakuin.plans import build, client, sinks
 from sakuin.sources import registers, workbooks
 
 
@@ -20,30 +21,46 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> No
     parser.add_argument("--files", help="Parquet of document_url, content; for changes Parquet of positioned text with sha256")
     parser.add_argument("--out", help="folder to publish in")
     parser.add_argument("--root", default="", help="folder that --out must lie inside")
-    parser.add_argument("--base", help="date of the register that changes refer to")
+    parser.add_argument("--base", help="date of the register that changes refer to; by default that of the published one")
+    parser.add_argument("--json", help="folder for the published layer as JSON shards")
     parser.add_argument("--min-facilities", type=int, default=100_000)
     o = parser.parse_args(args)
     spark = spark or SparkSession.builder.getOrCreate()
     pages = spark.read.parquet(o.pages)
     if o.command == "update-recent":
-        found = discovery.change_documents(pages, o.base)
+        base = o.base or client.Register(spark, o.out).manifest().first()["as_of"]
+        if not {"source_id", "prefecture_code_hint"} <= set(pages.columns):
+            pages = pages.select("page_url", "html").join(registers.change_pages(spark), "page_url")
+        found = discovery.change_documents(pages, base)
         items = spark.read.parquet(o.files)
         known = items.select("document_url", "sha256").distinct().withColumnRenamed("document_url", "url")
-        tables = build.change_tables(found.join(known, "url"), items.drop("sha256"), o.base)
-        result = tables["change_manifest"]
+        tables = build.change_tables(found.join(known, "url"), items.drop("sha256"), base)
+        layer, result = "changes", "change_manifest"
     else:
-        found = discovery.monthly_documents(pages.join(registers.bureaus(spark), "page_url"))
+        bureaus = registers.bureaus(spark)
+        found = discovery.monthly_documents(pages.select("page_url", "html").join(bureaus, "page_url"))
         if o.command == "discover":
             for row in found.orderBy("source_id", "url").toJSON().toLocalIterator():
                 sys.stdout.write(row + "\n")
             return
-        from pyspark.sql import functions as F
-
+        offered = pages.join(bureaus, "page_url").select("source_id").distinct()
+        manifests.require(manifests.discovery_gates(found, offered))
         files = workbooks.within(spark.read.parquet(o.files), F.octet_length("content"), "document_url").withColumn("sha256", F.sha2("content", 256))
-        tables = build.snapshot_tables(found, files, registers.bureaus(spark), o.min_facilities)
-        result = tables["manifest"]
-    sinks.Publication(spark, o.out, o.root or o.out.rpartition("/")[0]).publish(tables)
-    sys.stdout.write(sinks.one_json(result))
+        tables = build.snapshot_tables(found, files, offered, o.min_facilities)
+        layer, result = "snapshot", "manifest"
+    published = sinks.Publication(spark, o.out, o.root or o.out.rpartition("/")[0]).publish(tables, layer)[layer]
+    read = lambda name: spark.read.parquet(f"{published}/{name}")
+    if o.json:
+        if layer == "snapshot":
+            source = read("source").withColumnRenamed("url", "document_url")
+            sinks.write_json(sinks.shard_json(read("facility").drop("prefix"), read("filing").drop("prefix").withColumnRenamed("pos", "ord"), source.drop("prefix")), f"{o.json}/facilities")
+            sinks.write_json(sinks.catalog_json(read("catalog")), f"{o.json}/catalog")
+            sinks.write_json(sinks.search_json(read("search_index")), f"{o.json}/search")
+        else:
+            sinks.write_json(sinks.change_shard_json(read("change_facility").drop("prefix"), read("change_event").drop("prefix"), base), f"{o.json}/changes/facilities")
+            sinks.write_json(sinks.search_json(read("change_search_index")), f"{o.json}/changes/search")
+        read(result).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").text(f"{o.json}/{result}")
+    sys.stdout.write(sinks.one_json(read(result)))
 
 
 if __name__ == "__main__":

@@ -7,8 +7,9 @@ import unicodedata
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sakuin.functions import codes, text
+from sakuin.functions import codes, links, text
 from sakuin.operators import replay, search
+from sakuin.plans.sinks import layers
 
 LAYERS = {
     "facility": "code string, name string, address string, category string, as_of date",
@@ -17,7 +18,7 @@ LAYERS = {
     "catalog": "standard_id string, abbreviation string, standard_name string",
     "search_index": "code string, name string, address string, category string, name_norm string",
     "change_facility": "code string, name string, address string, category string, latest_as_of date",
-    "change_event": "code string, id string, action string, published_at date, standard_id string, abbreviation string, standard_name string, acceptance_number string, effective_from date, url string, source_id string, source_page_url string, page int",
+    "change_event": "code string, id string, action string, published_at date, standard_id string, abbreviation string, standard_name string, acceptance_number string, effective_from date, url string, source_id string, source_page_url string, page int, extraction_method string",
     "change_search_index": "code string, name string, address string, category string, name_norm string",
 }
 OPTIONAL = ("change_facility", "change_event", "change_search_index", "change_manifest")
@@ -37,31 +38,38 @@ def normalize_code(value: str) -> str:
 
 
 class Register:
-    """Tables of one published version. Tables of the change layer may be missing and count as empty then."""
+    """The layers published below a folder. Before the first publication of changes, their tables count as empty."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path, self._held = spark, path.rstrip("/"), {}
+        self._layers = layers(spark, self.path)
 
-    def table(self, name: str) -> DataFrame:
+    def table(self, name: str) -> DataFrame | None:
         if name not in self._held:
-            spark = self.spark
-            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-            if name in OPTIONAL and not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
-                self._held[name] = spark.createDataFrame([], LAYERS[name]) if name in LAYERS else None
+            folder = self._layers.get("changes" if name in OPTIONAL else "snapshot")
+            if folder is None and name in OPTIONAL:
+                self._held[name] = self.spark.createDataFrame([], LAYERS[name]) if name in LAYERS else None
+            elif folder is None:
+                raise ValueError(f"{self.path} has no published register")
             else:
-                self._held[name] = spark.read.parquet(f"{self.path}/{name}")
+                self._held[name] = self.spark.read.parquet(f"{folder}/{name}")
         return self._held[name]
 
     def clear_cache(self) -> None:
+        """Forget what was read; the next call sees the newest publication."""
         self._held.clear()
+        self._layers = layers(self.spark, self.path)
+
+    def _shard(self, name: str, code: str | None) -> DataFrame:
+        """Rows that share the code's prefix, or all; with their prefix."""
+        df = self.table(name).drop("prefix") if code is None else self.table(name)
+        if code is not None:
+            df = df.where(F.col("prefix") == code[: codes.PREFIX]) if "prefix" in df.columns else df.where(F.col("code").startswith(code[: codes.PREFIX]))
+        return df.withColumn("prefix", F.substring("code", 1, codes.PREFIX))
 
     def _of(self, name: str, code: str | None) -> DataFrame:
-        df = self.table(name)
-        if code is None:
-            return df
-        if "prefix" in df.columns:
-            df = df.where(F.col("prefix") == code[: codes.PREFIX])
-        return df.where(F.col("code") == code)
+        df = self._shard(name, code).drop("prefix")
+        return df if code is None else df.where(F.col("code") == code)
 
     def manifest(self) -> DataFrame:
         return self.table("manifest")
@@ -69,13 +77,17 @@ class Register:
     def change_manifest(self) -> DataFrame | None:
         return self.table("change_manifest")
 
+    def _dates(self, code: str | None) -> DataFrame:
+        """(prefix, snapshot_as_of, as_of): the date of each shard, and the newest of it and its changes."""
+        sides = [self._shard(t, code).groupBy("prefix").agg(F.max(c).alias(n)) for t, c, n in (("facility", "as_of", "snapshot_as_of"), ("change_facility", "latest_as_of", "changed"))]
+        return sides[0].join(sides[1], "prefix", "full_outer").select("prefix", "snapshot_as_of", F.greatest("snapshot_as_of", "changed").alias("as_of"))
+
     def facilities(self, code: str | None = None) -> DataFrame:
-        """Current facilities, all or one: the change layer over the snapshot."""
-        base, changes = self._of("facility", code), self._of("change_facility", code)
-        both = replay.overlay_facilities(base, changes)
-        dates = base.select("code", F.col("as_of")).unionByName(changes.select("code", F.col("latest_as_of").alias("as_of"))).groupBy("code").agg(F.max("as_of").alias("as_of"))
+        """Current facilities, all or one: the change layer over the snapshot. A facility is as new as its shard."""
+        both = replay.overlay_facilities(self._of("facility", code), self._of("change_facility", code)).withColumn("prefix", F.substring("code", 1, codes.PREFIX))
         counts = self._of("change_event", code).groupBy("code").agg(F.count("*").alias("recent_change_count"))
-        return both.join(dates, "code").join(counts, "code", "left").withColumn("recent_change_count", F.coalesce("recent_change_count", F.lit(0).cast("long")))
+        rows = both.join(self._dates(code).drop("snapshot_as_of"), "prefix").drop("prefix").join(counts, "code", "left")
+        return rows.withColumns({"recent_change_count": F.coalesce("recent_change_count", F.lit(0).cast("long")), "category_label": text.category_label(F.col("category"))})
 
     def filings(self, code: str | None = None) -> DataFrame:
         """Current filings, all or one facility's, to be read in order of seq, pos."""
@@ -84,17 +96,31 @@ class Register:
         return replay.replay(base, self._of("change_event", code)).select(*columns, "seq")
 
     def provenance(self, code: str | None = None) -> DataFrame:
-        return replay.provenance(self._of("source", code), self._of("change_event", code))
+        """(code, url) with kind, publication date, page and extraction method; a snapshot's document is as new as its shard."""
+        base = self._shard("source", code).join(self._dates(code).select("prefix", F.col("snapshot_as_of").alias("published_at")), "prefix", "left").drop("prefix")
+        base = base if code is None else base.where(F.col("code") == code)
+        found = replay.provenance(base, self._of("change_event", code))
+        return found.withColumns({"kind": F.when(F.col("kind") == 1, "change").otherwise("snapshot"), "label": links.label(F.col("url")), "link": links.page_link(F.col("url"), F.col("page"))})
+
+    def source_ids(self, code: str | None = None) -> DataFrame:
+        """(code, source_id) of both layers, also of documents that a change overrides."""
+        return self._of("source", code).select("code", "source_id").unionByName(self._of("change_event", code).select("code", "source_id")).distinct()
 
     def get(self, code: str) -> dict | None:
-        """One facility with filings and documents, or None if neither layer has it."""
+        """One facility with filings (in the order that they came to hold, and in `by_name` of their names), documents and sources, or
+        None if neither layer has it."""
         code = normalize_code(code)
         found = self.facilities(code).first()
         if found is None:
             return None
-        filings = self.filings(code).orderBy("seq", "pos").drop("code").collect()
+        filings = self.filings(code).orderBy("seq", "pos").drop("code")
+        named = search.by_name(self.filings(code), "seq", "pos").select("standard_id").collect()
         documents = self.provenance(code).orderBy("url").drop("code").collect()
-        return {**found.asDict(), "local_code": code[3:], "prefecture_code": code[:2], "standards": [r.asDict() for r in filings], "documents": [r.asDict() for r in documents], "source_ids": sorted({r["source_id"] for r in documents})}
+        sources = self.source_ids(code).orderBy("source_id").collect()
+        return {
+            **found.asDict(), "local_code": code[3:], "prefecture_code": code[:2], "standards": [r.asDict() for r in filings.collect()], "by_name": [r[0] for r in named],
+            "documents": [r.asDict() for r in documents], "source_ids": [r["source_id"] for r in sources],
+        }
 
     def search_by_name(self, query: str, limit: int = 50) -> tuple[int, list[dict]]:
         """Number of matches and the first `limit`: names that begin with the query first, then in Japanese order."""

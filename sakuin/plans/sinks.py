@@ -23,16 +23,53 @@ def write_partitioned(rows: DataFrame, path: str) -> None:
 def shard_json(facilities: DataFrame, filings: DataFrame, sources: DataFrame) -> DataFrame:
     """(prefix, value): the JSON of each shard. facilities: code, name, address, category, as_of; filings: code, ord, standard_id,
     acceptance_number, effective_from; sources: code, source_id, document_url. Meant for shards of register size."""
-    listed = filings.groupBy("code").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", F.filter(F.array("standard_id", "acceptance_number", F.date_format("effective_from", "yyyy-MM-dd")), lambda x: x.isNotNull()).alias("row")))), lambda s: s["row"]).alias("standards"))
+    listed = filings.groupBy("code").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", F.array("standard_id", "acceptance_number", F.date_format("effective_from", "yyyy-MM-dd")).alias("row")))), lambda s: s["row"]).alias("standards"))
     known = sources.groupBy("code").agg(F.array_sort(F.collect_set("source_id")).alias("sourceIds"), F.array_sort(F.collect_set("document_url")).alias("sourceDocuments"))
     rows = with_prefix(facilities).join(listed, "code", "left").join(known, "code", "left")
     entry = F.struct("code", F.struct("name", "address", "category", "sourceIds", "sourceDocuments", "standards"))
-    shards = rows.groupBy("prefix").agg(F.date_format(F.max("as_of"), "yyyy-MM-dd").alias("asOf"), F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("facilities"))
+    shards = rows.groupBy("prefix").agg(_dated("as_of").alias("asOf"), F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("facilities"))
     return shards.select("prefix", F.to_json(F.struct(F.lit(1).alias("schemaVersion"), "asOf", "prefix", "facilities"), {"ignoreNullFields": "false"}).alias("value"))
 
 
-def search_index(facilities: DataFrame) -> DataFrame:
-    return facilities.select("code", "name", "address", "category").orderBy("code")
+def _dated(c: str):
+    """The latest date of a shard; one without any is an error that names it."""
+    return F.coalesce(F.date_format(F.max(c), "yyyy-MM-dd"), F.raise_error(F.concat(F.lit("a shard without a date: "), F.first("prefix"))).cast("string"))
+
+
+_PLAIN = {"ignoreNullFields": "false"}
+
+
+def change_shard_json(facilities: DataFrame, events: DataFrame, base_as_of) -> DataFrame:
+    """(prefix, value): the JSON of each shard of the change layer. facilities: code, name, address, category; events: those of
+    change_event. A shard is as new as its latest event."""
+    names = {"id": "id", "action": "action", "publishedAt": "published_at", "standardId": "standard_id", "abbreviation": "abbreviation", "name": "standard_name", "acceptanceNumber": "acceptance_number", "effectiveFrom": "effective_from", "documentUrl": "url", "sourceId": "source_id", "sourcePageUrl": "source_page_url", "page": "page"}
+    fields = [(F.date_format(c, "yyyy-MM-dd") if c in ("published_at", "effective_from") else F.col(c)).alias(n) for n, c in names.items()]
+    order = [F.col("published_at"), F.when(F.col("action") == "remove", 0).otherwise(1).alias("turn"), F.col("id")]
+    listed = events.groupBy("code").agg(F.transform(F.array_sort(F.collect_list(F.struct(*order, F.struct(*fields).alias("e")))), lambda s: s["e"]).alias("events"), F.max("published_at").alias("latest"))
+    rows = with_prefix(facilities.join(listed, "code"))
+    entry = F.struct("code", F.struct("name", "address", "category", "events"))
+    shards = rows.groupBy("prefix").agg(_dated("latest").alias("latestAsOf"), F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("facilities"))
+    base = F.date_format(F.lit(base_as_of).cast("date"), "yyyy-MM-dd").alias("baseAsOf")
+    return shards.select("prefix", F.to_json(F.struct(F.lit(1).alias("schemaVersion"), base, "latestAsOf", "prefix", "facilities"), _PLAIN).alias("value"))
+
+
+def catalog_json(catalog: DataFrame) -> DataFrame:
+    """(part, value): the dictionary as JSON, a part for each two first digits of the keys."""
+    entry = F.struct("standard_id", F.struct("abbreviation", F.col("standard_name").alias("name")))
+    parts = catalog.groupBy(F.substring("standard_id", 1, 2).alias("part")).agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("standards"))
+    return parts.select("part", F.to_json(F.struct(F.lit(1).alias("schemaVersion"), "standards"), _PLAIN).alias("value"))
+
+
+def search_json(index: DataFrame) -> DataFrame:
+    """(prefix, value): the search index as JSON tuples in order of codes, a part for each prefix."""
+    row = F.array("code", "name", "address", "category")
+    parts = with_prefix(index).groupBy("prefix").agg(F.transform(F.array_sort(F.collect_list(F.struct("code", row.alias("row")))), lambda s: s["row"]).alias("facilities"))
+    return parts.select("prefix", F.to_json(F.struct(F.lit(1).alias("schemaVersion"), "prefix", F.size("facilities").alias("facilityCount"), "facilities"), _PLAIN).alias("value"))
+
+
+def write_json(shards: DataFrame, path: str) -> None:
+    """A folder of JSON text per prefix or part."""
+    shards.write.mode("overwrite").partitionBy(shards.columns[0]).text(path)
 
 
 def one_json(df: DataFrame) -> str:
@@ -41,11 +78,15 @@ def one_json(df: DataFrame) -> str:
     return json.dumps(json.loads(row["j"]), ensure_ascii=False, separators=(",", ":")) + "\n"
 
 
+#: Tables that lookups by code read; the others are small or read in full.
+PARTITIONED = ("facility", "filing", "source", "change_facility", "change_event")
+
+
 class Publication:
-    """Versions below one folder; the file `current` names the one that readers take.
+    """Versions of two layers below one folder; the file `current` names the version of each that readers take.
 
-    A version is written in full beside the old one and becomes visible by one rename, so a failure leaves the old one in place.
-    The folder must lie inside `root`, and not be it.
+    A version is written in full beside the old one and becomes visible by one rename of `current`, so a failure leaves the old
+    one in place. A new snapshot ends the changes to the one before. The folder must lie inside `root`, and not be it.
     """
 
     def __init__(self, spark: SparkSession, path: str, root: str):
@@ -58,35 +99,41 @@ class Publication:
         path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
         return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
 
-    def current(self) -> str | None:
-        """Folder of the published version; None before the first."""
-        fs, path = self._fs("current")
-        if not fs.exists(path):
-            return None
-        return f"{self.path}/{self.spark.read.text(f'{self.path}/current').first()[0]}"
+    def current(self) -> dict[str, str]:
+        """Folder of each layer that is published."""
+        return layers(self.spark, self.path)
 
-    def publish(self, tables: dict[str, DataFrame], partitioned: tuple[str, ...] = ()) -> str:
-        """Write all tables as a new version, make it current and remove the one before."""
-        before, version = self.current(), f"v-{uuid.uuid4().hex}"
+    def publish(self, tables: dict[str, DataFrame], layer: str = "snapshot", partitioned: tuple[str, ...] = PARTITIONED) -> dict[str, str]:
+        """Write all tables as a new version of the layer (snapshot or changes), make it current and remove what it replaces."""
+        before, version = self.current(), f"{layer}-{uuid.uuid4().hex}"
         for name, df in tables.items():
             if name in partitioned:
                 write_partitioned(df, f"{self.path}/{version}/{name}")
             else:
                 df.write.parquet(f"{self.path}/{version}/{name}")
+        now = {**(before if layer == "changes" else {}), layer: f"{self.path}/{version}"}
         fs, staged = self._fs(f".current-{version}")
         out = fs.create(staged, True)
-        out.write(bytearray(f"{version}\n".encode()))
+        out.write(bytearray((json.dumps({k: v.rpartition("/")[2] for k, v in now.items()}) + "\n").encode()))
         out.close()
         _, final = self._fs("current")
         options = self.spark.sparkContext._jvm.org.apache.hadoop.fs
         context = options.FileContext.getFileContext(final.toUri(), self.spark.sparkContext._jsc.hadoopConfiguration()) if final.toUri().getScheme() else options.FileContext.getFileContext()
         kind = options.Options.Rename
         context.rename(staged, final, self._overwrite(kind))
-        if before:
-            fs.delete(self._fs(before.removeprefix(self.path + "/"))[1], True)
-        return f"{self.path}/{version}"
+        for folder in set(before.values()) - set(now.values()):
+            fs.delete(self._fs(folder.removeprefix(self.path + "/"))[1], True)
+        return now
 
     def _overwrite(self, kind):
         options = self.spark.sparkContext._gateway.new_array(kind, 1)
         options[0] = kind.OVERWRITE
         return options
+
+
+def layers(spark: SparkSession, path: str) -> dict[str, str]:
+    """Folder of each layer published below path; none before the first publication."""
+    pointer = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/current")
+    if not pointer.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(pointer):
+        return {}
+    return {k: f"{path}/{v}" for k, v in json.loads(spark.read.text(f"{path}/current").first()[0]).items()}

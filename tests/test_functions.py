@@ -79,3 +79,9 @@ def test_links(spark):
     assert one(spark, "https://evil.example/x.pdf", links.is_allowed) is False
     assert one(spark, "https://a.mhlw.go.jp/%E5%8C%BB.zip?x", links.is_workbook) is True
     assert one(spark, "https://a.mhlw.go.jp/%E5%8C%BB.zip?x", links.label) == "医.zip"
+
+
+def test_display(spark):
+    assert [one(spark, v, dates.long_date) for v in ("2026-07-01", "soon", "", None)] == ["2026年7月1日", "soon", "—", "—"]
+    assert [one(spark, v, dates.tokyo_time) for v in ("2026-07-01 20:30:00", "2026-07-01T00:00:00Z", "x", None)] == ["2026/07/02 05:30", "2026/07/01 09:00", "x", "—"]
+    assert [one(spark, v, dates.grouped_number, "long") for v in (1234567, 12, None)] == ["1,234,567", "12", "—"]

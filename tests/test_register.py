@@ -177,18 +177,29 @@ def test_publish_and_query(spark, tmp_path):
         "search_index": rows("search_index", ("1310123456", "中央さくら病院", "東京都", "medical", "中央さくら病院"), (c, "さくら診療所", "福井県福井市", "medical", "さくら診療所"), ("2710123456", "うめだ薬局", "大阪府", "pharmacy", "うめだ薬局")),
     }
     place = sinks.Publication(spark, f"{tmp_path}/out/v1", f"{tmp_path}/out")
-    version = place.publish(tables, partitioned=("facility", "filing"))
-    assert place.current() == version
-    register = Register(spark, version)
+    assert place.current() == {}
+    with pytest.raises(ValueError):
+        Register(spark, place.path).get(c)
+    first = place.publish(tables)
+    assert place.current() == first
+    register = Register(spark, place.path)
+    assert register.change_manifest() is None
     assert [s["standard_id"] for s in register.get(c)["standards"]] == ["old", "kept"]
     assert register.get("1310123456") is None
-    events = rows("change_event", (c, "1", "remove", date(2026, 7, 10), "old", "旧", None, "", None, "https://remove", "kinki", "p", 1), (c, "2", "upsert", date(2026, 7, 15), "new", "新", None, "第3号", date(2026, 7, 15), "https://add", "kinki", "p", 1))
-    version = place.publish({**tables, "change_event": events, "change_facility": rows("change_facility", (c, "さくら診療所", None, "medical", date(2026, 7, 15)))}, partitioned=("facility", "filing"))
-    register = Register(spark, version)
+    events = rows("change_event", (c, "1", "remove", date(2026, 7, 10), "old", "旧", None, "", None, "https://remove/a%20b.pdf", "kinki", "p", 3, "ocr"), (c, "2", "upsert", date(2026, 7, 15), "new", "新", None, "第3号", date(2026, 7, 15), "https://monthly", "other", "p", 1, "text"))
+    changed = {"change_event": events, "change_facility": rows("change_facility", (c, "さくら診療所", None, "medical", date(2026, 7, 15))), "change_search_index": rows("change_search_index")}
+    both = place.publish(changed, "changes")
+    assert both["snapshot"] == first["snapshot"] and place.current() == both
+    assert register.get(c)["recent_change_count"] == 0
+    register.clear_cache()
     got = register.get("18-1011-5202")
-    assert [s["standard_id"] for s in got["standards"]] == ["kept", "new"]
-    assert (got["as_of"], got["recent_change_count"], got["address"]) == (date(2026, 7, 15), 2, "福井県福井市")
-    assert [x["url"] for x in got["documents"]] == ["https://add", "https://monthly", "https://remove"]
+    assert [s["standard_id"] for s in got["standards"]] == ["kept", "new"] and got["by_name"] == ["kept", "new"]
+    assert (got["as_of"], got["recent_change_count"], got["address"], got["category_label"]) == (date(2026, 7, 15), 2, "福井県福井市", "医科")
+    assert [(x["url"], x["kind"], x["published_at"], x["page"], x["extraction_method"], x["label"], x["link"]) for x in got["documents"]] == [
+        ("https://monthly", "change", date(2026, 7, 15), 1, "text", "https://monthly", "https://monthly#page=1"),
+        ("https://remove/a%20b.pdf", "change", date(2026, 7, 10), 3, "ocr", "a b.pdf", "https://remove/a%20b.pdf#page=3"),
+    ]
+    assert got["source_ids"] == ["kinki", "other"]
     total, hits = register.lookup("さくら", limit=1)
     assert (total, hits[0]["name"]) == (2, "さくら診療所")
     assert register.search_by_name("・") == (0, [])
@@ -196,6 +207,10 @@ def test_publish_and_query(spark, tmp_path):
         register.get("x")
     with pytest.raises(ValueError):
         sinks.Publication(spark, "/tmp", "/tmp")
+    place.publish(tables)  # a new snapshot ends the changes
+    register.clear_cache()
+    assert register.get(c)["recent_change_count"] == 0 and set(place.current()) == {"snapshot"}
+    assert [x["kind"] for x in register.get(c)["documents"]] == ["snapshot"] and register.get(c)["documents"][0]["published_at"] == d
 
 
 def test_gates(spark):
@@ -228,7 +243,69 @@ def test_shard_json(spark):
     s = spark.createDataFrame([("1810115202", 0, "id", "第1号", None)], "code string, ord int, standard_id string, acceptance_number string, effective_from date")
     src = spark.createDataFrame([("1810115202", "kinki", "u")], "code string, source_id string, document_url string")
     got = sinks.shard_json(f, s, src).first()
-    assert got["prefix"] == "1810" and '"standards":[["id","第1号"]]' in got["value"] and '"address":null' in got["value"]
+    assert got["prefix"] == "1810" and '"standards":[["id","第1号",null]]' in got["value"] and '"address":null' in got["value"]
+
+
+def test_other_json(spark):
+    f = spark.createDataFrame([("1810115202", "n", None, "medical")], "code string, name string, address string, category string")
+    e = spark.createDataFrame([("1810115202", "2", "upsert", date(2026, 7, 3), "s", "a", None, "第1号", None, "u", "k", "p", 1, "text"), ("1810115202", "9", "remove", date(2026, 7, 3), "s", "a", None, "", None, "u", "k", "p", 1, "text")], LAYERS["change_event"])
+    got = sinks.change_shard_json(f, e, "2026-07-01").first()
+    assert got["prefix"] == "1810" and got["value"].startswith('{"schemaVersion":1,"baseAsOf":"2026-07-01","latestAsOf":"2026-07-03","prefix":"1810","facilities":{"1810115202":{"name":"n","address":null,')
+    assert got["value"].index('"id":"9"') < got["value"].index('"id":"2"')
+    with pytest.raises(Exception, match="a shard without a date: 1810"):
+        sinks.shard_json(f.withColumn("as_of", F.lit(None).cast("date")), spark.createDataFrame([], "code string, ord int, standard_id string, acceptance_number string, effective_from date"), spark.createDataFrame([], "code string, source_id string, document_url string")).collect()
+    catalog = spark.createDataFrame([("abcd", "x", None), ("abff", None, "y"), ("0000", "z", "w")], LAYERS["catalog"])
+    assert {r["part"]: r["value"] for r in sinks.catalog_json(catalog).collect()} == {"ab": '{"schemaVersion":1,"standards":{"abcd":{"abbreviation":"x","name":null},"abff":{"abbreviation":null,"name":"y"}}}', "00": '{"schemaVersion":1,"standards":{"0000":{"abbreviation":"z","name":"w"}}}'}
+    assert sinks.search_json(f).first()["value"] == '{"schemaVersion":1,"prefix":"1810","facilityCount":1,"facilities":[["1810115202","n",null,"medical"]]}'
+
+
+def test_command_line_keeps_both_layers(spark, tmp_path, capsys):
+    from sakuin.plans import cli
+
+    kinki = next(registers.HOST + p for i, _, p in registers.BUREAUS if i == "kinki")
+    monthly = "<h1>届出受理医療機関名簿</h1><h2>令和8年7月1日現在</h2><ul>" + "".join(f'<li>{n} <a href="/x/fukui_{k}.xlsx">{n}</a></li>' for n, k in (("医科", "ika"), ("歯科", "shika"), ("薬局", "yakkyoku"))) + "</ul>"
+    spark.createDataFrame([(kinki, monthly)], "page_url string, html string").write.parquet(f"{tmp_path}/pages")
+    sheet = lambda k, n: {1: [f"福井県 {k}"], 3: HEADS, 4: ["1", f"01-1520{n}", f"さくら{k}", "福井県福井市", "外来感染対策向上加算", "外来感染", "(外来感染)第109号", "令和7年1月1日"]}
+    files = [(f"{registers.HOST}/x/fukui_{f}.xlsx", bytearray(book(sheet(k, n)))) for n, (k, f) in enumerate((("医科", "ika"), ("歯科", "shika"), ("薬局", "yakkyoku")))]
+    spark.createDataFrame(files, "document_url string, content binary").write.parquet(f"{tmp_path}/files")
+    update = ["update", "--pages", f"{tmp_path}/pages", "--files", f"{tmp_path}/files", "--out", f"{tmp_path}/out/v1", "--json", f"{tmp_path}/json"]
+    with pytest.raises(ValueError, match="minimum"):
+        cli.main(update, spark)
+    cli.main([*update, "--min-facilities", "3"], spark)
+    assert '"facility_count":3' in capsys.readouterr().out
+    page = next(registers.HOST + p for i, p, *_ in registers.CHANGE_PAGES if i == "kinki")
+    notice = '<h2>令和8年7月15日掲載</h2><p><a href="/y/todokedejuri_fukui_ika.pdf">医科 新規</a></p>'
+    spark.createDataFrame([(page, notice)], "page_url string, html string").write.parquet(f"{tmp_path}/notices")
+    items = [(f"{registers.HOST}/y/todokedejuri_fukui_ika.pdf", "sha", 1, float(x), float(y), t.replace("01,2345,6", "1810115200"), False) for x, y, t in UPSERT]
+    spark.createDataFrame(items, "document_url string, sha256 string, page int, x double, y double, text string, ocr boolean").write.parquet(f"{tmp_path}/items")
+    cli.main(["update-recent", "--pages", f"{tmp_path}/notices", "--files", f"{tmp_path}/items", "--out", f"{tmp_path}/out/v1", "--json", f"{tmp_path}/json"], spark)
+    assert '"event_count":2' in capsys.readouterr().out
+    register = Register(spark, f"{tmp_path}/out/v1")
+    got = register.get("1810115200")
+    assert got["name"] == "テスト 診療所" and got["recent_change_count"] == 2 and got["as_of"] == date(2026, 7, 15)
+    assert {s["acceptance_number"] for s in got["standards"]} == {"第109号", "第50号"} and {x["kind"] for x in got["documents"]} == {"snapshot", "change"}
+    assert register.get("1830115201")["recent_change_count"] == 0 and "prefix" in register.table("facility").columns
+    assert {r[0] for r in spark.read.text(f"{tmp_path}/json/facilities").select("prefix").collect()} == {1810, 1830, 1840}
+    assert spark.read.text(f"{tmp_path}/json/changes/facilities").where("value like '%2026-07-15%'").count() == 1
+
+
+def test_dimensions(spark):
+    assert registers.change_pages(spark).count() == 24 and registers.bureau_prefectures(spark).count() == 47
+    assert [c for c, _ in registers.PREFECTURES] == [f"{k:02d}" for k in range(1, 48)]
+
+
+def test_recognised_words(spark):
+    rows = spark.createDataFrame([("①２。", True, 80), ("sure", True, None), ("unsure", True, 24), ("①", False, 3)], "text string, ocr boolean, confidence int")
+    assert [r["text"] for r in positioned.recognised(rows).collect()] == ["1２.", "sure", "①"]
+
+
+def test_dates_must_be_known(spark):
+    m = spark.createDataFrame([(None,)], "as_of date")
+    s = spark.createDataFrame([("a", date(2026, 7, 1)), ("b", None)], "source_id string, as_of date")
+    assert {(r["subject"], r["passed"]) for r in manifests.date_gates(m, s).collect()} == {("register", False), ("a", True), ("b", False)}
+    found = spark.createDataFrame([("a", "u", date(2026, 7, 1)), ("b", "v", None)], "source_id string, url string, as_of date")
+    got = {(r["gate"], r["subject"]): r["passed"] for r in manifests.discovery_gates(found, spark.createDataFrame([("a",), ("b",), ("c",)], "source_id string")).collect()}
+    assert got == {("page date", "a"): True, ("page links", "a"): True, ("page date", "b"): False, ("page links", "b"): True, ("page date", "c"): False, ("page links", "c"): False}
 
 
 def test_all_queries_are_registered():
@@ -248,7 +325,7 @@ def test_update_summary_reads_all_customers(spark, tmp_path):
     }
     for name, rows in tables.items():
         rows.write.parquet(f"{tmp_path}/{name}.parquet")
-    got = entry.queries()["update_summary_all"](spark, str(tmp_path)).collect()
+    got = entry.queries()["update_summary"](spark, str(tmp_path)).collect()
     assert {tuple(r) for r in got} == {(0, date(1996, 2, 2)), (1, date(1997, 3, 3)), (2, date(1990, 1, 1))}
 
 
@@ -264,8 +341,10 @@ def test_build_snapshot_and_changes(spark, tmp_path):
     frame = spark.createDataFrame([("d", 1, float(x), float(y), t.replace("01,2345,6", "1810115202"), False) for x, y, t in UPSERT], "document_url string, page int, x double, y double, text string, ocr boolean")
     notes = spark.createDataFrame([("kinki", "p", "d", "s", date(2026, 7, 15), "upsert", "medical", "医科", "18")], "source_id string, page_url string, url string, sha256 string, published_at date, action string, category string, context string, prefecture_code_hint string")
     tables |= build.change_tables(notes, frame, "2026-07-01")
-    path = sinks.Publication(spark, f"{tmp_path}/out/v1", f"{tmp_path}/out").publish(tables, partitioned=("facility", "filing"))
-    register = Register(spark, path)
+    place = sinks.Publication(spark, f"{tmp_path}/out/v1", f"{tmp_path}/out")
+    place.publish({k: v for k, v in tables.items() if not k.startswith("change_")})
+    place.publish({k: v for k, v in tables.items() if k.startswith("change_")}, "changes")
+    register = Register(spark, place.path)
     got = register.get("1810115202")
     assert got["name"] == "テスト 診療所" and got["recent_change_count"] == 2 and got["as_of"] == date(2026, 7, 15)
     assert [(s["abbreviation"], s["acceptance_number"]) for s in got["standards"]] == [("外来感染", "第109号"), ("連携強化", "第50号")]
