@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -11,10 +11,14 @@ def matches(index: DataFrame, query: str) -> DataFrame:
     return index.where(F.col("name_norm").contains(query)) if query else index.limit(0)
 
 
+def name_order(collation: str | None = "ja") -> Column:
+    name = F.coalesce("standard_name", "abbreviation", F.lit(""))
+    return F.collate(name, collation) if collation else name
+
+
 def by_name(filings: DataFrame, *keys: str, collation: str | None = "ja") -> DataFrame:
     """Filings in Japanese order of their names (abbreviations where they have none), then by keys."""
-    name = F.coalesce("standard_name", "abbreviation", F.lit(""))
-    return filings.orderBy(F.collate(name, collation) if collation else name, *keys)
+    return filings.orderBy(name_order(collation), *keys)
 
 
 def ranked(found: DataFrame, query: str, limit: int, collation: str | None = "ja") -> DataFrame:

@@ -165,7 +165,7 @@ select code, name, (select count(*) from f) total from f order by not starts_wit
 def name_search(spark, sf_dir):
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("code"), F.col("c_name").alias("name"), F.lower(F.translate("c_name", "#-", "")).alias("name_norm"))
     found = search.matches(c, "00012")
-    top = search.ranked(found, "00012", 20, collation=None)
+    top = search.ranked(found, "00012", 20)
     return top.crossJoin(found.agg(F.count("*").alias("total"))).select("code", "name", "total")  # the total is one row
 
 
@@ -338,7 +338,7 @@ def normalize_text(spark, sf_dir):
 @query("select n_nationkey, n_name, row_number() over (order by n_name, n_nationkey) as position from nation")
 def locale_sort(spark, sf_dir):
     n = table(spark, sf_dir, "nation")
-    return n.select("n_nationkey", "n_name", F.row_number().over(Window.orderBy("n_name", "n_nationkey")).cast("long").alias("position"))  # a fixed dimension
+    return n.select("n_nationkey", "n_name", F.row_number().over(Window.orderBy(F.collate("n_name", "ja"), "n_nationkey")).cast("long").alias("position"))  # a fixed dimension
 
 
 @query("""select p_partkey, case when regexp_matches(u, '^https:') then regexp_extract(u, '(20[0-9]{2})([0-9]{2})([0-9]{2})', 1) || '-' || regexp_extract(u, '(20[0-9]{2})([0-9]{2})([0-9]{2})', 2) || '-' || regexp_extract(u, '(20[0-9]{2})([0-9]{2})([0-9]{2})', 3) end published, k category, regexp_matches(u, 'jitai') removes
