@@ -309,6 +309,10 @@ def update_summary(spark, sf_dir):
     return manifests.latest_published(n, d).select("source_id", "latest")
 
 
+#: The same under the name that it had beside a form that read one customer in 40.
+QUERIES["update_summary_all"], ORACLE["update_summary_all"] = update_summary, ORACLE["update_summary"]
+
+
 @query("""select 'minimum' gate, 'facilities' subject, count(*) found, 1000 least, count(*) >= 1000 passed from customer
 union all select 'documents', cast(n_nationkey as varchar), count(distinct o_orderkey), 1, count(distinct o_orderkey) >= 1 from nation left join customer on c_nationkey = n_nationkey left join orders on o_custkey = c_custkey group by n_nationkey
 union all select 'source', cast(n_nationkey as varchar), count(distinct c_custkey), 1, count(distinct c_custkey) >= 1 from nation left join customer on c_nationkey = n_nationkey group by n_nationkey
