@@ -263,11 +263,14 @@ def common_starts(columns: Iterator[np.ndarray], valid: np.ndarray, doc: np.ndar
     return out
 
 
+SPOOL = 1 << 20  # bytes of a column that stay in memory
+
+
 class _Columns:
-    """The columns of a bucket's rows, each a file of the task that is written and read in sequence."""
+    """The columns of a bucket's rows, each a file of the task that is written and read in sequence. Short ones stay in memory."""
 
     def __init__(self):
-        self._files = [tempfile.TemporaryFile() for _ in range(_WIDE)]
+        self._files = [tempfile.SpooledTemporaryFile(max_size=SPOOL) for _ in range(_WIDE)]
 
     def __len__(self) -> int:
         return _WIDE

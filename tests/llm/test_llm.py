@@ -625,6 +625,7 @@ def test_suffix_dedup(spark, monkeypatch):
     for size in (24 << 20, 2000):
         monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", size)
         monkeypatch.setattr(suffix_dedup, "HELD", 50 if size == 2000 else 1 << 18)
+        monkeypatch.setattr(suffix_dedup, "SPOOL", 10 if size == 2000 else 1 << 20)
         got = suffix_dedup.digests(docs_of(spark, texts)).collect()
         assert Counter(tuple(r) for r in got) == Counter(removed(texts))
     assert suffix_dedup.digests(docs_of(spark, texts).limit(0)).count() == 0
