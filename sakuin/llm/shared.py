@@ -56,3 +56,9 @@ def bucketed(df: DataFrame, column: str) -> tuple[DataFrame, str]:
 def forget(spark: SparkSession, name: str) -> None:
     """Take a table out of the catalog; its files stay in the shared folder, as all others do, for recomputed tasks."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate table that a later written one replaces, so that disk use does not grow with the number of rounds."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
