@@ -296,7 +296,8 @@ def _links(pairs: DataFrame, reps: DataFrame, members: DataFrame, texts: DataFra
     members: (a, b, both, either) of sets and the leaders that they link with. Where a member has d shingles that its leader
     lacks, and lacks e of the leader's, its overlap with any set is at most d more and e less than the leader's. Pairs without a
     member are measured from texts. For the others the leaders' overlap, or that they were no candidates and so share too little,
-    decides within these bounds; what stays open is measured too. Ids with several sets are no members.
+    decides within these bounds; what stays open is measured too. Ids with several sets are no members and have no bounds, so
+    their pairs are always measured.
     """
     link = f"{den} * both >= {num} * either"
     sizes = reps.groupBy(F.col("rep").alias("id")).agg(F.max("n").alias("n"), F.count("*").alias("sets")).where("sets = 1").drop("sets")
@@ -315,9 +316,9 @@ def _links(pairs: DataFrame, reps: DataFrame, members: DataFrame, texts: DataFra
     of = answers.groupBy(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).agg(F.max("both").alias("shared"), F.max(F.expr(link)).alias("linked"))
     wanted, leaders = _least_overlap("n_a", "n_b", num, den), _least_overlap("n_u", "n_v", num, den)
     derived = derived.join(of, ["u", "v"], "left").selectExpr("a", "b", f"{wanted} wanted", f"coalesce(shared, {leaders} - 1) + d most", "shared - e least", "coalesce(linked, false) linked")
-    derived = durable(derived.where("not linked and (most is null or most >= wanted)"), "derived")
+    derived = durable(derived.where("not linked and coalesce(most >= wanted, true)"), "derived")  # an id with several sets has no bounds
     sure = derived.where("least >= wanted").select("a", "b")
-    read = _verified(derived.where("least is null or least < wanted"), texts).where(link).select("a", "b")
+    read = _verified(derived.where("not coalesce(least >= wanted, false)"), texts).where(link).select("a", "b")
     return answers.where(link).select("a", "b").unionByName(sure).unionByName(read)
 
 

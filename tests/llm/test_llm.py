@@ -198,6 +198,17 @@ def test_quality_statistics(spark):
     assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in expected.items()}
 
 
+def test_quality_of_nothing(spark):
+    none = docs_of(spark, []).withColumns({"n_words": F.lit(1), "kept": F.lit("x"), "rule": F.lit(0)})  # names that clash
+    labels = spark.createDataFrame([(1, 0), (1, 1), (None, 1), (2, None)], "doc_id long, quality int")
+    assert quality_rules.learn(none, labels) == [] and quality_rules.learn(docs_of(spark, [(1, "a b")]), labels.limit(0)) == []
+    judged = quality_rules.judge(quality_rules.text_statistics(none), [])
+    assert judged.count() == 0 and {"base_failed", "kept", "rule"} <= set(judged.columns)
+    rows = docs_of(spark, [(1, None), (1, None), (None, "a b " * 20)]).withColumns({"n_words": F.lit(1), "kept": F.lit("x")})
+    got = quality_rules.judge(quality_rules.text_statistics(rows), []).collect()
+    assert sorted((r["doc_id"] or 0, r["n_words"], r["base_failed"], r["kept"]) for r in got) == [(0, 40, True, False), (1, 0, True, False), (1, 0, True, False)]
+
+
 def test_rules_learned_and_applied_alike(spark):
     r = np.random.default_rng(2)
     x = r.random((600, len(quality_rules.FEATURES)))
@@ -275,6 +286,35 @@ def test_jaccard_components(spark, monkeypatch, seed, long):
             assert r["component_id"] == r["doc_id"]
 
 
+@pytest.mark.parametrize(("seed", "long"), [(1, 4096), (2, 4096), (3, 2), (4, 2)])
+def test_links_of_an_id_with_two_texts(spark, monkeypatch, seed, long):
+    """u - a - t is a chain whose ends don't link; t has a second text under its id."""
+    monkeypatch.setattr(jaccard_join, "LONG", long)
+    r = random.Random(seed)
+    word = lambda: f"w{r.randrange(10**6)}"
+    texts = []
+    for f in range(6):
+        base, left, right = ([word() for _ in range(n)] for n in (40, 10, 10))
+        chain = [left + base, left[5:] + base + right[:5], base + right]
+        texts += [(10 * f + k + 1, " ".join(x)) for k, x in enumerate(chain)]
+        texts.append((10 * f + (3, 3, 3, 3, 1, 2)[f], " ".join(word() for _ in range(30 + f))))
+    sets = sets_of(texts)
+    parent = {i: i for i in sets}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for (i, x), (j, y) in itertools.combinations([(i, s) for i, ss in sets.items() for s in ss], 2):
+        if 100 * len(x & y) >= 75 * len(x | y):
+            parent[max(root(i), root(j))] = min(root(i), root(j))
+    expected = {i: root(i) for i in sets}
+    assert {expected[10 * f + k] for f in range(6) for k in (1, 2, 3)} == {10 * f + 1 for f in range(6)}
+    got = jaccard_join.similar_groups(docs_of(spark, texts)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == expected
+
+
 def test_long_lists_come_whole():
     tok = np.sort(np.random.default_rng(3).integers(0, 9, 500))
     batches = [pa.record_batch({"tok": tok[a : a + 30], "at": np.arange(a, min(a + 30, 500))}) for a in range(0, 500, 30)]
@@ -477,7 +517,7 @@ def test_rollup_survives_failures(spark, tmp_path, monkeypatch):
         assert rollup.totals().count() == 0
     monkeypatch.setattr(token_rollup.TokenRollup, "_stage", stage)
     assert rollup.apply("1", batch) and not rollup.apply("1", batch)
-    assert not rollup._commit("1", {"folder": "deltas/of-a-second-writer"})
+    assert not rollup._decide("1", {"folder": "deltas/of-a-second-writer"})
     assert [r["n_tokens"] for r in rollup.totals().collect()] == [10]
     assert rollup.apply("2", batch)
     total = token_rollup.TokenRollup._sum
@@ -491,7 +531,51 @@ def test_rollup_survives_failures(spark, tmp_path, monkeypatch):
     rollup.compact()
     assert [tuple(r)[3:] for r in rollup.totals().collect()] == [(3, 30)]
     rollup.compact()
-    assert [tuple(r)[3:] for r in rollup.totals().collect()] == [(3, 30)] and len(rollup._live(rollup.committed())) == 1
+    assert [tuple(r)[3:] for r in rollup.totals().collect()] == [(3, 30)] and len(rollup.entries()[0]) == 1
+    assert not rollup.compact()
+
+
+@pytest.mark.parametrize("second_first", [False, True])
+def test_overlapping_compactions(spark, tmp_path, monkeypatch, second_first):
+    """One folds {1, 2}; meanwhile 3 comes and another folds {1, 2, 3}. Whichever is decided first, each batch counts once."""
+    row = "struct<source:string,lang:string,tokenizer:string,n_tokens:bigint>"
+    batch = lambda n: spark.createDataFrame([(None, ("s", "en", "v1", n))], f"before {row}, after {row}")
+    rollup = token_rollup.TokenRollup(spark, f"file://{tmp_path}/r")
+    rollup.apply("1", batch(10)), rollup.apply("2", batch(20))
+    total, decide = token_rollup.TokenRollup._sum, token_rollup.TokenRollup._decide
+    other = token_rollup.TokenRollup(spark, rollup.path)
+    results = []
+
+    def meanwhile(self, *args):
+        monkeypatch.setattr(token_rollup.TokenRollup, "_sum", total)
+        monkeypatch.setattr(token_rollup.TokenRollup, "_decide", decide)
+        other.apply("3", batch(40))
+        results.append(other.compact())
+        return (total if second_first else decide)(self, *args)
+
+    monkeypatch.setattr(token_rollup.TokenRollup, "_sum" if second_first else "_decide", meanwhile)
+    assert not rollup.compact() and results == [True]
+    want = [("s", "en", "v1", 3, 70)]
+    assert [tuple(r) for r in rollup.totals().collect()] == want
+    assert not any(rollup.apply(k, batch(1)) for k in "123")
+    for k in range(3):  # folded files go with the compaction after the next; ids stay decided
+        rollup.apply(f"more {k}", batch(1))
+        assert rollup.compact()
+    assert [tuple(r)[3:] for r in rollup.totals().collect()] == [(6, 73)]
+    assert len(list((tmp_path / "r" / "deltas").iterdir())) == 3 and len([p for p in (tmp_path / "r" / "live").iterdir() if not p.name.startswith(".")]) == 3
+    assert not any(rollup.apply(k, batch(1)) for k in ("1", "2", "3", "more 0"))
+
+
+def test_a_lost_attempt_is_swept(spark, tmp_path):
+    row = "struct<source:string,lang:string,tokenizer:string,n_tokens:bigint>"
+    batch = spark.createDataFrame([(None, ("s", "en", "v1", 10))], f"before {row}, after {row}")
+    rollup = token_rollup.TokenRollup(spark, f"file://{tmp_path}/r")
+    rollup._put("live/lost", {"batch": "1", "name": "live/lost", "folder": "deltas/lost"})  # its driver died before the decision
+    assert rollup.totals().count() == 0
+    assert rollup.apply("1", batch) and rollup.apply("2", batch)
+    assert [tuple(r)[3:] for r in rollup.totals().collect()] == [(2, 20)]
+    assert rollup.compact() and not rollup._exists("live/lost")
+    assert [tuple(r)[3:] for r in rollup.totals().collect()] == [(2, 20)]
 
 
 def test_token_counts_query(spark, tmp_path):
@@ -690,7 +774,7 @@ def test_pipeline_stages_with_clashing_columns(spark, tmp_path):
 
     passage = "a passage that more than one of these documents holds and that is long enough to be cut out "
     texts = [(1, "one " + passage + "end of it"), (2, passage + "two and more words"), (2, "nothing in common with any other text of this table at all"), (3, "one " + passage + "end of it"), (None, passage), (4, None)]
-    names = ["marks", "whole", "id", "out", "score", "lang_pred", "tag", "copies"]
+    names = ["marks", "whole", "id", "out", "Score", "LANG_pred", "tag", "copies"]
     rows = [(i, t, "aa", "s", len(t or ""), *[f"{c}{k}" for c in names]) for k, (i, t) in enumerate(texts)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in names))
     spark.createDataFrame([(1, "no text of the table holds this benchmark item whatever")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
