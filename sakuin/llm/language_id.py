@@ -162,10 +162,10 @@ def identify(docs: DataFrame, model: ByteCnn) -> DataFrame:
 
     Every window of a text is judged; the score is the mean probability of the best language over the windows,
     each counted by its bytes. Null text, text without a letter, or a model without classes: `und`, score 0. Repeated rows are
-    judged each for itself, an empty table gives an empty result, and other columns pass through (lang_pred, score are replaced).
+    judged each for itself, an empty table gives an empty result, and other columns pass through (lang_pred and score, in whatever case,
+    are replaced).
     """
-    keep = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    docs = docs.select(*keep)
+    docs = docs.select(*[c for c in docs.columns if c.lower() not in ("lang_pred", "score")])
     names = model.classes
 
     def judge(batches):

@@ -29,7 +29,9 @@ FEATURES = {
 def text_statistics(docs: DataFrame) -> DataFrame:
     """Add the statistics to (doc_id, text), all in SQL functions over one row's arrays, without a shuffle.
 
-    Null, empty or blank text has zero everywhere. Windows and words are compared by 64-bit hashes.
+    Null, empty or blank text has zero everywhere. Windows and words are compared by 64-bit hashes. Repeated rows, and rows of one
+    doc_id or none, are counted each for itself; an empty table gives an empty result; other columns are left out, whatever their
+    names, but for `text`, which stays.
     """
     count = lambda chars: f"cast(length(regexp_replace(text, '[^{chars}]+', '')) as long)"
     space = SPACE.replace("\\", "\\\\")
@@ -113,7 +115,9 @@ class RuleLearner:
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[Rule]:
     """Rules for low quality from (doc_id, text) and (doc_id, quality). At most about `sample` labelled documents, chosen by a
-    hash of doc_id, are learned from; they alone come to the driver, as statistics. Without labels there is no rule."""
+    hash of doc_id, are learned from; they alone come to the driver, as statistics. Of several labels of one doc_id the lowest
+    counts, for every row with that doc_id; null labels and labels without doc_id are left out. Without labels, or without documents
+    that have any, there is no rule. Other columns of either table are ignored."""
     labels = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     share = min(1.0, sample / max(labels.count(), 1))
     taken = labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
@@ -134,7 +138,8 @@ def condition(rule: Rule) -> Column:
 
 
 def judge(stats: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Add base_failed, the number of the first rule that fires (null: none) and kept."""
+    """Add base_failed, the number of the first rule that fires (null: none) and kept. Rows are judged each for itself, from their
+    statistics alone: those of null and empty texts fail the base, repeated rows are judged alike, and an empty table stays empty."""
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     fired = F.lit(None).cast("int")
     for k, rule in reversed(list(enumerate(rules))):

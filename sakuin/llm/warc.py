@@ -216,7 +216,8 @@ def register(spark: SparkSession) -> None:
 def deduplicated(pages: DataFrame, least: int = 0) -> DataFrame:
     """What each page's record holds. Of pages with equal payloads of at least `least` bytes, the largest page_id keeps
     the payload (every row with it, where it repeats) and the others refer to it. Null html is an empty payload. A null
-    page_id never keeps a payload that a numbered page has; among null ones alone, all keep theirs.
+    page_id never keeps a payload that a numbered page has; among null ones alone, all keep theirs. An empty table gives none, and
+    columns other than page_id, url and html are left out, whatever their names.
 
     Only ids and digests are grouped. What they decide is joined to the pages by id, so copies of one payload meet in no one
     task, and where the revisits are few Spark broadcasts them and html isn't shuffled at all.
@@ -231,7 +232,7 @@ def deduplicated(pages: DataFrame, least: int = 0) -> DataFrame:
 
 
 def write_archives(pages: DataFrame, path: str, least: int = 0) -> None:
-    """Archive pages (page_id, url, html) below path. An empty table writes no archive."""
+    """Archive pages (page_id, url, html) below path. An empty table writes no archive; other columns are left out."""
     register(pages.sparkSession)
     deduplicated(pages, least).write.format(FORMAT).mode("append").save(path)
 
