@@ -14,13 +14,14 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Documents without a letter, or that no learned language fits, go. The network learns from the same rows as op1.
 
     A language fits at the score that the network's own held-out windows give (see language_id.train). Null and empty texts go;
-    repeated rows are judged alike; an empty table stays empty; columns named like the judgement keep their own values.
+    repeated rows are judged alike; an empty table stays empty; columns named like the judgement, in
+    whatever case, keep their own names and values.
     """
     model = language_id.train(docs.where(fold(F.col("doc_id"), 4) != 2))
-    pred, score = (_fresh(c, docs) for c in ("lang_pred", "score"))
-    plain = docs.select(*[F.col(c).alias({"lang_pred": pred, "score": score}.get(c, c)) for c in docs.columns])
+    aside = {c: _fresh(c, docs) if c.lower() in ("lang_pred", "score") else c for c in docs.columns}
+    plain = docs.select(*[F.col(c).alias(n) for c, n in aside.items()])
     kept = language_id.identify(plain, model).where((F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= model.least))
-    return kept.select(*[F.col({"lang_pred": pred, "score": score}.get(c, c)).alias(c) for c in docs.columns])
+    return kept.select(*[F.col(n).alias(c) for c, n in aside.items()])
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
