@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sakuin.llm.shared import bucketed, durable, forget
+from sakuin.llm.shared import Tables, bucketed, durable, forget
 
 SHINGLE = 5
 SIGNATURE = 8  # smallest hashes of a set that point to a leader
@@ -130,7 +130,7 @@ def _texts_by_id(docs: DataFrame, reps: DataFrame) -> tuple[DataFrame, str]:
     return bucketed(docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids.hint("merge"), "id"), "id")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, save) -> DataFrame:
     """(a, b) with the exact sizes of intersection and union, from the texts. The texts in question are written once for both sides,
     so that the joins have plain shuffles and a set with very many pairs can be split. pairs: a written table."""
 
@@ -145,7 +145,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(inter, pa.int64()), pa.array(union, pa.int64())], names=["a", "b", "both", "either"])
 
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    some = durable(texts.join(ids, "id"), "texts")
+    some = save(texts.join(ids, "id"), "texts")
     first = pairs.select("a", "b").join(some.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
     second = first.join(some.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
     return second.mapInArrow(measure, "a long, b long, both long, either long")
@@ -256,7 +256,7 @@ def list_pairs(tok: np.ndarray, id_: np.ndarray, comp: np.ndarray, n: np.ndarray
     return found[:, 0], found[:, 1]
 
 
-def _candidates(prefixes: DataFrame, num: int, den: int, rows: int = 500_000) -> DataFrame:
+def _candidates(prefixes: DataFrame, num: int, den: int, save, rows: int = 500_000) -> DataFrame:
     """Pairs of sets of different components that share as many prefix shingles as a link needs. Texts of different sizes under one id
     are entries of their own.
 
@@ -266,9 +266,10 @@ def _candidates(prefixes: DataFrame, num: int, den: int, rows: int = 500_000) ->
     """
     dealt = prefixes.withColumn("salt", F.when(F.col("df") > 0, F.col("id")).otherwise(0)).repartition("tok", "salt").sortWithinPartitions("tok").drop("salt")
     shared = dealt.mapInArrow(lambda it: _by_list(it, rows, _shared), "tok long, id long, comp long, n int, df long")
-    shared = durable(shared.groupBy("id", "n", "tok").agg(F.min("comp").alias("comp"), F.min("df").alias("df")), "shared")
+    shared = save(shared.groupBy("id", "n", "tok").agg(F.min("comp").alias("comp"), F.min("df").alias("df")), "shared")
     lists = shared.groupBy("id", "n").agg(F.first("comp").alias("comp"), F.array_sort(F.collect_list(F.struct("df", "tok"))).alias("toks"), F.sum((F.col("df") < LONG).cast("int")).alias("short"))
-    lists = durable(lists.withColumn("toks", F.transform("toks", lambda t: t["tok"])), "lists")
+    lists = save(lists.withColumn("toks", F.transform("toks", lambda t: t["tok"])), "lists")
+    save.remove(shared)
     entry = lists.select("id", "comp", "n", F.size("toks").alias("m"), "short", F.posexplode("toks").alias("q", "tok"))
     level = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(den / num)) + 1e-9)
     places = F.when(F.col("q") < F.col("short"), F.array(F.struct(F.col("tok").alias("t"), F.lit(True).alias("home"))))
@@ -290,7 +291,7 @@ def _least_overlap(x: str, y: str, num: int, den: int) -> str:
     return f"(({num} * ({x} + {y}) + {num + den - 1}) div {num + den})"
 
 
-def _links(pairs: DataFrame, reps: DataFrame, members: DataFrame, texts: DataFrame, num: int, den: int) -> DataFrame:
+def _links(pairs: DataFrame, reps: DataFrame, members: DataFrame, texts: DataFrame, num: int, den: int, save) -> DataFrame:
     """The pairs (a, b) that link, but for those that a link between their leaders implies.
 
     members: (a, b, both, either) of sets and the leaders that they link with. Where a member has d shingles that its leader
@@ -305,10 +306,10 @@ def _links(pairs: DataFrame, reps: DataFrame, members: DataFrame, texts: DataFra
     one = sizes.select(F.col("id").alias("b"))
     leads = leads.join(one, "b", "left_semi").select(F.col("a").alias("id"), F.col("b").alias("lead"), "both", "either")
     known = sizes.join(leads, "id", "left").selectExpr("id", "n", "lead", "n - both d", "either - n e")
-    known = durable(known, "known")
+    known = save(known, "known")
     side = lambda x: known.select(F.col("id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "lead", "d", "e")])
-    wide = durable(pairs.join(side("a"), "a", "left").join(side("b"), "b", "left"), "wide")
-    answers = durable(_verified(wide.where("lead_a is null and lead_b is null"), texts), "answers")
+    wide = save(pairs.join(side("a"), "a", "left").join(side("b"), "b", "left"), "wide")
+    answers = save(_verified(wide.where("lead_a is null and lead_b is null"), texts, save), "answers")
 
     derived = wide.where("lead_a is not null or lead_b is not null")
     derived = derived.selectExpr("a", "b", "n_a", "n_b", "coalesce(d_a, 0) + coalesce(d_b, 0) d", "coalesce(e_a, 0) + coalesce(e_b, 0) e", "n_a - coalesce(d_a, 0) + coalesce(e_a, 0) n_u", "n_b - coalesce(d_b, 0) + coalesce(e_b, 0) n_v",
@@ -316,9 +317,9 @@ def _links(pairs: DataFrame, reps: DataFrame, members: DataFrame, texts: DataFra
     of = answers.groupBy(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).agg(F.max("both").alias("shared"), F.max(F.expr(link)).alias("linked"))
     wanted, leaders = _least_overlap("n_a", "n_b", num, den), _least_overlap("n_u", "n_v", num, den)
     derived = derived.join(of, ["u", "v"], "left").selectExpr("a", "b", f"{wanted} wanted", f"coalesce(shared, {leaders} - 1) + d most", "shared - e least", "coalesce(linked, false) linked")
-    derived = durable(derived.where("not linked and coalesce(most >= wanted, true)"), "derived")  # an id with several sets has no bounds
+    derived = save(derived.where("not linked and coalesce(most >= wanted, true)"), "derived")  # an id with several sets has no bounds
     sure = derived.where("least >= wanted").select("a", "b")
-    read = _verified(derived.where("not coalesce(least >= wanted, false)"), texts).where(link).select("a", "b")
+    read = _verified(derived.where("not coalesce(least >= wanted, false)"), texts, save).where(link).select("a", "b")
     return answers.where(link).select("a", "b").unionByName(sure).unionByName(read)
 
 
@@ -346,32 +347,34 @@ def similar_groups(docs: DataFrame, num: int = 3, den: int = 4, frequent: int =
     have no shingles and link with nothing. Rows with one doc_id count as linked. A row without doc_id links with nothing
     and has no component. Other columns are ignored; an empty table gives an empty result.
     """
+    save = Tables()
     link = f"{den} * both >= {num} * either"
-    sketches = durable(_sketches(docs), "sketches")
+    sketches = save(_sketches(docs), "sketches")
     rows = sketches.where("n is not null")
     common = sketches.where("n is null").groupBy("hi").agg(F.sum("lo").alias("k")).where("k >= 8").orderBy(F.desc("k"), "hi").limit(frequent)
     last = np.array([r[0] for r in common.select("hi").collect()], np.int64)[::-1].view(np.uint64)
 
     linked = rows.where("n > 0 and doc_id is not null")
-    reps = durable(linked.groupBy("hi", "lo").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig")), "reps")
+    reps = save(linked.groupBy("hi", "lo").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig")), "reps")
     texts, name = _texts_by_id(docs, reps)
 
     points = reps.select("rep", F.size("sig").alias("k"), F.explode("sig").alias("tok"))
     # Written first, so that the join has two plain shuffles (or a broadcast, if few are shared) and a hot shingle can be split.
-    leaders = durable(points.groupBy("tok").agg(F.min("rep").alias("leader"), F.count("*").alias("m")).where("m > 1").select("tok", "leader"), "leaders")
+    leaders = save(points.groupBy("tok").agg(F.min("rep").alias("leader"), F.count("*").alias("m")).where("m > 1").select("tok", "leader"), "leaders")
     votes = points.join(leaders, "tok").where("rep <> leader").groupBy("rep", "leader").agg(F.count("*").alias("votes"), F.max("k").alias("k")).where("votes >= 3 or 2 * votes >= k")
-    chosen = durable(votes.groupBy("rep").agg(F.expr("max_by(leader, struct(votes, -leader))").alias("b")).withColumnRenamed("rep", "a"), "chosen")
-    members = durable(_verified(chosen, texts).where(link).groupBy("a", "b").agg(F.max("both").alias("both"), F.min("either").alias("either")), "members")
+    chosen = save(votes.groupBy("rep").agg(F.expr("max_by(leader, struct(votes, -leader))").alias("b")).withColumnRenamed("rep", "a"), "chosen")
+    members = save(_verified(chosen, texts, save).where(link).groupBy("a", "b").agg(F.max("both").alias("both"), F.min("either").alias("either")), "members")
     near = members.select("a", "b")
     known = components(near)
     sets = texts.join(known.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("component", "id").alias("comp"), "text")
-    pairs = durable(_candidates(_prefixes(sets, last, num, den), num, den), "pairs")
-    found_links = _links(pairs, reps, members, texts, num, den)
+    pairs = save(_candidates(_prefixes(sets, last, num, den), num, den, save), "pairs")
+    found_links = _links(pairs, reps, members, texts, num, den, save)
 
     classes = linked.select("doc_id", "hi", "lo").join(reps.select("hi", "lo", "rep"), ["hi", "lo"])
     twice = classes.where("doc_id <> rep").join(reps.select(F.col("rep").alias("doc_id")).distinct(), "doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     found = components(near.unionByName(found_links).unionByName(twice))
-    forget(docs.sparkSession, name)
+    forget(docs.sparkSession, name, files=True)  # the classes are written
+    save.remove_but(sketches, reps)
 
     named = rows.select("doc_id", F.col("n").alias("n_shingles"), "hi", "lo").join(reps.select("hi", "lo", "rep"), ["hi", "lo"], "left")
     named = named.join(found, named["rep"] == found["node"], "left")

@@ -39,6 +39,28 @@ def durable(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Tables:
+    """Durable tables of one operator, which it removes when tables written later hold all that it still needs. Called like durable."""
+
+    def __init__(self):
+        self._held: list[tuple[DataFrame, str]] = []
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        out = df.sparkSession.read.schema(df.schema).parquet(path)
+        self._held.append((out, path))
+        return out
+
+    def remove(self, *some: DataFrame) -> None:
+        for held in [h for h in self._held if any(h[0] is df for df in some)]:
+            discard(held[0].sparkSession, held[1])
+            self._held.remove(held)
+
+    def remove_but(self, *kept: DataFrame) -> None:
+        self.remove(*[df for df, _ in self._held if not any(df is k for k in kept)])
+
+
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the decimal doc_id, modulo folds; a null doc_id is in fold 0."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % F.lit(folds), F.lit(0))
@@ -53,9 +75,11 @@ def bucketed(df: DataFrame, column: str) -> tuple[DataFrame, str]:
     return spark.table(name), name
 
 
-def forget(spark: SparkSession, name: str) -> None:
-    """Take a table out of the catalog; its files stay in the shared folder, as all others do, for recomputed tasks."""
+def forget(spark: SparkSession, name: str, files: bool = False) -> None:
+    """Take a table out of the catalog. Its files stay in the shared folder, for recomputed tasks, unless no plan reads them any more."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if files:
+        discard(spark, f"{shared_dir(spark)}/{name}")
 
 
 def discard(spark: SparkSession, path: str) -> None:
