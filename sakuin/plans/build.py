@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sakuin.functions import codes, text
-from sakuin.operators import manifests, merge, positioned, sheets
+from sakuin.operators import manifests, merge, name_index, positioned, sheets
 from sakuin.sources import registers, workbooks
 
 
@@ -40,12 +40,14 @@ def snapshot_tables(documents: DataFrame, files: DataFrame, sources: DataFrame,
     used = meta.select("source_id", F.col("document_url").alias("url"), "sha256", "as_of")
     links = sources_of.select("code", "source_id").distinct()
     total, per_source = manifests.global_manifest(facility, filing), manifests.source_manifest(sources.select("source_id"), links, used)
+    index = facility.select("code", "name", "address", "category", text.facility_name(F.col("name")).alias("name_norm"))
+    listed = kept(name_index.lists(index))
     if checked:
         manifests.require(manifests.gates(facility, links, used, sources, minimum))
         manifests.require(manifests.date_gates(total, per_source))
     return {
         "facility": facility, "filing": filing, "source": sources_of, "catalog": merge.catalog(filings), "quarantine": quarantine,
-        "search_index": facility.select("code", "name", "address", "category", text.facility_name(F.col("name")).alias("name_norm")),
+        "search_index": index, "name_list": listed, "name_length": name_index.lengths(listed),
         "manifest": total, "manifest_source": per_source,
     }
 
@@ -62,12 +64,18 @@ def change_tables(documents: DataFrame, items: DataFrame, base_as_of, checked: b
         failed = manifests.parse_rates(pages).where("not passed").orderBy("document_url").first()
         if failed:
             raise ValueError(f"{failed['document_url']}: {failed['parsed']} of {failed['accepted']} filings could be read")
-    events = found.dropDuplicates(["code", "id"]).withColumnRenamed("document_url", "url").withColumn("source_page_url", F.col("page_url"))
+    # Of equal events the first line's facts stand, whatever the order of rows.
+    place = F.struct("document_url", "page", "line")
+    first = found.groupBy("code", "id").agg(F.min_by(F.struct(*[c for c in found.columns if c not in ("code", "id")]), place).alias("e"))
+    events = first.select("code", "id", "e.*").withColumnRenamed("document_url", "url").withColumn("source_page_url", F.col("page_url"))
     order = F.struct("url", "page", "line")
     facility = events.groupBy("code").agg(merge.longest(F.col("name"), order).alias("name"), merge.first_value(F.col("address"), order).alias("address"), F.min_by("category", order).alias("category"), F.max("published_at").alias("latest_as_of"))
+    index = facility.select("code", "name", "address", "category", text.facility_name(F.col("name")).alias("name_norm"))
+    listed = kept(name_index.lists(index))
     columns = ["code", "id", "action", "published_at", "standard_id", "abbreviation", "standard_name", "acceptance_number", "effective_from", "url", "source_id", "source_page_url", "page", "document_sha256", "extraction_method"]
     return {
-        "change_event": events.select(*columns), "change_facility": facility, "change_search_index": facility.select("code", "name", "address", "category", text.facility_name(F.col("name")).alias("name_norm")),
+        "change_event": events.select(*columns), "change_facility": facility, "change_search_index": index,
+        "change_name_list": listed, "change_name_length": name_index.lengths(listed),
         "change_manifest": manifests.change_manifest(events, meta, base_as_of),
         "change_warning": pages.where("parsed = 0 or ocr").select("document_url", "page", F.when(F.col("parsed") == 0, "no rows").otherwise("scanned page").alias("problem")),
     }

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import argparse
 import sys
+from datetime import UTC, datetime
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from sakuin.operators import discovery, manifests
-from sakuin.plans import build, client, sinks
+from sakuin.plans import build, client, sinks, static
 from sakuin.sources import registers, workbooks
 
 
@@ -22,20 +23,32 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> No
     parser.add_argument("--out", help="folder to publish in")
     parser.add_argument("--root", default="", help="folder that --out must lie inside")
     parser.add_argument("--base", help="date of the register that changes refer to; by default that of the published one")
-    parser.add_argument("--json", help="folder for the published layer as JSON shards")
+    parser.add_argument("--manifest", help="published manifest.json that has this date, where the register itself is elsewhere")
+    parser.add_argument("--json", help="folder for the published layer as static JSON files")
     parser.add_argument("--min-facilities", type=int, default=100_000)
     o = parser.parse_args(args)
     spark = spark or SparkSession.builder.getOrCreate()
     pages = spark.read.parquet(o.pages)
     if o.command == "update-recent":
-        base = o.base or client.Register(spark, o.out).manifest().first()["as_of"]
+        seen = sinks.layers(spark, o.out)
+        base = o.base or (static.base_date(spark, o.manifest) if o.manifest else str(client.Register(spark, o.out).manifest().first()["as_of"]))
         if not {"source_id", "prefecture_code_hint"} <= set(pages.columns):
             pages = pages.select("page_url", "html").join(registers.change_pages(spark), "page_url")
-        found = discovery.change_documents(pages, base)
         items = spark.read.parquet(o.files)
         known = items.select("document_url", "sha256").distinct().withColumnRenamed("document_url", "url")
-        tables = build.change_tables(found.join(known, "url"), items.drop("sha256"), base)
-        layer, result = "changes", "change_manifest"
+
+        def changes(base):
+            found = discovery.change_documents(pages, base).join(known, "url")
+            return found, build.change_tables(found, items.drop("sha256"), base)
+
+        def rebased(newer):
+            nonlocal base, found
+            base = str(sinks.stored(spark, newer["snapshot"], "manifest").first()["as_of"])
+            found, made = changes(base)
+            return made
+
+        found, tables = changes(base)
+        layer, result, how = "changes", "change_manifest", {"base": seen.get("snapshot"), "rebase": None if o.base or o.manifest else rebased}
     else:
         bureaus = registers.bureaus(spark)
         found = discovery.monthly_documents(pages.select("page_url", "html").join(bureaus, "page_url"))
@@ -47,19 +60,16 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> No
         manifests.require(manifests.discovery_gates(found, offered))
         files = workbooks.within(spark.read.parquet(o.files), F.octet_length("content"), "document_url").withColumn("sha256", F.sha2("content", 256))
         tables = build.snapshot_tables(found, files, offered, o.min_facilities)
-        layer, result = "snapshot", "manifest"
-    published = sinks.Publication(spark, o.out, o.root or o.out.rpartition("/")[0]).publish(tables, layer)[layer]
-    read = lambda name: spark.read.parquet(f"{published}/{name}")
+        layer, result, how = "snapshot", "manifest", {"as_of": str(tables["manifest"].first()["as_of"])}
+    published = sinks.Publication(spark, o.out, o.root or o.out.rpartition("/")[0]).publish(tables, layer, **how)[layer]
+    read = lambda name: sinks.stored(spark, published, name)
     if o.json:
+        now, written = datetime.now(UTC).isoformat(timespec="seconds"), {n: read(n) for n in tables}
         if layer == "snapshot":
-            source = read("source").withColumnRenamed("url", "document_url")
-            sinks.write_json(sinks.shard_json(read("facility").drop("prefix"), read("filing").drop("prefix").withColumnRenamed("pos", "ord"), source.drop("prefix")), f"{o.json}/facilities")
-            sinks.write_json(sinks.catalog_json(read("catalog")), f"{o.json}/catalog")
-            sinks.write_json(sinks.search_json(read("search_index")), f"{o.json}/search")
+            static.export_snapshot(written, bureaus, o.json, now)
         else:
-            sinks.write_json(sinks.change_shard_json(read("change_facility").drop("prefix"), read("change_event").drop("prefix"), base), f"{o.json}/changes/facilities")
-            sinks.write_json(sinks.search_json(read("change_search_index")), f"{o.json}/changes/search")
-        read(result).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").text(f"{o.json}/{result}")
+            documents = found.drop("bureau_name").join(registers.bureaus(spark).select("source_id", "bureau_name"), "source_id", "left")
+            static.export_changes(written, documents, str(base), o.json, now)
     sys.stdout.write(sinks.one_json(read(result)))
 
 

@@ -11,11 +11,11 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from sakuin.functions import codes, dates, links, text
-from sakuin.operators import discovery, manifests, merge, positioned, replay, search, sheets
-from sakuin.plans import sinks
+from sakuin.operators import discovery, manifests, merge, name_index, positioned, replay, search, sheets
+from sakuin.plans import sinks, static
 from sakuin.plans.build import kept
 from sakuin.plans.client import Register
-from sakuin.plans.queries import _CODE, _KIND, _customers, query, table
+from sakuin.plans.queries import _CODE, _KIND, _customers, _shared, query, table
 from sakuin.sources import html, registers, workbooks
 
 _N7 = "lpad(cast(c_custkey as varchar), 7, '0')"
@@ -383,8 +383,8 @@ def filings_by_name(spark, sf_dir):
     return o.select("o_orderkey", F.col("standard_name").alias("n"), place.alias("place"))
 
 
-def _published(spark, sf_dir) -> Register:
-    """Customers as a published register with changes from orders, in the folder that the cluster shares."""
+def _register(spark, sf_dir) -> tuple[dict, dict]:
+    """Customers as the tables of a register, and changes from orders as those of its change layer."""
     c = _customers(spark, sf_dir)
     o = c.join(table(spark, sf_dir, "orders"), F.col("o_custkey") == F.col("c_custkey"))
     facility = c.selectExpr("code", "c_name name", "c_mktsegment address", "category", "date_add(date'1992-01-01', cast(c_custkey % 9 as int)) as_of")
@@ -393,19 +393,43 @@ def _published(spark, sf_dir) -> Register:
     events = o.where("o_orderkey % 7 = 0").selectExpr("code", "cast(o_orderkey as string) id", "case when o_orderkey % 2 = 0 then 'remove' else 'upsert' end action", "cast(o_orderdate as date) published_at", "o_orderpriority standard_id", "substring(o_orderpriority, 1, 1) abbreviation", "o_orderpriority standard_name", "'' acceptance_number", "cast(null as date) effective_from", "'https://x/' || cast(o_custkey % 3 as string) url", "'e' source_id", "'p' source_page_url", "cast(o_orderkey % 5 as int) page", "'text' extraction_method")
     changed = events.groupBy("code").agg(F.max("published_at").alias("latest_as_of")).selectExpr("code", "'changed' name", "cast(null as string) address", "'medical' category", "latest_as_of")
     index = facility.select("code", "name", "address", "category", text.facility_name(F.col("name")).alias("name_norm"))
-    shared = (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
-    place = sinks.Publication(spark, f"{shared}/register-{uuid.uuid4().hex}", shared)
-    place.publish({"facility": facility, "filing": filing, "catalog": names, "source": c.selectExpr("code", "'https://x/1' url", "'m' source_id"), "search_index": index})
-    place.publish({"change_event": events, "change_facility": changed, "change_search_index": changed.select("code", "name", "address", "category", F.col("name").alias("name_norm"))}, "changes")
+    snapshot = {"facility": facility, "filing": filing, "catalog": names, "source": c.selectExpr("code", "'https://x/1' url", "'m' source_id"), "search_index": index}
+    return snapshot, {"change_event": events, "change_facility": changed, "change_search_index": changed.select("code", "name", "address", "category", F.col("name").alias("name_norm"))}
+
+
+def _published(spark, sf_dir) -> Register:
+    """The register of customers, published in the folder that the cluster shares."""
+    snapshot, changes = _register(spark, sf_dir)
+    place = sinks.Publication(spark, f"{_shared(spark)}/register-{uuid.uuid4().hex}", _shared(spark))
+    place.publish(snapshot)
+    place.publish(changes, "changes")
     return Register(spark, place.path)
 
 
+def _static(spark, sf_dir) -> static.StaticRegister:
+    """The register of customers as static JSON files in the folder that the cluster shares."""
+    snapshot, changes = _register(spark, sf_dir)
+    bureaus = spark.createDataFrame([("m", "monthly", "https://x"), ("e", "events", "https://y")], "source_id string, bureau_name string, page_url string")
+    place = f"{_shared(spark)}/static-{uuid.uuid4().hex}/v1"
+    used = spark.createDataFrame([("m", "https://x/1", "sha")], "source_id string, url string, sha256 string").crossJoin(snapshot["facility"].agg(F.max("as_of").alias("as_of")))  # one row each
+    more = {"manifest": manifests.global_manifest(snapshot["facility"], snapshot["filing"]), "manifest_source": manifests.source_manifest(bureaus.select("source_id"), snapshot["source"], used)}
+    static.export_snapshot({**snapshot, **more}, bureaus, place, "2026-01-01T00:00:00Z")
+    e = changes["change_event"]
+    documents = e.groupBy("url").agg(F.min("published_at").alias("published_at"), F.min("action").alias("action")).selectExpr("'e' source_id", "'events' bureau_name", "'p' page_url", "url", "'sha' sha256", "published_at", "action")
+    total = manifests.change_manifest(e, documents, "1992-01-09")
+    static.export_changes({**changes, "change_manifest": total}, documents, "1992-01-09", place, "2026-01-01T00:00:00Z")
+    return static.StaticRegister(spark, place)
+
+
 _EVENTS = f"e as (select {_CODE} code, o_custkey, cast(o_orderdate as date) d, o_orderkey, case when o_orderkey % 2 = 0 then 0 else 1 end act from orders join customer on c_custkey = o_custkey where o_orderkey % 7 = 0)"
 
 
-@query(f"""with f as (select {_CODE} code, c_name, c_mktsegment, {_KIND} kind, date '1992-01-01' + cast(c_custkey % 9 as int) as_of from customer), {_EVENTS}, n as (select code, count(*) n, max(d) latest from e group by 1),
+_FACILITIES = f"""with f as (select {_CODE} code, c_name, c_mktsegment, {_KIND} kind, date '1992-01-01' + cast(c_custkey % 9 as int) as_of from customer), {_EVENTS}, n as (select code, count(*) n, max(d) latest from e group by 1),
 s as (select substr(f.code, 1, 4) prefix, greatest(max(as_of), max(latest)) as_of from f left join n using (code) group by 1)
-select f.code, case when n.n is null then c_name else 'changed' end as name, c_mktsegment address, case when n.n is null then kind else 'medical' end category, s.as_of, coalesce(n.n, 0) changes from f left join n using (code) join s on s.prefix = substr(f.code, 1, 4)""")
+select f.code, case when n.n is null then c_name else 'changed' end as name, c_mktsegment address, case when n.n is null then kind else 'medical' end category, s.as_of, coalesce(n.n, 0) changes from f left join n using (code) join s on s.prefix = substr(f.code, 1, 4)"""
+
+
+@query(_FACILITIES)
 def register_facilities(spark, sf_dir):
     """All facilities of a published register under its changes: a shard's date, the number of changes."""
     return _published(spark, sf_dir).facilities().select("code", "name", "address", "category", "as_of", F.col("recent_change_count").alias("changes"))
@@ -422,3 +446,58 @@ def register_documents(spark, sf_dir):
     register = _published(spark, sf_dir)
     sources = register.source_ids().groupBy("code").agg(F.array_join(F.array_sort(F.collect_set("source_id")), ",").alias("sources"))
     return register.provenance().join(sources, "code").select("code", "url", "kind", "published_at", "page", "extraction_method", "label", "link", "sources")
+
+
+@query(_FACILITIES)
+def static_facilities(spark, sf_dir):
+    """All facilities of a register that is published as static JSON files and read back, under its changes."""
+    return _static(spark, sf_dir).facilities().select("code", "name", "address", "category", "as_of", F.col("recent_change_count").alias("changes"))
+
+
+_HOLD = f"""with b as (select {_CODE} code, o_orderkey pos, o_orderpriority sid, substr(o_orderpriority, 1, 1) abbr from orders join customer on c_custkey = o_custkey), {{events}},
+x as (select e.code, o_orderkey, act, o_orderpriority sid, substr(o_orderpriority, 1, 1) abbr, row_number() over (partition by e.code order by d, act, cast(o_orderkey as varchar)) seq from e join orders using (o_orderkey)),
+l as (select code, pos, sid, abbr, 0 seq, 1 act from b union all select code, 0, sid, abbr, seq, act from x)
+select code, cast(case when seq = 0 then row_number() over (partition by code, seq order by pos) - 1 else 0 end as integer) pos, sid standard_id, abbr abbreviation, cast(seq as integer) seq from (
+select *, max(seq) over (partition by code, sid) m, max(seq) over (partition by code, abbr) a from l) where act = 1 and seq = m and seq = a"""
+
+
+@query(_HOLD.replace("{events}", _EVENTS).replace("case when seq = 0 then row_number() over (partition by code, seq order by pos) - 1 else 0 end", "p").replace("select code, pos, sid, abbr, 0 seq, 1 act from b", "select code, row_number() over (partition by code order by pos) - 1 p, sid, abbr, 0 seq, 1 act from b"))
+def static_filings(spark, sf_dir):
+    """Current filings of a register in static JSON files: shards parsed, the dictionary joined, changes replayed."""
+    return _static(spark, sf_dir).filings().select("code", "pos", "standard_id", "abbreviation", "seq")
+
+
+_ASKED = f"""k as (select c_custkey, case c_custkey % 5 when 0 then substr(code, 1, 2) || '-' || substr(code, 3) when 1 then '9999' || code when 2 then '48' || substr(code, 3) when 3 then translate(code, '0123456789', '０１２３４５６７８９') else code end asked,
+case when c_custkey % 5 in (0, 3, 4) then code when c_custkey % 5 = 2 then '48' || substr(code, 3) end wanted from (select c_custkey, {_CODE} code from customer) where c_custkey % 11 < 3)"""
+
+
+@query(f"""with r as ({_FACILITIES}), {_ASKED} select c_custkey, asked, wanted facility_code, name, address, category, as_of, changes from k left join r on r.code = wanted""")
+def lookup_many(spark, sf_dir):
+    """Facilities for a table of codes in several forms, some malformed and some in neither layer; only shards of their prefixes are read."""
+    c, k = _customers(spark, sf_dir).where("c_custkey % 11 < 3"), F.col("c_custkey") % 5
+    shaped = F.when(k == 0, F.concat(F.substring("code", 1, 2), F.lit("-"), F.substring("code", 3, 8))).when(k == 1, F.concat(F.lit("9999"), "code")).when(k == 2, F.concat(F.lit("48"), F.substring("code", 3, 8)))
+    asked = c.select("c_custkey", shaped.when(k == 3, F.translate("code", "0123456789", "０１２３４５６７８９")).otherwise(F.col("code")).alias("asked"))
+    return _published(spark, sf_dir).get_many(asked, "asked").select("c_custkey", "asked", "facility_code", "name", "address", "category", "as_of", F.col("recent_change_count").alias("changes"))
+
+
+# Names in several scripts and widths, how a search sees them, and queries in several spellings with what they become.
+_FIRST = (("さくら", "さくら"), ("サクラ", "サクラ"), ("ｻｸﾗ", "サクラ"), ("桜", "桜"), ("㈱うめだ", "株うめだ"), ("ＡＢＣ", "abc"))
+_SECOND = (("診療所", "診療所"), ("ｸﾘﾆｯｸ", "クリニック"), ("病院", "病院"), ("薬局", "薬局"), ("歯科・医院", "歯科医院"), ("①号館", "1号館"))
+_ASKS = (("さ", "さ"), ("サクラ", "サクラ"), ("ｻｸﾗ", "サクラ"), ("院", "院"), ("桜　病", "桜病"), ("（株）うめ", "株うめ"), ("Abc", "abc"), ("1号", "1号"), ("ｸﾘﾆｯｸ1", "クリニック1"), ("無", "無"), ("・", ""), ("改1", "改1"), ("さくら診療所さ", "さくら診療所さ"))
+_pick = lambda pairs, side, by: f"case {by} {' '.join(f'when {k} then {chr(39)}{p[side]}{chr(39)}' for k, p in enumerate(pairs))} end"
+_NAMED = ", ".join(f"{_pick(_FIRST, side, 'c_custkey % 6')} || {chr(39) + '　' + chr(39) if not side else chr(39) * 2} || {_pick(_SECOND, side, '(c_custkey // 6) % 6')} || cast(c_custkey as varchar) {n}" for side, n in ((0, "name"), (1, "norm")))
+
+
+@query(f"""with f as (select c_custkey, {_CODE} code, {_KIND} category, {_NAMED} from customer), i as (select code, case when c_custkey % 10 = 0 then 'ｻｸﾗ改' || cast(c_custkey as varchar) else name end as name, case when c_custkey % 10 = 0 then 'サクラ改' || cast(c_custkey as varchar) else norm end as norm, category from f),
+q as (select * from (values {', '.join(f"('{a}', '{b}')" for a, b in _ASKS)}) v(query, norm)) select query, code, name, category from q join i on q.norm <> '' and contains(i.norm, q.norm)""")
+def search_spellings(spark, sf_dir):
+    """Facilities for queries in several spellings over names in several scripts, by lists of character runs of a published register and
+    of its changes."""
+    named = _customers(spark, sf_dir).selectExpr("c_custkey", "code", "category", "cast(null as string) address", *[x.replace("varchar", "string").replace("(c_custkey // 6) % 6", "cast(floor(c_custkey / 6) as long) % 6") for x in _NAMED.split(", ")[:1]])
+    index = named.select("code", "name", "address", "category", text.facility_name(F.col("name")).alias("name_norm"))
+    changed = named.where("c_custkey % 10 = 0").selectExpr("code", "'ｻｸﾗ改' || cast(c_custkey as string) name", "address", "category").withColumn("name_norm", text.facility_name(F.col("name")))
+    place = sinks.Publication(spark, f"{_shared(spark)}/names-{uuid.uuid4().hex}", _shared(spark))
+    sides = [(t, kept(name_index.lists(t))) for t in (index, changed)]
+    place.publish({"search_index": index, "name_list": sides[0][1], "name_length": name_index.lengths(sides[0][1])})
+    place.publish({"change_search_index": changed, "change_name_list": sides[1][1], "change_name_length": name_index.lengths(sides[1][1])}, "changes")
+    return Register(spark, place.path).search_many(spark.createDataFrame([(a,) for a, _ in _ASKS], "query string")).select("query", "code", "name", "category")

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sakuin.functions.codes import PREFIX
+from sakuin.plans.files import Folder
 
 
 def with_prefix(rows: DataFrame) -> DataFrame:
@@ -80,60 +83,127 @@ def one_json(df: DataFrame) -> str:
 
 #: Tables that lookups by code read; the others are small or read in full.
 PARTITIONED = ("facility", "filing", "source", "change_facility", "change_event")
+#: Tables that searches read by part.
+PARTED = ("name_list", "change_name_list")
+
+
+class Conflict(RuntimeError):
+    """Another publication came first, and this one can't stand on it."""
 
 
 class Publication:
-    """Versions of two layers below one folder; the file `current` names the version of each that readers take.
+    """Versions of two layers below one folder, in a log of numbered files; readers take the highest number.
+
+    A version's tables are written in full to folders of their own. Then the publication commits: it makes the log file with the number
+    after the newest one, without overwriting, so of two publications that saw the same number one wins. The other looks at what has come:
 
-    A version is written in full beside the old one and becomes visible by one rename of `current`, so a failure leaves the old
-    one in place. A new snapshot ends the changes to the one before. The folder must lie inside `root`, and not be it.
+    * a snapshot ends the changes to the one before, so it stands on any newer version, unless that has a snapshot of a later date;
+    * changes stand on any newer version with the snapshot that they were made for. On another snapshot they are made anew if the caller
+      says how (`rebase`), and refused otherwise.
+
+    A publication that fails or is refused leaves the log, and so all readers, as they were. Folders stay while one of the newest `keep` versions
+    names them: a reader that began before a publication can end. The folder must lie inside `root`, and not be it. The store must
+    refuse to rename over a file that exists, as HDFS and local disks do.
     """
 
-    def __init__(self, spark: SparkSession, path: str, root: str):
+    def __init__(self, spark: SparkSession, path: str, root: str, keep: int = 3):
         path, root = path.rstrip("/"), root.rstrip("/")
         if ".." in path.split("/") or not path.startswith(root + "/"):
             raise ValueError(f"{path} is not inside {root}")
-        self.spark, self.path = spark, path
-
-    def _fs(self, name: str = ""):
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
-        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
+        self.spark, self.path, self.keep, self._folder = spark, path, max(1, keep), Folder(spark, path)
 
     def current(self) -> dict[str, str]:
         """Folder of each layer that is published."""
         return layers(self.spark, self.path)
 
-    def publish(self, tables: dict[str, DataFrame], layer: str = "snapshot", partitioned: tuple[str, ...] = PARTITIONED) -> dict[str, str]:
-        """Write all tables as a new version of the layer (snapshot or changes), make it current and remove what it replaces."""
-        before, version = self.current(), f"{layer}-{uuid.uuid4().hex}"
-        for name, df in tables.items():
-            if name in partitioned:
-                write_partitioned(df, f"{self.path}/{version}/{name}")
-            else:
-                df.write.parquet(f"{self.path}/{version}/{name}")
-        now = {**(before if layer == "changes" else {}), layer: f"{self.path}/{version}"}
-        fs, staged = self._fs(f".current-{version}")
-        out = fs.create(staged, True)
-        out.write(bytearray((json.dumps({k: v.rpartition("/")[2] for k, v in now.items()}) + "\n").encode()))
-        out.close()
-        _, final = self._fs("current")
-        options = self.spark.sparkContext._jvm.org.apache.hadoop.fs
-        context = options.FileContext.getFileContext(final.toUri(), self.spark.sparkContext._jsc.hadoopConfiguration()) if final.toUri().getScheme() else options.FileContext.getFileContext()
-        kind = options.Options.Rename
-        context.rename(staged, final, self._overwrite(kind))
-        for folder in set(before.values()) - set(now.values()):
-            fs.delete(self._fs(folder.removeprefix(self.path + "/"))[1], True)
-        return now
-
-    def _overwrite(self, kind):
-        options = self.spark.sparkContext._gateway.new_array(kind, 1)
-        options[0] = kind.OVERWRITE
-        return options
+    def newest(self) -> tuple[int, dict]:
+        """Number and content of the newest version; 0 before the first."""
+        return _newest(self._folder)
+
+    def _write(self, tables: dict[str, DataFrame], layer: str, partitioned: tuple[str, ...]) -> str:
+        folder, schemas = f"{layer}-{uuid.uuid4().hex}", {}
+        try:
+            for name, df in tables.items():
+                schemas[name] = (with_prefix(df) if name in partitioned else df).schema.jsonValue()
+                if name in partitioned:
+                    write_partitioned(df, f"{self.path}/{folder}/{name}")
+                elif name in PARTED:
+                    df.hint("rebalance", "part").sortWithinPartitions("part", "run").write.partitionBy("part").parquet(f"{self.path}/{folder}/{name}")
+                else:
+                    df.write.parquet(f"{self.path}/{folder}/{name}")
+            self._folder.create(f"{folder}/{_SCHEMAS}", json.dumps(schemas))
+        except BaseException:
+            self._folder.remove(folder)
+            raise
+        return folder
+
+    def publish(self, tables: dict[str, DataFrame], layer: str = "snapshot", partitioned: tuple[str, ...] = PARTITIONED, base: str | None = None, rebase: Callable[[dict[str, str]], dict[str, DataFrame]] | None = None, as_of: str | None = None, gates: Callable[[], None] | None = None) -> dict[str, str]:
+        """Write all tables as a new version of the layer (snapshot or changes) and make it current.
+
+        base: folder of the snapshot that changes were made for (see current; by default the one that is current now). rebase: from the
+        folders of a newer version, the change tables for its snapshot. as_of: date of a snapshot; one of a later date is not replaced. gates: called when all
+        tables are written; what it raises ends the publication.
+        """
+        seen = self.newest()[1]
+        based = (base or "").rpartition("/")[2] or seen.get("snapshot")
+        folder = self._write(tables, layer, partitioned)
+        try:
+            if gates:
+                gates()
+            while True:
+                number, now = self.newest()
+                if layer == "changes":
+                    if now.get("snapshot") != based:
+                        if rebase is None or "snapshot" not in now:
+                            raise Conflict(f"the changes were made for {based}, and {now.get('snapshot')} has come")
+                        self._folder.remove(folder)
+                        based, folder = now["snapshot"], self._write(rebase(_folders(self.path, now)), layer, partitioned)
+                        continue
+                    content = {**now, "changes": folder}
+                else:
+                    if as_of and (now.get("as_of") or "") > as_of:
+                        raise Conflict(f"a snapshot of {now['as_of']} has come, this one is of {as_of}")
+                    content = {"snapshot": folder, "as_of": as_of}
+                if self._folder.create(_log(number + 1), json.dumps(content) + "\n"):
+                    break
+        except BaseException:
+            self._folder.remove(folder)
+            raise
+        self._retire(number + 1)
+        return _folders(self.path, content)
+
+    def _retire(self, number: int) -> None:
+        """Remove folders that only versions older than the newest `keep` name, then those versions."""
+        log = {int(n.removesuffix(".json")): json.loads(self._folder.read(f"versions/{n}")) for n in self._folder.names("versions")}
+        kept = {v for k, x in log.items() if k > number - self.keep for n, v in x.items() if n != "as_of"}
+        for k, x in sorted(log.items()):
+            if k <= number - self.keep:
+                for folder in {v for n, v in x.items() if n != "as_of"} - kept:
+                    self._folder.remove(folder)
+                self._folder.remove(_log(k))
+
+
+_SCHEMAS = "schemas.json"
+
+
+def stored(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table of a published version, empty ones and keys of folders with the types that they were written with."""
+    return spark.read.schema(StructType.fromJson(json.loads(Folder(spark, folder).read(_SCHEMAS))[name])).parquet(f"{folder}/{name}")
+
+
+def _log(number: int) -> str:
+    return f"versions/{number:020d}.json"
+
+
+def _newest(folder: Folder) -> tuple[int, dict]:
+    names = folder.names("versions")
+    return (int(names[-1].removesuffix(".json")), json.loads(folder.read(f"versions/{names[-1]}"))) if names else (0, {})
+
+
+def _folders(path: str, version: dict) -> dict[str, str]:
+    return {k: f"{path}/{v}" for k, v in version.items() if k != "as_of"}
 
 
 def layers(spark: SparkSession, path: str) -> dict[str, str]:
     """Folder of each layer published below path; none before the first publication."""
-    pointer = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/current")
-    if not pointer.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(pointer):
-        return {}
-    return {k: f"{path}/{v}" for k, v in json.loads(spark.read.text(f"{path}/current").first()[0]).items()}
+    return _folders(path, _newest(Folder(spark, path))[1])

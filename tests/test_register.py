@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sakuin.operators import discovery, manifests, merge, positioned, replay, sheets
 from sakuin.plans import sinks
 from sakuin.plans.client import LAYERS, Register
+from sakuin.plans.static import StaticRegister
 from sakuin.sources import registers, workbooks
 
 HEADS = ["項番", "医療機関番号", "医療機関名称", "医療機関所在地", "受理届出名称", "受理記号", "受理番号", "算定開始年月日"]
@@ -285,8 +286,12 @@ def test_command_line_keeps_both_layers(spark, tmp_path, capsys):
     assert got["name"] == "テスト 診療所" and got["recent_change_count"] == 2 and got["as_of"] == date(2026, 7, 15)
     assert {s["acceptance_number"] for s in got["standards"]} == {"第109号", "第50号"} and {x["kind"] for x in got["documents"]} == {"snapshot", "change"}
     assert register.get("1830115201")["recent_change_count"] == 0 and "prefix" in register.table("facility").columns
-    assert {r[0] for r in spark.read.text(f"{tmp_path}/json/facilities").select("prefix").collect()} == {1810, 1830, 1840}
-    assert spark.read.text(f"{tmp_path}/json/changes/facilities").where("value like '%2026-07-15%'").count() == 1
+    assert sorted(p.name for p in (tmp_path / "json" / "facilities").iterdir() if p.suffix == ".json") == ["1810.json", "1830.json", "1840.json"]
+    files = StaticRegister(spark, f"{tmp_path}/json")
+    assert files.get("1810115200") == got and files.manifest().first()["facility_count"] == 3 and files.change_manifest().first()["sources"][0]["documents"][0]["action"] == "upsert"
+    elsewhere = ["update-recent", "--pages", f"{tmp_path}/notices", "--files", f"{tmp_path}/items", "--out", f"{tmp_path}/out/v1", "--manifest", f"{tmp_path}/json/manifest.json"]
+    cli.main(elsewhere, spark)  # the base date comes from the published JSON
+    assert '"event_count":2' in capsys.readouterr().out
 
 
 def test_dimensions(spark):
