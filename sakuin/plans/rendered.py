@@ -16,7 +16,7 @@ from sakuin.plans import sinks, static
 from sakuin.plans.build import kept
 from sakuin.plans.client import Register
 from sakuin.plans.queries import _CODE, _KIND, _customers, _shared, query, table
-from sakuin.sources import html, registers, workbooks
+from sakuin.sources import html, registers, sheet_source, workbooks
 
 _N7 = "lpad(cast(c_custkey as varchar), 7, '0')"
 
@@ -240,7 +240,9 @@ def workbook_cells(spark, sf_dir):
             yield pd.DataFrame(rows, columns=["path", "content", "length"])
 
     files = table(spark, sf_dir, "supplier").selectExpr("s_suppkey k", "s_name").mapInPandas(render, "path string, content binary, length long")
-    rows = workbooks.worksheet_rows(workbooks.workbooks(workbooks.documents(files)))
+    place = f"{_shared(spark)}/books-{uuid.uuid4().hex}"
+    sheet_source.write_files(workbooks.documents(files), place)
+    rows = sheet_source.read_sheets(spark, place)
     return rows.select(F.regexp_extract("document_url", "x/([0-9]+)/", 1).cast("bigint").alias("s_suppkey"), "workbook", "sheet", "row_number", F.explode("cells").alias("column", "value"))
 
 
