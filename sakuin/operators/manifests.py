@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -51,6 +51,41 @@ def gates(facilities: DataFrame, facility_source: DataFrame, documents: DataFram
     return out.withColumn("passed", F.col("found") >= F.col("least"))
 
 
+class Observed:
+    """A table whose numbers are taken while it is written; `get` has them after that."""
+
+    def __init__(self, table: DataFrame, *metrics):
+        self._seen = Observation()
+        self.table = table.observe(self._seen, *metrics)
+
+    @property
+    def get(self) -> dict:
+        return self._seen.get
+
+
+def observed(facilities: DataFrame, filings: DataFrame) -> tuple[Observed, Observed]:
+    """Facilities with their number, latest date and number in each category, filings with their number."""
+    count = F.count(F.lit(1))
+    return Observed(facilities, count.alias("facility_count"), F.max("as_of").alias("as_of"), *[F.count_if(F.col("category") == c).alias(c) for c in CATEGORIES]), Observed(filings, count.alias("standard_count"))
+
+
+def measured(spark: SparkSession, facilities: Observed, filings: Observed) -> DataFrame:
+    """global_manifest from the numbers of written tables."""
+    f = facilities.get
+    return spark.createDataFrame([(f["facility_count"], f["as_of"], filings.get["standard_count"])], "facility_count long, as_of date, standard_count long")
+
+
+def measured_gates(spark: SparkSession, facilities: Observed, manifest: DataFrame, sources: DataFrame, minimum: int = 100_000) -> DataFrame:
+    """gates and date_gates from the numbers of written tables. sources: a written source_manifest."""
+    f, one = facilities.get, F.lit(1).cast("long").alias("least")
+    rows = [("minimum", "facilities", f["facility_count"], minimum), *[("category", c, f[c], 1) for c in CATEGORIES]]
+    fixed = spark.createDataFrame(rows, "gate string, subject string, found long, least long")
+    each = F.explode(F.array(F.struct(F.lit("documents").alias("gate"), F.coalesce(F.size(F.array_distinct(F.transform("documents", lambda d: d["url"]))), F.lit(0)).cast("long").alias("found")), F.struct(F.lit("source").alias("gate"), F.col("facility_count").alias("found"))))
+    by_source = sources.select(F.col("source_id").alias("subject"), each.alias("g")).select("g.gate", "subject", "g.found", one)
+    checked = fixed.unionByName(by_source).withColumn("passed", F.col("found") >= F.col("least"))
+    return checked.unionByName(date_gates(manifest, sources))
+
+
 def date_gates(manifest: DataFrame, sources: DataFrame) -> DataFrame:
     """Gates like those of gates: the register and each of its sources must have a date. manifest: one row with as_of; sources:
     source_id, as_of (see source_manifest)."""

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sakuin.functions.codes import PREFIX, standard_id
 from sakuin.functions.text import utf16_length
+from sakuin.operators.tables import kept
 
 
 def longest(value: Column, order: Column) -> Column:
@@ -45,6 +46,21 @@ def distinct_filings(rows: DataFrame, keep_first_row: bool = True) -> DataFrame:
     return kept.unionByName(later)
 
 
+def placed(rows: DataFrame, *order: str) -> DataFrame:
+    """Rows with pos, their place (from 0) in their code's order; a column `pos` of before is replaced.
+
+    Rows are dealt by ranges of code and order and sorted within them, so a code with very many rows lies in as many ranges as it needs and
+    is no one task's; places within a range start after what the code's earlier ranges hold. Rows that are equal in order, and codes that
+    are null, are numbered in any order.
+    """
+    ranged = kept(rows.repartitionByRange("code", *order).sortWithinPartitions("code", *order).withColumn("at", F.monotonically_increasing_id()).withColumn("part", F.shiftright("at", 33)))
+    heads = ranged.groupBy("code", "part").agg(F.count("*").alias("n"), F.min("at").alias("first"))  # a row for each code and range
+    earlier = F.sum("n").over(Window.partitionBy("code").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    heads = heads.select(F.col("code").alias("c"), F.col("part").alias("p"), "first", F.coalesce(earlier, F.lit(0)).alias("before"))
+    numbered = ranged.join(heads, ranged["code"].eqNullSafe(F.col("c")) & (F.col("part") == F.col("p")))
+    return numbered.withColumn("pos", (F.col("at") - F.col("first") + F.col("before")).cast("int")).drop("at", "part", "c", "p", "first", "before")
+
+
 def distinct_sources(rows: DataFrame) -> DataFrame:
     """First row of each (code, document_sha256, workbook, worksheet)."""
     others = [c for c in rows.columns if c not in ("code", "document_sha256", "workbook", "worksheet")]

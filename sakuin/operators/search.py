@@ -16,6 +16,18 @@ def name_order(collation: str | None = "ja") -> Column:
     return F.collate(name, collation) if collation else name
 
 
+def name_key(name: str, collation: str | None = "ja") -> Column:
+    """A name that sorts in Japanese order wherever columns are compared: sorts, windows, ranges and arrays. Not for keys of groups and
+    joins, since names that differ in script alone are equal in that order."""
+    return F.collate(F.coalesce(name, F.lit("")), collation) if collation else F.coalesce(name, F.lit(""))
+
+
+def in_order(row: Column, name: str, *keys: str, collation: str | None = "ja") -> Column:
+    """Aggregate: the rows of a group as an array in Japanese order of a name, then by keys. For groups that fit a row of a sink."""
+    listed = F.array_sort(F.collect_list(F.struct(name_key(name, collation).alias("_name"), *[F.col(k).alias(f"_{k}") for k in keys], row.alias("_row"))))
+    return F.transform(listed, lambda s: s["_row"])
+
+
 def by_name(filings: DataFrame, *keys: str, collation: str | None = "ja") -> DataFrame:
     """Filings in Japanese order of their names (abbreviations where they have none), then by keys."""
     return filings.orderBy(name_order(collation), *keys)

@@ -29,6 +29,7 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> No
     o = parser.parse_args(args)
     spark = spark or SparkSession.builder.getOrCreate()
     pages = spark.read.parquet(o.pages)
+    place = sinks.Publication(spark, o.out, o.root or o.out.rpartition("/")[0]) if o.out else None
     if o.command == "update-recent":
         seen = sinks.layers(spark, o.out)
         base = o.base or (static.base_date(spark, o.manifest) if o.manifest else str(client.Register(spark, o.out).manifest().first()["as_of"]))
@@ -48,7 +49,8 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> No
             return made
 
         found, tables = changes(base)
-        layer, result, how = "changes", "change_manifest", {"base": seen.get("snapshot"), "rebase": None if o.base or o.manifest else rebased}
+        published = place.publish(tables, "changes", base=seen.get("snapshot"), rebase=None if o.base or o.manifest else rebased)["changes"]
+        layer, result = "changes", "change_manifest"
     else:
         bureaus = registers.bureaus(spark)
         found = discovery.monthly_documents(pages.select("page_url", "html").join(bureaus, "page_url"))
@@ -59,12 +61,11 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> No
         offered = pages.join(bureaus, "page_url").select("source_id").distinct()
         manifests.require(manifests.discovery_gates(found, offered))
         files = workbooks.within(spark.read.parquet(o.files), F.octet_length("content"), "document_url").withColumn("sha256", F.sha2("content", 256))
-        tables = build.snapshot_tables(found, files, offered, o.min_facilities)
-        layer, result, how = "snapshot", "manifest", {"as_of": str(tables["manifest"].first()["as_of"])}
-    published = sinks.Publication(spark, o.out, o.root or o.out.rpartition("/")[0]).publish(tables, layer, **how)[layer]
+        published = build.publish_snapshot(place, found, files, offered, o.min_facilities)["snapshot"]
+        layer, result = "snapshot", "manifest"
     read = lambda name: sinks.stored(spark, published, name)
     if o.json:
-        now, written = datetime.now(UTC).isoformat(timespec="seconds"), {n: read(n) for n in tables}
+        now, written = datetime.now(UTC).isoformat(timespec="seconds"), {n: read(n) for n in sinks.tables_of(spark, published)}
         if layer == "snapshot":
             static.export_snapshot(written, bureaus, o.json, now)
         else:

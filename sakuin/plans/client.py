@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sakuin.functions import codes, links, text
 from sakuin.operators import name_index, replay, search
-from sakuin.plans.build import kept
+from sakuin.operators.tables import kept
 from sakuin.plans.files import Folder
 from sakuin.plans.sinks import layers, stored
 

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from sakuin.functions import codes, dates, links, text
 from sakuin.operators import discovery, manifests, merge, name_index, positioned, replay, search, sheets
+from sakuin.operators.tables import kept
 from sakuin.plans import sinks, static
-from sakuin.plans.build import kept
 from sakuin.plans.client import Register
 from sakuin.plans.queries import _CODE, _KIND, _customers, _shared, query, table
 from sakuin.sources import html, registers, sheet_source, workbooks
@@ -503,3 +503,78 @@ def search_spellings(spark, sf_dir):
     place.publish({"search_index": index, "name_list": sides[0][1], "name_length": name_index.lengths(sides[0][1])})
     place.publish({"change_search_index": changed, "change_name_list": sides[1][1], "change_name_length": name_index.lengths(sides[1][1])}, "changes")
     return Register(spark, place.path).search_many(spark.createDataFrame([(a,) for a, _ in _ASKS], "query string")).select("query", "code", "name", "category")
+
+
+@query("""with s as (select s_suppkey k, 1 + cast(s_suppkey % 27 as int) d, 'https://k.mhlw.go.jp/a/' || cast(s_suppkey as varchar) || '/' base from supplier)
+select k s_suppkey, base || 'r_ika.pdf' url, make_date(2026, 8, d + 1) published_at, 'medical' category, 'upsert' as action from s union all select k, base || 's_shika.pdf', make_date(2026, 8, d), 'dental', 'remove' from s""")
+def row_dates(spark, sf_dir):
+    """Notices whose date stands in a table row above theirs: the nearest row with a date counts, and the latest date in it."""
+    row = lambda *cells: "<tr>" + "".join(f"<td>{c}</td>" for c in cells) + "</tr>"
+    day = lambda month, plus: f"令和8年{month}月' || cast(1 + s_suppkey % 27 + {plus} as string) || '日"
+    table_ = row(day(9, 0)) + row(day(8, 1), day(7, 0)) + row("見出し") + row('医科 <a href="r_ika.pdf">新規</a>') + row(day(7, 1), day(8, 0)) + row('歯科 <a href="s_shika.pdf">辞退</a>')
+    pages = _pages(spark, sf_dir, f"'<h2>令和8年7月1日</h2><table>{table_}</table>'", prefecture_code_hint="'13'", document_url_pattern="cast(null as string)", document_context_pattern="cast(null as string)")
+    found = discovery.change_documents(pages, "2026-07-31")
+    return found.select(F.col("source_id").cast("bigint").alias("s_suppkey"), "url", "published_at", "category", "action")
+
+
+@query("""select s_suppkey, case when s_suppkey % 3 = 0 then '一覧' || cast(s_suppkey % 10 as varchar) || '.xlsx' when s_suppkey % 3 = 1 then '医科ｶﾅ' || cast(s_suppkey % 10 as varchar) || '.xlsx' else 'plain' || cast(s_suppkey % 10 as varchar) || '.xlsx' end workbook, s_name as value from supplier""")
+def archive_names(spark, sf_dir):
+    """Names of workbooks in archives, in UTF-8 where the archive says so and else in Shift_JIS, read from the files themselves."""
+
+    def render(frames):
+        for frame in frames:
+            rows = []
+            for k, name in zip(frame["k"], frame["s_name"], strict=True):
+                inner = f"{('一覧', '医科ｶﾅ', 'plain')[k % 3]}{k % 10}.xlsx"
+                coded = inner.encode("shift_jis")
+                out = io.BytesIO()
+                with zipfile.ZipFile(out, "w") as z:
+                    z.writestr(inner if k % 3 == 0 else "n" * len(coded), _book({1: {1: name}}))
+                data = out.getvalue() if k % 3 == 0 else out.getvalue().replace(b"n" * len(coded), coded)  # zipfile itself writes UTF-8 only
+                rows.append((f"https://x/{k}/l.zip", data))
+            yield pd.DataFrame(rows, columns=["document_url", "content"])
+
+    files = table(spark, sf_dir, "supplier").selectExpr("s_suppkey k", "s_name").mapInPandas(render, "document_url string, content binary")
+    place = f"{_shared(spark)}/archives-{uuid.uuid4().hex}"
+    sheet_source.write_files(files, place)
+    rows = sheet_source.read_sheets(spark, place, [1]).where("row_number <= 1")
+    return rows.select(F.regexp_extract("document_url", "x/([0-9]+)/", 1).cast("bigint").alias("s_suppkey"), "workbook", F.element_at("cells", 1).alias("value"))
+
+
+# Texts in odd forms, what normalisation makes of them, and that without white space, colons, middle dots and brackets.
+_ODD = (("ｻｸﾗ　診療所", "サクラ 診療所", "サクラ診療所"), ("㈱①号", "(株)1号", "株1号"), ("Ａ－１２：３", "A-12:3", "A-123"), ("が・カ゛", "が・カ ゙", "がガ"), ("　【ﾊﾟ】［x］ ", "【パ】[x]", "パ[x]"), ("㍿㌔Ⅳ", "株式会社キロIV", "株式会社キロIV"), ("﻿a b", "a b", "ab"))
+
+
+@query(f"""select o_orderkey, {' || '.join(['case o_orderkey % 7 ' + ' '.join(f"when {k} then '{x[0]}'" for k, x in enumerate(_ODD)) + ' end'])} || cast(o_orderkey as varchar) raw,
+case o_orderkey % 7 {' '.join(f"when {k} then '{x[1] + (' ' if x[0].endswith(' ') else '')}'" for k, x in enumerate(_ODD))} end || cast(o_orderkey as varchar) as normal, case o_orderkey % 7 {' '.join(f"when {k} then '{x[2]}'" for k, x in enumerate(_ODD))} end || cast(o_orderkey as varchar) compact from orders""")
+def odd_forms(spark, sf_dir):
+    """Normalised and compact text of half and full width, ligatures, circled digits, voicing marks, and white space of all kinds."""
+    pieces = F.element_at(F.array(*[F.lit(x[0]) for x in _ODD]), (F.col("o_orderkey") % 7 + 1).cast("int"))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.concat(pieces, F.col("o_orderkey").cast("string")).alias("raw"))
+    return rows.withColumn("normal", text.normalize_text(F.col("raw"))).withColumn("compact", text.compact(F.col("normal")))
+
+
+# Names in Japanese order; equal places are equal in that order.
+_PLACES = (("1号", 1), ("abc", 2), ("あい", 3), ("アイ", 3), ("ｱｲ", 3), ("あいう", 4), ("うめだ", 5), ("ウメダ", 5), ("か", 6), ("が", 7), ("さくら", 8), ("サクラ", 8), ("医院", 9), ("桜", 10), ("大阪", 11), ("東京", 12), ("梅田", 13), ("薬局", 14))
+
+
+@query(f"""with v as (select * from (values {', '.join(f"({k}, '{n}', {p})" for k, (n, p) in enumerate(_PLACES))}) v(k, name, place)) select o_custkey code, o_orderkey, name,
+row_number() over (partition by o_custkey order by place, o_orderkey) as in_code, row_number() over (order by place, o_orderkey) as in_all from orders join v on k = o_orderkey % {len(_PLACES)}""")
+def japanese_order(spark, sf_dir):
+    """Places of names in kana, kanji and mixed widths in Japanese order: within each code by a sorted array, and among all by ranges."""
+    name = F.element_at(F.array(*[F.lit(n) for n, _ in _PLACES]), (F.col("o_orderkey") % len(_PLACES) + 1).cast("int"))
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("code"), "o_orderkey", name.alias("standard_name"))
+    listed = o.groupBy("code").agg(search.in_order(F.struct(F.col("standard_name"), F.col("o_orderkey")), "standard_name", "o_orderkey").alias("s")).select("code", F.posexplode("s").alias("p", "s"))
+    own = listed.select("code", "s.o_orderkey", F.col("s.standard_name").alias("name"), (F.col("p") + 1).cast("bigint").alias("in_code"))
+    every = merge.placed(o.select(F.lit("all").alias("code"), search.name_key("standard_name").alias("key"), "o_orderkey"), "key", "o_orderkey")
+    return own.join(every.select("o_orderkey", (F.col("pos") + 1).cast("bigint").alias("in_all")), "o_orderkey")
+
+
+@query("""with r as (select l_orderkey code, l_linenumber ord, p pos, l_returnflag || cast(p // 2 as varchar) abbr from lineitem, (values (0), (1), (2)) v(p)), f as (select code, min(ord) first from r group by 1),
+k as (select code, abbr, min(ord * 10 + pos) o from r group by 1, 2) select r.code, r.ord, r.pos, r.abbr abbreviation from r join f using (code) where ord = first union all
+select k.code, k.o // 10, k.o % 10, k.abbr from k join f using (code) where k.o // 10 > first""")
+def first_row_filings(spark, sf_dir):
+    """Filings that repeat within a code's first row stay, as published registers have them; later rows add what is new."""
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("code"), F.col("l_linenumber").alias("ord"), F.explode(F.sequence(F.lit(0), F.lit(2))).alias("pos"), "l_returnflag")
+    rows = rows.withColumns({"abbreviation": F.concat("l_returnflag", F.floor(F.col("pos") / 2).cast("string")), "standard_name": F.lit(None).cast("string"), "acceptance_number": F.lit(""), "effective_from": F.lit(None).cast("date")})
+    return merge.distinct_filings(rows.drop("l_returnflag")).select("code", "ord", "pos", "abbreviation")

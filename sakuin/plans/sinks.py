@@ -87,6 +87,10 @@ PARTITIONED = ("facility", "filing", "source", "change_facility", "change_event"
 PARTED = ("name_list", "change_name_list")
 
 
+#: A table, or a function that makes it from tables written before.
+Table = DataFrame | Callable[[Callable[[str], DataFrame]], DataFrame]
+
+
 class Conflict(RuntimeError):
     """Another publication came first, and this one can't stand on it."""
 
@@ -120,10 +124,12 @@ class Publication:
         """Number and content of the newest version; 0 before the first."""
         return _newest(self._folder)
 
-    def _write(self, tables: dict[str, DataFrame], layer: str, partitioned: tuple[str, ...]) -> str:
+    def _write(self, tables: dict[str, Table], layer: str, partitioned: tuple[str, ...]) -> tuple[str, Callable[[str], DataFrame]]:
         folder, schemas = f"{layer}-{uuid.uuid4().hex}", {}
+        read = lambda name: self.spark.read.schema(StructType.fromJson(schemas[name])).parquet(f"{self.path}/{folder}/{name}")
         try:
             for name, df in tables.items():
+                df = df if isinstance(df, DataFrame) else df(read)
                 schemas[name] = (with_prefix(df) if name in partitioned else df).schema.jsonValue()
                 if name in partitioned:
                     write_partitioned(df, f"{self.path}/{folder}/{name}")
@@ -135,21 +141,23 @@ class Publication:
         except BaseException:
             self._folder.remove(folder)
             raise
-        return folder
+        return folder, read
 
-    def publish(self, tables: dict[str, DataFrame], layer: str = "snapshot", partitioned: tuple[str, ...] = PARTITIONED, base: str | None = None, rebase: Callable[[dict[str, str]], dict[str, DataFrame]] | None = None, as_of: str | None = None, gates: Callable[[], None] | None = None) -> dict[str, str]:
+    def publish(self, tables: dict[str, Table], layer: str = "snapshot", partitioned: tuple[str, ...] = PARTITIONED, base: str | None = None, rebase: Callable[[dict[str, str]], dict[str, Table]] | None = None, as_of: str | Callable[[], str | None] | None = None, gates: Callable[[Callable[[str], DataFrame]], object] | None = None) -> dict[str, str]:
         """Write all tables as a new version of the layer (snapshot or changes) and make it current.
 
-        base: folder of the snapshot that changes were made for (see current; by default the one that is current now). rebase: from the
-        folders of a newer version, the change tables for its snapshot. as_of: date of a snapshot; one of a later date is not replaced. gates: called when all
-        tables are written; what it raises ends the publication.
+        Tables are written in their order. One may be a function of `read`, which gives tables written before it by name, so that what follows from
+        a table is made from its files and no table is computed twice. base: folder of the snapshot that changes were made for (see current; by default the one that is current now). rebase: from the
+        folders of a newer version, the change tables for its snapshot. as_of: date of a snapshot, or what tells it once
+        all is written; one of a later date is not replaced. gates: called with `read` when all tables are written; what it raises ends the publication.
         """
         seen = self.newest()[1]
         based = (base or "").rpartition("/")[2] or seen.get("snapshot")
-        folder = self._write(tables, layer, partitioned)
+        folder, read = self._write(tables, layer, partitioned)
         try:
             if gates:
-                gates()
+                gates(read)
+            as_of = as_of() if callable(as_of) else as_of
             while True:
                 number, now = self.newest()
                 if layer == "changes":
@@ -157,7 +165,9 @@ class Publication:
                         if rebase is None or "snapshot" not in now:
                             raise Conflict(f"the changes were made for {based}, and {now.get('snapshot')} has come")
                         self._folder.remove(folder)
-                        based, folder = now["snapshot"], self._write(rebase(_folders(self.path, now)), layer, partitioned)
+                        based, (folder, read) = now["snapshot"], self._write(rebase(_folders(self.path, now)), layer, partitioned)
+                        if gates:
+                            gates(read)
                         continue
                     content = {**now, "changes": folder}
                 else:
@@ -191,6 +201,10 @@ def stored(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(StructType.fromJson(json.loads(Folder(spark, folder).read(_SCHEMAS))[name])).parquet(f"{folder}/{name}")
 
 
+def tables_of(spark: SparkSession, folder: str) -> list[str]:
+    return list(json.loads(Folder(spark, folder).read(_SCHEMAS)))
+
+
 def _log(number: int) -> str:
     return f"versions/{number:020d}.json"
 

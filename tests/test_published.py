@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sakuin.functions import text
-from sakuin.operators import name_index, replay
+from sakuin.operators import manifests, merge, name_index, replay
 from sakuin.plans import sinks, static
 from sakuin.plans.client import LAYERS, Register
 from sakuin.streaming.incremental import ReplayState, replay_stream
@@ -62,7 +62,7 @@ def test_changes_that_meet_a_new_snapshot(spark, tmp_path, rebase):
     old = Register(spark, place.path)
     assert old.get(CODES[0])["name"] == "さくら診療所"
 
-    def meanwhile():  # the other publisher's snapshot comes when the changes are written
+    def meanwhile(read):  # the other publisher's snapshot comes when the changes are written
         if len(other._folder.names("versions")) == 1:
             other.publish(snapshot(spark, "二", date(2026, 8, 1)), as_of="2026-08-01")
 
@@ -85,7 +85,7 @@ def test_two_publishers_of_changes_and_a_snapshot_that_is_late(spark, tmp_path):
     place.publish(snapshot(spark), as_of="2026-07-01")
     late = []
 
-    def meanwhile():
+    def meanwhile(read):
         if not late:
             late.append(other.publish(changes(spark), "changes"))
 
@@ -102,7 +102,7 @@ def test_failures_leave_the_register_and_old_folders_go(spark, tmp_path):
     place = sinks.Publication(spark, f"{tmp_path}/out/v1", f"{tmp_path}/out", keep=2)
     first = place.publish(snapshot(spark))
 
-    def fail():
+    def fail(read):
         raise ValueError("a gate")
 
     with pytest.raises(ValueError, match="a gate"):
@@ -119,6 +119,63 @@ def test_failures_leave_the_register_and_old_folders_go(spark, tmp_path):
     assert first["snapshot"].rpartition("/")[2] in folders() and second["changes"].rpartition("/")[2] not in folders() and len(folders()) == 3
 
 
+def found_rows(spark, n=40):
+    return spark.createDataFrame([(f"{k % 9:010d}", f"n{k}", ("medical", "dental", "pharmacy")[k % 3], D if k % 4 else None) for k in range(n)], "code string, name string, category string, as_of date")
+
+
+@pytest.mark.parametrize("broken", [None, "minimum", "category", "source", "date"])
+def test_gates_from_numbers_of_written_tables(spark, tmp_path, broken):
+    facility = found_rows(spark).where("category <> 'dental'" if broken == "category" else "true").withColumn("as_of", F.lit(None).cast("date") if broken == "date" else F.col("as_of"))
+    filing = spark.range(7).selectExpr("cast(id as string) code")
+    sources = spark.createDataFrame([("a",), ("b",)], "source_id string")
+    used = spark.createDataFrame([("a", "u1", "s", D), ("a", "u2", "s", None)] + ([] if broken == "source" else [("b", "u3", "s", D)]), "source_id string, url string, sha256 string, as_of date")
+    source = facility.select("code", F.lit("a").alias("source_id"), F.lit("u1").alias("url")).unionByName(facility.limit(3).select("code", F.lit("b").alias("source_id"), F.lit("u3").alias("url")))
+    least = 1000 if broken == "minimum" else 5
+    f, n = manifests.observed(facility, filing)
+    seen = {}
+
+    def gates(read):
+        checked = manifests.measured_gates(spark, f, read("manifest"), read("manifest_source"), least)
+        seen["now"] = {tuple(r) for r in checked.select("gate", "subject", "found", "least", "passed").collect()}
+        manifests.require(checked)
+
+    place = sinks.Publication(spark, f"{tmp_path}/out/v1", f"{tmp_path}/out")
+    tables = {"facility": f.table, "filing": n.table, "source": source, "manifest": lambda read: manifests.measured(spark, f, n), "manifest_source": lambda read: manifests.source_manifest(sources, read("source").select("code", "source_id").distinct(), used)}
+    if broken:
+        with pytest.raises(ValueError, match="gate"):
+            place.publish(tables, gates=gates)
+        assert place.current() == {} and not [p for p in Path(place.path).iterdir() if p.name.startswith("snapshot")]
+    else:
+        place.publish(tables, gates=gates)
+        assert tuple(Register(spark, place.path).manifest().first()) == (40, D, 7)
+    links = source.select("code", "source_id").distinct()
+    before = manifests.gates(facility, links, used, sources, least).unionByName(manifests.date_gates(manifests.global_manifest(facility, filing), manifests.source_manifest(sources, links, used)))
+    assert seen["now"] == {tuple(r) for r in before.select("gate", "subject", "found", "least", "passed").collect()}
+
+
+def test_numbers_of_no_rows(spark, tmp_path):
+    f, n = manifests.observed(found_rows(spark).where("code = 'x'").groupBy("code").agg(F.max("as_of").alias("as_of"), F.min("category").alias("category")), found_rows(spark).where("false"))
+    for k, t in enumerate((f.table, n.table)):
+        t.write.parquet(f"{tmp_path}/{k}")
+    assert tuple(manifests.measured(spark, f, n).first()) == (0, None, 0)
+
+
+def test_places_of_a_giant_code(spark):
+    """One code has nearly all rows: they lie in several ranges, and places are those of one sort."""
+    rows = spark.range(60_000).selectExpr("case when id % 100 < 97 then '1310000000' when id % 100 = 97 then null else cast(id % 7 as string) end code", "pmod(id * 7919, 60013) ord", "'x' pos", "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    got = merge.placed(rows, "ord")
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got.columns == ["code", "ord", "pos", "id"]
+    want = {}
+    for r in sorted(rows.collect(), key=lambda r: (r["code"] or "", r["ord"])):
+        want.setdefault(r["code"], []).append(r["id"])
+    found = {(r["code"], r["pos"]): r["id"] for r in got.collect()}
+    assert found == {(c, k): i for c, ids in want.items() for k, i in enumerate(ids)}
+    parts = rows.repartitionByRange(4, "code", "ord").where("code = '1310000000'").select(F.spark_partition_id()).distinct().count()
+    assert parts > 1
+
+
 # ---- static files
 
 
