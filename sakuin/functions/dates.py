@@ -22,24 +22,26 @@ def calendar_date(year: Column, month: Column, day: Column) -> Column:
     return F.call_function("try_to_date", F.format_string("%04d-%02d-%02d", year, month, day))
 
 
-def _groups(text: Column, pattern: str, *groups: int) -> list[Column]:
-    return [F.regexp_extract(text, pattern, g).try_cast("int") for g in groups]
+def _let(value: Column, use) -> Column:
+    """use(value), with the value computed once."""
+    return F.transform(F.array(value), use)[0]
 
 
-def parse_date(normalized: Column) -> Column:
-    """The first form that occurs decides: western, era, abbreviated era; a day that doesn't exist gives null."""
-    year = F.when(F.regexp_extract(normalized, _ERA, 2) == "元", F.lit(1)).otherwise(F.regexp_extract(normalized, _ERA, 2).try_cast("int"))
-    name = F.regexp_extract(normalized, _ERA, 1)
-    base = F.lit(None).cast("int")
+def _written(piece: Column) -> Column:
+    """The date that a piece of text in one of the forms holds. Four digits are a western year; an era is named; else it is Reiwa."""
+    base = F.lit(ERAS["令和"])
     for era, before in ERAS.items():
-        base = F.when(name == era, F.lit(before)).otherwise(base)
-    month, day = _groups(normalized, _ERA, 3, 4)
-    short = _groups(normalized, _SHORT, 1, 2, 3)
-    return (
-        F.when(normalized.rlike(_WESTERN), calendar_date(*_groups(normalized, _WESTERN, 1, 2, 3)))
-        .when(normalized.rlike(_ERA), calendar_date(base + year, month, day))
-        .when(normalized.rlike(_SHORT), calendar_date(short[0] + 2018, short[1], short[2]))
-    )
+        base = F.when(F.startswith(piece, F.lit(era)), F.lit(before)).otherwise(base)
+    number = lambda n, k: F.get(n, F.lit(k)).try_cast("int")
+    year = lambda n: F.when(F.length(F.get(n, F.lit(0))) == 4, number(n, 0)).otherwise(base + F.when(F.get(n, F.lit(0)) == "元", F.lit(1)).otherwise(number(n, 0)))
+    return _let(F.regexp_extract_all(piece, F.lit("元|[0-9]+"), F.lit(0)), lambda n: calendar_date(year(n), number(n, 1), number(n, 2)))
+
+
+def parse_date(normalized: Column) -> Column:
+    """The first form that occurs decides: western, era, abbreviated era; a day that doesn't exist gives null. Each form is looked for
+    once, and only while none was found."""
+    forms = [F.nullif(F.regexp_extract(normalized, pattern, 0), F.lit("")) for pattern in (_WESTERN, _ERA, _SHORT)]
+    return _let(F.coalesce(*forms), lambda piece: F.when(piece.isNotNull(), _written(piece)))
 
 
 def _all(text: Column, pattern: str) -> Column:
