@@ -22,6 +22,7 @@ SHINGLE = 5
 SIGNATURE = 8  # smallest hashes of a set that point to a leader
 FREQUENT = 1 << 17  # shingles that are put last in the order of all shingles; only speed depends on it
 LONG = 4096  # index lists from this length on are split by the sizes of their sets
+BLOCK = 4096  # entries of a split list's part; a part with more is dealt to groups, and each two groups meet in a task of their own
 CHUNK = 1 << 20  # bytes of text hashed at once
 
 _SPACES = np.zeros(256, bool)
@@ -217,16 +218,18 @@ def need(r, s, num: int, den: int):
     return np.maximum(1, -(-num * (r + s) // (num + den)) - (-(-num * np.maximum(r, s) // den) - 1))
 
 
-def list_pairs(tok: np.ndarray, id_: np.ndarray, comp: np.ndarray, n: np.ndarray, q: np.ndarray, m: np.ndarray, home: np.ndarray, num: int, den: int):
+def list_pairs(tok: np.ndarray, id_: np.ndarray, comp: np.ndarray, n: np.ndarray, q: np.ndarray, m: np.ndarray, home: np.ndarray, num: int, den: int, own: np.ndarray | None = None):
     """Pairs (a < b) of entries of one list and different components that may link. q: the list's place among the m lists of its
     set; a pair shows in the first list that both are in, behind which both have need - 1 more. Of a pair, one at least is at home
-    in the list: a guest has come from the next smaller sizes of a split list, where pairs of guests are found.
+    in the list: a guest has come from the next smaller sizes of a split list, where pairs of guests are found. own: the number of an
+    entry's group where two groups meet (pairs within either are found elsewhere), -1 where pairs are not so restricted.
 
     Within a list, entries of one size are a block. Two blocks know what a pair of them needs, and skip all entries whose place is
     too late for it.
     """
     order = np.lexsort((q - m, n, tok))
-    tok, id_, comp, n, room, home = tok[order], id_[order], comp[order], n[order].astype(np.int64), (m - q)[order], home[order]
+    own = np.full(len(tok), -1) if own is None else own
+    tok, id_, comp, n, room, home, own = tok[order], id_[order], comp[order], n[order].astype(np.int64), (m - q)[order], home[order], own[order]
     heads = np.flatnonzero(np.r_[True, (tok[1:] != tok[:-1]) | (n[1:] != n[:-1])]) if len(tok) else np.empty(0, np.int64)
     ends, size, block_tok = np.r_[heads[1:], len(tok)], n[heads], tok[heads]
     last = np.searchsorted(block_tok, block_tok, side="right")
@@ -243,7 +246,7 @@ def list_pairs(tok: np.ndarray, id_: np.ndarray, comp: np.ndarray, n: np.ndarray
             b = np.arange(heads[j], heads[j] + np.searchsorted(-room[heads[j] : ends[j]], -w, side="right"))
             for at in range(0, len(a), 1024):
                 some = a[at : at + 1024]
-                good = (comp[some][:, None] != comp[b][None]) & (home[some][:, None] | home[b][None])
+                good = (comp[some][:, None] != comp[b][None]) & (home[some][:, None] | home[b][None]) & ((own[some][:, None] != own[b][None]) | (own[b][None] < 0))
                 if not step:
                     good &= some[:, None] < b[None]
                 u, v = np.nonzero(good)
@@ -262,7 +265,8 @@ def _candidates(prefixes: DataFrame, num: int, den: int, save, rows: int = 500_0
 
     A frequent shingle's entries are dealt by id where its list needn't be seen whole. Where lists are paired, a long one is split
     by powers of den / num: a set is at home among those of its own size and a guest among the next larger ones, so all sets that
-    can link with it are met and no list of all sizes comes together.
+    can link with it are met and no list of all sizes comes together. A part with more than BLOCK entries is dealt to groups by id, and
+    every two groups, and every group with itself, are a cell that one task pairs.
     """
     dealt = prefixes.withColumn("salt", F.when(F.col("df") > 0, F.col("id")).otherwise(0)).repartition("tok", "salt").sortWithinPartitions("tok").drop("salt")
     shared = dealt.mapInArrow(lambda it: _by_list(it, rows, _shared), "tok long, id long, comp long, n int, df long")
@@ -272,12 +276,22 @@ def _candidates(prefixes: DataFrame, num: int, den: int, save, rows: int = 500_0
     save.remove(shared)
     entry = lists.select("id", "comp", "n", F.size("toks").alias("m"), "short", F.posexplode("toks").alias("q", "tok"))
     level = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(den / num)) + 1e-9)
-    places = F.when(F.col("q") < F.col("short"), F.array(F.struct(F.col("tok").alias("t"), F.lit(True).alias("home"))))
-    places = places.otherwise(F.array(*[F.struct(F.xxhash64("tok", level + k).alias("t"), F.lit(k == 0).alias("home")) for k in (0, 1)]))
-    placed = entry.withColumn("at", F.explode(places)).select(F.col("at.t").alias("tok"), "id", "comp", "n", "q", "m", "at.home")
+    columns = ["tok", "id", "comp", "n", "q", "m", "home", "own"]
+    whole = entry.where("q < short").withColumns({"home": F.lit(True), "own": F.lit(-1)}).select(columns)
+    sides = F.array(*[F.struct(F.xxhash64("tok", level + k).alias("t"), F.lit(k == 0).alias("home")) for k in (0, 1)])
+    parts = entry.where("q >= short").withColumn("at", F.explode(sides)).select(F.col("at.t").alias("tok"), "id", "comp", "n", "q", "m", "at.home")
+    large = save(parts.groupBy("tok").agg(F.count("*").alias("size")).where(F.col("size") > BLOCK), "large")
+    groups = F.coalesce(F.ceil(F.col("size") / BLOCK), F.lit(1).cast("long")).cast("int")
+    dealt = parts.join(large, "tok", "left").withColumn("groups", groups).withColumn("group", F.pmod(F.xxhash64("id", "n"), F.col("groups")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
+    cell = F.when(F.col("groups") == 1, F.col("tok")).otherwise(F.xxhash64("tok", F.least("group", "other"), F.greatest("group", "other")))
+    dealt = dealt.withColumns({"own": F.when(F.col("group") == F.col("other"), F.lit(-1)).otherwise(F.col("group")), "tok": cell})
+    # In a cell of two groups an entry's own group is named; a group met with itself is a cell of its own.
+    placed = whole.unionByName(dealt.select(columns))
 
     def pairs(table: pa.Table) -> pa.RecordBatch:
-        a, b = list_pairs(*[table.column(k).to_numpy() for k in range(7)], num, den)
+        cols = [table.column(k).to_numpy() for k in range(8)]
+        a, b = list_pairs(*cols[:7], num, den, cols[7])
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     found = placed.repartition("tok").sortWithinPartitions("tok").mapInArrow(lambda it: _by_list(it, rows, pairs), "a long, b long").distinct()
@@ -302,9 +316,9 @@ def _links(pairs: DataFrame, reps: DataFrame, members: DataFrame, texts: DataFra
     """
     link = f"{den} * both >= {num} * either"
     sizes = reps.groupBy(F.col("rep").alias("id")).agg(F.max("n").alias("n"), F.count("*").alias("sets")).where("sets = 1").drop("sets")
-    leads = members.join(members.select(F.col("a").alias("b")).distinct(), "b", "left_anti")  # leaders that follow no other
-    one = sizes.select(F.col("id").alias("b"))
-    leads = leads.join(one, "b", "left_semi").select(F.col("a").alias("id"), F.col("b").alias("lead"), "both", "either")
+    # Leaders that follow no other and have one set: chosen among distinct ones, so that one with very many members is one row here.
+    firm = members.select("b").distinct().join(members.select(F.col("a").alias("b")).distinct(), "b", "left_anti").join(sizes.select(F.col("id").alias("b")), "b", "left_semi")
+    leads = members.join(save(firm, "firm"), "b").select(F.col("a").alias("id"), F.col("b").alias("lead"), "both", "either")
     known = sizes.join(leads, "id", "left").selectExpr("id", "n", "lead", "n - both d", "either - n e")
     known = save(known, "known")
     side = lambda x: known.select(F.col("id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "lead", "d", "e")])

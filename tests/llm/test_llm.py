@@ -258,9 +258,10 @@ def families(seed):
     return out
 
 
-@pytest.mark.parametrize(("seed", "long"), [(5, 4096), (6, 2), (7, 2)])
-def test_jaccard_components(spark, monkeypatch, seed, long):
+@pytest.mark.parametrize(("seed", "long", "block"), [(5, 4096, 4096), (6, 2, 4096), (7, 2, 3), (8, 2, 1)])
+def test_jaccard_components(spark, monkeypatch, seed, long, block):
     monkeypatch.setattr(jaccard_join, "LONG", long)
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
     texts = corpus(seed, 50) + families(seed) + [(2000 + k, " ".join(f"g{j}" for j in range(40)) + f" tail{k // 2} end{k}") for k in range(12)] + [(None, "no id at all here")]
     got = jaccard_join.similar_groups(docs_of(spark, texts), frequent=64 if seed < 7 else 3).collect()
     assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("sakuin_")]
@@ -315,6 +316,23 @@ def test_links_of_an_id_with_two_texts(spark, monkeypatch, seed, long):
     assert {r["doc_id"]: r["component_id"] for r in got} == expected
 
 
+def test_groups_of_a_list_meet_in_cells():
+    """Pairs of a list are those of its cells together, each found once but for pairs within a group."""
+    r = np.random.default_rng(4)
+    k = 200
+    tok, id_, comp, n = np.zeros(k, np.int64), np.arange(k), r.integers(0, 150, k), r.integers(40, 53, k)
+    q, m, home = r.integers(0, 6, k), np.full(k, 12), r.random(k) < 0.7
+    whole = set(zip(*(x.tolist() for x in jaccard_join.list_pairs(tok, id_, comp, n, q, m, home, 3, 4)), strict=True))
+    group = r.integers(0, 4, k)
+    found = []
+    for i in range(4):
+        for j in range(i, 4):
+            some = (group == i) | (group == j)
+            own = np.full(some.sum(), -1) if i == j else group[some]
+            found += zip(*(x.tolist() for x in jaccard_join.list_pairs(*[x[some] for x in (tok, id_, comp, n, q, m, home)], 3, 4, own)), strict=True)
+    assert whole and set(found) == whole and len(found) == len(whole)
+
+
 def test_long_lists_come_whole():
     tok = np.sort(np.random.default_rng(3).integers(0, 9, 500))
     batches = [pa.record_batch({"tok": tok[a : a + 30], "at": np.arange(a, min(a + 30, 500))}) for a in range(0, 500, 30)]
