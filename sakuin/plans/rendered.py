@@ -15,6 +15,7 @@ from sakuin.operators import discovery, manifests, merge, name_index, positioned
 from sakuin.operators.tables import kept
 from sakuin.plans import sinks, static
 from sakuin.plans.client import Register
+from sakuin.plans.ordered import OrderedTable
 from sakuin.plans.queries import _CODE, _KIND, _customers, _shared, query, table
 from sakuin.sources import html, registers, sheet_source, workbooks
 
@@ -578,3 +579,13 @@ def first_row_filings(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("code"), F.col("l_linenumber").alias("ord"), F.explode(F.sequence(F.lit(0), F.lit(2))).alias("pos"), "l_returnflag")
     rows = rows.withColumns({"abbreviation": F.concat("l_returnflag", F.floor(F.col("pos") / 2).cast("string")), "standard_name": F.lit(None).cast("string"), "acceptance_number": F.lit(""), "effective_from": F.lit(None).cast("date")})
     return merge.distinct_filings(rows.drop("l_returnflag")).select("code", "ord", "pos", "abbreviation")
+
+
+@query(f"""with f as (select {_CODE} code, c_name name from customer) select code, name, (select count(*) from f g where g.code < f.code) as before from f where code >= '04' and code <= '0640001000'""")
+def code_range(spark, sf_dir):
+    """Facilities of a range of codes from a table in order of codes: the files that overlap the range are opened, and places follow
+    from the files before them."""
+    ordered = OrderedTable(spark, f"{_shared(spark)}/ordered-{uuid.uuid4().hex}")
+    ordered.write(_customers(spark, sf_dir).select("code", F.col("c_name").alias("name")), "code", files=8)
+    found = merge.placed(ordered.between("04", "0640001000").select("code", "name", F.lit("all").alias("every")).withColumnRenamed("code", "own").withColumnRenamed("every", "code"), "own")
+    return found.select(F.col("own").alias("code"), "name", (F.col("pos") + ordered.before("04")).cast("bigint").alias("before"))
