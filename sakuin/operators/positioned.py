@@ -62,6 +62,7 @@ def columns(items: DataFrame) -> DataFrame:
     def header(pattern: str, what: str = "x") -> Column:
         return F.min_by(what, F.when(packed.rlike(pattern), F.col("ord")))
 
+    # Header texts of the notices, and how far from a header its column's text may begin or end.
     heads = items.groupBy(*PAGE).agg(
         F.first("action").alias("action"), F.first("ocr").alias("ocr"),
         *[header(p, w).alias(f"{n}_{w}") for n, p in (("code", "^(?:医療機関|薬局)(?:番号|コード)\\z"), ("name", "^(?:医療機関|薬局)?名称\\z"), ("address", "^(?:医療機関|薬局)?所在地\\z")) for w in ("x", "y")],

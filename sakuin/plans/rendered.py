@@ -143,6 +143,7 @@ def change_discovery(spark, sf_dir):
     return found.select(F.col("source_id").cast("bigint").alias("s_suppkey"), "url", "published_at", "category", "action", F.col("prefecture_code_hint").alias("prefecture"))
 
 
+# Header cells of the lists, as sheets and notices have them.
 HEADS = ("医療機関番号", "医療機関名称", "医療機関所在地", "受理届出名称", "受理記号", "受理番号", "算定開始年月日")
 
 

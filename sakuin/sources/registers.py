@@ -43,32 +43,31 @@ BUREAU_PREFECTURES = {
 
 # Pages with change notices as (bureau, page, prefecture, pattern of addresses, pattern of contexts).
 _NEW_OR_GONE = "新規・変更|失効|辞退"
-_KANTO, _KYUSHU = "/kantoshinetsu/gyomu/bu_ka/{}/kijun.html", "/kyushu/gyomu/gyomu/hoken_kikan/juri_{}.html"
 CHANGE_PAGES = [
     ("hokkaido", "/hokkaido/iryo_shido/shisetsukijyun_jyuri_iryoukikan.html", "01", None, None),
     ("tohoku", "/tohoku/gyomu/gyomu/hoken_kikan/kijun_jurijoukyou.html", None, "(?i)/(?:shinki|jitai)_[^/]+_(?:ika|shika|yakkyoku)_[0-9]{8}\\.pdf\\z", None),
-    ("kanto-shinetsu", _KANTO.format("ibaraki"), "08", None, None),
-    ("kanto-shinetsu", _KANTO.format("tochigi"), "09", None, None),
-    ("kanto-shinetsu", _KANTO.format("gunma"), "10", None, None),
-    ("kanto-shinetsu", _KANTO.format("shido_kansa"), "11", None, None),
-    ("kanto-shinetsu", _KANTO.format("chiba"), "12", None, None),
-    ("kanto-shinetsu", _KANTO.format("tokyo"), "13", None, None),
-    ("kanto-shinetsu", _KANTO.format("kanagawa"), "14", None, None),
-    ("kanto-shinetsu", _KANTO.format("niigata"), "15", None, None),
-    ("kanto-shinetsu", _KANTO.format("yamanashi"), "19", None, None),
-    ("kanto-shinetsu", _KANTO.format("nagano"), "20", None, None),
+    ("kanto-shinetsu", "/kantoshinetsu/gyomu/bu_ka/ibaraki/kijun.html", "08", None, None),
+    ("kanto-shinetsu", "/kantoshinetsu/gyomu/bu_ka/tochigi/kijun.html", "09", None, None),
+    ("kanto-shinetsu", "/kantoshinetsu/gyomu/bu_ka/gunma/kijun.html", "10", None, None),
+    ("kanto-shinetsu", "/kantoshinetsu/gyomu/bu_ka/shido_kansa/kijun.html", "11", None, None),
+    ("kanto-shinetsu", "/kantoshinetsu/gyomu/bu_ka/chiba/kijun.html", "12", None, None),
+    ("kanto-shinetsu", "/kantoshinetsu/gyomu/bu_ka/tokyo/kijun.html", "13", None, None),
+    ("kanto-shinetsu", "/kantoshinetsu/gyomu/bu_ka/kanagawa/kijun.html", "14", None, None),
+    ("kanto-shinetsu", "/kantoshinetsu/gyomu/bu_ka/niigata/kijun.html", "15", None, None),
+    ("kanto-shinetsu", "/kantoshinetsu/gyomu/bu_ka/yamanashi/kijun.html", "19", None, None),
+    ("kanto-shinetsu", "/kantoshinetsu/gyomu/bu_ka/nagano/kijun.html", "20", None, None),
     ("tokai-hokuriku", "/tokaihokuriku/newpage_00843.html", None, "(?i)-[0-9]{2}-[0-9]{2}-(?:01|03|04)(?:_[0-9]+)?\\.pdf\\z", None),
     ("kinki", "/kinki/gyomu/gyomu/hoken_kikan/kijun_jurijoukyou.html", None, "(?i)todokede(?:juri|sikkou)_[^/]+_(?:ika|sika|yakkyoku)\\.pdf\\z", None),
     ("chugoku", "/chugokushikoku/chousaka/kijunjuriichiran_shinkihenkou_shikkou_00001.html", None, None, _NEW_OR_GONE),
     ("shikoku", "/shikoku/gyomu/gyomu/hoken_kikan/shitei/index_00005.html", None, "(?i)/[0-9]{2}_(?:01|03|04)_01_[0-9]{6}\\.pdf\\z", None),
-    ("kyushu", _KYUSHU.format("fukuoka"), "40", None, _NEW_OR_GONE),
-    ("kyushu", _KYUSHU.format("saga"), "41", None, _NEW_OR_GONE),
-    ("kyushu", _KYUSHU.format("nagasaki"), "42", None, _NEW_OR_GONE),
-    ("kyushu", _KYUSHU.format("kumamoto"), "43", None, _NEW_OR_GONE),
-    ("kyushu", _KYUSHU.format("ooita"), "44", None, _NEW_OR_GONE),
-    ("kyushu", _KYUSHU.format("miyazaki"), "45", None, _NEW_OR_GONE),
-    ("kyushu", _KYUSHU.format("kagoshima"), "46", None, _NEW_OR_GONE),
-    ("kyushu", _KYUSHU.format("okinawa"), "47", None, _NEW_OR_GONE),
+    ("kyushu", "/kyushu/gyomu/gyomu/hoken_kikan/juri_fukuoka.html", "40", None, _NEW_OR_GONE),
+    ("kyushu", "/kyushu/gyomu/gyomu/hoken_kikan/juri_saga.html", "41", None, _NEW_OR_GONE),
+    ("kyushu", "/kyushu/gyomu/gyomu/hoken_kikan/juri_nagasaki.html", "42", None, _NEW_OR_GONE),
+    ("kyushu", "/kyushu/gyomu/gyomu/hoken_kikan/juri_kumamoto.html", "43", None, _NEW_OR_GONE),
+    ("kyushu", "/kyushu/gyomu/gyomu/hoken_kikan/juri_ooita.html", "44", None, _NEW_OR_GONE),
+    ("kyushu", "/kyushu/gyomu/gyomu/hoken_kikan/juri_miyazaki.html", "45", None, _NEW_OR_GONE),
+    ("kyushu", "/kyushu/gyomu/gyomu/hoken_kikan/juri_kagoshima.html", "46", None, _NEW_OR_GONE),
+    ("kyushu", "/kyushu/gyomu/gyomu/hoken_kikan/juri_okinawa.html", "47", None, _NEW_OR_GONE),
 ]
 
 
