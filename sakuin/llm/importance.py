@@ -139,16 +139,15 @@ def ranked(scored: DataFrame, percent: int = PERCENT, least: int = WORDS) -> Dat
     able = F.col("n_words") >= least
     by = [F.desc("score"), F.asc_nulls_first("doc_id")]
     placed = scored.where(able).repartitionByRange(*by, F.monotonically_increasing_id()).sortWithinPartitions(*by).withColumn("at", F.monotonically_increasing_id())
-    placed = durable(placed, "ranges")
-    sizes = placed.groupBy(F.shiftright("at", 33).alias("part")).count().orderBy("part").collect()  # one row a range
-    wanted = percent * sum(r["count"] for r in sizes) // 100
-    before, offsets = 0, {}
-    for r in sizes:
-        offsets[r["part"]] = before
-        before += r["count"]
-    table = F.array(*[F.lit(offsets.get(p, 0)).cast("long") for p in range(max(offsets, default=0) + 1)])
-    rank = F.element_at(table, (F.shiftright("at", 33) + 1).cast("int")) + F.col("at").bitwiseAND((1 << 33) - 1) + 1
-    drawn = placed.withColumn("rank", F.when(rank <= wanted, rank)).drop("at")
+    placed = durable(placed.withColumn("part", F.shiftright("at", 33)), "ranges")
+    sizes = sorted(placed.groupBy("part").count().collect())  # one row a range
+    wanted, before, offsets = percent * sum(n for _, n in sizes) // 100, 0, []
+    for part, n in sizes:
+        offsets.append((part, before))
+        before += n
+    first = scored.sparkSession.createDataFrame(offsets, "part long, before long")
+    rank = F.col("before") + F.col("at").bitwiseAND((1 << 33) - 1) + 1
+    drawn = placed.join(first, "part").withColumn("rank", F.when(rank <= wanted, rank)).drop("at", "part", "before")
     return drawn.unionByName(scored.where(~able).withColumn("rank", F.lit(None).cast("long")))
 
 

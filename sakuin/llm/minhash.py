@@ -169,7 +169,8 @@ def near_duplicates(docs: DataFrame, printed: DataFrame | None = None, num: int
     printed: doc_id, print of the same rows (see fingerprints), where they are there already. Documents of one fingerprint are
     one representative. Representatives that agree in a band meet that band's smallest id, and the pairs are measured from their
     texts; those that don't link with it meet the smallest among themselves, and so on until none is left, so a bucket of near
-    copies costs as many pairs as it has members and no two members that are unlike the bucket's smallest miss each other.
+    copies costs as many pairs as it has members. Two members of which one links with the smallest and one doesn't are left to the other
+    bands that they share: like the bands themselves, this can miss a link, and never makes a wrong one.
     n_links: the links found with other fingerprints, the document's and those of the same fingerprint. Texts without shingles,
     and rows without doc_id, link with nothing. Rows of one doc_id are linked. An empty table gives none; other columns are ignored.
     """
