@@ -33,16 +33,16 @@ def merge_facilities(rows: DataFrame) -> DataFrame:
 FILING = ("abbreviation", "standard_name", "acceptance_number", "effective_from")
 
 
-def distinct_filings(rows: DataFrame, keep_first_row: bool = True) -> DataFrame:
-    """Distinct filings of each code, null and empty alike, in order. rows: code, ord (of the sheet row), pos (within it) and the
-    filing. With keep_first_row, filings that repeat within a code's first row stay, as published registers have them."""
+def distinct_filings(rows: DataFrame, keep_first_row: bool = True, by: tuple[str, ...] = ("code",)) -> DataFrame:
+    """Distinct filings of each code (or of other keys), null and empty alike, in order. rows: the keys, ord (of the sheet row), pos
+    (within it) and the filing. With keep_first_row, filings that repeat within a key's first row stay, as published registers have them."""
     keys = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(f"k_{c}") for c in FILING]
-    one = rows.select("*", *keys).groupBy("code", *[f"k_{c}" for c in FILING]).agg(F.min(F.struct("ord", "pos", *FILING)).alias("f")).select("code", "f.*")
+    one = rows.select("*", *keys).groupBy(*by, *[f"k_{c}" for c in FILING]).agg(F.min(F.struct("ord", "pos", *FILING)).alias("f")).select(*by, "f.*")
     if not keep_first_row:
         return one
-    first = rows.groupBy("code").agg(F.min("ord").alias("first"))
-    kept = rows.join(first, "code").where("ord = first").select("code", "ord", "pos", *FILING)
-    later = one.join(first, "code").where("ord > first").select("code", "ord", "pos", *FILING)
+    first = rows.groupBy(*by).agg(F.min("ord").alias("first"))
+    kept = rows.join(first, list(by)).where("ord = first").select(*by, "ord", "pos", *FILING)
+    later = one.join(first, list(by)).where("ord > first").select(*by, "ord", "pos", *FILING)
     return kept.unionByName(later)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sakuin.functions import codes, dates, text
+from sakuin.operators import merge, search
 
 # Header cells, compacted, that name each field.
 HEADERS = {
@@ -127,3 +128,21 @@ def records(rows: DataFrame, documents: DataFrame, prefectures: list[tuple[str,
     no_head = rows.select(*SHEET).distinct().join(heads, SHEET, "left_anti").select(*SHEET, F.lit(None).cast("int").alias("row_number"), F.lit("no header row").alias("problem"))
     bad = out.where(unknown).select(*SHEET, "row_number", F.lit("prefecture or category unknown").alias("problem")).distinct()
     return good, no_head.unionByName(bad)
+
+
+def workbook_records(found: DataFrame, collation: str | None = "ja") -> DataFrame:
+    """One record for each code of a workbook: name (the longest), address (the first), category, prefecture_code, local_code, as_of,
+    standards (distinct, in Japanese order of abbreviation, name, acceptance number and date) and worksheets, in order.
+
+    found: filings as records gives them. What the merge over workbooks makes of it has the order of rows instead.
+    """
+    book = ["document_url", "document_sha256", "workbook", "code"]
+    order = F.struct("ord_key", "pos")
+    merged = found.groupBy(*book).agg(
+        merge.longest(F.col("name"), order).alias("name"), merge.first_value(F.col("address"), order).alias("address"), F.max("as_of").alias("as_of"),
+        *[F.min_by(c, order).alias(c) for c in ("category", "prefecture_code", "local_code")], F.array_sort(F.collect_set("worksheet")).alias("worksheets"),
+    )
+    once = merge.distinct_filings(found.select(*book, F.col("ord_key").alias("ord"), "pos", *merge.FILING), by=tuple(book))
+    key = F.concat_ws("\0", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in merge.FILING])
+    listed = once.withColumn("key", key).groupBy(*book).agg(search.in_order(F.struct(*merge.FILING), "key", "ord", "pos", collation=collation).alias("standards"))
+    return merged.join(listed, book)

@@ -590,3 +590,12 @@ def code_range(spark, sf_dir):
     ordered.write(_customers(spark, sf_dir).select("code", F.col("c_name").alias("name")), "code", files=8)
     found = merge.placed(ordered.between("04", "0640001000").select("code", "name", F.lit("all").alias("every")).withColumnRenamed("code", "own").withColumnRenamed("every", "code"), "own")
     return found.select(F.col("own").alias("code"), "name", (F.col("pos") + ordered.before("04")).cast("bigint").alias("before"))
+
+
+@query("""select s_suppkey, case s_suppkey % 3 when 0 then '131' else '273' end || lpad(cast(s_suppkey % 100000 as varchar), 7, '0') code, '別 ' || s_name as name, '港区' address, '乙,甲,丁,丙' standards, '第2号,第' || cast(s_suppkey % 100000 as varchar) || '号,,第' || cast(s_suppkey % 100000 as varchar) || '号' numbers, 1 worksheets from supplier where s_suppkey % 3 < 2""")
+def workbook_records(spark, sf_dir):
+    """A record for each code of a workbook: its longest name, first address, and filings in Japanese order of abbreviations."""
+    found, _ = _records(spark, sf_dir)
+    rows = sheets.workbook_records(found)
+    each = lambda c: F.array_join(F.transform("standards", lambda s: s[c]), ",")
+    return rows.select(F.regexp_extract("document_url", "([0-9]+)[.]xlsx", 1).cast("bigint").alias("s_suppkey"), "code", "name", "address", each("abbreviation").alias("standards"), each("acceptance_number").alias("numbers"), F.size("worksheets").alias("worksheets"))
