@@ -9,8 +9,8 @@ suffix order, are the collection's Burrows-Wheeler transform so far; sorting the
 and range minima over the common-prefix lengths give its common prefixes. Where the common prefix reaches 50, suffixes start
 with the same string, and the smallest doc_id among them keeps it.
 
-The columns of a bucket are files of its task that are written and read in sequence: a round holds one column, the order and
-the common prefixes in memory, some 30 bytes a row, and never the rows themselves.
+A bucket's columns, its suffix order, its common prefixes and what is known of its rows are files of its task that are written and
+read in sequence (short ones stay in memory): a round holds one column, a byte a row, and chunks of the rest.
 """
 
 from __future__ import annotations
@@ -224,45 +224,122 @@ def _rows_of(batches, buckets: int):
         yield _settled(held, buckets)
 
 
-def common_starts(columns: Iterator[np.ndarray], valid: np.ndarray, doc: np.ndarray, length: int) -> np.ndarray:
-    """Which suffixes (row, column) start with `length` symbols that a valid suffix of a smaller doc starts with as well.
+CHUNK = 1 << 20  # rows of a round that are in memory at once
 
-    columns: the symbols of all rows, from the last column to the first; valid: which of the first columns count as starts. Only
-    suffixes of one column are compared. Each round puts the column's symbols in front of all suffixes: in suffix order they are
-    the Burrows-Wheeler transform of what is inserted so far, and its stable sort maps each row to its next place.
-    """
-    columns = list(columns) if not hasattr(columns, "__len__") else columns
-    n, wide = len(doc), len(columns)
-    order, lcp, out = np.arange(n, dtype=np.int32), np.zeros(n, np.uint8), np.zeros(valid.shape, bool)
-    for column, symbols in zip(range(wide - 1, -1, -1), columns, strict=True):
-        transform = symbols[order]
-        turn = np.argsort(transform, kind="stable").astype(np.int32)
+
+def _array(n: int, kind, fill=0) -> np.ndarray:
+    """An array of the task: in a file of its own, that the system writes and reads in pieces, if it is longer than a chunk."""
+    if n <= CHUNK:
+        return np.full(n, fill, kind)
+    file = tempfile.TemporaryFile()
+    file.truncate(n * np.dtype(kind).itemsize)  # zeros
+    out = np.memmap(file, kind, "r+", shape=(n,))
+    if fill:
+        out[:] = fill
+    return out
+
+
+class _Minima:
+    """Common prefixes of the next round while the entries of this one come in order, a chunk at a time. For every symbol it is known
+    what the least common prefix since its last entry is."""
+
+    def __init__(self, length: int):
+        self.length, self.since = length, np.full(256, -1, np.int16)  # -1: the symbol has not come yet
+
+    def take(self, symbols: np.ndarray, lcp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The chunk's places in order of symbols (stable), and the next round's common prefixes in that order."""
+        n = len(symbols)
+        turn = np.argsort(symbols, kind="stable").astype(np.int32)
         levels, span = [lcp], 1
         longest = int(np.diff(turn).max(initial=1))
         while 2 * span <= longest:
             levels.append(np.minimum(levels[-1][:-span], levels[-1][span:]))
             span *= 2
-        below, above = turn[:-1] + 1, turn[1:]
-        same = transform[below - 1] == transform[above]
+        own = symbols[turn]
         new = np.zeros(n, np.uint8)
-        at = np.flatnonzero(same)
+        at = np.flatnonzero(own[1:] == own[:-1])
         if len(at):
-            lo, hi = below[at], above[at]
+            lo, hi = turn[at] + 1, turn[at + 1]
             level = np.frexp((hi - lo + 1).astype(np.float64))[1] - 1
             least = np.empty(len(at), np.uint8)
             for k in np.unique(level).tolist():
                 pick = level == k
                 least[pick] = np.minimum(levels[k][lo[pick]], levels[k][hi[pick] - (1 << k) + 1])
-            new[at + 1] = np.minimum(least, length - 1) + 1
-        order, lcp = order[turn], new
-        if column < valid.shape[1]:
-            ok, of = valid[order, column], doc[order]
-            heads = np.flatnonzero(lcp < length)
-            smallest = np.minimum.reduceat(np.where(ok, of, np.iinfo(np.int64).max), heads)
-            out[order, column] = ok & (of > np.repeat(smallest, np.diff(np.r_[heads, n])))
+            new[at + 1] = np.minimum(least, self.length - 1) + 1
+        heads = _runs(own)
+        tails = np.r_[heads[1:], n] - 1
+        name, first, last = own[heads], turn[heads], turn[tails]
+        before = self.since[name]  # a symbol's first entry here follows its last one in an earlier chunk
+        known = before >= 0
+        if known.any():
+            upto = np.minimum.accumulate(lcp)
+            new[heads[known]] = np.minimum(np.minimum(before[known], upto[first[known]]), self.length - 1) + 1
+        after = np.r_[np.minimum.accumulate(lcp[::-1])[::-1], self.length].astype(np.int16)
+        self.since = np.where(self.since >= 0, np.minimum(self.since, after[0]), self.since)
+        self.since[name] = after[last + 1]
+        return turn, new
+
+
+def common_starts(columns: Iterator[np.ndarray], wide: int, valid, doc: np.ndarray, length: int, starts: int) -> np.ndarray:
+    """For each row, bits of the first `starts` columns: whether the suffix from there starts with `length` symbols that a valid suffix of
+    a smaller doc starts with as well.
+
+    columns: the symbols of all rows, from the last of `wide` columns to the first; valid: of rows and a column, which count as starts. Only
+    suffixes of one column are compared. Each round puts the column's symbols in front of all suffixes: in suffix order they are
+    the Burrows-Wheeler transform of what is inserted so far, and its stable sort maps each row to its next place. Order and
+    common prefixes are read in sequence, chunk by chunk, and written to the next round's in as many sequences as there are symbols;
+    longer ones than a chunk are files.
+    """
+    n = len(doc)
+    order, lcp, out = _array(n, np.int32), _array(n, np.uint8), _array(n, np.uint32)
+    for a in range(0, n, CHUNK):
+        order[a : a + CHUNK] = np.arange(a, min(n, a + CHUNK), dtype=np.int32)
+    spare = _array(n, np.int32), _array(n, np.uint8)
+    none = np.iinfo(np.int64).max
+    for column, symbols in zip(range(wide - 1, -1, -1), columns, strict=True):
+        minima = _Minima(length)
+        to = np.r_[0, np.cumsum(np.bincount(symbols, minlength=256))][:256]
+        for a in range(0, n, CHUNK):
+            rows = np.asarray(order[a : a + CHUNK])
+            transform = symbols[rows]
+            turn, new = minima.take(transform, np.asarray(lcp[a : a + CHUNK]))
+            rows, own = rows[turn], transform[turn]
+            heads = _runs(own)
+            for h, t in zip(heads.tolist(), [*heads[1:].tolist(), len(own)], strict=True):
+                place = to[own[h]]
+                spare[0][place : place + t - h], spare[1][place : place + t - h] = rows[h:t], new[h:t]
+                to[own[h]] += t - h
+        (order, lcp), spare = spare, (order, lcp)
+        if column >= starts:
+            continue
+        open_: list[np.ndarray] = []  # of the group that the next chunk may go on with
+        for a in range(0, n, CHUNK):
+            rows, heads = np.asarray(order[a : a + CHUNK]), np.flatnonzero(lcp[a : a + CHUNK] < length)
+            cut = heads[-1] if len(heads) and a + CHUNK < n else 0 if a + CHUNK < n else len(rows)
+            first = heads[0] if len(heads) else len(rows)
+            if len(heads) or a + CHUNK >= n:
+                if open_ and first:
+                    open_.append(rows[:first])
+                if open_:
+                    _mark(out, np.concatenate(open_), np.zeros(1, np.int64), column, valid, doc, none)
+                    open_ = []
+                if first < cut:
+                    _mark(out, rows[first:cut], heads[heads < cut] - first, column, valid, doc, none)
+                if cut < len(rows):
+                    open_.append(rows[cut:])
+            else:
+                open_.append(rows)
     return out
 
 
+def _mark(out: np.ndarray, rows: np.ndarray, heads: np.ndarray, column: int, valid, doc: np.ndarray, none: int) -> None:
+    """In groups of suffixes that start alike, mark those that a smaller doc's valid one precedes."""
+    ok, of = valid(rows, column), doc[rows]
+    smallest = np.minimum.reduceat(np.where(ok, of, none), heads)
+    again = ok & (of > np.repeat(smallest, np.diff(np.r_[heads, len(rows)])))
+    out[rows[again]] |= np.uint32(1 << column)
+
+
 SPOOL = 1 << 20  # bytes of a column that stay in memory
 
 
@@ -272,9 +349,6 @@ class _Columns:
     def __init__(self):
         self._files = [tempfile.SpooledTemporaryFile(max_size=SPOOL) for _ in range(_WIDE)]
 
-    def __len__(self) -> int:
-        return _WIDE
-
     def add(self, left: np.ndarray, size: np.ndarray, text: np.ndarray) -> None:
         """Rows whose symbols stand from column `left` on; zeros fill them up."""
         rows = np.zeros((_WIDE, len(left)), np.uint8)
@@ -293,10 +367,39 @@ class _Columns:
             file.close()
 
 
+class _Metas:
+    """What is known of a bucket's rows: doc, tag, start, left and count, each a file of the task like the columns."""
+
+    _KINDS = (np.int64, np.int64, np.uint32, np.uint8, np.uint8)
+
+    def __init__(self):
+        self.rows, self._files = 0, [tempfile.SpooledTemporaryFile(max_size=8 * SPOOL) for _ in self._KINDS]
+
+    def add(self, *values: np.ndarray) -> None:
+        self.rows += len(values[0])
+        for file, x, kind in zip(self._files, values, self._KINDS, strict=True):
+            file.write(np.ascontiguousarray(x, kind).tobytes())
+
+    def arrays(self) -> list[np.ndarray]:
+        out = []
+        for file, kind in zip(self._files, self._KINDS, strict=True):
+            array = _array(self.rows, kind)
+            file.seek(0)
+            for a in range(0, self.rows, CHUNK):
+                some = array[a : a + CHUNK]
+                some[:] = np.frombuffer(file.read(some.nbytes), kind)
+            out.append(array)
+        return out
+
+    def close(self) -> None:
+        for file in self._files:
+            file.close()
+
+
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of one bucket: each text's stretches of starts of repeated strings, as start << 8 | number."""
     unpack = zstandard.ZstdDecompressor().decompress
-    columns, metas = _Columns(), []
+    columns, metas = _Columns(), _Metas()
     try:
         for batch in batches:
             yield _passed_on(batch)
@@ -309,25 +412,26 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 number, start = np.frombuffer(x, np.uint32, n, at), np.frombuffer(x, np.uint32, n, at + 4 * n)
                 off, count = np.frombuffer(x, np.uint8, n, at + 8 * n), np.frombuffer(x, np.uint8, n, at + 9 * n)
                 left = _RANGE - 1 - off
-                metas.append((*texts[number].T, start, left, count))
+                metas.add(*texts[number].T, start, left, count)
                 size, text, done = count.astype(np.int64) + LENGTH - 1, np.frombuffer(x, np.uint8, offset=at + 10 * n), 0
                 for a in range(0, n, 8192):
                     part = slice(a, a + 8192)
                     bytes_ = int(size[part].sum())
                     columns.add(left[part].astype(np.int64), size[part], text[done : done + bytes_])
                     done += bytes_
-        if metas:
-            doc, tag, start, left, count = (np.concatenate(x) for x in zip(*metas, strict=True))
-            column = np.arange(_RANGE, dtype=np.uint8)
-            valid = (column >= left[:, None]) & (column < (left + count)[:, None])
-            found = common_starts(columns, valid, doc, LENGTH)
+        if metas.rows:
+            doc, tag, start, left, count = metas.arrays()
+            within = lambda rows, c: (left[rows] <= c) & (c < left[rows].astype(np.int16) + count[rows])
+            found = common_starts(columns, _WIDE, within, doc, LENGTH, _RANGE)
             for a in range(0, len(doc), 1 << 16):
-                edge = np.diff(np.pad(found[a : a + (1 << 16)], ((0, 0), (1, 1))).astype(np.int8), axis=1)
+                bits = (np.asarray(found[a : a + (1 << 16), None]) >> np.arange(_RANGE, dtype=np.uint32)) & 1
+                edge = np.diff(np.pad(bits, ((0, 0), (1, 1))).astype(np.int8), axis=1)
                 (r, first), (_, last) = np.nonzero(edge == 1), np.nonzero(edge == -1)
                 r += a
                 yield _found(doc[r], tag[r], (start[r].astype(np.int64) + first - left[r]) << 8 | (last - first))
     finally:
         columns.close()
+        metas.close()
 
 
 def spans_of(marks: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

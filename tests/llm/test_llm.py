@@ -728,19 +728,24 @@ def test_suffix_dedup(spark, monkeypatch):
         monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", size)
         monkeypatch.setattr(suffix_dedup, "HELD", 50 if size == 2000 else 1 << 18)
         monkeypatch.setattr(suffix_dedup, "SPOOL", 10 if size == 2000 else 1 << 20)
+        monkeypatch.setattr(suffix_dedup, "CHUNK", 5 if size == 2000 else 1 << 20)
         got = suffix_dedup.digests(docs_of(spark, texts)).collect()
         assert Counter(tuple(r) for r in got) == Counter(removed(texts))
     assert suffix_dedup.digests(docs_of(spark, texts).limit(0)).count() == 0
 
 
-def test_column_wise_construction():
-    r = np.random.default_rng(5)
-    rows = r.integers(1, 3, (80, 14)).astype(np.uint8)
-    doc, valid = r.integers(0, 9, 80), r.random((80, 6)) < 0.7
-    got = suffix_dedup.common_starts([rows[:, c] for c in reversed(range(14))], valid, doc, 8)
-    for i, c in itertools.product(range(80), range(6)):
-        want = valid[i, c] and any(valid[j, c] and doc[j] < doc[i] and (rows[j, c : c + 8] == rows[i, c : c + 8]).all() for j in range(80))
-        assert got[i, c] == want
+@pytest.mark.parametrize("chunk", [1 << 20, 64, 7, 1])
+def test_column_wise_construction(monkeypatch, chunk):
+    monkeypatch.setattr(suffix_dedup, "CHUNK", chunk)
+    for seed, letters in ((5, 3), (6, 2), (7, 200)):
+        r = np.random.default_rng(seed)
+        rows = r.integers(1, letters, (80, 14)).astype(np.uint8)
+        rows[40:60] = rows[3]  # a group that spans chunks
+        doc, valid = r.integers(0, 9, 80), r.random((80, 6)) < 0.7
+        got = suffix_dedup.common_starts((rows[:, c] for c in reversed(range(14))), 14, lambda x, c, valid=valid: valid[x, c], doc, 8, 6)
+        for i, c in itertools.product(range(80), range(6)):
+            want = valid[i, c] and any(valid[j, c] and doc[j] < doc[i] and (rows[j, c : c + 8] == rows[i, c : c + 8]).all() for j in range(80))
+            assert bool(got[i] >> c & 1) == want
 
 
 def test_tags_are_those_of_spark(spark):
