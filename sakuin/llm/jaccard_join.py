@@ -24,6 +24,7 @@ FREQUENT = 1 << 17  # shingles that are put last in the order of all shingles; o
 LONG = 4096  # index lists from this length on are split by the sizes of their sets
 BLOCK = 4096  # entries of a split list's part; a part with more is dealt to groups, and each two groups meet in a task of their own
 CHUNK = 1 << 20  # bytes of text hashed at once
+CELLS = 1 << 20  # pairs of entries that are looked at together, and pairs that are held before equal ones are folded
 
 _SPACES = np.zeros(256, bool)
 _SPACES[[32, *range(9, 14)]] = True
@@ -113,7 +114,7 @@ def _sketches(docs: DataFrame) -> DataFrame:
                     seen.add(mark)
                     pool.append(s)
                     size += len(s)
-                if size > 4_000_000:
+                if size > 2_000_000:
                     tally()
                     size = 0
             tally()
@@ -234,7 +235,7 @@ def list_pairs(tok: np.ndarray, id_: np.ndarray, comp: np.ndarray, n: np.ndarray
     ends, size, block_tok = np.r_[heads[1:], len(tok)], n[heads], tok[heads]
     last = np.searchsorted(block_tok, block_tok, side="right")
     best = np.maximum.reduceat(room, heads) if len(heads) else heads
-    out = []
+    out, held = [], 0
     x, step = np.arange(len(heads)), 0
     while len(x):
         y = x + step
@@ -244,22 +245,38 @@ def list_pairs(tok: np.ndarray, id_: np.ndarray, comp: np.ndarray, n: np.ndarray
             # room falls within a block
             a = np.arange(heads[i], heads[i] + np.searchsorted(-room[heads[i] : ends[i]], -w, side="right"))
             b = np.arange(heads[j], heads[j] + np.searchsorted(-room[heads[j] : ends[j]], -w, side="right"))
-            for at in range(0, len(a), 1024):
-                some = a[at : at + 1024]
+            many = max(1, CELLS // max(1, len(b)))
+            for at in range(0, len(a), many):
+                some = a[at : at + many]
                 good = (comp[some][:, None] != comp[b][None]) & (home[some][:, None] | home[b][None]) & ((own[some][:, None] != own[b][None]) | (own[b][None] < 0))
                 if not step:
                     good &= some[:, None] < b[None]
                 u, v = np.nonzero(good)
-                out.append((id_[some[u]], id_[b[v]]))
+                out.append(np.stack([id_[some[u]], id_[b[v]]], 1))
+                held += len(u)
+                if held > CELLS:
+                    out = [_distinct(out)]
+                    held = len(out[0]) // 2  # folded again when twice as many have come
         step += 1
         x = x[x + step < last[x]]
         x = x[num * size[x + step] <= den * size[x]]
-    a, b = (np.concatenate(c) for c in zip(*out, strict=True)) if out else (np.empty(0, np.int64),) * 2
-    found = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0) if len(a) else np.empty((0, 2), np.int64)
+    found = _distinct(out)
     return found[:, 0], found[:, 1]
 
 
-def _candidates(prefixes: DataFrame, num: int, den: int, save, rows: int = 500_000) -> DataFrame:
+def _distinct(pairs: list[np.ndarray]) -> np.ndarray:
+    """Distinct pairs (a < b) of ids."""
+    every = np.concatenate(pairs) if pairs else np.empty((0, 2), np.int64)
+    if not len(every):
+        return every
+    low, high = every.min(axis=1), every.max(axis=1)
+    order = np.lexsort((high, low))
+    low, high = low[order], high[order]
+    first = np.r_[True, (low[1:] != low[:-1]) | (high[1:] != high[:-1])]
+    return np.stack([low[first], high[first]], 1)
+
+
+def _candidates(prefixes: DataFrame, num: int, den: int, save, rows: int = 200_000) -> DataFrame:
     """Pairs of sets of different components that share as many prefix shingles as a link needs. Texts of different sizes under one id
     are entries of their own.
 
