@@ -129,7 +129,7 @@ def _sketches(docs: DataFrame) -> DataFrame:
 def _texts_by_id(docs: DataFrame, reps: DataFrame) -> tuple[DataFrame, str]:
     """The texts that stand for their sets, bucketed by id, and the table's name."""
     ids = reps.select(F.col("rep").alias("id")).distinct()
-    return bucketed(docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids.hint("merge"), "id"), "id")
+    return bucketed(docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids.hint("merge"), "id"), "id", codec="snappy")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, save) -> DataFrame:

@@ -66,12 +66,12 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % F.lit(folds), F.lit(0))
 
 
-def bucketed(df: DataFrame, column: str) -> tuple[DataFrame, str]:
+def bucketed(df: DataFrame, column: str, codec: str = "zstd") -> tuple[DataFrame, str]:
     """df as a table bucketed by a column, in the shared folder, and its name: later joins on the column move none of its rows.
-    Drop the table when nothing reads it any more."""
+    Drop the table when nothing reads it any more. codec: zstd is smaller on disk, snappy needs less native memory of executors."""
     spark, name = df.sparkSession, f"sakuin_{uuid.uuid4().hex}"
     size = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.bucketBy(size, column).option("path", f"{shared_dir(spark)}/{name}").option("compression", "zstd").saveAsTable(name)
+    df.write.bucketBy(size, column).option("path", f"{shared_dir(spark)}/{name}").option("compression", codec).saveAsTable(name)
     return spark.table(name), name
 
 
