@@ -24,6 +24,7 @@ FREQUENT = 1 << 17  # shingles that are put last in the order of all shingles; o
 LONG = 4096  # index lists from this length on are split by the sizes of their sets
 BLOCK = 4096  # entries of a split list's part; a part with more is dealt to groups, and each two groups meet in a task of their own
 CHUNK = 1 << 20  # bytes of text hashed at once
+ENTRIES = 1 << 17  # index entries that leave a task together
 CELLS = 1 << 20  # pairs of entries that are looked at together, and pairs that are held before equal ones are folded
 
 _SPACES = np.zeros(256, bool)
@@ -97,7 +98,7 @@ def _sketches(docs: DataFrame) -> DataFrame:
 
     def scan(batches):
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
+            ids, texts = batch.column(0), (t.as_py() for t in batch.column(1))
             n, hi, lo, sig, seen, pool, size, extra = [], [], [], [], set(), [], 0, []
 
             def tally(pool=pool, extra=extra):
@@ -138,10 +139,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, save) -> DataFrame:
 
     def measure(batches):
         for batch in batches:
-            a, b = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             inter, union = [], []
-            for x, y in zip(a, b, strict=True):
-                s, t = shingle_set(x), shingle_set(y)
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                s, t = shingle_set(x.as_py()), shingle_set(y.as_py())
                 k = len(np.intersect1d(s, t, assume_unique=True))
                 inter.append(k), union.append(len(s) + len(t) - k)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(inter, pa.int64()), pa.array(union, pa.int64())], names=["a", "b", "both", "either"])
@@ -162,10 +162,18 @@ def _prefixes(sets: DataFrame, frequent: np.ndarray, num: int, den: int) -> Data
         known = shared.value
         order = np.argsort(known)
         ranked = known[order]
+        toks, ids, comps, ns, dfs = [], [], [], [], []
+        held = 0
+
+        def entries():
+            out = pa.RecordBatch.from_arrays([_signed(np.concatenate(toks)), *[pa.array(np.concatenate(x)) for x in (ids, comps, ns, dfs)]], names=["tok", "id", "comp", "n", "df"])
+            for x in (toks, ids, comps, ns, dfs):
+                x.clear()
+            return out
+
         for batch in batches:
-            toks, ids, comps, ns, dfs = [], [], [], [], []
-            for id_, comp, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                s = shingle_set(text)
+            for id_, comp, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                s = shingle_set(text.as_py())
                 place = np.zeros(len(s), np.int64)
                 if len(ranked) and len(s):
                     at = np.minimum(np.searchsorted(ranked, s), len(ranked) - 1)
@@ -174,10 +182,14 @@ def _prefixes(sets: DataFrame, frequent: np.ndarray, num: int, den: int) -> Data
                     s, place = s[turn], place[turn]
                 n = len(s)
                 p = n - -(-num * n // den) + 1 if n else 0
-                toks.append(s[:p]), ids.append(np.full(p, id_, np.int64)), comps.append(np.full(p, comp, np.int64)), ns.append(np.full(p, n, np.int32))
+                toks.append(s[:p].copy()), ids.append(np.full(p, id_, np.int64)), comps.append(np.full(p, comp, np.int64)), ns.append(np.full(p, n, np.int32))
                 dfs.append(np.where(place[:p] > 0, place[:p] + _OFTEN, 0))
-            if toks:
-                yield pa.RecordBatch.from_arrays([_signed(np.concatenate(toks)), *[pa.array(np.concatenate(x)) for x in (ids, comps, ns, dfs)]], names=["tok", "id", "comp", "n", "df"])
+                held += p
+                if held >= ENTRIES:
+                    yield entries()
+                    held = 0
+        if toks:
+            yield entries()
 
     return sets.select("id", "comp", "text").mapInArrow(index, "tok long, id long, comp long, n int, df long")
 
