@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 
 def kept(df: DataFrame) -> DataFrame:
-    """df as a table that several others read: a checkpoint in the folder that the session names, so that a lost executor costs no
-    parsing; without one, a cache, whose lost parts are made anew."""
-    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.cache()
+    """df as a table that several others read: written to the checkpoint folder that the session names, so that it is computed once, a lost
+    executor costs no parsing and readers take the columns that they need; without a folder, a cache, whose lost parts are made anew."""
+    folder = df.sparkSession.sparkContext.getCheckpointDir()
+    if not folder:
+        return df.cache()
+    path = f"{folder}/kept-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
