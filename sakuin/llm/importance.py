@@ -24,8 +24,9 @@ BUCKETS = 10_000
 SEED = 2024
 WORDS = 20  # documents with fewer are not drawn
 PERCENT = 10
-CELLS = 1 << 18  # cells and
-ROWS = 4096  # rows of a block
+CELLS = 1 << 13  # cells and
+ROWS = 512  # rows of a block
+GROUP_BYTES = 4 << 20  # of a row group: readers decode one at a time, however many blocks a task reads
 KNOWN = 1 << 20  # words whose bucket a task remembers
 
 #: Bytes of words (0-9, a-z, all beyond ASCII), A-Z as a-z, everything else as a space.
@@ -158,7 +159,7 @@ def resample(docs: DataFrame, target: DataFrame, run: int = RUN, buckets: int =
     in any order; a null id hashes as the empty text and comes first among ties. An empty corpus gives an empty table; an empty
     target is a uniform one. Other columns are ignored.
     """
-    matrix = durable(blocks(docs, run, buckets), "blocks")
+    matrix = durable(blocks(docs, run, buckets), "blocks", {"parquet.block.size": GROUP_BYTES})
     goal = column_sums(blocks(target.select(F.lit(None).cast("long").alias("doc_id"), "text"), run, buckets), buckets)
     scored = durable(weights(matrix, gains(column_sums(matrix, buckets), goal), run, seed), "scored")
     return ranked(scored, percent, least).select("doc_id", "n_features", "weight", "score", "rank")

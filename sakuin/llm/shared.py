@@ -32,10 +32,10 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def durable(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet into the shared folder and read it back: later jobs survive lost executors."""
+def durable(df: DataFrame, name: str, options: dict | None = None) -> DataFrame:
+    """Write df as Parquet into the shared folder and read it back: later jobs survive lost executors. options: of the writer."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -131,6 +131,20 @@ def test_resampling_of_nothing(spark):
     assert {r["doc_id"]: r["n_features"] for r in importance.resample(docs, goal.limit(0), least=0).collect()} == {1: 2, 2: 0}
 
 
+def test_stored_blocks_are_decoded_in_bounded_parts(spark, tmp_path, monkeypatch):
+    """Readers decode up to a row group of nested values at a time, so its cells are bounded, however many a task writes."""
+    from pyarrow import parquet
+
+    monkeypatch.setattr("sakuin.llm.shared.shared_dir", lambda _: f"file://{tmp_path}")
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(1999)), lambda i: F.xxhash64(i, "id").cast("string"))).alias("text")).coalesce(1)
+    importance.resample(docs, docs.where("doc_id < 3"))
+    files = [parquet.ParquetFile(f).metadata for f in tmp_path.glob("blocks-*/*.parquet")]
+    groups = [(m.row_group(g).num_rows, m.row_group(g).column(4).num_values) for m in files for g in range(m.num_row_groups)]
+    assert sum(n for _, n in groups) > 5_000_000
+    assert max(n for _, n in groups) < 3_000_000
+    assert max(n / rows for rows, n in groups) <= importance.CELLS + importance.BUCKETS
+
+
 def test_matrix_blocks_hold_every_cell(spark):
     got = importance.blocks(docs_of(spark, corpus(4)), 2, 97).collect()
     cells = {}
