@@ -21,6 +21,7 @@ HEADERS = {
     "effective_from": "算定開始(?:年月日|日)\\z",
 }
 SHEET = ["document_url", "workbook", "sheet"]
+MERGE = "merge"  # joins by sheet: tables with a row a sheet grow with the input, while sizes estimated from files stay below the broadcast limit
 
 
 def fill_down(rows: DataFrame, partition: list[str], order: str, columns: list[str]) -> DataFrame:
@@ -73,15 +74,14 @@ def header_columns(cells: DataFrame) -> DataFrame:
     """Per sheet: header_row and the column of each field.
 
     cells: SHEET, row_number, column, value (normalised). A header may be stacked over up to three rows; of the first 50 rows
-    and columns, the first row counts that has a code, a name and an acceptance number or filing name; per field its first column.
+    and columns, the first row with cells counts that has a code, a name and an acceptance number or filing name; per field its first column.
     """
     near = cells.where("row_number <= 50 and column <= 50")
     cell = [*SHEET, "column"]
     spread = near.select(*SHEET, "column", "value", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("up"), "row_number").withColumn("at", F.col("row_number") + F.col("up"))
-    stacked = spread.groupBy(*cell, "at").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("row_number", "value"))), lambda x: x["value"]), "").alias("joined"))
-    rows = near.select(*SHEET, F.col("row_number").alias("at")).distinct()
-    stacked = stacked.join(rows, [*SHEET, "at"]).withColumn("header", text.compact(F.col("joined")))
-    fields = stacked.groupBy(*SHEET, "at").agg(*[F.min(F.when(F.col("header").rlike(p), F.col("column"))).alias(f) for f, p in HEADERS.items()])
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("row_number", "value"))), lambda x: x["value"]), "")
+    stacked = spread.groupBy(*cell, "at").agg(text.compact(joined).alias("header"), F.min("up").alias("up"))
+    fields = stacked.groupBy(*SHEET, "at").agg(F.min("up").alias("up"), *[F.min(F.when(F.col("header").rlike(p), F.col("column"))).alias(f) for f, p in HEADERS.items()]).where("up = 0")
     good = fields.where("code is not null and name is not null and (acceptance is not null or standard_name is not null)")
     first = good.groupBy(*SHEET).agg(F.min_by(F.struct("at", *HEADERS), "at").alias("h"))
     return first.select(*SHEET, F.col("h.at").alias("header_row"), *[F.col(f"h.{f}").alias(f"col_{f}") for f in HEADERS])
@@ -98,7 +98,7 @@ def records(rows: DataFrame, documents: DataFrame, prefectures: list[tuple[str,
     heads = header_columns(cells)
     lines = cells.where("row_number <= 20").groupBy(*SHEET, "row_number").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("column", "value"))), lambda x: x["value"]), " ").alias("line"))
     tops = lines.groupBy(*SHEET).agg(F.transform(F.array_sort(F.collect_list(F.struct("row_number", "line"))), lambda x: x["line"]).alias("lines"))
-    meta = rows.select(*SHEET).distinct().join(tops, SHEET, "left").join(documents, "document_url").withColumn("lines", F.coalesce("lines", F.array().cast("array<string>")))
+    meta = rows.select(*SHEET).distinct().join(tops.hint(MERGE), SHEET, "left").join(documents.hint(MERGE), "document_url").withColumn("lines", F.coalesce("lines", F.array().cast("array<string>")))
     names = F.array(*[F.struct(F.lit(c).alias("code"), F.lit(n).alias("name")) for c, n in prefectures])
     only = {k: v[0] for k, v in (bureau_prefectures or {}).items() if len(v) == 1}
     fallback = F.create_map(*[F.lit(x) for kv in only.items() for x in kv])[F.col("source_id")] if only else F.lit(None).cast("string")
@@ -107,12 +107,12 @@ def records(rows: DataFrame, documents: DataFrame, prefectures: list[tuple[str,
     meta = meta.withColumns({"x_context": context, "x_title": title})
     meta = meta.withColumns({"prefecture_hint": F.coalesce(F.get(names_in(F.col("x_context"), names), F.lit(0)), fallback), "category_hint": F.coalesce(text.category(F.col("x_title")), "category_hint")}).drop("x_context", "x_title", "lines")
 
-    body = rows.join(heads, SHEET).where("row_number > header_row")
+    body = rows.join(heads.hint(MERGE), SHEET).where("row_number > header_row")
     body = body.select(*SHEET, "row_number", *[F.coalesce(F.try_element_at("cells", F.col(f"col_{f}")), F.lit("")).alias(f"c_{f}") for f in HEADERS])
     body = body.withColumns({f"n_{f}": text.normalize_text(F.col(f"c_{f}")) for f in ("code", "name", "address", "category", "prefecture_code")})
     own = {"code": codes.sheet_code(F.col("n_code")), "name": F.nullif("n_name", F.lit("")), "address": F.nullif("n_address", F.lit(""))}
     filled = fill_down(body.withColumns({f"f_{k}": v for k, v in own.items()}), SHEET, "row_number", [f"f_{k}" for k in own])
-    listed = filings(filled.where("f_code is not null and f_name is not null")).join(meta, SHEET)
+    listed = filings(filled.where("f_code is not null and f_name is not null")).join(meta.hint(MERGE), SHEET)
 
     digits = text.digits(F.col("n_prefecture_code"))
     whole = F.col("f_code.full_code")
@@ -125,7 +125,7 @@ def records(rows: DataFrame, documents: DataFrame, prefectures: list[tuple[str,
         code.alias("code"), F.struct(*SHEET, "row_number").alias("ord_key"), "pos", F.col("f_name").alias("name"), F.col("f_address").alias("address"), "category", "prefecture_code",
         F.col("f_code.local_code").alias("local_code"), "abbreviation", "standard_name", "acceptance_number", "effective_from", "as_of", "source_id", "bureau_name", "page_url", "document_url", F.col("sha256").alias("document_sha256"), "workbook", F.col("sheet").alias("worksheet"), F.col("row_number").alias("ord"),
     )
-    no_head = rows.select(*SHEET).distinct().join(heads, SHEET, "left_anti").select(*SHEET, F.lit(None).cast("int").alias("row_number"), F.lit("no header row").alias("problem"))
+    no_head = rows.select(*SHEET).distinct().join(heads.hint(MERGE), SHEET, "left_anti").select(*SHEET, F.lit(None).cast("int").alias("row_number"), F.lit("no header row").alias("problem"))
     bad = out.where(unknown).select(*SHEET, "row_number", F.lit("prefecture or category unknown").alias("problem")).distinct()
     return good, no_head.unionByName(bad)
 
@@ -145,4 +145,4 @@ def workbook_records(found: DataFrame, collation: str | None = "ja") -> DataFram
     once = merge.distinct_filings(found.select(*book, F.col("ord_key").alias("ord"), "pos", *merge.FILING), by=tuple(book))
     key = F.concat_ws("\0", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in merge.FILING])
     listed = once.withColumn("key", key).groupBy(*book).agg(search.in_order(F.struct(*merge.FILING), "key", "ord", "pos", collation=collation).alias("standards"))
-    return merged.join(listed, book)
+    return merged.join(listed.hint(MERGE), book)
