@@ -35,14 +35,16 @@ FILING = ("abbreviation", "standard_name", "acceptance_number", "effective_from"
 
 def distinct_filings(rows: DataFrame, keep_first_row: bool = True, by: tuple[str, ...] = ("code",)) -> DataFrame:
     """Distinct filings of each code (or of other keys), null and empty alike, in order. rows: the keys, ord (of the sheet row), pos
-    (within it) and the filing. With keep_first_row, filings that repeat within a key's first row stay, as published registers have them."""
-    keys = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(f"k_{c}") for c in FILING]
-    one = rows.select("*", *keys).groupBy(*by, *[f"k_{c}" for c in FILING]).agg(F.min(F.struct("ord", "pos", *FILING)).alias("f")).select(*by, "f.*")
+    (within it) and the filing. With keep_first_row, filings that repeat within a key's first row stay, as published registers have them; all
+    rows are dealt once by their keys then, a key's distinct filings are folded as its rows stream by, and rows without ord are left out."""
+    keys = {f"k_{c}": F.coalesce(F.col(c).cast("string"), F.lit("")) for c in FILING}
+    least = F.min(F.struct("ord", "pos", *FILING)).alias("f")
     if not keep_first_row:
-        return one
-    first = rows.groupBy(*by).agg(F.min("ord").alias("first"))
-    kept = rows.join(first, list(by)).where("ord = first").select(*by, "ord", "pos", *FILING)
-    later = one.join(first, list(by)).where("ord > first").select(*by, "ord", "pos", *FILING)
+        return rows.withColumns(keys).groupBy(*by, *keys).agg(least).select(*by, "f.*")
+    rows = rows.select(*by, "ord", "pos", *FILING).where("ord is not null")
+    joined = rows.join(rows.groupBy(*by).agg(F.min("ord").alias("first")).hint("shuffle_hash"), list(by))
+    kept = joined.where("ord <= first").drop("first")  # not by equality, which would be a key of the join and deal the rows a second time
+    later = joined.withColumns(keys).groupBy(*by, "first", *keys).agg(least).where("f.ord > first").select(*by, "f.*")
     return kept.unionByName(later)
 
 

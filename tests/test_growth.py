@@ -18,3 +18,12 @@ def plan(df) -> str:
 @pytest.mark.parametrize("query", ["sheet_headers", "sheet_records", "sheet_quarantine", "workbook_records"])
 def test_tables_by_sheet_are_not_sent_to_the_driver(spark, query):
     assert "Broadcast" not in plan(QUERIES[query](spark, SMALL))
+
+
+def test_filings_are_dealt_once(spark, tmp_path):
+    """Both parts read rows that are dealt by their keys alone, not by the row or the filing as well."""
+    spark.sql("select id % 2 code, id div 3 ord, id pos, 'a' abbreviation, cast(null as string) standard_name, '' acceptance_number, date'2026-01-01' effective_from, 'b' book from range(9)").write.parquet(f"{tmp_path}/rows")
+    found = merge.distinct_filings(spark.read.parquet(f"{tmp_path}/rows"), by=("book", "code"))
+    assert {(r["code"], r["ord"], r["pos"]) for r in found.collect()} == {(0, 0, 0), (0, 0, 2), (1, 0, 1)}
+    dealt = re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", plan(found))
+    assert dealt and all(re.fullmatch(r"book#\d+, code#\d+L", by) for by in dealt)
