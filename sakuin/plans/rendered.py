@@ -106,6 +106,11 @@ def _pages(spark, sf_dir, body: str, **more):
     return table(spark, sf_dir, "supplier").selectExpr(*[f"{v} as {k}" for k, v in extra.items()])
 
 
+def _dealt(rows, key: str):
+    """Rows of a small file dealt to tasks, for work that takes long a row."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 _K = "cast(s_suppkey as string)"
 
 
@@ -241,7 +246,7 @@ def workbook_cells(spark, sf_dir):
                 rows.append((url, data, len(data)))
             yield pd.DataFrame(rows, columns=["path", "content", "length"])
 
-    files = table(spark, sf_dir, "supplier").selectExpr("s_suppkey k", "s_name").mapInPandas(render, "path string, content binary, length long")
+    files = _dealt(table(spark, sf_dir, "supplier").selectExpr("s_suppkey k", "s_name"), "k").mapInPandas(render, "path string, content binary, length long")
     place = f"{_shared(spark)}/books-{uuid.uuid4().hex}"
     sheet_source.write_files(workbooks.documents(files), place)
     rows = sheet_source.read_sheets(spark, place)
@@ -536,7 +541,7 @@ def archive_names(spark, sf_dir):
                 rows.append((f"https://x/{k}/l.zip", data))
             yield pd.DataFrame(rows, columns=["document_url", "content"])
 
-    files = table(spark, sf_dir, "supplier").selectExpr("s_suppkey k", "s_name").mapInPandas(render, "document_url string, content binary")
+    files = _dealt(table(spark, sf_dir, "supplier").selectExpr("s_suppkey k", "s_name"), "k").mapInPandas(render, "document_url string, content binary")
     place = f"{_shared(spark)}/archives-{uuid.uuid4().hex}"
     sheet_source.write_files(files, place)
     rows = sheet_source.read_sheets(spark, place, [1]).where("row_number <= 1")

@@ -2,8 +2,8 @@
 
     spark.read.format("sakuin_sheets").option("columns", "1,3").load(folder).where("sheet = '一覧' and row_number <= 50")
 
-A partition is one sheet of a workbook file, or one workbook of an archive. Planning reads directories and sheet lists only, not
-sheets. Predicates on document, workbook, sheet and row number are pushed down: what they exclude isn't opened, and reading a sheet
+A partition is one sheet of a workbook file, or one workbook of an archive, for the OPENED largest files, of which planning reads
+directories and sheet lists; other files are only listed and dealt to partitions bounded in bytes and number, whose tasks open them. Predicates on document, workbook, sheet and row number are pushed down: what they exclude isn't opened, and reading a sheet
 ends at the last row asked for. Cells outside the chosen columns aren't decoded. Rows leave in batches bounded in bytes.
 """
 
@@ -23,6 +23,9 @@ from sakuin.sources import workbooks
 FORMAT = "sakuin_sheets"
 FILES = "document_url string, content binary"
 _KEYS = ("document_url", "workbook", "sheet")
+OPENED = 64  # files that planning opens
+DEALT, DEALT_BYTES = 512, 16 << 20  # files of a partition that its task opens, and their bytes
+_FOLDER = "files-"  # a task's files
 
 
 def _store(uri: str):
@@ -42,6 +45,11 @@ class _Part(InputPartition):
     sheet: str | None  # None: all
 
 
+@dataclass
+class _Files(InputPartition):
+    files: list[tuple[str, str]]  # (path, document_url)
+
+
 class SheetReader(DataSourceReader):
     def __init__(self, options):
         self.path = options["path"]
@@ -68,71 +76,110 @@ class SheetReader(DataSourceReader):
         return all(self.wanted[k] is None or v in self.wanted[k] for k, v in values.items())
 
     def partitions(self):
+        store, files = _store(self.path)[0], self._listed()
+        opened = sorted(sorted(files, key=lambda f: -f[2])[:OPENED])
+        out = [p for path, url, _ in opened for p in self._parts(store, path, url)]
+        taken, held, size = {f[0] for f in opened}, [], 0
+        for path, url, n in files:
+            if path in taken:
+                continue
+            if held and (len(held) >= DEALT or size + n > DEALT_BYTES):
+                out.append(_Files(held))
+                held, size = [], 0
+            held.append((path, url))
+            size += n
+        return out + ([_Files(held)] if held else [])
+
+    def _listed(self) -> list[tuple[str, str, int]]:
+        """(path, document_url, bytes) of the files asked for, in order of paths. Of files of one name that tasks wrote, the newest counts."""
         from pyarrow.fs import FileSelector, FileType
 
         store, root = _store(self.path)
-        out = []
-        for file in sorted(store.get_file_info(FileSelector(root, recursive=True)), key=lambda f: f.path):
-            if file.type != FileType.File or file.base_name.startswith((".", "_")):
+        found = {}
+        for file in store.get_file_info(FileSelector(root, recursive=True)):
+            inner = file.path.removeprefix(root).strip("/").split("/")
+            if file.type != FileType.File or any(name.startswith((".", "_")) for name in inner):
                 continue
             if file.size > workbooks.DOCUMENT_BYTES:
                 raise ValueError(f"{file.path} is larger than {workbooks.DOCUMENT_BYTES} bytes")
             url = unquote(file.base_name)
-            if not self._asked(document_url=url):
-                continue
-            name = url.rpartition("/")[2]
-            name = unquote(name) if "://" in url else name
-            with store.open_input_file(file.path) as source:
-                if name.lower().endswith(".zip"):
-                    parts = [_Part(file.path, url, book, entry, None) for book, entry in workbooks.entries(name, source)]
-                elif name.lower().endswith((".xlsx", ".xlsm")):
-                    parts = [_Part(file.path, url, name, None, sheet) for sheet in workbooks.Book(source).sheets()]
-                else:
-                    raise ValueError(f"unsupported format: {name}")
-            out += [p for p in parts if self._asked(workbook=p.workbook) and (p.sheet is None or self._asked(sheet=p.sheet))]
-        return out
-
-    def read(self, partition: _Part):
+            if self._asked(document_url=url):
+                name = (*inner[:-2], inner[-1]) if len(inner) > 1 and inner[-2].startswith(_FOLDER) else tuple(inner)
+                at = (file.mtime_ns or 0, file.path)
+                if name not in found or found[name][0] < at:
+                    found[name] = (at, (file.path, url, file.size))
+        return sorted(file for _, file in found.values())
+
+    def _parts(self, store, path: str, url: str) -> list[_Part]:
+        name = url.rpartition("/")[2]
+        name = unquote(name) if "://" in url else name
+        with store.open_input_file(path) as source:
+            if name.lower().endswith(".zip"):
+                parts = [_Part(path, url, book, entry, None) for book, entry in workbooks.entries(name, source)]
+            elif name.lower().endswith((".xlsx", ".xlsm")):
+                parts = [_Part(path, url, name, None, sheet) for sheet in workbooks.Book(source).sheets()]
+            else:
+                raise ValueError(f"unsupported format: {name}")
+        return [p for p in parts if self._asked(workbook=p.workbook) and (p.sheet is None or self._asked(sheet=p.sheet))]
+
+    def read(self, partition: _Part | _Files):
         store, _ = _store(self.path)
-        with store.open_input_file(partition.path) as source:
-            book = workbooks.Book(source if partition.entry is None else io.BytesIO(workbooks.entry(source, partition.entry)))
-            sheets = [partition.sheet] if partition.sheet is not None else [s for s in book.sheets() if self._asked(sheet=s)]
-            rows = ((partition.document_url, partition.workbook, s, n, c) for s in sheets for n, c in book.rows(s, self.columns, self.last))
-            yield from workbooks.batches(rows, self.limit)
+        parts = (p for path, url in partition.files for p in self._parts(store, path, url)) if isinstance(partition, _Files) else [partition]
+        yield from workbooks.batches((row for p in parts for row in self._rows(store, p)), self.limit)
+
+    def _rows(self, store, part: _Part):
+        with store.open_input_file(part.path) as source:
+            book = workbooks.Book(source if part.entry is None else io.BytesIO(workbooks.entry(source, part.entry)))
+            for sheet in [part.sheet] if part.sheet is not None else [s for s in book.sheets() if self._asked(sheet=s)]:
+                for number, cells in book.rows(sheet, self.columns, self.last):
+                    yield part.document_url, part.workbook, sheet, number, cells
+
+
+def _move(store, old: str, new: str) -> None:
+    try:
+        store.move(old, new)
+    except (OSError, NotImplementedError):  # object stores move files only
+        from pyarrow.fs import FileSelector
+
+        store.create_dir(new)
+        for file in store.get_file_info(FileSelector(old)):
+            store.move(file.path, f"{new}/{file.base_name}")
+        store.delete_dir(old)
 
 
 @dataclass
 class _Written(WriterCommitMessage):
-    names: list[tuple[str, str]]
+    folder: str
 
 
 class FileWriter(DataSourceArrowWriter):
-    """Rows of (document_url, content) as files that are named by their addresses. Tasks write hidden files; the driver names those of the
-    tasks that succeeded, so retries leave no other content."""
+    """Rows of (document_url, content) as files that are named by their addresses. A task writes a hidden folder; the driver names the folders
+    of the tasks that succeeded, one a task, so retries leave no other content. An address written again replaces the older file for readers."""
 
     def __init__(self, path: str):
         self.path = path
 
     def write(self, iterator) -> WriterCommitMessage:
         store, root = _store(self.path)
-        store.create_dir(root)
-        names = []
+        folder = uuid.uuid4().hex
+        store.create_dir(f"{root}/.{folder}")
         for batch in iterator:
             for url, content in zip(batch.column(batch.schema.get_field_index("document_url")), batch.column(batch.schema.get_field_index("content")), strict=True):
-                names.append((f".{uuid.uuid4().hex}", quote(url.as_py(), safe="")))
-                with store.open_output_stream(f"{root}/{names[-1][0]}", compression=None) as out:
+                with store.open_output_stream(f"{root}/.{folder}/{quote(url.as_py(), safe='')}", compression=None) as out:
                     out.write(content.as_py() or b"")
-        return _Written(names)
+        return _Written(folder)
 
     def commit(self, messages) -> None:
         store, root = _store(self.path)
-        for hidden, name in (x for m in messages if m for x in m.names):
-            store.move(f"{root}/{hidden}", f"{root}/{name}")
+        for m in messages:
+            if m:
+                _move(store, f"{root}/.{m.folder}", f"{root}/{_FOLDER}{m.folder}")
 
     def abort(self, messages) -> None:
         store, root = _store(self.path)
-        for hidden, _ in (x for m in messages if m for x in m.names):
-            store.delete_file(f"{root}/{hidden}")
+        for m in messages:
+            if m:
+                store.delete_dir(f"{root}/.{m.folder}")
 
 
 class SheetSource(DataSource):

@@ -27,3 +27,25 @@ def test_filings_are_dealt_once(spark, tmp_path):
     assert {(r["code"], r["ord"], r["pos"]) for r in found.collect()} == {(0, 0, 0), (0, 0, 2), (1, 0, 1)}
     dealt = re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", plan(found))
     assert dealt and all(re.fullmatch(r"book#\d+, code#\d+L", by) for by in dealt)
+
+
+def test_many_files_are_dealt_to_few_partitions(spark, tmp_path, monkeypatch):
+    """Planning opens some files only, tasks open the rest, and a file written again counts once."""
+    import pandas as pd
+
+    from sakuin.sources import sheet_source, workbooks
+
+    monkeypatch.setattr(sheet_source, "OPENED", 2)
+    monkeypatch.setattr(sheet_source, "DEALT", 10)
+    books = [(f"https://x/{k}/b.xlsx", bytearray(rendered._book({1: {2: f"v{k}"}}))) for k in range(42)]
+    place = str(tmp_path / "files")
+    sheet_source.write_files(spark.createDataFrame(books, "document_url string, content binary"), place)
+    again = [(books[0][0], bytearray(rendered._book({1: {2: "new"}})))]
+    sheet_source.write_files(spark.createDataFrame(again, "document_url string, content binary"), place)
+    opened, real = [], workbooks.Book
+    monkeypatch.setattr(workbooks, "Book", lambda source: opened.append(1) or real(source))
+    reader = sheet_source.SheetReader({"path": place})
+    parts = reader.partitions()
+    assert len(opened) == 2 and len(parts) == 2 + 4
+    frame = pd.concat(b.to_pandas() for p in parts for b in reader.read(p))
+    assert sorted(c[0][1] for c in frame["cells"]) == sorted(["new", *[f"v{k}" for k in range(1, 42)]])
