@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sakuin.functions import codes, dates, text
 from sakuin.operators import merge, search
+from sakuin.operators.tables import kept
 
 # Header cells, compacted, that name each field.
 HEADERS = {
@@ -136,6 +137,7 @@ def workbook_records(found: DataFrame, collation: str | None = "ja") -> DataFram
 
     found: filings as records gives them. What the merge over workbooks makes of it has the order of rows instead.
     """
+    found = kept(found)  # three aggregates read it
     book = ["document_url", "document_sha256", "workbook", "code"]
     order = F.struct("ord_key", "pos")
     merged = found.groupBy(*book).agg(
