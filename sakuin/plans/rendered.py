@@ -66,7 +66,7 @@ def cell_dates(spark, sf_dir):
     era = f"'令和' || case o_orderkey % 9 when 0 then '元' else cast(1 + o_orderkey % 9 as string) end || '年' || {'cast(1 + o_orderkey % 12 as string)'} || '月' || {'cast(1 + o_orderkey % 28 as string)'} || '日'"
     cell = F.expr(f"case o_orderkey % 3 when 0 then ' ' || cast(40000 + o_orderkey % 9000 as string) || '.75 ' when 1 then {era} || '～2024/' || cast(1 + o_orderkey % 12 as string) || '/2' else 'R6.1.' || {k.format(9)} end")
     page = F.expr(f"{era} || ' 現在（令和5年1月1日から）'")
-    rows = table(spark, sf_dir, "orders").select("o_orderkey", dates.cell_dates(cell).alias("d"), dates.max_date(dates.as_of_dates(page)).alias("current"))
+    rows = _dealt(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey").select("o_orderkey", dates.cell_dates(cell).alias("d"), dates.max_date(dates.as_of_dates(page)).alias("current"))
     clock = F.date_format(F.expr("cast(current as timestamp) - interval 4 hours"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     return rows.select("o_orderkey", F.size("d").cast("long").alias("n"), F.get("d", F.lit(0)).alias("first"), dates.max_date(F.col("d")).alias("latest"), "current", dates.long_date(F.col("current")).alias("shown"), dates.tokyo_time(clock).alias("clock"),
                        dates.grouped_number(F.col("o_orderkey") * 1000).alias("grouped"), dates.long_date(F.expr("case o_orderkey % 2 when 0 then '' else 'x' end")).alias("raw"))

@@ -49,3 +49,7 @@ def test_many_files_are_dealt_to_few_partitions(spark, tmp_path, monkeypatch):
     assert len(opened) == 2 and len(parts) == 2 + 4
     frame = pd.concat(b.to_pandas() for p in parts for b in reader.read(p))
     assert sorted(c[0][1] for c in frame["cells"]) == sorted(["new", *[f"v{k}" for k in range(1, 42)]])
+
+
+def test_dates_of_a_small_file_are_many_tasks_work(spark):
+    assert "Exchange hashpartitioning(o_orderkey" in plan(QUERIES["cell_dates"](spark, SMALL))
