@@ -393,13 +393,14 @@ def filings_by_name(spark, sf_dir):
 
 
 def _register(spark, sf_dir) -> tuple[dict, dict]:
-    """Customers as the tables of a register, and changes from orders as those of its change layer."""
-    c = _customers(spark, sf_dir)
-    o = c.join(table(spark, sf_dir, "orders"), F.col("o_custkey") == F.col("c_custkey"))
+    """Customers as the tables of a register, and changes from orders as those of its change layer. What many of them read is written once."""
+    c = kept(_customers(spark, sf_dir).select("c_custkey", "c_name", "c_mktsegment", "code", "category").hint("rebalance", "code"))
+    o = c.select("c_custkey", "code").join(table(spark, sf_dir, "orders"), F.col("o_custkey") == F.col("c_custkey"))
+    o = kept(o.select("code", "o_custkey", "o_orderkey", "o_orderdate", "o_orderpriority"))
     facility = c.selectExpr("code", "c_name name", "c_mktsegment address", "category", "date_add(date'1992-01-01', cast(c_custkey % 9 as int)) as_of")
     filing = o.selectExpr("code", "cast(o_orderkey as int) pos", "o_orderpriority standard_id", "'' acceptance_number", "cast(null as date) effective_from")
     names = o.select("o_orderpriority").distinct().selectExpr("o_orderpriority standard_id", "substring(o_orderpriority, 1, 1) abbreviation", "o_orderpriority standard_name")
-    events = o.where("o_orderkey % 7 = 0").selectExpr("code", "cast(o_orderkey as string) id", "case when o_orderkey % 2 = 0 then 'remove' else 'upsert' end action", "cast(o_orderdate as date) published_at", "o_orderpriority standard_id", "substring(o_orderpriority, 1, 1) abbreviation", "o_orderpriority standard_name", "'' acceptance_number", "cast(null as date) effective_from", "'https://x/' || cast(o_custkey % 3 as string) url", "'e' source_id", "'p' source_page_url", "cast(o_orderkey % 5 as int) page", "'text' extraction_method")
+    events = kept(o.where("o_orderkey % 7 = 0").selectExpr("code", "cast(o_orderkey as string) id", "case when o_orderkey % 2 = 0 then 'remove' else 'upsert' end action", "cast(o_orderdate as date) published_at", "o_orderpriority standard_id", "substring(o_orderpriority, 1, 1) abbreviation", "o_orderpriority standard_name", "'' acceptance_number", "cast(null as date) effective_from", "'https://x/' || cast(o_custkey % 3 as string) url", "'e' source_id", "'p' source_page_url", "cast(o_orderkey % 5 as int) page", "'text' extraction_method"))
     changed = events.groupBy("code").agg(F.max("published_at").alias("latest_as_of")).selectExpr("code", "'changed' name", "cast(null as string) address", "'medical' category", "latest_as_of")
     index = facility.select("code", "name", "address", "category", text.facility_name(F.col("name")).alias("name_norm"))
     snapshot = {"facility": facility, "filing": filing, "catalog": names, "source": c.selectExpr("code", "'https://x/1' url", "'m' source_id"), "search_index": index}

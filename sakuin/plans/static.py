@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sakuin.functions import codes, text
+from sakuin.operators.tables import kept
 from sakuin.plans import sinks
 from sakuin.plans.client import LAYERS, OPTIONAL, Register
 from sakuin.plans.files import Folder
@@ -142,8 +143,9 @@ def export_snapshot(tables: dict[str, DataFrame], bureaus: DataFrame, path: str,
         standard = F.concat(F.to_json(F.array("standard_id")).substr(F.lit(2), F.length(F.to_json(F.array("standard_id"))) - 2), F.lit(":"), F.to_json(F.struct("abbreviation", F.col("standard_name").alias("name")), _ALL))
         _write_ordered(plain["catalog"], "standard_id", standard, place, "catalog.json", f'{{"schemaVersion":{VERSION},"standards":{{', "}}\n")
         total = plain["manifest"].first()
+        manifest = spark.createDataFrame([total], plain["manifest"].schema)  # counted once
         _search(plain["search_index"], place, "search.json", {"schemaVersion": VERSION, "generatedAt": generated_at, "asOf": str(total["as_of"] or ""), "facilityCount": total["facility_count"]})
-        place.replace("manifest.json", manifest_json(plain["manifest"], plain["manifest_source"], bureaus, generated_at))
+        place.replace("manifest.json", manifest_json(manifest, plain["manifest_source"], bureaus, generated_at))
         place.remove(".staged")
         swap(parent, staged, name)
     except BaseException:
@@ -158,9 +160,10 @@ def export_changes(tables: dict[str, DataFrame], documents: DataFrame, base_as_o
     try:
         plain = {k: v.drop("prefix") for k, v in tables.items()}
         _write_shards(change_shards(plain["change_facility"], plain["change_event"], base_as_of), place, "facilities")
-        latest = plain["change_manifest"].first()["latest_as_of"]
-        _search(plain["change_search_index"], place, "search.json", {"schemaVersion": VERSION, "generatedAt": generated_at, "baseAsOf": base_as_of, "latestAsOf": str(latest or "")})
-        place.replace("manifest.json", change_manifest_json(plain["change_manifest"], documents, base_as_of, generated_at))
+        total = plain["change_manifest"].first()
+        manifest = spark.createDataFrame([total], plain["change_manifest"].schema)  # counted once
+        _search(plain["change_search_index"], place, "search.json", {"schemaVersion": VERSION, "generatedAt": generated_at, "baseAsOf": base_as_of, "latestAsOf": str(total["latest_as_of"] or "")})
+        place.replace("manifest.json", change_manifest_json(manifest, documents, base_as_of, generated_at))
         place.remove(".staged")
         swap(parent, staged, "changes")
     except BaseException:
@@ -171,9 +174,9 @@ def export_changes(tables: dict[str, DataFrame], documents: DataFrame, base_as_o
 def read_json(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
     """The fields of JSON files, a row a file. A file that isn't such JSON, or of another version of the format, is an error."""
     rows = spark.read.option("pathGlobFilter", "*.json").text(paths, wholetext=True)
-    fields = F.from_json("value", schema, {"mode": "FAILFAST"}).alias("j")
+    fields = F.inline(F.array(F.from_json("value", schema, {"mode": "FAILFAST"})))  # not a plain column, which each filter would parse anew
     wrong = F.raise_error(F.concat(F.lit("not a file of this format: "), F.input_file_name())).cast("boolean")
-    return rows.select(fields, F.input_file_name().alias("file")).where(F.when(F.coalesce(F.col("j.schemaVersion") == VERSION, F.lit(False)), True).otherwise(wrong)).select("j.*")
+    return rows.select(fields).where(F.when(F.coalesce(F.col("schemaVersion") == VERSION, F.lit(False)), True).otherwise(wrong))
 
 
 def base_date(spark: SparkSession, manifest: str) -> str:
@@ -186,7 +189,8 @@ def base_date(spark: SparkSession, manifest: str) -> str:
 
 class StaticRegister(Register):
     """A register read from static files, with the queries of Register. A shard that isn't there is empty, and so is a change layer;
-    other files must be there, and none may be corrupt. A code, or a table of codes, opens the shards of its prefixes only."""
+    other files must be there, and none may be corrupt. A code, or a table of codes, opens the shards of its prefixes only. What all
+    shards of a layer hold, but for filings, is parsed once, as a table that stands until clear_cache."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path, self._held, self._place = spark, path.rstrip("/"), {}, Folder(spark, path)
@@ -210,19 +214,32 @@ class StaticRegister(Register):
         every = wanted is None
         return read_json(self.spark, [f"{self.path}/{folder}"] if every else [f"{self.path}/{folder}/{n}" for n in names], schema)
 
+    def _facilities(self, layer: str, wanted) -> DataFrame:
+        """(dated, code, f): a row for each facility of the shards, with its shard's date."""
+        dated = "latestAsOf" if layer == "changes" else "asOf"
+        return self._shards(layer, wanted).select(F.col(dated).alias("dated"), F.explode("facilities").alias("code", "f"))
+
+    def _facts(self, layer: str, wanted) -> DataFrame:
+        """The same without filings, which one view only reads; of all shards, as a table."""
+        if wanted is not None:
+            return self._facilities(layer, wanted)
+        if f"{layer} facts" not in self._held:
+            rows = self._facilities(layer, None)
+            self._held[f"{layer} facts"] = kept(rows if layer == "changes" else rows.withColumn("f", F.col("f").dropFields("standards")))
+        return self._held[f"{layer} facts"]
+
     def _rows(self, name: str, wanted) -> DataFrame:
-        layer = "changes" if name in OPTIONAL else "snapshot"
-        f = self._shards(layer, wanted).select("*", F.explode("facilities").alias("code", "f"))
-        if name == "facility":
-            return f.select("code", "f.name", "f.address", "f.category", F.to_date(F.nullif("asOf", F.lit(""))).alias("as_of"))
         if name == "filing":
-            s = f.select("code", F.posexplode("f.standards").alias("pos", "s"))
+            s = self._facilities("snapshot", wanted).select("code", F.posexplode("f.standards").alias("pos", "s"))
             return s.select("code", "pos", F.get("s", F.lit(0)).alias("standard_id"), F.get("s", F.lit(1)).alias("acceptance_number"), F.to_date(F.get("s", F.lit(2))).alias("effective_from"))
+        f = self._facts("changes" if name in OPTIONAL else "snapshot", wanted)
+        if name == "facility":
+            return f.select("code", "f.name", "f.address", "f.category", F.to_date(F.nullif("dated", F.lit(""))).alias("as_of"))
         if name == "source":
             only = F.when(F.size("f.sourceIds") == 1, F.col("f.sourceIds")[0])  # the format doesn't say which document is whose
             return f.select("code", F.explode("f.sourceDocuments").alias("url"), only.alias("source_id"))
         if name == "change_facility":
-            return f.select("code", "f.name", "f.address", "f.category", F.to_date(F.nullif("latestAsOf", F.lit(""))).alias("latest_as_of"))
+            return f.select("code", "f.name", "f.address", "f.category", F.to_date(F.nullif("dated", F.lit(""))).alias("latest_as_of"))
         e = f.select("code", F.explode("f.events").alias("e"))
         return e.select("code", "e.id", "e.action", F.to_date("e.publishedAt").alias("published_at"), F.col("e.standardId").alias("standard_id"), "e.standard.abbreviation", F.col("e.standard.name").alias("standard_name"), F.col("e.acceptanceNumber").alias("acceptance_number"), F.to_date("e.effectiveFrom").alias("effective_from"), F.col("e.documentUrl").alias("url"), F.col("e.sourceId").alias("source_id"), F.col("e.sourcePageUrl").alias("source_page_url"), "e.page", F.col("e.extractionMethod").alias("extraction_method"))
 
@@ -256,5 +273,5 @@ class StaticRegister(Register):
         return False
 
     def source_ids(self, code=None) -> DataFrame:
-        ids = self._shards("snapshot", code).select(F.explode("facilities").alias("code", "f")).select("code", F.explode("f.sourceIds").alias("source_id"))
+        ids = self._facts("snapshot", code).select("code", F.explode("f.sourceIds").alias("source_id"))
         return self._only(ids, code).unionByName(self._of("change_event", code).select("code", "source_id")).distinct()

@@ -53,3 +53,18 @@ def test_many_files_are_dealt_to_few_partitions(spark, tmp_path, monkeypatch):
 
 def test_dates_of_a_small_file_are_many_tasks_work(spark):
     assert "Exchange hashpartitioning(o_orderkey" in plan(QUERIES["cell_dates"](spark, SMALL))
+
+
+def test_shards_are_parsed_once(spark, tmp_path):
+    """A file's JSON is parsed by one expression, whatever filters follow, and the views of all facilities read a table of it."""
+    from pyspark.sql import functions as F
+
+    from sakuin.plans import static
+
+    (tmp_path / "facilities").mkdir()
+    (tmp_path / "facilities" / "0110.json").write_text('{"schemaVersion":1,"asOf":"2026-07-01","prefix":"0110","facilities":{"0110000001":{"name":"n","address":null,"category":"medical","sourceIds":["k"],"sourceDocuments":["u"],"standards":[["s","",null]]}}}')
+    shards = static.read_json(spark, [f"{tmp_path}/facilities"], static.SHARD)
+    assert plan(shards.select("asOf", F.explode("facilities"))).count("from_json(") == 1
+    found = static.StaticRegister(spark, str(tmp_path)).facilities()
+    assert "FileScan text" not in plan(found)
+    assert [(r["code"], r["name"], str(r["as_of"]), r["recent_change_count"]) for r in found.collect()] == [("0110000001", "n", "2026-07-01", 0)]
