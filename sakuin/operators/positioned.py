@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sakuin.functions import codes, dates, text
 from sakuin.operators.sheets import names_in
+from sakuin.operators.tables import dealt, kept
 
 
 def segments(rows: DataFrame, partition: list[str], order: str, starts: Column, name: str) -> DataFrame:
@@ -24,24 +26,29 @@ PAGE = ["document_url", "page"]
 
 # Default columns of scanned pages, as (code, name, address, address end, content, content end).
 SCANNED = {"remove": (65.0, 135.0, 225.0, 370.0, 485.0, 580.0), "upsert": (25.0, 100.0, 220.0, 350.0, 380.0, None)}
-_LINE_OF = "document_url string, page int, x double, y double, text string, ord int, line int, line_y double"
+_ITEM = {"document_url": "string", "page": "int", "x": "double", "y": "double", "text": "string", "ord": "int"}
+_LINE_OF = ", ".join(f"{c} {t}" for c, t in _ITEM.items()) + ", line int, line_y double"
 
 
 def lines(items: DataFrame) -> DataFrame:
     """Add line and line_y: items within 1.5 of the first item's y are one line. The first item is what counts, so this walks each
-    page once; a page is one group."""
+    page once, in order of y: pages are dealt to tasks, and a task's pages stream by in batches."""
 
-    def walk(frame):
-        frame = frame.sort_values(["y", "x"], kind="stable").reset_index(drop=True)
-        number, first, at = -1, None, []
-        for y in frame["y"]:
-            if first is None or abs(y - first) > LINE_GAP:
-                number, first = number + 1, y
-            at.append((number, first))
-        frame["line"], frame["line_y"] = [a[0] for a in at], [a[1] for a in at]
-        return frame[["document_url", "page", "x", "y", "text", "ord", "line", "line_y"]]
+    def walk(batches):
+        seen, number, first = (), -1, None
+        for batch in batches:
+            at = []
+            for url, page, y in zip(batch["document_url"].to_pylist(), batch["page"].to_pylist(), batch["y"].to_numpy(zero_copy_only=False).tolist(), strict=True):
+                if (url, page) != seen:
+                    seen, number, first = (url, page), -1, None
+                if first is None or abs(y - first) > LINE_GAP:
+                    number, first = number + 1, y
+                at.append((number, first))
+            more = [pa.array([a[0] for a in at], pa.int32()), pa.array([a[1] for a in at], pa.float64(), from_pandas=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*_ITEM, "line", "line_y"])
 
-    return items.select("document_url", "page", "x", "y", "text", "ord").groupBy(*PAGE).applyInPandas(walk, _LINE_OF)
+    rows = items.select(*[F.col(c).cast(t).alias(c) for c, t in _ITEM.items()]).repartition(*PAGE)
+    return rows.sortWithinPartitions(*PAGE, F.asc_nulls_last("y"), "x").mapInArrow(walk, _LINE_OF)
 
 
 def recognised(items: DataFrame) -> DataFrame:
@@ -85,14 +92,14 @@ def change_events(items: DataFrame, documents: DataFrame, prefectures: list[tupl
 
     items: document_url, page, x, y, text, ocr and perhaps confidence; documents: document_url, sha256, source_id, page_url, published_at, action,
     category_hint, prefecture_code_hint, context. events has one row per change with its facility; pages has accepted and parsed
-    counts. Records without a name have no events.
+    counts. Records without a name have no events. Items, lines, pages and lines of records are read by many parts, so they are tables.
     """
     items = recognised(items).withColumn("ord", F.row_number().over(Window.partitionBy(*PAGE).orderBy("y", "x", "text"))).withColumn("norm", text.normalize_text(F.col("text")))
     meta = documents.withColumnRenamed("sha256", "document_sha256")
-    items = items.join(meta.select("document_url", "action"), "document_url")
+    items = kept(items.join(meta.select("document_url", "action"), "document_url"))
     where = columns(items)
     ocr = items.groupBy(*PAGE).agg(F.max("ocr").alias("ocr"))
-    placed = lines(items).join(items.select(*PAGE, "ord", "norm"), [*PAGE, "ord"]).join(where, PAGE)
+    placed = lines(items.withColumn("text", F.col("norm"))).withColumnRenamed("text", "norm").join(where, PAGE)
 
     def joined(condition: Column, value: str = "norm") -> Column:
         found = F.array_sort(F.collect_list(F.when(condition, F.struct("x", "ord", F.col(value).alias("t")))))
@@ -101,20 +108,20 @@ def change_events(items: DataFrame, documents: DataFrame, prefectures: list[tupl
     not_number = ~F.col("norm").rlike("^[0-9]+\\z")
     is_code = (F.col("x") < F.col("c_name") - 15) & (F.abs(F.col("x") - F.col("c_code")) < 35) & codes.printed_code(F.col("norm")).isNotNull()
     in_content = (F.col("x") >= F.col("c_content") - 5) & (F.col("c_content_end").isNull() | (F.col("x") < F.col("c_content_end") - 5))
-    line = placed.groupBy(*PAGE, "line").agg(
+    line = kept(placed.groupBy(*PAGE, "line").agg(
         F.first("line_y").alias("y"), joined(F.lit(True)).alias("full"), joined(in_content).alias("content"), F.min(F.when(in_content, F.col("x"))).alias("min_x"), F.first("c_content").alias("c_content"),
         F.min_by(codes.printed_code(F.col("norm")), F.when(is_code, F.col("x"))).alias("code"),
         joined((F.col("x") >= F.col("c_name")) & (F.col("x") < F.col("c_address")) & not_number).alias("name_part"), joined((F.col("x") >= F.col("c_address")) & (F.col("x") < F.col("c_address_end")) & not_number).alias("address_part"),
-    )
+    ))
     pages = line.groupBy(*PAGE).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "full"))), lambda s: s["full"]), " ").alias("all")).join(meta, "document_url").join(ocr, PAGE)
-    pages = pages.withColumn("norm_context", text.normalize_text(F.col("context")))
+    pages = dealt(pages, *reversed(PAGE)).withColumn("norm_context", text.normalize_text(F.col("context")))
     context = text.squeeze(F.concat_ws(" ", "norm_context", "all"))
     names = F.array(*[F.struct(F.lit(c).alias("code"), F.lit(n).alias("name")) for c, n in prefectures])
     hits = names_in(context, names)
-    pages = pages.withColumns({"category": F.coalesce(text.category(context), "category_hint"), "prefecture_code": F.when(F.size(hits) == 1, F.get(hits, F.lit(0))).otherwise(F.col("prefecture_code_hint"))}).drop("all", "context", "norm_context")
+    pages = kept(pages.withColumns({"category": F.coalesce(text.category(context), "category_hint"), "prefecture_code": F.when(F.size(hits) == 1, F.get(hits, F.lit(0))).otherwise(F.col("prefecture_code_hint"))}).drop("all", "context", "norm_context"))
     pages = pages.where("category is not null and prefecture_code is not null")
 
-    rows = segments(line, PAGE, "line", F.col("code").isNotNull(), "record").where("record > 0").join(pages, PAGE)
+    rows = kept(segments(line, PAGE, "line", F.col("code").isNotNull(), "record").where("record > 0").join(pages, PAGE))
     key = [*PAGE, "record"]
     by_line = lambda c: F.array_join(F.filter(F.transform(F.array_sort(F.collect_list(F.struct("line", c))), lambda s: s[c]), lambda t: t != ""), " ")
     head = rows.groupBy(*key).agg(F.min_by("code", "line").alias("code"), by_line("name_part").alias("name"), by_line("address_part").alias("address"), F.first("ocr").alias("ocr"), F.first("category").alias("category"), F.first("prefecture_code").alias("prefecture_code"))

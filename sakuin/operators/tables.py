@@ -16,3 +16,9 @@ def kept(df: DataFrame) -> DataFrame:
     path = f"{folder}/kept-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """df dealt by keys to as many tasks as shuffles have, however few bytes it holds, for work that takes long a row. Spark
+    leaves it out where df is dealt by the same keys in the same order already."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)

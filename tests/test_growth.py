@@ -68,3 +68,19 @@ def test_shards_are_parsed_once(spark, tmp_path):
     found = static.StaticRegister(spark, str(tmp_path)).facilities()
     assert "FileScan text" not in plan(found)
     assert [(r["code"], r["name"], str(r["as_of"]), r["recent_change_count"]) for r in found.collect()] == [("0110000001", "n", "2026-07-01", 0)]
+
+
+def test_pages_of_text_are_walked_once(spark):
+    """Pages stream through tasks, whatever the batches; their lines are made once, not for each part of the plan that reads them."""
+    from sakuin.operators import positioned
+
+    items = [(f"u{d}", p, float(x), y, "t", x) for d in range(2) for p in (1, 2) for x, y in enumerate([2.0, 0.0, 1.4, 1.6, 3.2, None])]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        found = positioned.lines(spark.createDataFrame(items, "document_url string, page int, x double, y double, text string, ord int")).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    at = {0: (1, 1.6), 1: (0, 0.0), 2: (0, 0.0), 3: (1, 1.6), 4: (2, 3.2), 5: (2, 3.2)}
+    assert sorted((r["document_url"], r["page"], r["ord"], r["line"], r["line_y"]) for r in found) == sorted((d, p, o, *at[o]) for d, p, _, _, _, o in items)
+    made = plan(QUERIES["notice_events"](spark, SMALL))
+    assert "InPandas" not in made and "MapInArrow" not in made
